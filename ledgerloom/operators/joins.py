@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 from ledgerloom.operators.ordered import fill_forward, over_neighbours
 from ledgerloom.session import is_small, materialize, may_broadcast
@@ -44,8 +45,12 @@ def band_join(
     width = F.greatest((F.col("_to") - F.col("_from")) / cells, F.lit(1e-9))
     cell = lambda x: F.floor((x.cast("double") - F.col("_from")) / width).cast("long")
     spread = ref.crossJoin(span).withColumn("_cell", F.explode(F.sequence(cell(F.col("_lo")), cell(F.col("_hi")))))
-    # a NULL cell never matches; spread such rows by hash instead of sending them all to one task
-    probe = df.crossJoin(span).withColumn("_probe", cell(F.col(value))).drop("_from", "_to")
+    # a NULL never matches: such rows get spare negative cells, so that they do not all meet in one task
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (MapType, StructType, ArrayType))]
+    spare = F.lit(-1) - F.pmod(F.xxhash64(*plain), F.lit(1024))
+    probe = (
+        df.crossJoin(span).withColumn("_probe", F.coalesce(cell(F.col(value)), spare)).drop("_from", "_to")
+    )
     spread = spread.drop("_from", "_to")
     return probe.join(spread, (F.col("_probe") == F.col("_cell")) & in_band, "left").drop(
         "_probe", "_cell", "_lo", "_hi"

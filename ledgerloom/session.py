@@ -83,7 +83,7 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of ``df``; reads file metadata only, starts no job."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def is_small(df: DataFrame) -> bool:
