@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import key_hash
 from ledgerloom.operators.ordered import attach_group, latest_per_key
+from ledgerloom.session import settled
 
 #: Gets the target and the source column accessors, returns an expression.
 Rule = Callable[[Callable[[str], Column], Callable[[str], Column]], Column]
@@ -48,7 +49,7 @@ def merge(
     t_rows = target.filter(_has_keys(keys)).select(
         *[F.col(c).alias(f"t__{c}") for c in columns], F.lit(True).alias("_in_t")
     )
-    unique = _one_per_key(source.filter(_has_keys(keys)), keys)
+    unique = settled(_one_per_key(source.filter(_has_keys(keys)), keys), "merge-source")
     s_rows = unique.select(*[F.col(c).alias(f"s__{c}") for c in source.columns], "_in_s")
     t = lambda c: F.col(f"t__{c}")
     s = lambda c: F.col(f"s__{c}")
@@ -99,10 +100,15 @@ def cdc_hash_replace(
 
 
 def _flagged(df: DataFrame, listed: DataFrame, key: str, listed_key: str) -> DataFrame:
-    """``df`` with ``_hit``: whether the key is in the list (distinct keys, so no row is repeated)."""
-    keys = listed.select(F.col(listed_key).alias("_listed")).filter("_listed is not null").distinct()
-    joined = df.join(keys, F.col(key) == F.col("_listed"), "left")
-    return joined.withColumn("_hit", F.col("_listed").isNotNull()).drop("_listed")
+    """``df`` with ``_hit``: whether the key is in the list.
+
+    A semi and an anti join share their shuffles and, unlike a join to the distinct keys, let adaptive
+    execution split a hot key.
+    """
+    keys = listed.select(F.col(listed_key).alias("_listed"))
+    on = F.col(key) == F.col("_listed")
+    hits = df.join(keys, on, "left_semi").withColumn("_hit", F.lit(True))
+    return hits.unionByName(df.join(keys, on, "left_anti").withColumn("_hit", F.lit(False)))
 
 
 def update_where_in(

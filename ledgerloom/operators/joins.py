@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
 from ledgerloom.operators.ordered import fill_forward, over_neighbours
-from ledgerloom.session import is_small, materialize, may_broadcast
+from ledgerloom.session import is_small, materialize, may_broadcast, settled
 
 
 def full_add(
@@ -187,8 +187,8 @@ def fallback_lookup(
     value: str,
 ) -> DataFrame:
     """Value by the specific key, else by the general key."""
-    a = specific.select(*specific_keys, F.col(value).alias("_a"))
-    b = general.select(*general_keys, F.col(value).alias("_b"))
+    a = settled(specific.select(*specific_keys, F.col(value).alias("_a")))
+    b = settled(general.select(*general_keys, F.col(value).alias("_b")))
     out = df.join(a, list(specific_keys), "left").join(b, list(general_keys), "left")
     return out.withColumn(value, F.coalesce("_a", "_b")).drop("_a", "_b")
 

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from ledgerloom.session import BLOCK_ROWS, HOT_KEY_ROWS, is_small, materialize, setting
+from ledgerloom.session import BLOCK_ROWS, HOT_KEY_ROWS, is_small, materialize, setting, settled
 
 _ROW_MASK = (1 << 33) - 1
 
@@ -188,8 +188,7 @@ def attach_group(df: DataFrame, keys: Sequence[str], values: dict[str, Column])
     )
     if not keys:
         return df.crossJoin(F.broadcast(totals))
-    if not is_small(df):
-        totals = materialize(totals, "groups")
+    totals = settled(totals, "groups")
     joined = df.join(totals, same_keys(df, totals, [(k, f"_g_{k}") for k in keys]), "left")
     return joined.select(*[df[c] for c in df.columns], *values)
 

@@ -94,3 +94,12 @@ def is_small(df: DataFrame) -> bool:
 def may_broadcast(df: DataFrame) -> bool:
     """Whether ``df`` is proven small enough to be sent to every executor."""
     return estimated_bytes(df) <= setting(df.sparkSession, "broadcastBytes", BROADCAST_BYTES)
+
+
+def settled(df: DataFrame, label: str = "lookup") -> DataFrame:
+    """``df``, written first when it is large.
+
+    Adaptive execution splits a hot key only where both join inputs come straight from a shuffle; an
+    aggregate that feeds the join directly hides its side. Reading it from files restores that.
+    """
+    return df if is_small(df) else materialize(df, label)
