@@ -131,8 +131,9 @@ def key_hash(columns: Sequence[Column | str], separator: str | None = None) -> C
 
 
 def stable_bucket(c: Column | str, buckets: int = 10000) -> Column:
-    """Repeatable bucket 0..buckets-1 of an identifier."""
-    return F.pmod(F.xxhash64(_col(c).cast("string")), F.lit(buckets)).cast("long")
+    """Repeatable bucket 0..buckets-1 of an identifier, from its MD5, so that any engine can restate it."""
+    prefix = F.substring(F.md5(_col(c).cast("string")), 1, 15)
+    return F.pmod(F.conv(prefix, 16, 10).cast("long"), F.lit(buckets))
 
 
 def range_bucket(c: Column | str, edges: Sequence[float]) -> Column:
