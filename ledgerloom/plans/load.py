@@ -38,7 +38,9 @@ def _dedup(df: DataFrame, config: Mapping, lookups: Mapping[str, DataFrame]) ->
     keys = config.get("dedup")
     if not keys:
         return df
-    order: list[Column] = [F.expr(e) for e in config.get("dedup_order", [])]
+    order: list[Column] = [
+        F.expr(e[:-5]).desc() if e.lower().endswith(" desc") else F.expr(e) for e in config.get("dedup_order", [])
+    ]
     return latest_per_key(df, keys, order or [F.xxhash64(*[c for c in df.columns if c not in keys])])
 
 
