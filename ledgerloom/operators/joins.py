@@ -170,12 +170,8 @@ def lookup_join(df: DataFrame, lookup: DataFrame, spec: Mapping) -> DataFrame:
 
 def unique_keys_only(lookup: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Lookup rows whose key occurs exactly once; counted map-side, no group is buffered."""
-    return (
-        lookup.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), *[F.max(c).alias(c) for c in columns])
-        .filter("_n = 1")
-        .drop("_n")
-    )
+    counted = lookup.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[F.max(c).alias(c) for c in columns])
+    return settled(counted.filter("_n = 1").drop("_n"), "unique")
 
 
 def fallback_lookup(

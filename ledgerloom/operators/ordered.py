@@ -24,7 +24,12 @@ def same_keys(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]
 
 
 def split_hot(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame | None]:
-    """Rows of ordinary keys, and rows of keys above the hot-key limit (None when there are none)."""
+    """Rows of ordinary keys, and rows of keys above the hot-key limit (None when there are none).
+
+    Without keys all rows form one group, which counts as hot.
+    """
+    if not keys:
+        return df.filter(F.lit(False)), df
     limit = setting(df.sparkSession, "hotKeyRows", HOT_KEY_ROWS)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
     hot_keys = materialize(counts.select(*[F.col(k).alias(f"_hot_{k}") for k in keys]), "hot-keys")
@@ -218,3 +223,11 @@ def ranks(df: DataFrame, keys: Sequence[str], order: Sequence[str], descending:
         carry=lambda w: {"_c": F.sum("_t").over(w)},
         combine={"_upto": F.col("_upto") + F.coalesce(F.col("_c"), F.lit(0))},
     ).withColumn("rank", F.col("_upto") - F.col("n_rows") + 1).drop("_upto")
+
+
+def attach_ranks(df: DataFrame, keys: Sequence[str], order: Sequence[str], descending: bool = False) -> DataFrame:
+    """Every row with its ``rank`` and ``dense_rank``; ranked per distinct value, then joined back."""
+    ranked = settled(ranks(df, keys, order, descending), "ranks")
+    renamed = ranked.select(*[F.col(c).alias(f"_g_{c}") for c in (*keys, *order)], "rank", "dense_rank")
+    joined = df.join(renamed, same_keys(df, renamed, [(c, f"_g_{c}") for c in (*keys, *order)]))
+    return joined.select(*[df[c] for c in df.columns], "rank", "dense_rank")

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions import luhn_valid, strip, try_parse_date
+from ledgerloom.functions import cents, luhn_valid, strip, try_parse_date
 
 
 def required_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
@@ -102,8 +102,8 @@ def trailer_counts(body: DataFrame, trailer: DataFrame, segment: str, expected:
 
 def totals_match(body: DataFrame, summary: DataFrame, amount: str, count_field: str, total_field: str) -> DataFrame:
     """Row count and amount total of a file against its one summary record."""
-    total = F.sum(F.col(amount).cast("decimal(18,2)"))
-    counted = body.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(total, F.lit(0)).alias("total"))
+    total = F.sum(cents(amount).cast("decimal(18,0)"))
+    counted = body.agg(F.count(F.lit(1)).alias("n_rows"), (F.coalesce(total, F.lit(0)) / 100).alias("total"))
     joined = counted.crossJoin(F.broadcast(summary.agg(F.max(count_field).alias("_n"), F.max(total_field).alias("_t"))))
     ok = lambda a, b: F.when(F.col(a) == F.col(b), "Match").otherwise("Mismatch")
     return joined.select("n_rows", F.col("total").cast("double").alias("total"), ok("n_rows", "_n").alias("count_status"), ok("total", "_t").alias("total_status"))

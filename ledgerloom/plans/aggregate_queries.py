@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import amount_sum, cents
 from ledgerloom.operators import aggregates as A
 from ledgerloom.plans.registry import Tables, query
 
-money = lambda c: F.col(c).cast("decimal(18,2)")
-
-
 @query(
     "agg_group_sum_count",
     """
@@ -20,17 +18,17 @@ money = lambda c: F.col(c).cast("decimal(18,2)")
     FROM lineitem WHERE l_shipdate <= TIMESTAMP '2001-09-02' GROUP BY 1, 2""",
 )
 def _(t: Tables):
-    net = money("l_extendedprice") * (F.lit(1).cast("decimal(4,2)") - F.col("l_discount").cast("decimal(4,2)"))
+    net = cents("l_extendedprice") * (100 - cents("l_discount"))
     return (
         t.lineitem.filter(F.col("l_shipdate") <= F.lit("2001-09-02").cast("timestamp_ntz"))
         .groupBy("l_returnflag", "l_linestatus")
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.sum(money("l_quantity")).cast("double").alias("sum_qty"),
+            amount_sum("l_quantity").alias("sum_qty"),
             F.min("l_extendedprice").alias("min_price"),
             F.max("l_extendedprice").alias("max_price"),
-            F.round(F.sum(money("l_extendedprice")).cast("double") / F.count(F.lit(1)), 4).alias("avg_price"),
-            F.sum(net).cast("double").alias("revenue"),
+            F.round(amount_sum("l_extendedprice") / F.count(F.lit(1)), 4).alias("avg_price"),
+            (F.sum(net.cast("decimal(18,0)")).cast("double") / 10000).alias("revenue"),
         )
     )
 
@@ -54,10 +52,10 @@ def _(t: Tables):
     FROM events GROUP BY user_id""",
 )
 def _(t: Tables):
-    spent = F.sum(F.when(F.col("event_type") == "purchase", money("value")))
+    spent = amount_sum(F.when(F.col("event_type") == "purchase", F.col("value")))
     return t.events.groupBy("user_id").agg(
         F.count_if(F.col("event_type") == "error").alias("n_errors"),
-        F.coalesce(spent, F.lit(0)).cast("double").alias("spent"),
+        F.coalesce(spent, F.lit(0.0)).alias("spent"),
     )
 
 
@@ -69,8 +67,7 @@ def _(t: Tables):
 )
 def _(t: Tables):
     return (
-        t.orders.groupBy("o_custkey").agg(F.sum(money("o_totalprice")).alias("s")).filter("s > 3000000")
-        .select("o_custkey", F.col("s").cast("double").alias("total"))
+        t.orders.groupBy("o_custkey").agg(amount_sum("o_totalprice").alias("total")).filter("total > 3000000")
     )
 
 
@@ -91,7 +88,7 @@ def _(t: Tables):
 def _(t: Tables):
     return t.lineitem.agg(
         F.count(F.lit(1)).alias("n_records"),
-        F.sum(money("l_extendedprice")).cast("double").alias("total"),
+        amount_sum("l_extendedprice").alias("total"),
         F.min("l_shipdate").alias("first_day"),
         F.max("l_shipdate").alias("last_day"),
     )
@@ -205,7 +202,7 @@ def _(t: Tables):
            CAST(sum(v) AS DOUBLE) AS total FROM c GROUP BY 1""",
 )
 def _(t: Tables):
-    per_order = t.lineitem.groupBy("l_orderkey").agg(F.sum(money("l_extendedprice")).alias("v"))
+    per_order = t.lineitem.groupBy("l_orderkey").agg(F.sum(cents("l_extendedprice")).alias("v"))
     per_customer = (
         per_order.join(t.orders, F.col("o_orderkey") == F.col("l_orderkey"))
         .groupBy("o_custkey", F.trunc("o_orderdate", "MM").alias("month"))
@@ -214,8 +211,8 @@ def _(t: Tables):
     return per_customer.groupBy("month").agg(
         F.count(F.lit(1)).alias("n_customers"),
         F.sum("n").alias("n_orders"),
-        F.max("v").cast("double").alias("best_customer"),
-        F.sum("v").cast("double").alias("total"),
+        (F.max("v") / 100).alias("best_customer"),
+        (F.sum("v") / 100).alias("total"),
     )
 
 
@@ -226,13 +223,13 @@ def _(t: Tables):
     FROM region LEFT JOIN nation ON n_regionkey = r_regionkey LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY 1, 2""",
 )
 def _(t: Tables):
-    per_nation = t.customer.groupBy("c_nationkey").agg(F.sum(money("c_acctbal")).alias("b"), F.count(F.lit(1)).alias("k"))
+    per_nation = t.customer.groupBy("c_nationkey").agg(F.sum(cents("c_acctbal")).alias("b"), F.count(F.lit(1)).alias("k"))
     return (
         t.region.join(t.nation, F.col("n_regionkey") == F.col("r_regionkey"), "left")
         .join(per_nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .groupBy("r_regionkey", "r_name")
         .agg(
-            F.coalesce(F.sum("b").cast("double"), F.lit(0.0)).alias("balance"),
+            F.coalesce(F.sum("b") / 100, F.lit(0.0)).alias("balance"),
             F.coalesce(F.sum("k"), F.lit(0)).alias("n"),
         )
     )

@@ -53,8 +53,8 @@ def lifetime_rollforward(
 
 
 def series_features(series: DataFrame, key: str, at: str, spend: str, limit: str, count: str) -> DataFrame:
-    """Deltas, utilisation, rolling and change features of one monthly series per key."""
-    s = F.col(spend).cast("double")
+    """Deltas, utilisation, rolling and change features of one monthly series per key; spend in cents."""
+    s = F.col(spend) / 100
     util = F.try_divide(s, F.col(limit).cast("double"))
 
     def columns(w):
@@ -64,9 +64,9 @@ def series_features(series: DataFrame, key: str, at: str, spend: str, limit: str
             "utilisation": F.round(util, 6),
             "spend_delta": F.round(s - F.coalesce(F.lag(s, 1).over(w), F.lit(0.0)), 2),
             "n_12m": F.sum(count).over(year),
-            "spend_6m": F.round(F.sum(F.col(spend)).over(half).cast("double"), 2),
+            "spend_6m": F.round(F.sum(spend).over(half) / 100, 2),
             "max_spend_12m": F.max(s).over(year),
-            "ratio_6m_12m": F.round(F.try_divide(F.sum(F.col(spend)).over(half).cast("double"), F.sum(F.col(spend)).over(year).cast("double")), 6),
+            "ratio_6m_12m": F.round(F.try_divide(F.sum(spend).over(half) / 100, F.sum(spend).over(year) / 100), 6),
             "util_change_6m": F.round(F.try_divide(util - old, old), 6),
             "months_seen": F.count(F.lit(1)).over(year),
         }

@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from ledgerloom.functions import business_day, mask_alnum, sha256_hex, stable_bucket
+from ledgerloom.functions import amount_sum, business_day, cents, mask_alnum, sha256_hex, stable_bucket
 from ledgerloom.operators.aggregates import capped_grade
 from ledgerloom.operators.changes import merge
 from ledgerloom.operators.shaping import case_map, latest_load, rank_to_wide
@@ -16,7 +16,6 @@ from ledgerloom.plans.registry import AS_OF, Tables, query
 from ledgerloom.session import scratch_path, settled
 from ledgerloom.sources.tables import swap_in
 
-money = lambda c: F.col(c).cast("decimal(18,2)")
 at = lambda d: F.lit(d).cast("timestamp_ntz")
 
 
@@ -88,7 +87,7 @@ def _(t: Tables):
 )
 def _(t: Tables):
     monthly = t.orders.groupBy("o_custkey", F.trunc("o_orderdate", "MM").alias("mth")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(money("o_totalprice")).alias("spend")
+        F.count(F.lit(1)).alias("n"), F.sum(cents("o_totalprice")).alias("spend")
     )
     limit = (F.abs("c_acctbal") * 50).alias("limit")
     series = monthly.join(t.customer.select("c_custkey", limit), F.col("c_custkey") == F.col("o_custkey")).drop("c_custkey")
@@ -109,7 +108,7 @@ def _(t: Tables):
     week = F.trunc("ts", "week")
     newest = t.events.agg(F.max(week).alias("newest"))
     weekly = t.events.groupBy("user_id", week.alias("wk")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(money("value")).cast("double").alias("spent"), F.max("value").alias("top")
+        F.count(F.lit(1)).alias("n"), amount_sum("value").alias("spent"), F.max("value").alias("top")
     )
     ranked = weekly.crossJoin(F.broadcast(newest)).withColumn("r", (F.datediff("newest", "wk") / 7).cast("int"))
     return rank_to_wide(ranked, ["user_id"], "r", ["n", "spent", "top"], range(5))
@@ -133,7 +132,7 @@ _BINS = {
 )
 def _(t: Tables):
     features = t.orders.groupBy("o_custkey").agg(
-        F.count(F.lit(1)).alias("n_orders"), F.sum(money("o_totalprice")).cast("double").alias("total"),
+        F.count(F.lit(1)).alias("n_orders"), amount_sum("o_totalprice").alias("total"),
         F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("urgent"),
     ).withColumns({"mean_order": F.col("total") / F.col("n_orders"), "urgent_share": F.col("urgent") / F.col("n_orders")})
     outlier = (F.col("total") < 500000) | (F.col("total") > 5000000)
@@ -222,8 +221,7 @@ def _(t: Tables):
     WHERE i % 7 = 0 OR DATE '{AS_OF}' + CAST(i AS INT) = completed_on""",
 )
 def _(t: Tables):
-    price = money("o_totalprice")
-    amount = lambda s: F.sum(F.when(F.col("o_orderstatus") == s, price).otherwise(F.lit(0).cast("decimal(18,2)"))).cast("double")
+    amount = lambda s: amount_sum(F.when(F.col("o_orderstatus") == s, F.col("o_totalprice")).otherwise(0.0))
     span = F.datediff(F.max("o_orderdate"), F.min("o_orderdate"))
     rates = (
         t.orders.join(t.customer, F.col("c_custkey") == F.col("o_custkey")).groupBy("c_nationkey")
@@ -314,12 +312,12 @@ def _(t: Tables):
     due = settled(D.evaluation_events(accounts, AS_OF, date(1996, 1, 1), "0.48", "0.35"), "due")
     # only the orders of due accounts meet their lines; amounts are summed per order before that
     classes = case_map("l_returnflag", {"A": "fee", "N": "purchase"})
-    amount = lambda k: F.sum(F.when(F.col("class") == k, money("l_extendedprice")).otherwise(F.lit(0).cast("decimal(18,2)")))
+    amount = lambda k: F.sum(F.when(F.col("class") == k, cents("l_extendedprice")).otherwise(0))
     per_order = t.lineitem.withColumn("class", classes).groupBy("l_orderkey").agg(amount("fee").alias("f"), amount("purchase").alias("p"))
     charges = (
         t.orders.join(due, F.col("o_custkey") == F.col("c_custkey"), "left_semi")
         .join(per_order, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("o_custkey")
-        .agg(F.sum("f").cast("double").alias("fees"), F.sum("p").cast("double").alias("purchases"))
+        .agg((F.sum("f") / 100).alias("fees"), (F.sum("p") / 100).alias("purchases"))
     )
     breach = F.coalesce(F.try_divide("fees", "purchases") > F.col("threshold").cast("double"), F.lit(False))
     return due.join(charges, F.col("o_custkey") == F.col("c_custkey"), "left").select(

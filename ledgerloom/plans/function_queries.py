@@ -165,7 +165,7 @@ def _(t: Tables):
     FROM events GROUP BY event_type""",
 )
 def _(t: Tables):
-    total = F.sum(F.col("value").cast("decimal(18,2)")).cast("double")
+    total = fn.amount_sum("value")
     order = F.struct("value", "event_id")
     plain = t.events.groupBy("event_type").agg(
         F.max("value").alias("f_max"), F.min("value").alias("f_min"), total.alias("f_sum"), F.count(F.lit(1)).alias("f_count"),

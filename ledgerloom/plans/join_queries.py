@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import amount_sum
 from ledgerloom.operators import joins as J
 from ledgerloom.plans.registry import Tables, query
+from ledgerloom.session import settled
 
 
 @query(
@@ -252,7 +254,7 @@ def _(t: Tables):
 def _(t: Tables):
     # one struct per (order, flag): the flag domain bounds the array
     per_flag = t.lineitem.groupBy("l_orderkey", "l_returnflag").agg(
-        F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("quantity")
+        amount_sum("l_quantity").alias("quantity")
     )
     nested = per_flag.groupBy("l_orderkey").agg(
         F.collect_list(F.struct(F.col("l_returnflag").alias("code"), "quantity")).alias("parties")
@@ -307,7 +309,7 @@ def _(t: Tables):
     current = t.customer.filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("k1"), F.col("c_custkey").alias("a1"))
     previous = t.customer.filter("c_mktsegment = 'MACHINERY'").select((F.col("c_custkey") - 1).alias("k2"), F.col("c_custkey").alias("a2"))
     # the attribute key is reduced to one account before the join, so it adds no rows
-    attributes = (
+    attributes = settled(
         t.customer.groupBy(F.col("c_nationkey").alias("n3"), F.floor(F.col("c_acctbal") / 100).alias("b3"))
         .agg(F.min("c_custkey").alias("a3"))
     )
@@ -340,7 +342,7 @@ def _(t: Tables):
         t.customer.groupBy(F.expr("c_custkey div 10").alias("parent"))
         .agg(
             F.count(F.lit(1)).alias("n_children"),
-            F.sum(F.col("c_acctbal").cast("decimal(18,2)")).cast("double").alias("child_balance"),
+            amount_sum("c_acctbal").alias("child_balance"),
         )
     )
     return t.customer.join(children, F.col("c_custkey") == F.col("parent")).select(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import cents
 from ledgerloom.operators import changes as C
 from ledgerloom.operators import compare as X
 from ledgerloom.operators import operations as P
@@ -133,7 +134,7 @@ def _(t: Tables):
     SELECT count(*) AS n_rows, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total, 'Match' AS count_status, 'Mismatch' AS total_status FROM orders""",
 )
 def _(t: Tables):
-    summary = t.orders.agg(F.count(F.lit(1)).alias("slips"), (F.sum(money("o_totalprice")) + 1).alias("amount"))
+    summary = t.orders.agg(F.count(F.lit(1)).alias("slips"), (F.sum(cents("o_totalprice")) / 100 + 1).alias("amount"))
     return Q.totals_match(t.orders, summary, "o_totalprice", "slips", "amount")
 
 
@@ -145,15 +146,13 @@ def _(t: Tables):
 @query(
     "dq_luhn_check",
     """
-    WITH d AS (SELECT o_orderkey, lpad(CAST(o_orderkey * 7919 + o_custkey AS VARCHAR), 9, '0') AS sin FROM orders),
+    WITH d AS (SELECT o_orderkey, CAST(o_orderkey * 7919 + o_custkey AS VARCHAR) AS sin FROM orders),
     s AS (SELECT o_orderkey, sin, list_sum(list_transform(range(1, length(sin) + 1), lambda i: CASE WHEN (length(sin) - i) % 2 = 0 THEN CAST(sin[i:i] AS INT)
       ELSE (CAST(sin[i:i] AS INT) * 2) // 10 + (CAST(sin[i:i] AS INT) * 2) % 10 END)) AS total FROM d)
     SELECT o_orderkey, sin, CASE WHEN total % 10 = 0 THEN 'Valid' ELSE 'Invalid' END AS mod10_status FROM s""",
 )
 def _(t: Tables):
-    number = F.col("o_orderkey") * 7919 + F.col("o_custkey")
-    text = number.cast("string")
-    sin = F.lpad(text, F.greatest(F.length(text), F.lit(9)), F.lit("0"))
+    sin = (F.col("o_orderkey") * 7919 + F.col("o_custkey")).cast("string")
     return t.orders.select("o_orderkey", sin.alias("sin")).withColumn("mod10_status", Q.mod10("sin"))
 
 
@@ -430,13 +429,13 @@ def _(t: Tables):
     WITH cal AS (SELECT CAST(unnest(generate_series((SELECT min(o_orderdate) FROM orders), (SELECT max(o_orderdate) FROM orders), INTERVAL 1 DAY)) AS DATE) AS d),
     p AS (SELECT DISTINCT o_orderpriority FROM orders)
     SELECT o_orderpriority, d FROM p CROSS JOIN cal WHERE (month(d), day(d)) NOT IN ((12, 25), (1, 1))
-      AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderpriority = p.o_orderpriority AND CAST(o_orderdate AS DATE) = d)""",
+      AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderpriority = p.o_orderpriority AND o_totalprice > 450000 AND CAST(o_orderdate AS DATE) = d)""",
 )
 def _(t: Tables):
     days = t.orders.agg(F.to_date(F.min("o_orderdate")).alias("a"), F.to_date(F.max("o_orderdate")).alias("b")).select(
         F.explode(F.sequence("a", "b", F.expr("interval 1 day"))).alias("d")
     )
-    arrivals = t.orders.select("o_orderpriority", F.to_date("o_orderdate").alias("d"))
+    arrivals = t.orders.filter("o_totalprice > 450000").select("o_orderpriority", F.to_date("o_orderdate").alias("d"))
     expected = t.orders.select("o_orderpriority").distinct().crossJoin(F.broadcast(days))
     holidays = days.filter(((F.month("d") == 12) & (F.dayofmonth("d") == 25)) | ((F.month("d") == 1) & (F.dayofmonth("d") == 1)))
     return P.missing_periods(expected, arrivals, ["o_orderpriority"], holidays, "d")
@@ -445,11 +444,12 @@ def _(t: Tables):
 @query(
     "ops_unprocessed_batches",
     """
-    SELECT DISTINCT CAST(ts AS DATE) AS file_day FROM events e WHERE NOT EXISTS (
-      SELECT 1 FROM events c WHERE CAST(c.ts AS DATE) = CAST(e.ts AS DATE) AND c.event_type = 'purchase' AND c.value > 180)""",
+    SELECT DISTINCT user_id, CAST(ts AS DATE) AS file_day FROM events e WHERE NOT EXISTS (
+      SELECT 1 FROM events c WHERE c.user_id = e.user_id AND CAST(c.ts AS DATE) = CAST(e.ts AS DATE) AND c.event_type = 'purchase' AND c.value > 20)""",
 )
 def _(t: Tables):
-    days = t.events.select(F.to_date("ts").alias("file_day"), "event_type", "value")
-    # a day counts as completed when it holds a large purchase, as started otherwise
-    control = days.select("file_day", F.when((F.col("event_type") == "purchase") & (F.col("value") > 180), "C").otherwise("S").alias("status"))
-    return P.unprocessed(days, control, ["file_day"])
+    batches = t.events.select("user_id", F.to_date("ts").alias("file_day"), "event_type", "value")
+    # a user's day counts as completed when it holds a larger purchase, as started otherwise
+    done = (F.col("event_type") == "purchase") & (F.col("value") > 20)
+    control = batches.select("user_id", "file_day", F.when(done, "C").otherwise("S").alias("status"))
+    return P.unprocessed(batches, control, ["user_id", "file_day"])

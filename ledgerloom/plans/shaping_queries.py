@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import (
+    amount_sum,
     format_time,
     from_julian,
     hex_to_base64,
@@ -382,7 +383,7 @@ def _(t: Tables):
         t.orders.groupBy("o_custkey", F.trunc("o_orderdate", "MM").alias("mth"))
         .agg(
             F.count(F.lit(1)).alias("n_orders"),
-            F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("spend"),
+            amount_sum("o_totalprice").alias("spend"),
         )
     )
     newest = t.orders.agg(F.max(F.trunc("o_orderdate", "MM")).alias("newest"))

@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import cents
 from ledgerloom.operators.changes import delete_where
 from ledgerloom.plans.registry import Tables, query
 from ledgerloom.session import scratch_path
@@ -72,9 +73,9 @@ def _(t: Tables):
 )
 def _(t: Tables):
     path = scratch_path(t.spark, "header-trailer")
-    cents = F.round(F.col("o_totalprice").cast("decimal(18,2)") * 100).cast("long")
-    body = t.orders.select("o_orderdate", "o_orderkey", "o_totalprice", F.format_string("D%09d%012d", "o_orderkey", cents).alias("text"))
-    totals = {"cents": F.round(F.sum(F.col("o_totalprice").cast("decimal(18,2)")) * 100).cast("long")}
+    price = cents("o_totalprice")
+    body = t.orders.select("o_orderdate", "o_orderkey", "o_totalprice", F.format_string("D%09d%012d", "o_orderkey", price).alias("text"))
+    totals = {"cents": F.sum(price)}
     trailer = F.format_string("TRL%09d%015d", "record_count", "cents")
     order = ["o_orderdate", "o_orderkey"]
     lines = sinks.with_header_trailer(body, "text", order, F.lit("HDR19980615"), trailer, totals)
@@ -94,8 +95,7 @@ def _(t: Tables):
 )
 def _(t: Tables):
     path = scratch_path(t.spark, "control-file")
-    cents = F.round(F.col("o_totalprice").cast("decimal(18,2)") * 100).cast("long")
-    records = t.orders.withColumn("text", F.format_string("R%09d%012d", "o_orderkey", cents))
+    records = t.orders.withColumn("text", F.format_string("R%09d%012d", "o_orderkey", cents("o_totalprice")))
     lines = sinks.control_file(
         records, "o_orderpriority", ["o_orderkey"], "text", "o_totalprice",
         file_header="TH0001", file_trailer="FT%05d%09d%015d", batch_header="BH%s", batch_trailer="BT%s%09d%015d",

@@ -85,7 +85,7 @@ def _(t: Tables):
     layouts = {"O": body, "L": body, "T": fixed_width.parse_layout(["segment:2:1: :R:string", "n:3:12:0:L:long"])}
     seg = fixed_width.read_segments(t.spark, path, layouts)
     rows = seg["O"].withColumn("segment", F.lit("O")).unionByName(seg["L"].withColumn("segment", F.lit("L")))
-    return rows.join(F.broadcast(seg["T"]), "segment").select(
+    return rows.join(seg["T"], "segment").select(
         "segment", "k", F.col("amount").cast("double").alias("amount"), F.col("n").alias("trailer_count")
     )
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerloom.plans.change_queries import CHANGE_TYPES, LATEST_STATE_SQL
+from ledgerloom.functions import amount_sum
 from ledgerloom.operators.shaping import case_map
+from ledgerloom.plans.change_queries import CHANGE_TYPES, LATEST_STATE_SQL
 from ledgerloom.plans.registry import Tables, query
 from ledgerloom.session import scratch_path
 from ledgerloom.sources import sinks
@@ -57,10 +58,10 @@ def _(t: Tables):
 )
 def _(t: Tables):
     table, checkpoint = scratch_path(t.spark, "hourly"), scratch_path(t.spark, "hourly-cp")
-    total = F.sum(F.col("value").cast("decimal(18,2)")).cast("double")
+    total = amount_sum("value")
     counts = I.windowed_counts(event_stream(t), "ts", "1 hour", "2 days", ["event_type"], total)
     I.run_available(counts, checkpoint, I.replace_by_key(table, ["bucket", "event_type"]), mode="update")
-    return t.spark.read.parquet(table).withColumn("bucket", F.col("bucket").cast("timestamp_ntz"))
+    return t.spark.read.parquet(table).drop("key_bucket").withColumn("bucket", F.col("bucket").cast("timestamp_ntz"))
 
 
 @query(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import cents
 from ledgerloom.operators import ordered as O
 from ledgerloom.plans.registry import Tables, query
 
@@ -13,9 +14,9 @@ _MONTHLY_SQL = """
 
 
 def monthly(t: Tables):
-    """One row per customer and month: the series that the lag and rolling windows run on."""
+    """One row per customer and month (spend in cents): the series that the windows run on."""
     return t.orders.groupBy("o_custkey", F.trunc("o_orderdate", "MM").alias("mth")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("spend")
+        F.count(F.lit(1)).alias("n"), F.sum(cents("o_totalprice")).alias("spend")
     )
 
 
@@ -61,9 +62,8 @@ def _(t: Tables):
     "SELECT o_orderkey, o_orderdate, rank() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate DESC) AS load_rank FROM orders",
 )
 def _(t: Tables):
-    keys = ["o_orderpriority", "o_orderdate"]
-    ranked = O.ranks(t.orders, ["o_orderpriority"], ["o_orderdate"], descending=True)
-    return t.orders.join(ranked, keys).select("o_orderkey", "o_orderdate", F.col("rank").alias("load_rank"))
+    ranked = O.attach_ranks(t.orders, ["o_orderpriority"], ["o_orderdate"], descending=True)
+    return ranked.select("o_orderkey", "o_orderdate", F.col("rank").alias("load_rank"))
 
 
 @query(
@@ -73,9 +73,8 @@ def _(t: Tables):
 )
 def _(t: Tables):
     dated = t.orders.select("o_orderkey", F.trunc("o_orderdate", "MM").alias("mth"))
-    # ranked over the distinct months only, then looked up
-    ranked = O.ranks(dated, [], ["mth"], descending=True).select("mth", F.col("dense_rank").alias("date_rank"))
-    return dated.join(ranked, "mth").select("o_orderkey", "date_rank")
+    ranked = O.attach_ranks(dated, [], ["mth"], descending=True)
+    return ranked.select("o_orderkey", F.col("dense_rank").alias("date_rank"))
 
 
 @query(
@@ -89,7 +88,7 @@ def _(t: Tables):
         monthly(t), ["o_custkey"], [F.col("mth")],
         lambda w: {
             "n_delta": F.col("n") - F.lag("n", 1, 0).over(w),
-            "spend_delta": (F.col("spend") - F.coalesce(F.lag("spend", 1).over(w), F.lit(0))).cast("double"),
+            "spend_delta": (F.col("spend") - F.lag("spend", 1, 0).over(w)) / 100,
         },
         before=1,
     )
@@ -104,8 +103,9 @@ def _(t: Tables):
 )
 def _(t: Tables):
     def rate(w):
-        old = F.lag(F.col("spend").cast("double"), 5).over(w)
-        return {"change_6m": F.round(F.try_divide(F.col("spend").cast("double") - old, old), 6)}
+        spend = F.col("spend") / 100
+        old = F.lag(spend, 5).over(w)
+        return {"change_6m": F.round(F.try_divide(spend - old, old), 6)}
 
     return O.over_neighbours(monthly(t), ["o_custkey"], [F.col("mth")], rate, before=5).select(
         "o_custkey", "mth", "change_6m"
@@ -156,8 +156,8 @@ def _(t: Tables):
         year, half = w.rowsBetween(-11, 0), w.rowsBetween(-5, 0)
         return {
             "n_12": F.sum("n").over(year),
-            "max_12": F.max("spend").over(year).cast("double"),
-            "avg_6": F.round(F.sum("spend").over(half).cast("double") / F.count(F.lit(1)).over(half), 4),
+            "max_12": F.max("spend").over(year) / 100,
+            "avg_6": F.round(F.sum("spend").over(half) / 100 / F.count(F.lit(1)).over(half), 4),
             "var_6": F.round(F.var_samp("n").over(half), 6),
         }
 
@@ -171,9 +171,9 @@ def _(t: Tables):
       (PARTITION BY o_orderpriority ORDER BY o_orderdate) AS DOUBLE) AS running FROM orders""",
 )
 def _(t: Tables):
-    priced = t.orders.select("o_orderpriority", "o_orderdate", F.col("o_totalprice").cast("decimal(18,2)").alias("v"))
+    priced = t.orders.select("o_orderpriority", "o_orderdate", cents("o_totalprice").alias("v"))
     total = O.running_total(priced, ["o_orderpriority"], ["o_orderdate"], "v", "running")
-    return total.withColumn("running", F.col("running").cast("double"))
+    return total.withColumn("running", F.col("running") / 100)
 
 
 @query(

@@ -10,8 +10,9 @@ from pyspark.sql.types import StructType
 
 from ledgerloom.operators.changes import merge
 from ledgerloom.operators.ordered import latest_per_key
+from ledgerloom.session import materialize
 from ledgerloom.sources.sinks import publish
-from ledgerloom.sources.tables import path_exists, swap_in
+from ledgerloom.sources.tables import path_exists, replace_partitions
 
 
 def file_stream(
@@ -37,7 +38,23 @@ def run_available(stream: DataFrame, checkpoint: str, sink: str | Callable[[Data
     query.awaitTermination()
 
 
-def keep_latest(path: str, keys: Sequence[str], order: Sequence[str]) -> Callable[[DataFrame, int], None]:
+def _rewrite_buckets(
+    batch: DataFrame, path: str, keys: Sequence[str], buckets: int, combine: Callable[[DataFrame, DataFrame], DataFrame]
+) -> None:
+    """Combine ``batch`` with the stored rows of the key buckets it touches; other buckets stay as they are."""
+    spark = batch.sparkSession
+    fresh = batch.withColumn("key_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    if path_exists(spark, path):
+        # at most ``buckets`` numbers reach the driver
+        touched = [r[0] for r in fresh.select("key_bucket").distinct().collect()]
+        stored = spark.read.schema(fresh.schema).parquet(path).filter(F.col("key_bucket").isin(touched))
+        fresh = combine(stored, fresh)
+    replace_partitions(materialize(fresh, "batch"), path, ["key_bucket"])
+
+
+def keep_latest(
+    path: str, keys: Sequence[str], order: Sequence[str], buckets: int = 64
+) -> Callable[[DataFrame, int], None]:
     """Batch function that keeps the newest change per key in the table at ``path``.
 
     Deletes stay in the table as rows, so that an older change that arrives late cannot revive a key.
@@ -48,10 +65,10 @@ def keep_latest(path: str, keys: Sequence[str], order: Sequence[str]) -> Callabl
         if batch.isEmpty():
             return
         by = [F.col(c).desc() for c in order]
-        rows = latest_per_key(batch, keys, by)
-        if path_exists(batch.sparkSession, path):
-            rows = latest_per_key(batch.sparkSession.read.parquet(path).unionByName(rows), keys, by)
-        swap_in(rows, path)
+        newest = latest_per_key(batch, keys, by)
+        _rewrite_buckets(
+            newest, path, keys, buckets, lambda stored, new: latest_per_key(stored.unionByName(new), keys, by)
+        )
 
     return apply
 
@@ -70,18 +87,16 @@ def windowed_counts(stream: DataFrame, time: str, width: str, delay: str, by: Se
     )
 
 
-def replace_by_key(path: str, keys: Sequence[str]) -> Callable[[DataFrame, int], None]:
+def replace_by_key(path: str, keys: Sequence[str], buckets: int = 64) -> Callable[[DataFrame, int], None]:
     """Batch function for update mode: newest values per key replace the stored ones."""
 
     def apply(batch: DataFrame, _: int) -> None:
         if batch.isEmpty():
             return
-        if not path_exists(batch.sparkSession, path):
-            swap_in(batch, path)
-            return
-        stored = batch.sparkSession.read.parquet(path)
         rules = {c: (lambda t, s, c=c: s(c)) for c in batch.columns if c not in keys}
-        swap_in(merge(stored, batch, keys, update=rules, insert=True), path)
+        _rewrite_buckets(
+            batch, path, keys, buckets, lambda stored, new: merge(stored, new, keys, update=rules, insert=True)
+        )
 
     return apply
 
