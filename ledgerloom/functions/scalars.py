@@ -169,11 +169,12 @@ def json_array(c: Column | str, path: str, element: str = "string") -> Column:
 def fits_bytes(c: Column | str, limit: int) -> Column:
     """Longest prefix of whole characters within ``limit`` UTF-8 bytes."""
     raw = F.encode(_col(c), "UTF-8")
-    cut = F.substring(raw, 1, limit)
     # a cut inside a character leaves 1..3 stray bytes at the end: take the longest valid prefix
-    candidates = [F.try_validate_utf8(F.substring(raw, 1, limit - k).cast("string")) for k in range(min(4, limit))]
+    prefixes = [F.substring(raw, 1, max(limit - k, 0)).cast("string") for k in range(4)]
+    # text that is broken elsewhere gets replacement characters
+    repaired = F.make_valid_utf8(prefixes[0])
     return F.when(F.octet_length(raw) <= limit, _col(c)).otherwise(
-        F.coalesce(*candidates, cut.cast("string"))
+        F.coalesce(*[F.try_validate_utf8(p) for p in prefixes], repaired)
     )
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerloom.plans.registry import Tables, query
 from ledgerloom.session import scratch_path
@@ -33,7 +32,7 @@ def _(t: Tables):
     rows.withColumn("load", F.lit("first")).coalesce(1).write.option("header", True).csv(f"{folder}/a")
     rows.withColumn("load", F.lit("second")).coalesce(1).write.option("header", True).csv(f"{folder}/b")
     newest = files.newest_file(t.spark, folder, r"part-.*\.csv")
-    return files.read_csv(t.spark, newest, T._parse_datatype_string("s_suppkey long, s_name string, load string"))
+    return files.read_csv(t.spark, newest, "s_suppkey long, s_name string, load string")
 
 
 @query("src_json_external", "SELECT event_id, user_id, event_type, value, props FROM events")

@@ -25,7 +25,7 @@ def parquet_glob(spark: SparkSession, pattern: str, view: str | None = None) ->
 def read_csv(
     spark: SparkSession,
     path: str | Sequence[str],
-    schema: T.StructType | None = None,
+    schema: T.StructType | str | None = None,
     sep: str = ",",
     header: bool = True,
     max_bad_records: int = 0,
@@ -40,6 +40,7 @@ def read_csv(
     reader = spark.read.option("sep", sep).option("header", header)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     wide = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
     rows = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _CORRUPT).option(
         "enforceSchema", True
