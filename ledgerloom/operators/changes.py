@@ -173,10 +173,13 @@ def one_current(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
 
 
 def cdc_latest_state(
-    changes: DataFrame, keys: Sequence[str], order: Sequence[Column], optype: str = "optype"
+    changes: DataFrame, keys: Sequence[str], order: Sequence[Column], optype: str = "optype", hide: Sequence[str] = ()
 ) -> DataFrame:
-    """Newest change per key; keys whose newest change is a delete (or has no type) are gone."""
-    return latest_per_key(changes, keys, order).filter(F.col(optype) != "D")
+    """Newest change per key, without the capture columns ``hide``.
+
+    Keys whose newest change is a delete (or has no type) are gone.
+    """
+    return latest_per_key(changes, keys, order).filter(F.col(optype) != "D").drop(*hide)
 
 
 def flag_missing(

@@ -221,9 +221,9 @@ def missing_events(
 
 
 def copy_counts(source: DataFrame, copy: DataFrame, day: str, chunk: Column) -> DataFrame:
-    """Row counts of source and copy per chunk of days, with a status."""
+    """Row counts of source and copy per chunk of days: SUCCESS, FAILED, or ERROR without a copy."""
     counted = lambda df, n: df.groupBy(chunk.alias("chunk")).agg(F.count(F.lit(1)).alias(n))
     both = counted(source, "n_source").join(counted(copy, "n_copy"), "chunk", "full")
     a, b = F.coalesce("n_source", F.lit(0)), F.coalesce("n_copy", F.lit(0))
-    status = F.when(b == 0, "MISSING").when(a == b, "COMPLETE").when(b < a, "PARTIAL").otherwise("EXCESS")
+    status = F.when(F.col("n_copy").isNull(), "ERROR").when(a == b, "SUCCESS").otherwise("FAILED")
     return both.select("chunk", a.alias("n_source"), b.alias("n_copy"), status.alias("status"))

@@ -49,15 +49,14 @@ def loading_agenda(schedules: DataFrame, days: DataFrame, time: str, holidays: S
 
 
 def freshness_status(loads: DataFrame, agenda: DataFrame, keys: Sequence[str], now: Column) -> DataFrame:
-    """Each load against its nearest planned time: on time when it came within the buffer after it."""
+    """Each load against its nearest planned time: On-Time within the buffer, else Delayed."""
     joined = loads.join(agenda, list(keys), "left")
     planned = F.coalesce("planned_load_time", now)
     joined = joined.withColumn("minutes_off", F.abs(datetime_diff("last_loaded_time", planned, "MINUTE")))
     nearest = latest_per_key(
         joined, [*keys, "last_loaded_time"], [F.col("minutes_off"), F.col("planned_load_time").asc_nulls_last()]
     )
-    late = datetime_diff("last_loaded_time", F.col("planned_load_time"), "MINUTE") > F.col("buffer_in_minutes")
-    status = F.when(F.col("planned_load_time").isNull(), "unplanned").when(late, "late").otherwise("on time")
+    status = F.when(F.col("minutes_off") <= F.col("buffer_in_minutes"), "On-Time").otherwise("Delayed")
     return nearest.withColumn("status", status)
 
 

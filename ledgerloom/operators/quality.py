@@ -29,47 +29,52 @@ def _is_empty(c: str) -> Column:
     return F.coalesce(strip(F.col(c).cast("string")) == "", F.lit(False))
 
 
+def _named(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """The table's own spelling of the column names (case-insensitive)."""
+    have = {c.lower(): c for c in df.columns}
+    return [have.get(c.lower(), c) for c in columns]
+
+
+def _any(conditions: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a | b, conditions)
+
+
 def mandatory_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Per mandatory column the number of NULL, empty and all violating rows, in one pass."""
-    one = df.agg(
-        *[F.count_if(F.col(c).isNull()).alias(f"null_{i}") for i, c in enumerate(columns)],
-        *[F.count_if(_is_empty(c)).alias(f"empty_{i}") for i, c in enumerate(columns)],
-    )
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.col(f"null_{i}").alias("n_null"),
-                F.col(f"empty_{i}").alias("n_empty"),
-                (F.col(f"null_{i}") + F.col(f"empty_{i}")).alias("n_total"),
-            )
-            for i, c in enumerate(columns)
-        ]
-    )
-    return one.select(F.inline(rows))
+    """One row: all rows, rows with a NULL, with an empty, and with either in a mandatory column."""
+    names = _named(df, columns)
+    null, empty = _any([F.col(c).isNull() for c in names]), _any([_is_empty(c) for c in names])
+    return df.agg(
+        F.count(F.lit(1)).alias("total_rows"),
+        F.count_if(null).alias("null_violations"),
+        F.count_if(empty).alias("empty_violations"),
+        F.count_if(null | empty).alias("total_violations"),
+    ).withColumn("is_valid", F.col("total_violations") == 0)
 
 
 def violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows with a NULL or empty mandatory column, one output row per violation, with its label."""
-    kinds = F.array(
-        *[
-            F.when(F.col(c).isNull(), F.lit(f"{c}:null")).when(_is_empty(c), F.lit(f"{c}:empty"))
-            for c in columns
-        ]
-    )
-    return df.withColumn("violation", F.explode(F.filter(kinds, lambda x: x.isNotNull())))
+    """Rows with a NULL or empty mandatory column; ``violation_type`` names NULL before empty."""
+    names = _named(df, columns)
+    null, empty = _any([F.col(c).isNull() for c in names]), _any([_is_empty(c) for c in names])
+    kind = F.when(null, "NULL_VIOLATION").when(empty, "EMPTY_VIOLATION")
+    return df.withColumn("violation_type", kind).filter(F.col("violation_type").isNotNull())
+
 
+def date_int_problem(c: Column | str, low: int = 10000101, high: int = 99991231) -> Column:
+    """Why a YYYYMMDD value is unusable: 'not a number', 'out of range' or 'not a date'.
 
-def date_int_problem(c: Column | str, low: int = 19000101, high: int = 99991231) -> Column:
-    """Why a YYYYMMDD value is unusable: 'missing', 'not a number', 'out of range', 'not a date' or NULL."""
+    NULL when the value is a real date, and for a missing value, which is another check's matter.
+    """
     raw = F.col(c) if isinstance(c, str) else c
     n = raw.cast("string").try_cast("long")
     real = try_parse_date(F.lpad(n.cast("string"), 8, "0"), "%Y%m%d").isNotNull()
-    return (
-        F.when(raw.isNull() | (strip(raw.cast("string")) == ""), "missing")
-        .when(n.isNull(), "not a number")
-        .when(~n.between(low, high), "out of range")
-        .when(~real, "not a date")
+    problem = F.when(n.isNull(), "not a number").when(~n.between(low, high), "out of range").when(~real, "not a date")
+    return F.when(raw.isNotNull(), problem)
+
+
+def date_int_counts(df: DataFrame, column: str) -> DataFrame:
+    """One row: values present, and how many of them are no date."""
+    return df.filter(F.col(column).isNotNull()).agg(
+        F.count(F.lit(1)).alias("total_rows"), F.count_if(date_int_problem(column).isNotNull()).alias("invalid_format_count")
     )
 
 
@@ -89,14 +94,17 @@ def split_valid(df: DataFrame, rules: Sequence[tuple[Column, str]], name: str =
 
 
 def trailer_counts(body: DataFrame, trailer: DataFrame, segment: str, expected: str) -> DataFrame:
-    """Body rows per segment against the trailer's count: Match or Mismatch."""
+    """Body rows per segment against the trailer's count: Match, Mismatch, or Skipped without a count."""
     counted = body.groupBy(segment).agg(F.count(F.lit(1)).alias("n_rows"))
     joined = trailer.select(segment, F.col(expected).cast("long").alias("n_expected")).join(counted, segment, "full")
     return joined.select(
         segment,
         F.coalesce("n_expected", F.lit(0)).alias("n_expected"),
         F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
-        F.when(F.col("n_expected").eqNullSafe(F.coalesce("n_rows", F.lit(0))), "Match").otherwise("Mismatch").alias("status"),
+        F.when(F.coalesce("n_expected", F.lit(0)) <= 0, "Skipped")
+        .when(F.col("n_expected") == F.coalesce("n_rows", F.lit(0)), "Match")
+        .otherwise("Mismatch")
+        .alias("status"),
     )
 
 
@@ -106,7 +114,14 @@ def totals_match(body: DataFrame, summary: DataFrame, amount: str, count_field:
     counted = body.agg(F.count(F.lit(1)).alias("n_rows"), (F.coalesce(total, F.lit(0)) / 100).alias("total"))
     joined = counted.crossJoin(F.broadcast(summary.agg(F.max(count_field).alias("_n"), F.max(total_field).alias("_t"))))
     ok = lambda a, b: F.when(F.col(a) == F.col(b), "Match").otherwise("Mismatch")
-    return joined.select("n_rows", F.col("total").cast("double").alias("total"), ok("n_rows", "_n").alias("count_status"), ok("total", "_t").alias("total_status"))
+    both = (F.col("n_rows") == F.col("_n")) & (F.col("total") == F.col("_t"))
+    return joined.select(
+        "n_rows",
+        F.col("total").cast("double").alias("total"),
+        ok("n_rows", "_n").alias("count_status"),
+        ok("total", "_t").alias("total_status"),
+        F.when(both, "Match").otherwise("Mismatch").alias("validation_status"),
+    )
 
 
 def gate(df: DataFrame, limit: int) -> DataFrame:
@@ -125,17 +140,20 @@ def require_at_most(df: DataFrame, limit: int) -> int:
     return n
 
 
-def newer_than_loaded(incoming: DataFrame, loaded: DataFrame, column: str) -> DataFrame:
-    """One row: newest loaded date, incoming date, and whether the incoming file may be loaded."""
+def not_older_than_loaded(incoming: DataFrame, loaded: DataFrame, column: str) -> DataFrame:
+    """One row: newest loaded date, incoming date, and whether the file may be loaded (not older)."""
     a = incoming.agg(F.max(column).alias("incoming_date"))
     b = loaded.agg(F.max(column).alias("loaded_date"))
-    ok = F.col("loaded_date").isNull() | (F.col("incoming_date") > F.col("loaded_date"))
+    ok = F.col("loaded_date").isNull() | (F.col("incoming_date") >= F.col("loaded_date"))
     return a.crossJoin(F.broadcast(b)).withColumn("accepted", F.coalesce(ok, F.lit(False)))
 
 
-def mod10(c: Column | str) -> Column:
-    """'Valid' or 'Invalid'."""
-    return F.when(F.coalesce(luhn_valid(c), F.lit(False)), "Valid").otherwise("Invalid")
+def mod10(c: Column | str, length: int | None = None) -> Column:
+    """'Valid' or 'Invalid' by the mod-10 check and, when given, the number of digits."""
+    ok = luhn_valid(c)
+    if length is not None:
+        ok = ok & (F.length(c) == length)
+    return F.when(F.coalesce(ok, F.lit(False)), "Valid").otherwise("Invalid")
 
 
 def csv_problems(columns: Sequence[str], file_name: str, required: Sequence[str]) -> Mapping[str, bool]:

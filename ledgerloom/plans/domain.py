@@ -138,13 +138,18 @@ def burndown_forecast(rates: DataFrame, as_of: date, horizon: int = 365) -> Data
 
 
 def cumulative_flow(
-    changes: DataFrame, entity: str, at: str, status: str, tie: Sequence[str], start: str, end: str, every: str
+    changes: DataFrame, group: str, entity: str, at: str, status: str, tie: Sequence[str], start: str, end: str, every: str
 ) -> DataFrame:
-    """Entities per status at each point of a calendar, by the last status at or before the point."""
+    """Entities per group and status at each point of a calendar, by the last status at or before it.
+
+    Every status that a group ever shows has a row at every point, with zero where no entity has it.
+    """
     calendar = F.sequence(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz"), F.expr(f"interval {every}"))
-    points = changes.select(entity).distinct().withColumn("point", F.explode(calendar))
-    state = asof_join(points, changes, [entity], "point", at, [status], tie=tie)
-    return state.groupBy("point", status).agg(F.count(F.lit(1)).alias("n"))
+    points = changes.select(group, entity).distinct().withColumn("point", F.explode(calendar))
+    state = asof_join(points, changes, [group, entity], "point", at, [status], tie=tie)
+    counted = state.groupBy(group, "point", status).agg(F.count(F.lit(1)).alias("n"))
+    frame = counted.select(group, status).distinct().withColumn("point", F.explode(calendar))
+    return frame.join(counted, [group, "point", status], "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
 def with_creation_events(issues: DataFrame, changes: DataFrame, tie: str) -> DataFrame:

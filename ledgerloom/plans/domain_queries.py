@@ -236,11 +236,13 @@ def _(t: Tables):
     """
     WITH w AS (SELECT CAST(unnest(generate_series(TIMESTAMP '2024-01-08', TIMESTAMP '2024-01-29', INTERVAL 7 DAY)) AS TIMESTAMP) AS point),
     u AS (SELECT DISTINCT user_id FROM events),
-    s AS (SELECT u.user_id, w.point, arg_max(event_type, (e.ts, e.event_id)) AS event_type FROM u CROSS JOIN w JOIN events e ON e.user_id = u.user_id AND e.ts <= w.point GROUP BY 1, 2)
-    SELECT point, event_type, count(*) AS n FROM s GROUP BY 1, 2""",
+    s AS (SELECT u.user_id // 10 AS team, u.user_id, w.point, arg_max(event_type, (e.ts, e.event_id)) AS event_type FROM u CROSS JOIN w JOIN events e ON e.user_id = u.user_id AND e.ts <= w.point GROUP BY 1, 2, 3),
+    f AS (SELECT DISTINCT team, event_type FROM s)
+    SELECT f.team, w.point, f.event_type, count(s.user_id) AS n FROM f CROSS JOIN w LEFT JOIN s ON s.team = f.team AND s.point = w.point AND s.event_type = f.event_type GROUP BY 1, 2, 3""",
 )
 def _(t: Tables):
-    return D.cumulative_flow(t.events, "user_id", "ts", "event_type", ["event_id"], "2024-01-08", "2024-01-29", "7 day")
+    changes = t.events.withColumn("team", F.expr("user_id div 10"))
+    return D.cumulative_flow(changes, "team", "user_id", "ts", "event_type", ["event_id"], "2024-01-08", "2024-01-29", "7 day")
 
 
 @query(

@@ -46,39 +46,39 @@ def applications(t: Tables):
 @query(
     "dq_mandatory_counts",
     _APPLICATIONS_SQL + """
-    SELECT 'channel' AS column_name, count(*) FILTER (channel IS NULL) AS n_null, count(*) FILTER (trim(channel) = '') AS n_empty,
-           count(*) FILTER (channel IS NULL OR trim(channel) = '') AS n_total FROM a
-    UNION ALL SELECT 'customer_id', count(*) FILTER (customer_id IS NULL), 0, count(*) FILTER (customer_id IS NULL) FROM a""",
+    SELECT count(*) AS total_rows, count(*) FILTER (channel IS NULL OR customer_id IS NULL) AS null_violations, count(*) FILTER (trim(channel) = '') AS empty_violations,
+           count(*) FILTER (channel IS NULL OR trim(channel) = '' OR customer_id IS NULL) AS total_violations,
+           count(*) FILTER (channel IS NULL OR trim(channel) = '' OR customer_id IS NULL) = 0 AS is_valid FROM a""",
 )
 def _(t: Tables):
-    return Q.mandatory_counts(applications(t), ["channel", "customer_id"])
+    return Q.mandatory_counts(applications(t), ["CHANNEL", "customer_id"])
 
 
 @query(
     "dq_violation_rows",
     _APPLICATIONS_SQL + """
-    SELECT * FROM (SELECT application_id, CASE WHEN channel IS NULL THEN 'channel:null' ELSE 'channel:empty' END AS violation FROM a WHERE channel IS NULL OR trim(channel) = ''
-      UNION ALL SELECT application_id, 'customer_id:null' FROM a WHERE customer_id IS NULL) ORDER BY application_id, violation LIMIT 100""",
+    SELECT application_id, CASE WHEN channel IS NULL OR customer_id IS NULL THEN 'NULL_VIOLATION' ELSE 'EMPTY_VIOLATION' END AS violation_type
+    FROM a WHERE channel IS NULL OR customer_id IS NULL OR trim(channel) = '' ORDER BY application_id LIMIT 100""",
 )
 def _(t: Tables):
-    found = Q.violations(applications(t), ["channel", "customer_id"]).select("application_id", "violation")
-    return found.orderBy("application_id", "violation").limit(100)
+    found = Q.violations(applications(t), ["channel", "customer_id"]).select("application_id", "violation_type")
+    return found.orderBy("application_id").limit(100)
 
 
 @query(
     "dq_date_int_format",
     """
     WITH a AS (SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN strftime(o_orderdate, '%Y') || '1332' WHEN '2-HIGH' THEN 'n/a'
-      WHEN '3-MEDIUM' THEN '18' || strftime(o_orderdate, '%y%m%d') WHEN '5-LOW' THEN NULL ELSE strftime(o_orderdate, '%Y%m%d') END AS d FROM orders)
-    SELECT o_orderkey, CASE WHEN d IS NULL THEN 'missing' WHEN TRY_CAST(d AS BIGINT) IS NULL THEN 'not a number'
-      WHEN CAST(d AS BIGINT) NOT BETWEEN 19000101 AND 99991231 THEN 'out of range' WHEN try_strptime(d, '%Y%m%d') IS NULL THEN 'not a date' END AS problem FROM a""",
+      WHEN '3-MEDIUM' THEN '09' || strftime(o_orderdate, '%y%m%d') WHEN '5-LOW' THEN NULL ELSE strftime(o_orderdate, '%Y%m%d') END AS d FROM orders)
+    SELECT o_orderkey, CASE WHEN d IS NULL THEN NULL WHEN TRY_CAST(d AS BIGINT) IS NULL THEN 'not a number'
+      WHEN CAST(d AS BIGINT) NOT BETWEEN 10000101 AND 99991231 THEN 'out of range' WHEN try_strptime(d, '%Y%m%d') IS NULL THEN 'not a date' END AS problem FROM a""",
 )
 def _(t: Tables):
     day = F.date_format("o_orderdate", "yyyyMMdd")
     raw = (
         F.when(F.col("o_orderpriority") == "1-URGENT", F.concat(F.date_format("o_orderdate", "yyyy"), F.lit("1332")))
         .when(F.col("o_orderpriority") == "2-HIGH", "n/a")
-        .when(F.col("o_orderpriority") == "3-MEDIUM", F.concat(F.lit("18"), F.date_format("o_orderdate", "yyMMdd")))
+        .when(F.col("o_orderpriority") == "3-MEDIUM", F.concat(F.lit("09"), F.date_format("o_orderdate", "yyMMdd")))
         .when(F.col("o_orderpriority") != "5-LOW", day)
     )
     return t.orders.select("o_orderkey", raw.alias("d")).select("o_orderkey", Q.date_int_problem("d").alias("problem"))
@@ -131,7 +131,7 @@ def _(t: Tables):
 @query(
     "dq_totals_match",
     """
-    SELECT count(*) AS n_rows, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total, 'Match' AS count_status, 'Mismatch' AS total_status FROM orders""",
+    SELECT count(*) AS n_rows, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total, 'Match' AS count_status, 'Mismatch' AS total_status, 'Mismatch' AS validation_status FROM orders""",
 )
 def _(t: Tables):
     summary = t.orders.agg(F.count(F.lit(1)).alias("slips"), (F.sum(cents("o_totalprice")) / 100 + 1).alias("amount"))
@@ -171,11 +171,11 @@ def _(t: Tables):
     """
     SELECT (SELECT max(CAST(ts AS DATE)) FROM events WHERE event_type = 'error') AS incoming_date,
            (SELECT max(CAST(ts AS DATE)) FROM events WHERE event_type <> 'error') AS loaded_date,
-           (SELECT max(CAST(ts AS DATE)) FROM events WHERE event_type = 'error') > (SELECT max(CAST(ts AS DATE)) FROM events WHERE event_type <> 'error') AS accepted""",
+           (SELECT max(CAST(ts AS DATE)) FROM events WHERE event_type = 'error') >= (SELECT max(CAST(ts AS DATE)) FROM events WHERE event_type <> 'error') AS accepted""",
 )
 def _(t: Tables):
     days = t.events.select("event_type", F.to_date("ts").alias("d"))
-    return Q.newer_than_loaded(days.filter("event_type = 'error'"), days.filter("event_type <> 'error'"), "d")
+    return Q.not_older_than_loaded(days.filter("event_type = 'error'"), days.filter("event_type <> 'error'"), "d")
 
 
 # Second side of the comparisons: pending orders have not arrived, urgent ones differ by 1.
@@ -351,7 +351,7 @@ def _(t: Tables):
     """
     WITH a AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS chunk, count(*) AS n FROM orders GROUP BY 1),
          b AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS chunk, count(*) AS n FROM orders WHERE o_orderdate < TIMESTAMP '2001-03-10' GROUP BY 1)
-    SELECT chunk, a.n AS n_source, coalesce(b.n, 0) AS n_copy, CASE WHEN b.n IS NULL THEN 'MISSING' WHEN a.n = b.n THEN 'COMPLETE' ELSE 'PARTIAL' END AS status
+    SELECT chunk, a.n AS n_source, coalesce(b.n, 0) AS n_copy, CASE WHEN b.n IS NULL THEN 'ERROR' WHEN a.n = b.n THEN 'SUCCESS' ELSE 'FAILED' END AS status
     FROM a LEFT JOIN b USING (chunk)""",
 )
 def _(t: Tables):
@@ -412,8 +412,7 @@ def _(t: Tables):
         abs(date_diff('minute', f.last_loaded_time, coalesce(a.planned_load_time, TIMESTAMP '2024-02-01 00:00:00'))) AS minutes_off
       FROM feeds f LEFT JOIN agenda a ON a.table_name = f.table_name AND a.is_run_expected = 'Y'
       QUALIFY row_number() OVER (PARTITION BY f.table_name ORDER BY minutes_off, a.planned_load_time) = 1)
-    SELECT table_name, last_loaded_time, planned_load_time, minutes_off, CASE WHEN planned_load_time IS NULL THEN 'unplanned'
-      WHEN date_diff('minute', planned_load_time, last_loaded_time) > 600 THEN 'late' ELSE 'on time' END AS status FROM d""",
+    SELECT table_name, last_loaded_time, planned_load_time, minutes_off, CASE WHEN planned_load_time IS NOT NULL AND minutes_off <= 600 THEN 'On-Time' ELSE 'Delayed' END AS status FROM d""",
 )
 def _(t: Tables):
     due = agenda(t).filter("is_run_expected = 'Y'").select("table_name", "planned_load_time", F.lit(600).alias("buffer_in_minutes"))

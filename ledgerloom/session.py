@@ -64,9 +64,20 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_scratch[app]
 
 
+def _app_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/ledgerloom-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below this application's part of the shared folder."""
+    return f"{_app_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote to the shared folder; call it when all results are stored."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_app_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str = "step") -> DataFrame:

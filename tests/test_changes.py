@@ -72,6 +72,7 @@ def test_latest_state_drops_deletes_and_untyped_changes(spark):
     rows = frame(spark, [(1, 1, "I"), (1, 2, "D"), (2, 1, "I"), (3, 1, "U"), (3, 2, None)], "k int, t int, optype string")
     out = C.cdc_latest_state(rows, ["k"], [F.desc("t")])
     assert [r["k"] for r in out.collect()] == [2]
+    assert C.cdc_latest_state(rows, ["k"], [F.desc("t")], hide=["optype", "t", "position"]).columns == ["k"]
 
 
 def test_roll_splits_every_row_once(spark):

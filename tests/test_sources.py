@@ -185,8 +185,32 @@ def test_file_checks():
     assert Q.csv_problems(["A"], "in.txt", ["a", "z"]) == {"extension": False, "required": False}
 
 
-def test_file_date_must_be_newer(spark):
+def test_file_date_must_not_be_older(spark):
     day = lambda *d: spark.createDataFrame([(date(2024, 1, x),) for x in d], "d date")
-    accepted = lambda a, b: Q.newer_than_loaded(a, b, "d").first()["accepted"]
-    assert accepted(day(2), day(1)) and accepted(day(2), day())
-    assert not accepted(day(1), day(1)) and not accepted(day(), day(1))
+    accepted = lambda a, b: Q.not_older_than_loaded(a, b, "d").first()["accepted"]
+    assert accepted(day(2), day(1)) and accepted(day(1), day(1)) and accepted(day(2), day())
+    assert not accepted(day(1), day(2)) and not accepted(day(), day(1))
+
+
+def test_dates_as_integers(spark):
+    df = spark.createDataFrame([(20240229,), (20240230,), (9991231,), (None,)], "d int")
+    assert tuple(Q.date_int_counts(df, "d").first()) == (3, 2)
+
+
+def test_mandatory_fields(spark):
+    df = spark.createDataFrame([("a", 1), (None, 2), (" ", None), ("", 3)], "Name string, n int")
+    assert tuple(Q.mandatory_counts(df, ["NAME", "n"]).first()) == (4, 2, 2, 3, False)
+    kinds = sorted(r["violation_type"] for r in Q.violations(df, ["name", "n"]).collect())
+    assert kinds == ["EMPTY_VIOLATION", "NULL_VIOLATION", "NULL_VIOLATION"]
+
+
+def test_trailer_without_a_count_is_skipped(spark):
+    body = spark.createDataFrame([("A",), ("A",), ("B",), ("C",)], "segment string")
+    trailer = spark.createDataFrame([("A", 2), ("B", 5), ("C", 0)], "segment string, n int")
+    got = {r["segment"]: r["status"] for r in Q.trailer_counts(body, trailer, "segment", "n").collect()}
+    assert got == {"A": "Match", "B": "Mismatch", "C": "Skipped"}
+
+
+def test_mod10_with_length(spark):
+    df = spark.createDataFrame([("046454286",), ("79927398713",)], "s string")
+    assert [r[0] for r in df.select(Q.mod10("s", 9)).collect()] == ["Valid", "Invalid"]
