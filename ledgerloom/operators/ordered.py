@@ -3,6 +3,9 @@
 Small inputs use the plain Spark window. On large inputs the keys with very many rows are found by one
 pre-aggregated count; only their rows take the block path, in which a key is cut into runs of rows
 that separate tasks handle, and a short per-run summary carries state from run to run.
+
+``bounded=True`` states that a key has few rows by construction, such as one per calendar month after
+an aggregation; the search for hot keys is then left out.
 """
 
 from __future__ import annotations
@@ -87,13 +90,14 @@ def over_neighbours(
     add: Callable[[WindowSpec], dict[str, Column]],
     before: int = 0,
     after: int = 0,
+    bounded: bool = False,
 ) -> DataFrame:
     """Add window columns that look at most ``before`` rows back and ``after`` rows ahead.
 
     ``add`` gets the ordered window and returns the new columns (lag, lead, ROWS frames).
     """
     plain = Window.partitionBy(*keys).orderBy(*order)
-    if is_small(df):
+    if bounded or is_small(df):
         return df.withColumns(add(plain))
     cold, hot = split_hot(df, keys)
     done = cold.withColumns(add(plain))
@@ -123,11 +127,12 @@ def _with_carry(
     summary: dict[str, Column],
     carry: Callable[[WindowSpec], dict[str, Column]],
     combine: dict[str, Column],
+    bounded: bool = False,
 ) -> DataFrame:
     """Cumulative columns: ``local`` inside a block, ``summary`` per block, ``carry`` over earlier blocks."""
     frame = lambda spec: spec.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     plain = frame(Window.partitionBy(*keys).orderBy(*order))
-    if is_small(df):
+    if bounded or is_small(df):
         return df.withColumns(local(plain))
     cold, hot = split_hot(df, keys)
     done = cold.withColumns(local(plain))
@@ -168,7 +173,9 @@ def fill_forward(
     )
 
 
-def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
+def running_total(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str, bounded: bool = False
+) -> DataFrame:
     """Cumulative sum per key, one row per (keys, order): ties share one total, as a RANGE frame gives."""
     sums = df.groupBy(*keys, *order).agg(F.sum(value).alias("_sum"))
     return _with_carry(
@@ -179,6 +186,7 @@ def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], valu
         summary={"_t": F.sum("_sum")},
         carry=lambda w: {"_c": F.sum("_t").over(w)},
         combine={name: F.coalesce(F.col(name), F.lit(0)) + F.coalesce(F.col("_c"), F.lit(0))},
+        bounded=bounded,
     ).drop("_sum")
 
 

@@ -53,7 +53,10 @@ def lifetime_rollforward(
 
 
 def series_features(series: DataFrame, key: str, at: str, spend: str, limit: str, count: str) -> DataFrame:
-    """Deltas, utilisation, rolling and change features of one monthly series per key; spend in cents."""
+    """Deltas, utilisation, rolling and change features of a series with one row per key and month.
+
+    ``spend`` is in cents.
+    """
     s = F.col(spend) / 100
     util = F.try_divide(s, F.col(limit).cast("double"))
 
@@ -71,7 +74,7 @@ def series_features(series: DataFrame, key: str, at: str, spend: str, limit: str
             "months_seen": F.count(F.lit(1)).over(year),
         }
 
-    return over_neighbours(series, [key], [F.col(at)], columns, before=11)
+    return over_neighbours(series, [key], [F.col(at)], columns, before=11, bounded=True)
 
 
 def scorecard(df: DataFrame, bins: Mapping[str, Sequence[tuple[float | None, int]]], outlier: Column, name: str = "score") -> DataFrame:

@@ -90,7 +90,7 @@ def _(t: Tables):
             "n_delta": F.col("n") - F.lag("n", 1, 0).over(w),
             "spend_delta": (F.col("spend") - F.lag("spend", 1, 0).over(w)) / 100,
         },
-        before=1,
+        before=1, bounded=True,
     )
     return out.select("o_custkey", "mth", "n_delta", "spend_delta")
 
@@ -107,7 +107,7 @@ def _(t: Tables):
         old = F.lag(spend, 5).over(w)
         return {"change_6m": F.round(F.try_divide(spend - old, old), 6)}
 
-    return O.over_neighbours(monthly(t), ["o_custkey"], [F.col("mth")], rate, before=5).select(
+    return O.over_neighbours(monthly(t), ["o_custkey"], [F.col("mth")], rate, before=5, bounded=True).select(
         "o_custkey", "mth", "change_6m"
     )
 
@@ -161,7 +161,7 @@ def _(t: Tables):
             "var_6": F.round(F.var_samp("n").over(half), 6),
         }
 
-    return O.over_neighbours(monthly(t), ["o_custkey"], [F.col("mth")], rolling, before=11).drop("n", "spend")
+    return O.over_neighbours(monthly(t), ["o_custkey"], [F.col("mth")], rolling, before=11, bounded=True).drop("n", "spend")
 
 
 @query(
@@ -172,7 +172,7 @@ def _(t: Tables):
 )
 def _(t: Tables):
     priced = t.orders.select("o_orderpriority", "o_orderdate", cents("o_totalprice").alias("v"))
-    total = O.running_total(priced, ["o_orderpriority"], ["o_orderdate"], "v", "running")
+    total = O.running_total(priced, ["o_orderpriority"], ["o_orderdate"], "v", "running", bounded=True)
     return total.withColumn("running", F.col("running") / 100)
 
 
