@@ -68,16 +68,19 @@ def proximity_join(
 ) -> DataFrame:
     """Rows with equal keys whose times (in whole seconds) differ by at most ``seconds``.
 
-    The time is part of the join key: a right row is offered to its own slot and the two beside it,
-    so a hot key is spread over its slots and only near pairs are formed.
+    The time is part of the join key, in slots of four times the limit: a hot key is spread over its
+    slots and only near pairs are formed. A right row close to an edge is offered to the next slot too.
     """
-    width = max(seconds, 1)
+    width = max(4 * seconds, 1)
     second = lambda c: F.unix_timestamp(F.col(c).cast("timestamp"))
     slot = lambda c: F.floor(F.col(c) / width).cast("long")
     a = left.withColumn("_ls", second(left_time)).withColumn("_lslot", slot("_ls"))
     b = right.withColumn("_rs", second(right_time))
-    near = F.array(slot("_rs") - 1, slot("_rs"), slot("_rs") + 1)
-    b = b.withColumn("_rslot", F.explode(near))
+    into = F.pmod(F.col("_rs"), F.lit(width))
+    slots = F.array(
+        slot("_rs"), F.when(into < seconds, slot("_rs") - 1), F.when(width - into <= seconds, slot("_rs") + 1)
+    )
+    b = b.withColumn("_rslot", F.explode(F.filter(slots, lambda x: x.isNotNull())))
     matches = reduce(lambda x, y: x & y, [F.col(x) == F.col(y) for x, y in keys])
     matches = matches & (F.col("_lslot") == F.col("_rslot")) & (F.abs(F.col("_ls") - F.col("_rs")) <= seconds)
     return a.join(b, matches, how).drop("_ls", "_lslot", "_rs", "_rslot")

@@ -42,9 +42,11 @@ def split_hot(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame
     return df.join(hot_keys, matches, "left_anti"), df.join(hot_keys, matches, "left_semi")
 
 
-def positions(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "pos") -> DataFrame:
+def positions(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "pos", bounded: bool = False
+) -> DataFrame:
     """Number the rows of each key from 1 in ``order`` (a total order); no keys: one global sequence."""
-    if is_small(df):
+    if bounded or is_small(df):
         spec = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(name, F.row_number().over(spec).cast("long"))
     if not keys:
@@ -214,14 +216,17 @@ def latest_per_key(
     return df.withColumn("_rn", F.row_number().over(spec)).filter(F.col("_rn") <= n).drop("_rn")
 
 
-def ranks(df: DataFrame, keys: Sequence[str], order: Sequence[str], descending: bool = False) -> DataFrame:
+def ranks(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], descending: bool = False, bounded: bool = False
+) -> DataFrame:
     """RANK and DENSE_RANK of every distinct (keys, order) value, with its row count.
 
     Rows are counted per value before the shuffle; join back on (keys, order) for row-level ranks.
+    ``bounded``: a key has few distinct order values, such as calendar days.
     """
     counts = df.groupBy(*keys, *order).agg(F.count(F.lit(1)).alias("n_rows"))
     by = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
-    numbered = positions(counts, keys, by, "dense_rank")
+    numbered = positions(counts, keys, by, "dense_rank", bounded)
     return _with_carry(
         numbered,
         keys,
@@ -230,12 +235,15 @@ def ranks(df: DataFrame, keys: Sequence[str], order: Sequence[str], descending:
         summary={"_t": F.sum("n_rows")},
         carry=lambda w: {"_c": F.sum("_t").over(w)},
         combine={"_upto": F.col("_upto") + F.coalesce(F.col("_c"), F.lit(0))},
+        bounded=bounded,
     ).withColumn("rank", F.col("_upto") - F.col("n_rows") + 1).drop("_upto")
 
 
-def attach_ranks(df: DataFrame, keys: Sequence[str], order: Sequence[str], descending: bool = False) -> DataFrame:
+def attach_ranks(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], descending: bool = False, bounded: bool = False
+) -> DataFrame:
     """Every row with its ``rank`` and ``dense_rank``; ranked per distinct value, then joined back."""
-    ranked = settled(ranks(df, keys, order, descending), "ranks")
+    ranked = settled(ranks(df, keys, order, descending, bounded), "ranks")
     renamed = ranked.select(*[F.col(c).alias(f"_g_{c}") for c in (*keys, *order)], "rank", "dense_rank")
     joined = df.join(renamed, same_keys(df, renamed, [(c, f"_g_{c}") for c in (*keys, *order)]))
     return joined.select(*[df[c] for c in df.columns], "rank", "dense_rank")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
@@ -11,9 +11,10 @@ from ledgerloom.operators.aggregates import capped_grade
 from ledgerloom.operators.changes import merge
 from ledgerloom.operators.shaping import case_map, latest_load, rank_to_wide
 from ledgerloom.plans import domain as D
-from ledgerloom.plans.load import FILE_LOAD, TABLE_LOAD, run_chain
+from ledgerloom.plans.load import FILE_LOAD, TABLE_LOAD, Segment, load_segment_file, run_chain
 from ledgerloom.plans.registry import AS_OF, Tables, query
 from ledgerloom.session import scratch_path, settled
+from ledgerloom.sources.fixed_width import parse_layout
 from ledgerloom.sources.tables import swap_in
 
 at = lambda d: F.lit(d).cast("timestamp_ntz")
@@ -533,3 +534,35 @@ def _(t: Tables):
         "target": ["o_custkey", "c_mktsegment", "o_orderdate", "cents"],
     }
     return run_chain(t.orders, config, {"customer": t.customer}, FILE_LOAD)
+
+
+@query(
+    "load_segment_job",
+    """
+    SELECT 'O' AS segment, o_orderkey AS k, CAST(round(o_totalprice * 100) AS BIGINT) * 2 AS doubled, c_mktsegment AS owner, (SELECT count(*) FROM orders) AS n_rows
+    FROM orders LEFT JOIN customer ON c_custkey = o_orderkey
+    UNION ALL SELECT 'S', s_suppkey, CAST(round(s_acctbal * 100) AS BIGINT) * 2, NULL, (SELECT count(*) FROM supplier) FROM supplier""",
+)
+def _(t: Tables):
+    """An inbound file with two segments and a trailer is checked, transformed, written and recorded."""
+    inbox, targets = scratch_path(t.spark, "inbound"), scratch_path(t.spark, "loaded")
+    line = lambda df, seg, key, amount: df.select(F.format_string("%s%012d%015d", F.lit(seg), key, cents(amount)).alias("line"))
+    orders, suppliers = t.orders.agg(F.count(F.lit(1)).alias("a")), t.supplier.agg(F.count(F.lit(1)).alias("b"))
+    trailer = orders.crossJoin(F.broadcast(suppliers)).select(F.format_string("T20240101%012d%012d", "a", "b").alias("line"))
+    whole = line(t.orders, "O", "o_orderkey", "o_totalprice").unionByName(line(t.supplier, "S", "s_suppkey", "s_acctbal"))
+    whole.unionByName(trailer).write.text(inbox)
+    body = parse_layout(["k:2:12:0:L:long", "cents:14:15:0:L:long"])
+    steps = {"add": ["cents * 2 as doubled"], "drop": ["cents"], "time_columns": [], "dedup": ["k"], "dedup_order": ["doubled"]}
+    owner = [{"table": "customer", "columns": ["c_mktsegment"], "on": [("k", "c_custkey")], "how": "left"}]
+    segments = {
+        "O": Segment(body, f"{targets}/orders", {**steps, "join": owner}, "n_orders"),
+        "S": Segment(body, f"{targets}/suppliers", steps, "n_suppliers", mode="refresh"),
+    }
+    layout = parse_layout(["file_day:2:8: :R:string", "n_orders:10:12:0:L:long", "n_suppliers:22:12:0:L:long"])
+    control = load_segment_file(
+        t.spark, inbox, segments, "T", Segment(layout, f"{targets}/trailers"), ["file_day"], f"{targets}/control",
+        "run-1", datetime(2024, 1, 1, 6), {"customer": t.customer},
+    )
+    a = t.spark.read.parquet(f"{targets}/orders").select(F.lit("O").alias("segment"), "k", "doubled", F.col("c_mktsegment").alias("owner"))
+    b = t.spark.read.parquet(f"{targets}/suppliers").select(F.lit("S").alias("segment"), "k", "doubled", F.lit(None).cast("string").alias("owner"))
+    return a.unionByName(b).join(control.select("segment", "n_rows"), "segment")

@@ -1,15 +1,21 @@
-"""Config-driven table load: the transformation chain in either of its two orders."""
+"""Config-driven loads: the transformation chain in its two orders, and the load of a segment file."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
+from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.joins import lookup_join
 from ledgerloom.operators.ordered import latest_per_key
+from ledgerloom.operators.quality import trailer_counts
 from ledgerloom.operators.shaping import add_drop_columns, filter_all, local_times, sync_schema
+from ledgerloom.sources.fixed_width import Field, read_segments
+from ledgerloom.sources.tables import append_only, full_refresh, path_exists, replace_partitions, schema_preserving
 
 #: The two orders in which a load applies its steps.
 TABLE_LOAD = ("join", "columns", "rows", "times")
@@ -61,3 +67,85 @@ def run_chain(df: DataFrame, config: Mapping, lookups: Mapping[str, DataFrame],
     for step in order:
         df = _STEPS[step](df, config, lookups)
     return df
+
+
+class LoadRefused(ValueError):
+    """The file may not be loaded; nothing was written."""
+
+
+@dataclass(frozen=True)
+class Segment:
+    """One segment of an inbound file: its layout, load config, target table and write mode.
+
+    ``count_column`` names the trailer field that holds the number of records. ``mode`` is ``append``,
+    ``refresh``, ``schema`` (refresh that keeps columns and types) or ``partitions`` (replace the ones that occur).
+    """
+
+    layout: Sequence[Field]
+    target: str
+    config: Mapping = field(default_factory=dict)
+    count_column: str | None = None
+    mode: str = "append"
+    partition_by: Sequence[str] = ()
+
+
+def _write(df: DataFrame, segment: Segment) -> None:
+    if segment.mode == "append":
+        append_only(df, segment.target, segment.partition_by)
+    elif segment.mode == "refresh":
+        full_refresh(df, segment.target, segment.partition_by)
+    elif segment.mode == "schema":
+        schema_preserving(df, segment.target)
+    elif segment.mode == "partitions":
+        replace_partitions(df, segment.target, segment.partition_by)
+    else:
+        raise ValueError(f"unknown write mode {segment.mode!r}")
+
+
+def load_segment_file(
+    spark: SparkSession,
+    path: str,
+    segments: Mapping[str, Segment],
+    trailer_id: str,
+    trailer: Segment,
+    trailer_keys: Sequence[str],
+    control: str,
+    run_id: str,
+    loaded_at: datetime,
+    lookups: Mapping[str, DataFrame] | None = None,
+) -> DataFrame:
+    """Load one file of several segments; returns the control rows of this run.
+
+    The trailer must be new (by ``trailer_keys``) and its counts must equal the segments' rows, else
+    ``LoadRefused`` is raised before anything is written. Then every segment passes its steps in the
+    file order and is written, the trailer is kept, and one control row per segment is appended.
+    """
+    layouts = {s: x.layout for s, x in segments.items()} | {trailer_id: trailer.layout}
+    parts = read_segments(spark, path, layouts)
+    found = parts[trailer_id]
+    if path_exists(spark, trailer.target):
+        seen = spark.read.parquet(trailer.target)
+        if not found.join(seen, list(trailer_keys), "left_semi").isEmpty():
+            raise LoadRefused("this file was loaded before")
+    counted = [s for s, x in segments.items() if x.count_column]
+    expected = found.select(
+        F.explode(F.array(*[F.struct(F.lit(s).alias("segment"), F.col(segments[s].count_column).alias("n")) for s in counted])).alias("x")
+    ).select("x.segment", "x.n")
+    body = reduce(DataFrame.unionByName, [parts[s].select(F.lit(s).alias("segment")) for s in segments])
+    checked = trailer_counts(body.filter(F.col("segment").isin(*counted)), expected, "segment", "n")
+    # one short row per segment
+    wrong = [tuple(r) for r in checked.filter("status = 'Mismatch'").take(len(counted))]
+    if wrong:
+        raise LoadRefused(f"counts differ from the trailer (segment, expected, found, status): {wrong}")
+    for s, x in segments.items():
+        _write(run_chain(parts[s], x.config, lookups or {}, FILE_LOAD), x)
+    append_only(found, trailer.target)
+    rows = body.groupBy("segment").agg(F.count(F.lit(1)).alias("n_rows")).withColumns(
+        {
+            "run_id": F.lit(run_id),
+            "rec_load_timestamp": F.lit(loaded_at).cast("timestamp_ntz"),
+            "status": F.lit("C"),
+        }
+    )
+    append_only(rows, control)
+    return spark.read.parquet(control).filter(F.col("run_id") == run_id)

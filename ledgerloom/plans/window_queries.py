@@ -62,7 +62,7 @@ def _(t: Tables):
     "SELECT o_orderkey, o_orderdate, rank() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate DESC) AS load_rank FROM orders",
 )
 def _(t: Tables):
-    ranked = O.attach_ranks(t.orders, ["o_orderpriority"], ["o_orderdate"], descending=True)
+    ranked = O.attach_ranks(t.orders, ["o_orderpriority"], ["o_orderdate"], descending=True, bounded=True)
     return ranked.select("o_orderkey", "o_orderdate", F.col("rank").alias("load_rank"))
 
 
@@ -73,7 +73,7 @@ def _(t: Tables):
 )
 def _(t: Tables):
     dated = t.orders.select("o_orderkey", F.trunc("o_orderdate", "MM").alias("mth"))
-    ranked = O.attach_ranks(dated, [], ["mth"], descending=True)
+    ranked = O.attach_ranks(dated, [], ["mth"], descending=True, bounded=True)
     return ranked.select("o_orderkey", F.col("dense_rank").alias("date_rank"))
 
 

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import operations as P
 from ledgerloom.plans import domain as D
-from ledgerloom.plans.load import FILE_LOAD, TABLE_LOAD, run_chain
+from ledgerloom.plans.load import FILE_LOAD, TABLE_LOAD, LoadRefused, Segment, load_segment_file, run_chain
+from ledgerloom.sources.fixed_width import parse_layout
 
 
 @pytest.mark.parametrize("opened, year, want", [("2020-02-29", 2023, "2023-03-01"), ("2020-02-29", 2024, "2024-02-29"), ("2020-05-07", 2023, "2023-05-07")])
@@ -86,3 +87,27 @@ def test_chain_order_decides_what_a_step_sees(spark):
 def test_missing_target_column_is_an_error(spark):
     with pytest.raises(ValueError, match="zzz"):
         run_chain(spark.range(1), {"target": ["zzz"]}, {}, FILE_LOAD)
+
+
+def load(spark, tmp_path, text, run):
+    (tmp_path / f"{run}.txt").write_text(text)
+    body = parse_layout(["k:2:3:0:L:int"])
+    segments = {"A": Segment(body, str(tmp_path / "a"), {"add": ["k * 2 as w"]}, "n_a"), "B": Segment(body, str(tmp_path / "b"), mode="refresh")}
+    trailer = Segment(parse_layout(["day:2:4: :R", "n_a:6:3:0:L:int"]), str(tmp_path / "trailers"))
+    return load_segment_file(
+        spark, str(tmp_path / f"{run}.txt"), segments, "T", trailer, ["day"], str(tmp_path / "control"), run, datetime(2024, 1, 1)
+    )
+
+
+def test_segment_load(spark, tmp_path):
+    control = load(spark, tmp_path, "A001\nA002\nB007\nTday1002\n", "r1")
+    assert sorted((r["segment"], r["n_rows"], r["status"]) for r in control.collect()) == [("A", 2, "C"), ("B", 1, "C")]
+    with pytest.raises(LoadRefused, match="before"):
+        load(spark, tmp_path, "A001\nA002\nTday1002\n", "r2")
+    with pytest.raises(LoadRefused, match="counts"):
+        load(spark, tmp_path, "A001\nTday2002\n", "r3")
+    load(spark, tmp_path, "A003\nB009\nTday2001\n", "r4")
+    rows = lambda name: sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / name)).collect())
+    assert rows("a") == [(1, 2), (2, 4), (3, 6)]
+    assert rows("b") == [(9,)]
+    assert [r[0] for r in rows("trailers")] == ["day1", "day2"]
