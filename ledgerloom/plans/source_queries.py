@@ -29,10 +29,11 @@ def _(t: Tables):
 def _(t: Tables):
     folder = scratch_path(t.spark, "drops")
     rows = t.supplier.select("s_suppkey", "s_name")
-    rows.withColumn("load", F.lit("first")).coalesce(1).write.option("header", True).csv(f"{folder}/a")
-    rows.withColumn("load", F.lit("second")).coalesce(1).write.option("header", True).csv(f"{folder}/b")
-    newest = files.newest_file(t.spark, folder, r"part-.*\.csv")
-    return files.read_csv(t.spark, newest, "s_suppkey long, s_name string, load string")
+    for load in ("first", "second"):
+        rows.withColumn("load", F.lit(load)).write.option("header", True).csv(f"{folder}/{load}")
+    # a delivery is a folder of shards: the newest file names it
+    delivery = files.newest_file(t.spark, folder, r"part-.*\.csv").rsplit("/", 1)[0]
+    return files.read_csv(t.spark, delivery, "s_suppkey long, s_name string, load string")
 
 
 @query("src_json_external", "SELECT event_id, user_id, event_type, value, props FROM events")

@@ -159,8 +159,8 @@ def publish(messages: DataFrame, target: str, servers: str | None = None, mode:
 
 
 def append_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str] | None = None, connections: int = 16) -> None:
-    """Insert the rows; ``connections`` bounds the sessions that write at the same time."""
-    df.coalesce(connections).write.jdbc(url, table, mode="append", properties=dict(properties or {}))
+    """Insert the rows; ``connections`` bounds the sessions that write at once, not the tasks before them."""
+    df.repartition(connections).write.jdbc(url, table, mode="append", properties=dict(properties or {}))
 
 
 def upsert_statement(

@@ -21,6 +21,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def _move(spark: SparkSession, source: str, target: str) -> None:
     fs, src = _fs(spark, source)
     _, dst = _fs(spark, target)
@@ -40,8 +45,7 @@ def swap_in(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     if path_exists(spark, path):
         _move(spark, path, retired)
     _move(spark, staged, path)
-    fs, p = _fs(spark, retired)
-    fs.delete(p, True)
+    remove_path(spark, retired)
 
 
 def append_only(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

@@ -10,9 +10,9 @@ from pyspark.sql.types import StructType
 
 from ledgerloom.operators.changes import merge
 from ledgerloom.operators.ordered import latest_per_key
-from ledgerloom.session import materialize
+from ledgerloom.session import scratch_path
 from ledgerloom.sources.sinks import publish
-from ledgerloom.sources.tables import path_exists, replace_partitions
+from ledgerloom.sources.tables import path_exists, remove_path, replace_partitions
 
 
 def file_stream(
@@ -49,7 +49,11 @@ def _rewrite_buckets(
         touched = [r[0] for r in fresh.select("key_bucket").distinct().collect()]
         stored = spark.read.schema(fresh.schema).parquet(path).filter(F.col("key_bucket").isin(touched))
         fresh = combine(stored, fresh)
-    replace_partitions(materialize(fresh, "batch"), path, ["key_bucket"])
+    # complete before the stored files give way, and not kept: a stream never ends
+    staged = scratch_path(spark, "batch")
+    fresh.write.parquet(staged)
+    replace_partitions(spark.read.schema(fresh.schema).parquet(staged), path, ["key_bucket"])
+    remove_path(spark, staged)
 
 
 def keep_latest(
