@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
 from ledgerloom.operators.ordered import fill_forward, over_neighbours
-from ledgerloom.session import is_small, materialize, may_broadcast, settled
+from ledgerloom.session import estimated_bytes, is_small, materialize, may_broadcast, settled
+
+#: Edge sets up to this size are followed by one recursive query.
+RECURSION_BYTES = 8 * 1024 * 1024
 
 
 def full_add(
@@ -195,11 +198,12 @@ def fallback_lookup(
 def merge_chain(edges: DataFrame, survivor: str, victim: str, carry: Sequence[str] = (), depth: int = 10) -> DataFrame:
     """All (survivor, victim, carried values, depth) reached by following merges up to ``depth`` steps.
 
-    Small edge sets use Spark's recursive query. Larger ones advance one written frontier per step.
+    Small edge sets use Spark's recursive query (``LIMIT ALL`` lifts its row limit). Larger ones advance
+    one written frontier per step.
     """
     base = edges.select(F.col(survivor).alias("survivor"), F.col(victim).alias("victim"), *carry)
     step = edges.select(F.col(victim).alias("_from"), F.col(survivor).alias("_to"))
-    if is_small(edges):
+    if is_small(edges) and estimated_bytes(edges) <= RECURSION_BYTES:
         spark = edges.sparkSession
         extra = "".join(f", c.{x}" for x in carry)
         return spark.sql(
@@ -209,7 +213,7 @@ def merge_chain(edges: DataFrame, survivor: str, victim: str, carry: Sequence[st
               UNION ALL
               SELECT s._to, c.victim{extra}, c.depth + 1 FROM chain c JOIN {{step}} s ON c.survivor = s._from
               WHERE c.depth < {int(depth)})
-            SELECT * FROM chain""",
+            SELECT * FROM chain LIMIT ALL""",
             base=base,
             step=step,
         )

@@ -13,10 +13,13 @@ from ledgerloom.sources import sinks
 from ledgerloom.streaming import incremental as I
 
 
+def raw_event_stream(t: Tables):
+    return I.file_stream(t.spark, f"{t.folder}/event[s].parquet", t.events.schema)
+
+
 def event_stream(t: Tables):
     """The events table as a stream, times as instants."""
-    stream = I.file_stream(t.spark, t.folder, t.events.schema, pattern="events.parquet")
-    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
+    return raw_event_stream(t).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 @query("st_file_arrival", "SELECT event_id, user_id, event_type, value FROM events")
@@ -34,7 +37,7 @@ def _(t: Tables):
 @query("st_cdc_latest", LATEST_STATE_SQL)
 def _(t: Tables):
     table, checkpoint = scratch_path(t.spark, "latest"), scratch_path(t.spark, "latest-cp")
-    changes = I.file_stream(t.spark, t.folder, t.events.schema, pattern="events.parquet").select(
+    changes = raw_event_stream(t).select(
         "user_id", "event_id", "ts", "value", case_map("event_type", CHANGE_TYPES).alias("optype")
     )
     I.run_available(changes, checkpoint, I.keep_latest(table, ["user_id"], ["ts", "event_id"]))

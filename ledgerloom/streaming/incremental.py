@@ -16,16 +16,13 @@ from ledgerloom.sources.tables import path_exists, remove_path, replace_partitio
 
 
 def file_stream(
-    spark: SparkSession, folder: str, schema: StructType, fmt: str = "parquet", pattern: str | None = None,
-    files_per_trigger: int | None = None,
+    spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", files_per_trigger: int | None = None
 ) -> DataFrame:
-    """New files below ``folder``, each read once."""
+    """New files below ``path`` (a folder or a glob), each read once."""
     reader = spark.readStream.format(fmt).schema(schema)
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.load(folder)
+    return reader.load(path)
 
 
 def run_available(stream: DataFrame, checkpoint: str, sink: str | Callable[[DataFrame, int], None], mode: str = "append") -> None:
