@@ -105,11 +105,20 @@ def replace_by_key(path: str, keys: Sequence[str], buckets: int = 64) -> Callabl
 def missing_events(
     expected: DataFrame, events: DataFrame, key: str, expected_time: str, event_key: str, event_time: str, tolerance: str, delay: str
 ) -> DataFrame:
-    """Expected rows for which no event came within ``tolerance``, known once the watermark has passed."""
-    left = expected.withWatermark(expected_time, delay)
-    right = events.withWatermark(event_time, delay)
+    """Expected rows for which no event came within ``tolerance``, known once the watermark has passed.
+
+    The time slot is part of the join key, so that the state of a hot key is spread over many tasks and
+    a row meets only events near it: an event is offered to its own slot and to the one before.
+    """
+    width = F.unix_micros(F.expr(f"timestamp_micros(0) + interval {tolerance}"))
+    slot = lambda c: F.floor(F.unix_micros(c) / width).cast("long")
+    left = expected.withWatermark(expected_time, delay).withColumn("_slot", slot(expected_time))
+    right = events.withWatermark(event_time, delay).withColumn(
+        "_event_slot", F.explode(F.array(slot(event_time), slot(event_time) - 1))
+    )
     on = (
         (F.col(key) == F.col(event_key))
+        & (F.col("_slot") == F.col("_event_slot"))
         & (F.col(event_time) >= F.col(expected_time))
         & (F.col(event_time) <= F.col(expected_time) + F.expr(f"interval {tolerance}"))
     )
