@@ -1,4 +1,4 @@
 """All registered queries of this folder."""
 
-from ledgerloom.llm import mixing, rules  # noqa: F401
+from ledgerloom.llm import mixing, rules, suffixes  # noqa: F401
 from ledgerloom.llm.common import QUERIES, SQL  # noqa: F401
