@@ -18,6 +18,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _GAP = np.zeros(256, bool)
 _GAP[[9, 10, 11, 12, 13, 32]] = True
+#: Everything but ASCII letters, digits and the bytes of other characters.
+PUNCTUATION = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -48,9 +50,11 @@ def packed(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def word_spans(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(
+    buf: np.ndarray, offsets: np.ndarray, gap: np.ndarray = _GAP
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of each word, and for each text the index of its first word (one more at the end)."""
-    inside = ~_GAP[buf]
+    inside = ~gap[buf]
     before = np.zeros(len(buf), bool)
     before[1:] = inside[:-1]
     before[offsets[:-1][offsets[:-1] < len(buf)]] = False

@@ -63,3 +63,9 @@ def word_count(text: Column) -> Column:
     """Number of words of a text; 0 for a null text."""
     marks = F.regexp_replace(F.coalesce(text, F.lit("")), WORD, "x")
     return F.length(F.translate(marks, " \t\n\x0b\f\r", "")).cast("long")
+
+
+def keyed(docs: DataFrame, name: str = "_key") -> DataFrame:
+    """``docs`` with a hash of doc_id and text; equal rows share it."""
+    named = F.coalesce(F.col("doc_id").cast("string"), F.lit("?"))
+    return docs.withColumn(name, F.xxhash64(named, F.coalesce("text", F.lit(""))))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.bytesops import _BASE, _CODES, SLICE, mix, packed
-from ledgerloom.llm.common import arrow_sized, query, table
+from ledgerloom.llm.common import arrow_sized, keyed, query, table
 from ledgerloom.session import materialize
 
 #: Length of the strings that may occur once only, and of the grams that anchor them; both in bytes.
@@ -269,12 +269,6 @@ def _string_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_key``, a hash of doc_id and text; equal rows share it and its removed bytes."""
-    named = F.coalesce(F.col("doc_id").cast("string"), F.lit("?"))
-    return docs.withColumn("_key", F.xxhash64(named, F.coalesce("text", F.lit(""))))
-
-
 def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """One row per document with repeated strings: doc_id, key (see ``keyed``), spans (not merged)."""
     arrow_sized(docs.sparkSession)
