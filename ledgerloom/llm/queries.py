@@ -1,4 +1,4 @@
 """All registered queries of this folder."""
 
-from ledgerloom.llm import decontamination, mixing, neardup, rules, suffixes  # noqa: F401
+from ledgerloom.llm import decontamination, langid, mixing, neardup, quality, rules, suffixes  # noqa: F401
 from ledgerloom.llm.common import QUERIES, SQL  # noqa: F401
