@@ -55,8 +55,7 @@ def crc_mod(key: str, m: int) -> Column:
 
 def words(text: Column) -> Column:
     """The words of a text as an array; a null text has none."""
-    clean = F.regexp_replace(F.coalesce(text, F.lit("")), f"^{GAP}|{GAP}$", "")
-    return F.when(clean == "", F.array().cast("array<string>")).otherwise(F.split(clean, GAP, -1))
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP, -1), "")
 
 
 def word_count(text: Column) -> Column:

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import GAP, query, table, word_count, words
+from ledgerloom.llm.common import query, table, words
 
 #: A line of more documents of one host than this is boilerplate.
 MAX_DOCS = 100
@@ -26,10 +26,11 @@ SYMBOLS = "#*$%&|<>"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def normalised(line: Column) -> Column:
-    """The form under which lines are counted; empty for a line without a word."""
-    folded = F.translate(line, _UPPER + "123456789", _LOWER + "000000000")
-    return F.regexp_replace(F.regexp_replace(folded, GAP, " "), "^ | $", "")
+def normalised(text: Column) -> Column:
+    """The form of each line under which it is counted, as an array; empty for a line without a word."""
+    folded = F.translate(text, _UPPER + "123456789", _LOWER + "000000000")
+    even = F.regexp_replace(folded, "[\\x20\\x09\\x0B-\\x0D]+", " ")
+    return F.split(F.regexp_replace(even, " ?\\n ?|^ | $", "\n"), "\n", -1)
 
 
 def _repeated_words(rows: DataFrame) -> DataFrame:
@@ -38,10 +39,10 @@ def _repeated_words(rows: DataFrame) -> DataFrame:
     Windows become hashes. Where two are equal, (hash, place) pairs are sorted; places whose hash also
     stands beside them are repeats, and each covers the words up to the next repeat, three at most.
     """
-    every = F.sequence(F.lit(0), F.size("_words") - 3)
-    word = lambda i: F.get(F.col("_words"), i)
-    grams = F.when(F.size("_words") >= 3, F.transform(every, lambda i: F.xxhash64(word(i), word(i + 1), word(i + 2))))
-    rows = rows.withColumn("_grams", grams)
+    size = F.size("_words")
+    part = lambda k: F.slice("_words", F.lit(k), size - 2)
+    grams = F.transform(F.arrays_zip(part(1), part(2), part(3)), lambda w: F.xxhash64(w))
+    rows = rows.withColumn("_grams", F.when(size >= 3, grams))
     repeats = F.size("_grams") > F.size(F.array_distinct("_grams"))
     placed = F.array_sort(F.transform("_grams", lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
     rows = rows.withColumn("_placed", F.when(repeats, placed)).drop("_grams")
@@ -61,35 +62,43 @@ def with_rules(docs: DataFrame, host: str = "source", max_docs: int = MAX_DOCS,
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("?")), F.md5(text), F.col(host))
-    rows = docs.select("doc_id", "text", F.col(host).alias("_host"), key.alias("_key")).withColumn(
-        "_lines", F.transform(F.split(text, "\n", -1), normalised)
-    )
-    # lines that differ only in case or digits are one line here, but not in n_dup_lines
-    line = lambda x: F.struct(F.xxhash64(x).alias("h"), word_count(x).alias("w"))
-    rows = rows.withColumn("_lines", F.transform(F.filter("_lines", lambda x: x != ""), line))
-    held = rows.select("_host", F.explode(F.array_distinct(F.transform("_lines", lambda x: x["h"]))).alias("_h"), "_key")
+    rows = docs.select("doc_id", "text", F.col(host).alias("_host"), key.alias("_key"))
+    # lines that differ only in case, digits or spaces are one line here, but not in n_dup_lines
+    lines = F.array_remove(normalised(text), "")
+    forms = rows.select("_host", "_key", lines.alias("_lines"))
+    hashes = F.transform(F.array_distinct("_lines"), lambda x: F.xxhash64(x))
+    held = forms.select("_host", F.explode(hashes).alias("_h"), "_key")
     counted = held.distinct().groupBy("_host", "_h").agg(F.count(F.lit(1)).alias("_docs"))
     common = counted.filter(F.col("_docs") > max_docs).select(F.col("_host").alias("_c_host"), F.col("_h").alias("_c_h"))
-    placed = rows.select("_host", "_key", F.posexplode("_lines").alias("_at", "_line"))
-    met = placed["_host"].eqNullSafe(common["_c_host"]) & (F.col("_line.h") == common["_c_h"])
+    placed = forms.select("_host", "_key", F.posexplode("_lines").alias("_at", "_line"))
+    spaces = F.length("_line") - F.length(F.replace("_line", F.lit(" "), F.lit("")))
+    placed = placed.select("_host", "_key", "_at", F.xxhash64("_line").alias("_h"), (spaces + 1).alias("_w"))
+    met = placed["_host"].eqNullSafe(common["_c_host"]) & (placed["_h"] == common["_c_h"])
     gone = (
         placed.join(common, met)
-        .groupBy("_key", "_at", F.col("_line.h").alias("_h"), F.col("_line.w").alias("_w"))
+        .groupBy("_key", "_at", "_h", "_w")
         .agg(F.lit(1).alias("_one"))
         .groupBy(F.col("_key").alias("_g_key"))
         .agg(F.sum("_w").alias("_gone"), F.collect_set("_h").alias("bad_lines"))
     )
-    raw = F.filter(F.split(text, "\n", -1), lambda x: F.regexp_replace(x, GAP, "") != "")
-    solid = F.regexp_replace(text, GAP, "")
-    base = rows.select("doc_id", "text", "_key", words(F.col("text")).alias("_words"), raw.alias("_raw"))
+    raw = F.filter(F.split(text, "\n", -1), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
+    marks = F.regexp_replace(text, f"[^{SYMBOLS}]+", "")
+    base = rows.select(
+        "doc_id",
+        "text",
+        "_key",
+        words(F.col("text")).alias("_words"),
+        (F.size(raw) - F.size(F.array_distinct(raw))).cast("long").alias("n_dup_lines"),
+        F.length(marks).cast("long").alias("n_symbols"),
+    )
     base = _repeated_words(base).select(
         "doc_id",
         "text",
         "_key",
         F.size("_words").cast("long").alias("n_words"),
-        F.length(solid).cast("long").alias("word_chars"),
-        (F.length(solid) - F.length(F.translate(solid, SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        (F.size("_raw") - F.size(F.array_distinct("_raw"))).cast("long").alias("n_dup_lines"),
+        F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
+        "n_symbols",
+        "n_dup_lines",
         "n_repeat_words",
     )
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
@@ -104,7 +113,8 @@ def with_rules(docs: DataFrame, host: str = "source", max_docs: int = MAX_DOCS,
 
 def without_lines(text: Column, bad_lines: Column) -> Column:
     """``text`` without the lines whose normalised hash is in ``bad_lines``."""
-    keep = lambda x: ~F.array_contains(bad_lines, F.xxhash64(normalised(x)))
+    form = lambda x: F.get(F.array_remove(normalised(x), ""), F.lit(0))
+    keep = lambda x: ~F.array_contains(bad_lines, F.xxhash64(form(x)))
     return F.when(bad_lines.isNull(), text).otherwise(F.array_join(F.filter(F.split(text, "\n", -1), keep), "\n"))
 
 
