@@ -1,4 +1,4 @@
 """All registered queries of this folder."""
 
-from ledgerloom.llm import decontamination, langid, lm, mixing, neardup, quality, rules, suffixes, toxicity  # noqa: F401
+from ledgerloom.llm import chat, decontamination, langid, lm, mixing, neardup, quality, rules, suffixes, toxicity  # noqa: F401
 from ledgerloom.llm.common import QUERIES, SQL  # noqa: F401
