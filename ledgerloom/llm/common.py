@@ -68,3 +68,12 @@ def keyed(docs: DataFrame, name: str = "_key") -> DataFrame:
     """``docs`` with a hash of doc_id and text; equal rows share it."""
     named = F.coalesce(F.col("doc_id").cast("string"), F.lit("?"))
     return docs.withColumn(name, F.xxhash64(named, F.coalesce("text", F.lit(""))))
+
+
+def discard(stored: DataFrame) -> None:
+    """Delete the files of a frame that ``materialize`` wrote, once everything read from it is written itself."""
+    spark = stored.sparkSession
+    jvm = spark.sparkContext._jvm
+    for file in stored.inputFiles()[:1]:
+        folder = jvm.org.apache.hadoop.fs.Path(file).getParent()
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

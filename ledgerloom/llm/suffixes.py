@@ -1,12 +1,13 @@
 """Removal of byte strings that occur twice, by bucket-pointer refinement on chosen suffixes.
 
-Every string of ``LENGTH`` bytes that occurs at two places must be found. Its occurrences hold the same grams of ``Q``
-bytes, so they choose the same one of least hash: only suffixes that start at such an anchor are shuffled, about one
-in 75. Anchors fall into initial buckets by gram. An anchor whose whole surroundings (all strings through the anchor)
-recur needs no more work. Buckets that hold different surroundings are refined: the suffixes of those surroundings get bucket
-numbers by their first 8 bytes, then by the pair (own bucket, bucket ``d`` bytes later) for d = 8, 16, 32, 64, and last
-72 after depth 128, which gives depth 200; a suffix alone in its bucket drops out at once, and so does one whose
-later offset did. A bucket with more than ``HOT`` surroundings is refined by a distributed count instead.
+Every string of ``LENGTH`` bytes that occurs at two places must be found. A string belongs to its gram of ``Q`` bytes with
+the least hash, the anchor, so equal strings have equal anchors at equal offsets; neighbouring strings mostly share
+one. Only anchors are shuffled, about one in 80 bytes, each with the stretch its strings cover. They fall into initial
+buckets by gram. Sorted by bucket and stretch, an anchor beside an equal stretch needs no more work: all its strings recur. Buckets of
+different stretches are refined: strings whose common core (``LENGTH - CORE + 1`` bytes) is alone drop out; the others get
+bucket numbers at depth ``LENGTH / 4``, then by the pair (own bucket, bucket of the later half) at twice that depth, and so again.
+The sort is a range sort, so a bucket of any size is spread; what stands at a range's edge counts as different. A bucket with more
+than ``HOT`` different stretches is refined by a distributed count instead.
 
 Matches never cross documents, may lie in one document, and may overlap. Nulls: a null text is empty; a null doc_id is
 kept. Equal rows are repeats of each other, as any two documents of equal text are. Texts shorter than ``LENGTH`` bytes never match;
@@ -24,16 +25,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.bytesops import _BASE, _CODES, SLICE, mix, packed
-from ledgerloom.llm.common import arrow_sized, keyed, query, table
+from ledgerloom.llm.common import arrow_sized, discard, keyed, query, table
 from ledgerloom.session import materialize
 
 #: Length of the strings that may occur once only, and of the grams that anchor them; both in bytes.
 LENGTH = 200
-Q = 50
-#: Buckets with more different surroundings than this are not refined inside one task.
+Q = 40
+#: Strings whose offsets to the anchor fall into one part of this width have a common core.
+CORE = 40
+#: Buckets with more different stretches than this are not refined inside one task.
 HOT = 20_000
-#: Surroundings that one refinement handles, unless a single bucket has more.
-AT_ONCE = 20_000
+#: Stretches that one refinement handles, unless a single bucket has more.
+AT_ONCE = 8_000
+#: Bits that hold a place inside a slice.
+_PLACE = np.uint64(22)
 
 _inverse = pow(int(_BASE), -1, 1 << 64)
 _tables: dict[str, np.ndarray] = {}
@@ -73,71 +78,79 @@ def _running(values: np.ndarray, width: int, pick: np.ufunc, fill: int) -> np.nd
 
 
 def anchors(buf: np.ndarray, offsets: np.ndarray, length: int = LENGTH, q: int = Q) -> tuple[np.ndarray, ...]:
-    """Chosen places of a batch: (text index, place in the buffer, start and end of its surroundings, gram, surroundings)."""
-    side, found = length - q, []
+    """Anchors of a batch with their strings: (text index, place of the anchor, start and end of the stretch, gram, stretch hash)."""
+    found = []
     for a in range(0, len(buf), SLICE):
         b = min(len(buf), a + SLICE)
-        lo, hi = max(0, a - side), min(len(buf), b + length + side)
-        if hi - lo < length:
+        hi = min(len(buf), b + length - 1)
+        if hi - a < length:
             continue
-        hashes = _Hashes(buf[lo:hi])
-        at = np.arange(hi - lo - q + 1)
+        hashes = _Hashes(buf[a:hi])
+        at = np.arange(hi - a - q + 1)
         grams = hashes.of(at, at + q)
-        least = _running(grams, side + 1, np.minimum, 2**64 - 1)
-        starts = np.arange(len(least)) + lo
-        end_of = np.repeat(offsets[1:], np.diff(np.clip(offsets, lo, lo + len(least))))
-        whole = (starts + length <= end_of) & (starts >= a) & (starts < b)
-        least[~whole] = 0
-        padded = np.zeros(len(least) + 2 * side, np.uint64)
-        padded[side : side + len(least)] = least
-        top = _running(padded, side + 1, np.maximum, 0)
-        place = np.flatnonzero((top == grams) & (top > 0)) + lo
-        text = np.searchsorted(offsets, place, "right") - 1
-        start = np.maximum(place - side, offsets[text])
-        end = np.minimum(place + length, offsets[text + 1])
-        around = hashes.of(start - lo, end - lo) + mix(((place - start) * 4096 + end - place).astype(np.uint64))
-        found.append((text, place, start, end, grams[place - lo], mix(around)))
+        # the least hash, of equal ones the first place
+        least = _running(((grams >> _PLACE) << _PLACE) | at.astype(np.uint64), length - q + 1, np.minimum, 2**64 - 1)
+        starts = np.arange(min(len(least), b - a))
+        ends = np.repeat(offsets[1:], np.diff(np.clip(offsets, a, a + len(starts))))
+        starts = starts[starts + a + length <= ends]
+        if not len(starts):
+            continue
+        place = (least[starts] & np.uint64((1 << int(_PLACE)) - 1)).astype(np.int64)
+        new = np.concatenate([[True], place[1:] != place[:-1]])
+        first = np.flatnonzero(new)
+        start, place = starts[first], place[first]
+        end = starts[np.concatenate([first[1:] - 1, [len(starts) - 1]])] + length
+        form = ((place - start) * 4096 + end - place).astype(np.uint64)
+        text = np.searchsorted(offsets, start + a, "right") - 1
+        found.append((text, place + a, start + a, end + a, grams[place], mix(hashes.of(start, end) + mix(form))))
     if not found:
         none = np.empty(0, np.int64)
         return none, none, none, none, none.astype(np.uint64), none.astype(np.uint64)
-    joined = [np.concatenate(x) for x in zip(*found, strict=True)]
-    _, first = np.unique(joined[1], return_index=True)  # neighbouring slices choose some places twice
-    return tuple(x[first] for x in joined)
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
 
+def _buckets(hashes: _Hashes, at: np.ndarray, depth: int, base: int) -> np.ndarray:
+    """Bucket numbers of suffixes by their first ``depth`` bytes, from the buckets of both halves."""
+    if depth <= base:
+        return np.unique(hashes.of(at, at + depth), return_inverse=True)[1]
+    half = (depth + 1) // 2
+    halves = _buckets(hashes, np.concatenate([at, at + depth - half]), half, base)
+    key = halves[: len(at)] * np.int64(2 * len(at)) + halves[len(at) :]
+    return np.unique(key, return_inverse=True)[1]
 
-def refined(buf: np.ndarray, offsets: np.ndarray, place: np.ndarray, length: int = LENGTH) -> np.ndarray:
-    """Which suffixes of a buffer share their first ``length`` bytes with one at another place.
 
-    ``place`` identifies each byte's place in the corpus: the same place may be in the buffer more than once.
+def refined(
+    buf: np.ndarray, offsets: np.ndarray, left: np.ndarray, start: np.ndarray, key: np.ndarray, length: int = LENGTH
+) -> np.ndarray:
+    """Which places of stretches start a string that also starts at another place of the corpus.
+
+    ``left`` is the anchor's offset in its stretch; ``start`` and ``key`` give the stretch's place and document.
     """
-    ends = np.repeat(offsets[1:], np.diff(offsets))
-    at = np.flatnonzero(np.arange(len(buf)) + 8 <= ends)
-    key = np.zeros(len(at), np.uint64)
-    for k in range(8):
-        key = (key << np.uint64(8)) | buf[at + k]
-    bucket = np.full(len(buf) + length, -1, np.int64)
-    depth = 8
-    while True:
-        _, own, sizes = np.unique(key, return_inverse=True, return_counts=True)
-        shared = sizes[own] > 1
-        at, own = at[shared], own[shared]
-        bucket[:] = -1
-        bucket[at] = own
-        if depth == length or not len(at):
-            break
-        step = min(depth, length - depth)
-        later = bucket[at + step]
-        ok = (later >= 0) & (at + step + depth <= ends[at])
-        at, own, later = at[ok], own[ok], later[ok]
-        key = own.astype(np.uint64) * np.uint64(len(buf) + 1) + later.astype(np.uint64)
-        depth += step
     out = np.zeros(len(buf), bool)
+    if not len(buf):
+        return out
+    hashes = _Hashes(buf)
+    counts = np.diff(offsets) - length + 1
+    owner = np.repeat(np.arange(len(counts)), counts)
+    inside = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+    back = left[owner] - inside
+    part = back // CORE
+    head = (inside == 0) | (back % CORE == CORE - 1)
+    anchor = (offsets[:-1] + left)[owner[head]]
+    low = anchor - CORE * part[head]
+    core = mix(hashes.of(low, low + length - CORE + 1) + part[head].astype(np.uint64))
+    _, same, times = np.unique(core, return_inverse=True, return_counts=True)
+    stays = (times[same] > 1)[np.cumsum(head) - 1]
+    owner, inside = owner[stays], inside[stays]
+    at = offsets[owner] + inside
     if len(at):
-        n = int(own.max()) + 1
-        least, most = np.full(n, np.iinfo(np.int64).max), np.full(n, np.iinfo(np.int64).min)
-        np.minimum.at(least, own, place[at])
-        np.maximum.at(most, own, place[at])
-        out[at] = least[own] != most[own]
+        bucket = _buckets(hashes, at, length, -(-length // 4))
+        place = mix(key[owner] + mix((start[owner] + inside).astype(np.uint64)))
+        n = int(bucket.max()) + 1
+        least, most = np.full(n, 2**64 - 1, np.uint64), np.zeros(n, np.uint64)
+        np.minimum.at(least, bucket, place)
+        np.maximum.at(most, bucket, place)
+        out[at] = least[bucket] != most[bucket]
     return out
 
 
@@ -174,6 +187,43 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _neighbour_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of anchors sorted by gram and stretch: those beside an equal stretch (full), or beside a different one of their bucket (wanted)."""
+    held, before = None, None
+    for batch in batches:
+        if not len(batch):
+            continue
+        rows = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
+        out, before = _judged(rows, before, False)
+        held = rows.slice(len(rows) - 1).to_batches()[0]
+        yield out
+    if held is not None:
+        yield _judged(pa.Table.from_batches([held]), before, True)[0]
+
+
+def _judged(rows: pa.Table, before: tuple[int, int] | None, last: bool) -> tuple[pa.RecordBatch, tuple[int, int]]:
+    """Judge all rows but the last one, which still lacks its next row (``last``: there is none)."""
+    gram, around = rows.column("gram").to_numpy(), rows.column("around").to_numpy()
+    n = len(gram) if last else len(gram) - 1
+    near = np.concatenate([[before is not None and before[0] == gram[0]], gram[1:] == gram[:-1], [False]])
+    same = near & np.concatenate([[before is not None and before[1] == around[0]], around[1:] == around[:-1], [False]])
+    edge = np.zeros(len(gram) + 1, bool)
+    edge[0] = before is None
+    edge[-1] = last
+    full = same[:-1] | same[1:]
+    differs = (near & ~same) | edge
+    wanted = differs[:-1] | differs[1:]
+    pick = np.flatnonzero((full | wanted)[:n])
+    chosen = rows.take(pa.array(pick)).drop_columns(["around"])
+    chosen = chosen.append_column("full", pa.array(full[pick])).append_column("wanted", pa.array(wanted[pick]))
+    previous = (int(gram[n - 1]), int(around[n - 1])) if n else before
+    return chosen.combine_chunks().to_batches()[0] if len(pick) else _nothing(chosen), previous
+
+
+def _nothing(table_: pa.Table) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([], f.type) for f in table_.schema], schema=table_.schema)
+
+
 def _around_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes at each wanted place: one row per element of ``wanted``."""
     for batch in batches:
@@ -220,10 +270,9 @@ def _flat(pieces: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
 
 def _refine(rows: pa.Table) -> pa.RecordBatch:
     buf, offsets = _flat(rows.column("piece"))
-    owner = np.repeat(np.arange(rows.num_rows), np.diff(offsets))
+    left, start = (rows.column(n).to_numpy().astype(np.int64) for n in ("left", "start"))
     key = rows.column("key").to_numpy().view(np.uint64)
-    places = (np.arange(len(buf)) - offsets[owner] + rows.column("start").to_numpy()[owner]).astype(np.uint64)
-    return _spans(rows, refined(buf, offsets, mix(key[owner] + mix(places)).view(np.int64)), offsets)
+    return _spans(rows, refined(buf, offsets, left, start, key), offsets)
 
 
 def _refined_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,35 +323,30 @@ def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     arrow_sized(docs.sparkSession)
     texts = keyed(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_key").alias("key"), "text")
     chosen = materialize(texts.mapInArrow(_anchor_rows, _ANCHOR), "anchors")
-    place = F.struct("key", "start", "doc_id", "left", "size")
-    kinds = chosen.groupBy("gram", "around").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("at"))
-    grams = (
-        kinds.groupBy("gram")
-        .agg(F.count(F.lit(1)).alias("n_around"), F.sum("n").alias("n_all"), F.min("n").alias("fewest"))
-        .filter(F.col("n_all") > 1)
-    )
-    kinds = materialize(
-        kinds.join(grams, "gram").select("gram", "around", "n", "at", "n_around", "fewest"), "surroundings"
+    order = ["gram", "around", "key", "start"]
+    sorted_ = chosen.repartitionByRange(*order).sortWithinPartitions(*order)
+    marked = materialize(
+        sorted_.mapInArrow(
+            _neighbour_rows,
+            "doc_id long, key long, start long, left int, size int, gram long, full boolean, wanted boolean",
+        ),
+        "neighbours",
     )
-    often = kinds.filter("n > 1").select("gram", "around")
-    full = chosen.join(often, ["gram", "around"]).filter(F.col("size") >= LENGTH)
-    spans = full.select("doc_id", "key", F.col("start").alias("lo"), (F.col("start") + F.col("size")).alias("hi"))
-    # surroundings met once may still share some strings with others of their bucket
-    mixed = kinds.filter("n_around > 1 and fewest = 1")
-    wanted = (
-        mixed.select("gram", "n_around", "at.*")
-        .groupBy(F.col("doc_id").alias("w_id"), F.col("key").alias("w_key"))
-        .agg(F.collect_list(F.struct("start", "left", "size", "gram")).alias("wanted"))
+    discard(chosen)
+    end = (F.col("start") + F.col("size")).alias("hi")
+    spans = marked.filter("full").select("doc_id", "key", F.col("start").alias("lo"), end)
+    mixed = marked.filter("wanted")
+    wanted = mixed.groupBy(F.col("doc_id").alias("w_id"), F.col("key").alias("w_key")).agg(
+        F.collect_set(F.struct("start", "left", "size", "gram")).alias("wanted")
     )
     found = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["w_id"]) & (texts["key"] == wanted["w_key"]))
     pieces = found.select("doc_id", "key", "text", "wanted").mapInArrow(
         _around_rows, "doc_id long, key long, start long, left int, gram long, piece binary"
     )
-    pieces = materialize(pieces.dropDuplicates(["key", "start", "doc_id", "gram"]), "pieces")
-    large = materialize(mixed.filter(F.col("n_around") > hot).select("gram").distinct(), "large-buckets")
-    if large.isEmpty():
-        usual = pieces
-    else:
+    large = mixed.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot).select("gram")
+    large = materialize(large, "large-buckets")
+    usual = pieces
+    if not large.isEmpty():
         usual = pieces.join(large, "gram", "left_anti")
         strings = pieces.join(large, "gram", "left_semi").mapInArrow(
             _string_rows, "doc_id long, key long, lo long, gram long, offset int, string long"
