@@ -10,10 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
 from ledgerloom.operators.ordered import fill_forward, over_neighbours
-from ledgerloom.session import estimated_bytes, is_small, materialize, may_broadcast, settled
-
-#: Edge sets up to this size are followed by one recursive query.
-RECURSION_BYTES = 8 * 1024 * 1024
+from ledgerloom.session import materialize, may_broadcast, settled
 
 
 def full_add(
@@ -33,31 +30,39 @@ def full_add(
 
 
 def band_join(
-    df: DataFrame, bands: DataFrame, value: str, low: str, high: str, columns: Sequence[str], cells: int = 4096
+    df: DataFrame, bands: DataFrame, value: str, low: str, high: str, columns: Sequence[str], cells: int = 1024
 ) -> DataFrame:
     """Left join on ``value BETWEEN low AND high``.
 
-    A small band table is sent to every task. A larger one is cut into equal cells over its range, so
-    that the match becomes an equi join on the cell with the exact range as residual.
+    A small band table is sent to every task. A larger one is cut at quantiles of its lower bounds, so that
+    the match becomes an equi join on the cell with the exact range as residual; each cell holds about as
+    many bands, whatever the bounds' scale, and an open-ended last band reaches over the cells after it alone.
     """
     ref = bands.select(F.col(low).alias("_lo"), F.col(high).alias("_hi"), *columns)
     in_band = F.col(value).between(F.col("_lo"), F.col("_hi"))
     if may_broadcast(ref):
         return df.join(F.broadcast(ref), in_band, "left").drop("_lo", "_hi")
-    span = F.broadcast(ref.agg(F.min("_lo").cast("double").alias("_from"), F.max("_hi").cast("double").alias("_to")))
-    width = F.greatest((F.col("_to") - F.col("_from")) / cells, F.lit(1e-9))
-    cell = lambda x: F.floor((x.cast("double") - F.col("_from")) / width).cast("long")
-    spread = ref.crossJoin(span).withColumn("_cell", F.explode(F.sequence(cell(F.col("_lo")), cell(F.col("_hi")))))
+    marks = [k / cells for k in range(1, cells)]
+    cuts = ref.agg(F.array_sort(F.array_distinct(F.percentile_approx(F.col("_lo").cast("double"), marks, 10_000))).alias("c"))
+    # at most ``cells`` numbers
+    edges = cuts.first()["c"] or []
+    spread = ref.withColumn("_cell", F.explode(F.sequence(_cell(F.col("_lo"), edges), _cell(F.col("_hi"), edges))))
     # a NULL never matches: such rows get spare negative cells, so that they do not all meet in one task
     plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (MapType, StructType, ArrayType))]
     spare = F.lit(-1) - F.pmod(F.xxhash64(*plain), F.lit(1024))
-    probe = (
-        df.crossJoin(span).withColumn("_probe", F.coalesce(cell(F.col(value)), spare)).drop("_from", "_to")
-    )
-    spread = spread.drop("_from", "_to")
-    return probe.join(spread, (F.col("_probe") == F.col("_cell")) & in_band, "left").drop(
-        "_probe", "_cell", "_lo", "_hi"
-    )
+    probe = df.withColumn("_probe", F.coalesce(_cell(F.col(value), edges), spare))
+    joined = probe.join(spread, (F.col("_probe") == F.col("_cell")) & in_band, "left")
+    return joined.drop("_probe", "_cell", "_lo", "_hi")
+
+
+def _cell(x: Column, edges: Sequence[float], block: int = 32) -> Column:
+    """Number of sorted ``edges`` at or below ``x``, found block by block; NULL for NULL."""
+    if not edges:
+        return F.when(x.isNotNull(), F.lit(0)).cast("long")
+    of = lambda values: F.array(*[F.lit(float(v)) for v in values]).cast("array<double>")
+    upto = lambda values: F.size(F.filter(values, lambda e: e <= x.cast("double")))
+    blocks = upto(of(edges[block - 1 :: block])) * block
+    return F.when(x.isNotNull(), (blocks + upto(F.slice(of(edges), blocks + 1, F.lit(block)))).cast("long"))
 
 
 def proximity_join(
@@ -72,8 +77,11 @@ def proximity_join(
     """Rows with equal keys whose times (in whole seconds) differ by at most ``seconds``.
 
     The time is part of the join key, in slots of four times the limit: a hot key is spread over its
-    slots and only near pairs are formed. A right row close to an edge is offered to the next slot too.
+    slots and only near pairs are formed. A right row close to an edge is offered to the next slot too,
+    so join types that keep unmatched right rows are refused: such a row would come twice.
     """
+    if how.replace("_", "").lower() not in {"inner", "left", "leftouter", "leftsemi", "semi", "leftanti", "anti"}:
+        raise ValueError(f"proximity_join does not support {how!r}; swap the sides")
     width = max(4 * seconds, 1)
     second = lambda c: F.unix_timestamp(F.col(c).cast("timestamp"))
     slot = lambda c: F.floor(F.col(c) / width).cast("long")
@@ -96,25 +104,27 @@ def asof_join(
     point_time: str,
     event_time: str,
     columns: Sequence[str],
-    tie: Sequence[str] = (),
+    tie: Sequence[str],
     keep_unmatched: bool = False,
 ) -> DataFrame:
     """For each point the ``columns`` of the last event of its key with ``event_time <= point_time``.
 
     Both sides are merged in time order and the last event is carried forward: one shuffle, no pair of
-    rows is formed. ``tie`` orders events of equal time. ``keys`` are common to both sides.
+    rows is formed. ``tie`` orders events of equal time. ``keys`` are common to both sides. As in SQL, a
+    NULL key or time matches nothing.
     """
+    if not tie:
+        raise ValueError("an as-of join needs columns that order events of equal time")
+    known = lambda time: reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (*keys, time)])
     rest = [c for c in points.columns if c not in keys]
-    carried = events.select(
+    carried = events.filter(known(event_time)).select(
         *keys,
         F.col(event_time).alias("_at"),
         F.lit(0).alias("_side"),
-        F.struct(*[F.col(c) for c in tie], F.monotonically_increasing_id().alias("_n")).alias("_tie")
-        if not tie
-        else F.struct(*tie).alias("_tie"),
+        F.struct(*tie).alias("_tie"),
         F.struct(*columns).alias("_event"),
     )
-    asked = points.select(
+    asked = points.filter(known(point_time)).select(
         *keys, F.col(point_time).alias("_at"), F.lit(1).alias("_side"), F.struct(*rest).alias("_point")
     )
     merged = carried.unionByName(asked, allowMissingColumns=True)
@@ -124,10 +134,16 @@ def asof_join(
     out = filled.filter("_side = 1")
     if not keep_unmatched:
         out = out.filter(F.col("_last").isNotNull())
-    return out.select(
+    out = out.select(
         *[F.col(c) if c in keys else F.col(f"_point.{c}") for c in points.columns],
         *[F.col(f"_last.{c}").alias(c) for c in columns],
     )
+    if keep_unmatched:
+        unknown = points.filter(~known(point_time)).select(
+            *points.columns, *[F.lit(None).cast(events.schema[c].dataType).alias(c) for c in columns]
+        )
+        out = out.unionByName(unknown)
+    return out
 
 
 def validity_intervals(df: DataFrame, keys: Sequence[str], start: str, order: Sequence[Column], end: str) -> DataFrame:
@@ -195,28 +211,15 @@ def fallback_lookup(
     return out.withColumn(value, F.coalesce("_a", "_b")).drop("_a", "_b")
 
 
-def merge_chain(edges: DataFrame, survivor: str, victim: str, carry: Sequence[str] = (), depth: int = 10) -> DataFrame:
+def merge_chain(
+    edges: DataFrame, survivor: str, victim: str, depth: int, carry: Sequence[str] = ()
+) -> DataFrame:
     """All (survivor, victim, carried values, depth) reached by following merges up to ``depth`` steps.
 
-    Small edge sets use Spark's recursive query (``LIMIT ALL`` lifts its row limit). Larger ones advance
-    one written frontier per step.
+    Each step advances one written frontier. What a deeper search would add is in ``open_chains``.
     """
     base = edges.select(F.col(survivor).alias("survivor"), F.col(victim).alias("victim"), *carry)
     step = edges.select(F.col(victim).alias("_from"), F.col(survivor).alias("_to"))
-    if is_small(edges) and estimated_bytes(edges) <= RECURSION_BYTES:
-        spark = edges.sparkSession
-        extra = "".join(f", c.{x}" for x in carry)
-        return spark.sql(
-            f"""
-            WITH RECURSIVE chain AS (
-              SELECT survivor, victim{''.join(', ' + x for x in carry)}, 1 AS depth FROM {{base}}
-              UNION ALL
-              SELECT s._to, c.victim{extra}, c.depth + 1 FROM chain c JOIN {{step}} s ON c.survivor = s._from
-              WHERE c.depth < {int(depth)})
-            SELECT * FROM chain LIMIT ALL""",
-            base=base,
-            step=step,
-        )
     frontier = materialize(base.withColumn("depth", F.lit(1)), "chain")
     found = frontier
     for d in range(2, depth + 1):
@@ -228,3 +231,9 @@ def merge_chain(edges: DataFrame, survivor: str, victim: str, carry: Sequence[st
             break
         found = found.unionByName(frontier)
     return found
+
+
+def open_chains(chain: DataFrame, edges: DataFrame, survivor: str, victim: str, depth: int) -> DataFrame:
+    """The rows of ``merge_chain`` at ``depth`` that a further step would continue."""
+    further = edges.select(F.col(victim).alias("_from"))
+    return chain.filter(F.col("depth") == depth).join(further, F.col("survivor") == F.col("_from"), "left_semi")

@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from ledgerloom.session import BLOCK_ROWS, HOT_KEY_ROWS, is_small, materialize, setting, settled
+from ledgerloom.session import BLOCK_ROWS, HOT_KEY_ROWS, bounded_bytes, is_small, materialize, setting, settled
 
 _ROW_MASK = (1 << 33) - 1
 
@@ -34,6 +34,8 @@ def split_hot(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame
     if not keys:
         return df.filter(F.lit(False)), df
     limit = setting(df.sparkSession, "hotKeyRows", HOT_KEY_ROWS)
+    if bounded_bytes(df) is None:
+        df = materialize(df, "split-input")  # three readers below: count, ordinary and hot rows
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
     hot_keys = materialize(counts.select(*[F.col(k).alias(f"_hot_{k}") for k in keys]), "hot-keys")
     if hot_keys.isEmpty():
@@ -175,10 +177,18 @@ def fill_forward(
     )
 
 
+def _plus(a: Column, b: Column) -> Column:
+    """The sum of what is there: NULL only if both are."""
+    return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(a + b)
+
+
 def running_total(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str, bounded: bool = False
 ) -> DataFrame:
-    """Cumulative sum per key, one row per (keys, order): ties share one total, as a RANGE frame gives."""
+    """Cumulative sum per key, one row per (keys, order): ties share one total, as a RANGE frame gives.
+
+    Before the first value that is not NULL the total is NULL.
+    """
     sums = df.groupBy(*keys, *order).agg(F.sum(value).alias("_sum"))
     return _with_carry(
         sums,
@@ -187,7 +197,7 @@ def running_total(
         local=lambda w: {name: F.sum("_sum").over(w)},
         summary={"_t": F.sum("_sum")},
         carry=lambda w: {"_c": F.sum("_t").over(w)},
-        combine={name: F.coalesce(F.col(name), F.lit(0)) + F.coalesce(F.col("_c"), F.lit(0))},
+        combine={name: _plus(F.col(name), F.col("_c"))},
         bounded=bounded,
     ).drop("_sum")
 

@@ -105,7 +105,7 @@ def survivor_history(
         versions.select(customer, attribute, start).distinct(), [customer], [F.col(start), F.col(attribute)],
         lambda w: {"effective_to": F.lead(start).over(w)}, after=1,
     ).withColumnRenamed(start, "effective_from")
-    chain = merge_chain(edges, "survivor", "victim", ["merged_at"], depth)
+    chain = merge_chain(edges, "survivor", "victim", depth, ["merged_at"])
     inherited = chain.join(own, F.col("victim") == F.col(customer)).select(
         F.col("survivor").alias(customer), attribute, "effective_from",
         F.coalesce("effective_to", "merged_at").alias("effective_to"),

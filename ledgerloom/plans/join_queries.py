@@ -362,7 +362,7 @@ def _(t: Tables):
     edges = t.customer.filter("c_custkey > 0").select(
         F.expr("c_custkey div 2").alias("survivor"), F.col("c_custkey").alias("victim"), F.col("c_nationkey").alias("merge_no")
     )
-    return J.merge_chain(edges, "survivor", "victim", ["merge_no"]).withColumn("depth", F.col("depth").cast("long"))
+    return J.merge_chain(edges, "survivor", "victim", 10, ["merge_no"]).withColumn("depth", F.col("depth").cast("long"))
 
 
 @query(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -59,6 +60,13 @@ def shared_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", ""
     )
     if configured:
+        local = configured.startswith("file:") or ("://" not in configured and not _shared_by_default(spark))
+        mounted = spark.conf.get("spark.ledgerloom.sharedMount", "false") == "true"
+        if local and not mounted and not spark.sparkContext.master.startswith("local"):
+            raise ValueError(
+                f"spark.checkpoint.dir {configured} looks like a folder of one machine; "
+                "set spark.ledgerloom.sharedMount=true if it is a network mount"
+            )
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
@@ -69,6 +77,10 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_scratch[app]
 
 
+def _shared_by_default(spark: SparkSession) -> bool:
+    return not spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///").startswith("file:")
+
+
 def _app_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/ledgerloom-{spark.sparkContext.applicationId}"
 
@@ -97,19 +109,42 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df``; reads file metadata only, starts no job."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+#: Plan nodes that can give more rows than they read; Catalyst's estimate does not follow them.
+_MULTIPLIES = re.compile(
+    r"^[\s:|+-]*(?:Generate|Expand|Join (?!LeftSemi|LeftAnti|ExistenceJoin)|Map|FlatMap|CoGroup|Recursive|UnionLoop)", re.M
+)
+#: Bytes in memory per byte of compressed file, at most.
+_INFLATION = 8
+
+
+def bounded_bytes(df: DataFrame) -> int | None:
+    """A bound of the size of ``df`` from its files' sizes; None if an operator in between may multiply rows.
+
+    Reads file metadata only, starts no job.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    if _MULTIPLIES.search(plan.toString()):
+        return None
+    leaves = plan.collectLeaves()
+    return _INFLATION * sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def _below(df: DataFrame, limit: int) -> bool:
+    size = bounded_bytes(df)
+    return size is not None and size <= limit
 
 
 def is_small(df: DataFrame) -> bool:
-    """Whether the whole input may be handled by a single task."""
-    return estimated_bytes(df) <= setting(df.sparkSession, "smallInputBytes", SMALL_INPUT_BYTES)
+    """Whether the whole input is proven to be small enough for a single task.
+
+    The operators give the same rows either way; an input of unknown size takes the split way.
+    """
+    return _below(df, setting(df.sparkSession, "smallInputBytes", SMALL_INPUT_BYTES))
 
 
 def may_broadcast(df: DataFrame) -> bool:
     """Whether ``df`` is proven small enough to be sent to every executor."""
-    return estimated_bytes(df) <= setting(df.sparkSession, "broadcastBytes", BROADCAST_BYTES)
+    return _below(df, setting(df.sparkSession, "broadcastBytes", BROADCAST_BYTES))
 
 
 def settled(df: DataFrame, label: str = "lookup") -> DataFrame:

@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom import session as S
 from ledgerloom.operators import joins as J
 from ledgerloom.operators import ordered as O
 
@@ -127,6 +128,61 @@ class TestBothPaths:
         assert J.merge_chain(edges, "s", "v", depth=10).count() == 20
 
 
+@pytest.mark.parametrize("big", [False, True])
+def test_running_total_before_the_first_value(spark, request, big):
+    if big:
+        request.getfixturevalue("large")
+    rows = [(k, t, None if t < 3 else t) for k in ("hot", "cold") for t in range(40 if k == "hot" else 5)]
+    out = O.running_total(spark.createDataFrame(rows, "k string, t int, v long"), ["k"], ["t"], "v", "total")
+    got = {(r.k, r.t): r.total for r in out.collect()}
+    assert got == {(k, t): None if t < 3 else sum(range(3, t + 1)) for k, t, _ in rows}
+
+
+def test_an_exploded_input_is_not_small(spark):
+    df = spark.range(10)
+    assert S.is_small(df)
+    many = df.select(F.explode(F.sequence(F.lit(1), F.lit(10**8))).alias("x"))
+    assert not S.is_small(many) and not S.may_broadcast(many)
+
+
+def test_merge_chain_reports_what_is_open(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(130)], "s long, v long")
+    chain = J.merge_chain(edges, "s", "v", depth=3)
+    assert J.open_chains(chain, edges, "s", "v", 3).count() == 130 - 3
+    small = edges.filter("s < 3")
+    assert J.open_chains(J.merge_chain(small, "s", "v", depth=3), small, "s", "v", 3).isEmpty()
+
+
+def test_merge_chain_deeper_than_a_hundred(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(104)], "s long, v long")
+    chain = J.merge_chain(edges, "s", "v", depth=103)
+    assert chain.agg(F.max("depth")).first()[0] == 103
+
+
+def test_asof_matches_no_null(spark):
+    events = spark.createDataFrame([("a", None, 1), (None, 1, 2), ("a", 5, 3)], "k string, t int, v int")
+    points = spark.createDataFrame([("a", 4), ("a", 6), ("a", None), (None, 9)], "k string, p int")
+    out = J.asof_join(points, events, ["k"], "p", "t", ["v"], tie=["v"], keep_unmatched=True)
+    assert {tuple(r) for r in out.collect()} == {("a", 4, None), ("a", 6, 3), ("a", None, None), (None, 9, None)}
+    with pytest.raises(ValueError):
+        J.asof_join(points, events, ["k"], "p", "t", ["v"], tie=[])
+
+
+def test_bands_with_an_open_end(spark, large):
+    bands = spark.createDataFrame([(float(i), i + 0.9 if i < 999 else 9.99e11, i) for i in range(1000)], "lo double, hi double, n int")
+    values = [(0.5,), (500.2,), (500.95,), (999.5,), (8e11,), (None,)]
+    out = J.band_join(spark.createDataFrame(values, "x double"), bands, "x", "lo", "hi", ["n"])
+    assert {(r.x, r.n) for r in out.collect()} == {(0.5, 0), (500.2, 500), (500.95, None), (999.5, 999), (8e11, 999), (None, None)}
+
+
+def test_proximity_join_refuses_outer_right(spark):
+    a = spark.range(1).withColumn("t", F.current_timestamp())
+    b = a.toDF("i", "u")
+    for how in ("right", "full", "full_outer"):
+        with pytest.raises(ValueError):
+            J.proximity_join(a, b, [("id", "i")], "t", "u", 5, how)
+
+
 def test_proximity_join_against_brute_force(spark):
     rng = random.Random(3)
     a = [(i, rng.choice("xy"), rng.randrange(400)) for i in range(60)]

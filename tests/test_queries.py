@@ -6,9 +6,10 @@ import pytest
 from conftest import SMALL, spark_table, table_of
 
 import __spark_entry__ as entry_point
+from ledgerloom.plans import load_all
+from ledgerloom.plans.registry import QUERIES, SQL
 
-QUERIES = entry_point.queries()
-SQL = entry_point.oracle_sql()
+load_all()
 
 #: Queries whose operators choose another way for large inputs.
 SPLIT = [
@@ -29,6 +30,8 @@ def expected(duck, name):
 
 def test_every_query_has_comparison_sql():
     assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(SQL) <= set(entry_point.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
