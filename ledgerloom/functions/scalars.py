@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 __all__ = [
     "amount_sum",
     "array_at",
     "cents",
+    "exact_amount",
+    "minor_units",
     "fits_bytes",
     "fixed_text",
     "hex_to_base64",
@@ -42,15 +45,32 @@ def _col(c: Column | str) -> Column:
 
 
 def cents(c: Column | str) -> Column:
-    """Whole cents of an amount with two decimals: exact like a decimal, and far cheaper to build."""
+    """Whole cents of a *double* that holds an amount with two decimals, up to 2^53 cents; cheap to build.
+
+    Not for decimals, nor for amounts with more decimals: use ``exact_amount`` there.
+    """
     return F.rint(_col(c) * 100).cast("long")
 
 
 def amount_sum(c: Column | str) -> Column:
-    """Exact sum of amounts with two decimals, as a double; wide enough for any number of rows."""
+    """Sum of doubles that hold amounts with two decimals, exact until its last conversion to a double."""
     return F.sum(cents(c).cast("decimal(18,0)")).cast("double") / 100
 
 
+def exact_amount(df: DataFrame, name: str, scale: int = 6) -> Column:
+    """The column as a decimal that can be summed without rounding: decimals as they are, others with ``scale`` digits."""
+    kind = df.schema[name].dataType
+    return F.col(name) if isinstance(kind, DecimalType) else F.col(name).cast(f"decimal(28,{scale})")
+
+
+def minor_units(df: DataFrame, name: str) -> Column:
+    """Whole cents of an amount with two decimals: exact for decimals, by ``cents`` for doubles."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, DecimalType):
+        return F.round(F.col(name) * 100, 0).cast("decimal(38,0)")
+    return cents(name)
+
+
 def strip(c: Column | str) -> Column:
     """TRIM of every kind of white space (Spark's ``trim`` removes blanks only)."""
     return F.regexp_replace(_col(c), r"^\s+|\s+$", "")

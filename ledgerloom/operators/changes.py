@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import key_hash
 from ledgerloom.operators.ordered import attach_group, latest_per_key
-from ledgerloom.session import settled
+from ledgerloom.session import materialize, settled
 
 #: Gets the target and the source column accessors, returns an expression.
 Rule = Callable[[Callable[[str], Column], Callable[[str], Column]], Column]
@@ -20,14 +20,10 @@ def _has_keys(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
-def _one_per_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The source with an error for a key that occurs twice, which a merge may not update from."""
+def _per_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One source row per key, with the number of rows it stands for."""
     rest = [c for c in source.columns if c not in keys]
-    grouped = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in rest])
-    checked = F.when(F.col("_n") > 1, F.raise_error(F.lit("merge source has several rows for one key"))).otherwise(
-        F.lit(True)
-    )
-    return grouped.withColumn("_in_s", checked.cast("boolean")).drop("_n")
+    return source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in rest])
 
 
 def merge(
@@ -41,42 +37,46 @@ def merge(
     """The target after MERGE … ON equal keys.
 
     ``update`` gives new values for matched rows (only those that meet ``when``); ``insert`` adds
-    unmatched source rows, ``True`` meaning all columns by name. Rows with a NULL key never match; they
-    bypass the join, so they do not pile up in one task.
+    unmatched source rows, ``True`` meaning all columns by name. Rows with a NULL key never match. Several source
+    rows for one key are an error if they would update a target row; unmatched, all of them are inserted.
+
+    The target is joined to the source from the left, which lets Spark broadcast a small source and split a hot
+    key of the target; what is to be inserted comes from an anti join to the target's keys.
     """
     update = update or {}
     columns = target.columns
-    t_rows = target.filter(_has_keys(keys)).select(
-        *[F.col(c).alias(f"t__{c}") for c in columns], F.lit(True).alias("_in_t")
-    )
-    unique = settled(_one_per_key(source.filter(_has_keys(keys)), keys), "merge-source")
-    s_rows = unique.select(*[F.col(c).alias(f"s__{c}") for c in source.columns], "_in_s")
     t = lambda c: F.col(f"t__{c}")
     s = lambda c: F.col(f"s__{c}")
-    on = reduce(lambda a, b: a & b, [t(k) == s(k) for k in keys])
-    joined = t_rows.join(s_rows, on, "full" if insert else "left")
-    changed = F.col("_in_t").isNotNull() & F.col("_in_s").isNotNull()
-    if when is not None:
-        changed = changed & F.coalesce(when(t, s), F.lit(False))
+    t_rows = target.select(*[F.col(c).alias(f"t__{c}") for c in columns])
+    merged = target
+    if update:
+        unique = settled(_per_key(source.filter(_has_keys(keys)), keys), "merge-source")
+        s_rows = unique.select(*[F.col(c).alias(f"s__{c}") for c in source.columns], "_n")
+        joined = t_rows.join(s_rows, reduce(lambda a, b: a & b, [t(k) == s(k) for k in keys]), "left")
+        several = F.raise_error(F.lit("merge source has several rows for one key")).cast("boolean")
+        changed = F.when(F.col("_n") > 1, several).otherwise(F.col("_n").isNotNull())
+        if when is not None:
+            changed = changed & F.coalesce(when(t, s), F.lit(False))
+
+        def value(c: str) -> Column:
+            kept = F.when(changed, update[c](t, s)).otherwise(t(c)) if c in update else t(c)
+            return kept.cast(target.schema[c].dataType).alias(c)
+
+        merged = joined.select(*[value(c) for c in columns])
+    if not insert:
+        return merged
 
     def inserted(c: str) -> Column:
         if insert is True:
-            return s(c) if c in source.columns else F.lit(None)
-        return insert[c](t, s) if insert and c in insert else F.lit(None)
-
-    def value(c: str) -> Column:
-        kept = F.when(changed, update[c](t, s)).otherwise(t(c)) if c in update else t(c)
-        kept = F.when(F.col("_in_t").isNull(), inserted(c)).otherwise(kept) if insert else kept
-        return kept.cast(target.schema[c].dataType).alias(c)
+            new = s(c) if c in source.columns else F.lit(None)
+        else:
+            new = insert[c](t, s) if c in insert else F.lit(None)
+        return new.cast(target.schema[c].dataType).alias(c)
 
-    merged = joined.select(*[value(c) for c in columns])
-    merged = merged.unionByName(target.filter(~_has_keys(keys)))
-    if insert:
-        extra = source.filter(~_has_keys(keys)).select(*[F.col(c).alias(f"s__{c}") for c in source.columns])
-        merged = merged.unionByName(
-            extra.select(*[inserted(c).cast(target.schema[c].dataType).alias(c) for c in columns])
-        )
-    return merged
+    known = target.select(*[F.col(k).alias(f"t__{k}") for k in keys])
+    fresh = source.select(*[F.col(c).alias(f"s__{c}") for c in source.columns])
+    fresh = fresh.join(known, reduce(lambda a, b: a & b, [t(k) == s(k) for k in keys]), "left_anti")
+    return merged.unionByName(fresh.select(*[inserted(c) for c in columns]))
 
 
 def insert_absent(target: DataFrame, source: DataFrame, identity: Callable[[DataFrame], Column]) -> DataFrame:
@@ -100,15 +100,19 @@ def cdc_hash_replace(
 
 
 def _flagged(df: DataFrame, listed: DataFrame, key: str, listed_key: str) -> DataFrame:
-    """``df`` with ``_hit``: whether the key is in the list.
+    """``df`` with ``_hit``: whether the key is in the list. One left join to the distinct keys: ``df`` is read once."""
+    keys = listed.select(F.col(listed_key).alias("_listed")).filter(F.col("_listed").isNotNull()).distinct()
+    joined = df.join(settled(keys, "listed"), F.col(key) == F.col("_listed"), "left")
+    return joined.withColumn("_hit", F.col("_listed").isNotNull()).drop("_listed")
 
-    A semi and an anti join share their shuffles and, unlike a join to the distinct keys, let adaptive
-    execution split a hot key.
-    """
-    keys = listed.select(F.col(listed_key).alias("_listed"))
-    on = F.col(key) == F.col("_listed")
-    hits = df.join(keys, on, "left_semi").withColumn("_hit", F.lit(True))
-    return hits.unionByName(df.join(keys, on, "left_anti").withColumn("_hit", F.lit(False)))
+
+def _absent(flagged: DataFrame, listed: DataFrame, key: str, listed_key: str) -> tuple[DataFrame, Column]:
+    """``flagged`` with a summary of the list, and the condition ``key NOT IN (list)`` with SQL's NULL rules."""
+    summary = F.broadcast(
+        listed.agg(F.count(F.lit(1)).alias("_n"), F.count_if(F.col(listed_key).isNull()).alias("_nulls"))
+    )
+    hit = (F.col("_n") == 0) | (~F.col("_hit") & F.col(key).isNotNull() & (F.col("_nulls") == 0))
+    return flagged.crossJoin(summary), hit
 
 
 def update_where_in(
@@ -124,11 +128,7 @@ def update_where_not_in(
     df: DataFrame, listed: DataFrame, key: str, listed_key: str, values: Mapping[str, Column]
 ) -> DataFrame:
     """UPDATE … SET values WHERE key NOT IN (list): a NULL in the list updates nothing."""
-    summary = F.broadcast(
-        listed.agg(F.count(F.lit(1)).alias("_n"), F.count_if(F.col(listed_key).isNull()).alias("_nulls"))
-    )
-    flagged = _flagged(df, listed, key, listed_key).crossJoin(summary)
-    hit = (F.col("_n") == 0) | (~F.col("_hit") & F.col(key).isNotNull() & (F.col("_nulls") == 0))
+    flagged, hit = _absent(_flagged(df, listed, key, listed_key), listed, key, listed_key)
     return flagged.select(*[F.when(hit, values[c]).otherwise(F.col(c)).alias(c) if c in values else F.col(c) for c in df.columns])
 
 
@@ -162,8 +162,9 @@ def roll_current(
     """
     both = current.unionByName(new)
     marked = attach_group(both, keys, {"_newest": F.max(F.struct(*order))})
-    is_newest = F.struct(*order) == F.col("_newest")
-    return marked.filter(is_newest).drop("_newest"), marked.filter(~is_newest).drop("_newest")
+    # written once: both outputs read it
+    marked = materialize(marked.withColumn("_newest", F.struct(*order) == F.col("_newest")), "rolled")
+    return marked.filter("_newest").drop("_newest"), marked.filter("not _newest").drop("_newest")
 
 
 def one_current(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> tuple[DataFrame, DataFrame]:
@@ -186,14 +187,18 @@ def flag_missing(
     stored: DataFrame, snapshot: DataFrame, key: str, snapshot_key: str, status: str, closed: str, reopened: str,
     inactive: Sequence[str],
 ) -> DataFrame:
-    """Status after a full snapshot: absent rows become ``closed``, returning inactive rows ``reopened``."""
-    flagged = _flagged(stored, snapshot, key, snapshot_key)
+    """Status after a full snapshot: rows NOT IN it become ``closed``, returning inactive rows ``reopened``.
+
+    A NULL key in the snapshot closes nothing, and a NULL key is closed by an empty snapshot only.
+    """
+    flagged, absent = _absent(_flagged(stored, snapshot, key, snapshot_key), snapshot, key, snapshot_key)
+    is_inactive = F.coalesce(F.col(status).isin(*inactive), F.lit(False))
     new = (
-        F.when(~F.col("_hit") & ~F.col(status).isin(*inactive), closed)
-        .when(F.col("_hit") & F.col(status).isin(*inactive), reopened)
+        F.when(absent & ~is_inactive, closed)
+        .when(F.col("_hit") & is_inactive, reopened)
         .otherwise(F.col(status))
     )
-    return flagged.withColumn(status, new).drop("_hit")
+    return flagged.withColumn(status, new).drop("_hit", "_n", "_nulls")
 
 
 def evolve(old: DataFrame, new: DataFrame, types: Mapping[str, str], names: Mapping[str, str] = {}) -> DataFrame:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions import cents, luhn_valid, strip, try_parse_date
+from ledgerloom.functions import exact_amount, luhn_valid, strip, try_parse_date
 
 
 def required_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
@@ -109,10 +109,11 @@ def trailer_counts(body: DataFrame, trailer: DataFrame, segment: str, expected:
 
 
 def totals_match(body: DataFrame, summary: DataFrame, amount: str, count_field: str, total_field: str) -> DataFrame:
-    """Row count and amount total of a file against its one summary record."""
-    total = F.sum(cents(amount).cast("decimal(18,0)"))
-    counted = body.agg(F.count(F.lit(1)).alias("n_rows"), (F.coalesce(total, F.lit(0)) / 100).alias("total"))
-    joined = counted.crossJoin(F.broadcast(summary.agg(F.max(count_field).alias("_n"), F.max(total_field).alias("_t"))))
+    """Row count and amount total of a file against its one summary record; no row's amount is rounded."""
+    total = F.coalesce(F.sum(exact_amount(body, amount)), F.lit(0))
+    counted = body.agg(F.count(F.lit(1)).alias("n_rows"), total.alias("total"))
+    given = summary.agg(F.max(count_field).alias("_n"), F.max(exact_amount(summary, total_field)).alias("_t"))
+    joined = counted.crossJoin(F.broadcast(given))
     ok = lambda a, b: F.when(F.col(a) == F.col(b), "Match").otherwise("Mismatch")
     both = (F.col("n_rows") == F.col("_n")) & (F.col("total") == F.col("_t"))
     return joined.select(

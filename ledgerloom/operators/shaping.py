@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -125,6 +125,16 @@ def rank_to_wide(
     )
 
 
+def latest_to_wide(df: DataFrame, keys: Sequence[str], period: str, values: Sequence[str], n: int) -> DataFrame:
+    """The ``n`` newest periods of each key to ``<value>_t0 … <value>_t(n-1)`` columns.
+
+    ``df`` has one row per key and period, so ranks are dense per key whatever periods are missing; a key has at most
+    one row per calendar period.
+    """
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(period).desc()))
+    return rank_to_wide(df.withColumn("_rank", rank), keys, "_rank", values, range(1, n + 1))
+
+
 def name_value_to_wide(df: DataFrame, pairs: str, names: Sequence[str]) -> DataFrame:
     """Array of (name, value) structs to one column per name; no shuffle, the row stays whole."""
     lookup = F.map_from_entries(F.col(pairs))

@@ -12,14 +12,13 @@ from ledgerloom.sources import tables as W
 
 _LEDGER_SQL = """
     WITH t AS (SELECT o_custkey AS customer_id, CAST(sum(CAST(floor(o_totalprice) AS BIGINT)) AS BIGINT) AS points, CAST(max(o_orderdate) AS DATE) AS update_dt
-               FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01' AND o_totalprice > 300000 GROUP BY 1),
+               FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01' GROUP BY 1),
          s AS (SELECT o_custkey AS customer_id, CAST(sum(CAST(floor(o_totalprice) AS BIGINT)) AS BIGINT) AS points, CAST(max(o_orderdate) AS DATE) AS update_dt
-               FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01' AND o_totalprice > 300000 GROUP BY 1)"""
+               FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01' GROUP BY 1)"""
 
 
 def ledgers(t: Tables):
     """Stored points per customer, and newly computed ones."""
-    big = t.orders.filter("o_totalprice > 300000")
     split = F.lit("1998-01-01").cast("timestamp_ntz")
 
     def points(df):
@@ -27,7 +26,7 @@ def ledgers(t: Tables):
             F.sum(F.floor("o_totalprice")).alias("points"), F.to_date(F.max("o_orderdate")).alias("update_dt")
         )
 
-    return points(big.filter(F.col("o_orderdate") < split)), points(big.filter(F.col("o_orderdate") >= split))
+    return points(t.orders.filter(F.col("o_orderdate") < split)), points(t.orders.filter(F.col("o_orderdate") >= split))
 
 
 @query(
@@ -95,12 +94,12 @@ def _(t: Tables):
     """
     SELECT c_custkey, c_name, CAST(coalesce(last_day, c_since) AS DATE) AS c_since
     FROM (SELECT c_custkey, c_name, DATE '1990-01-01' AS c_since FROM customer)
-    LEFT JOIN (SELECT o_custkey, CAST(max(o_orderdate) AS DATE) AS last_day FROM orders WHERE o_totalprice > 400000 GROUP BY 1) ON o_custkey = c_custkey""",
+    LEFT JOIN (SELECT o_custkey, CAST(max(o_orderdate) AS DATE) AS last_day FROM orders GROUP BY 1) ON o_custkey = c_custkey""",
 )
 def _(t: Tables):
     target = t.customer.select("c_custkey", "c_name", F.lit("1990-01-01").cast("date").alias("c_since"))
     source = (
-        t.orders.filter("o_totalprice > 400000").groupBy(F.col("o_custkey").alias("c_custkey"))
+        t.orders.groupBy(F.col("o_custkey").alias("c_custkey"))
         .agg(F.to_date(F.max("o_orderdate")).alias("last_day"))
     )
     return C.merge(target, source, ["c_custkey"], update={"c_since": lambda t, s: s("last_day")})
@@ -195,12 +194,11 @@ def _(t: Tables):
 @query(
     "dml_one_current_per_key",
     """
-    WITH p AS (SELECT * FROM orders WHERE o_orderstatus = 'P')
-    SELECT o_custkey, 'current' AS kind, max(o_orderkey) AS detail FROM p GROUP BY 1
-    UNION ALL SELECT o_custkey, 'several', count(*) FROM p GROUP BY 1 HAVING count(*) > 1""",
+    SELECT o_custkey, 'current' AS kind, max(o_orderkey) AS detail FROM orders GROUP BY 1
+    UNION ALL SELECT o_custkey, 'several', count(*) FROM orders GROUP BY 1 HAVING count(*) > 1""",
 )
 def _(t: Tables):
-    current, several = C.one_current(t.orders.filter("o_orderstatus = 'P'"), ["o_custkey"], [F.desc("o_orderkey")])
+    current, several = C.one_current(t.orders, ["o_custkey"], [F.desc("o_orderkey")])
     return current.select("o_custkey", F.lit("current").alias("kind"), F.col("o_orderkey").alias("detail")).unionByName(
         several.select("o_custkey", F.lit("several").alias("kind"), F.col("n_rows").alias("detail"))
     )

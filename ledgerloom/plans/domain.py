@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import next_monthly, next_occurrence
-from ledgerloom.operators.joins import asof_join, full_add, merge_chain, not_in
+from ledgerloom.operators.joins import full_add, merge_chain, not_in
 from ledgerloom.operators.ordered import latest_per_key, over_neighbours, positions
 from ledgerloom.operators.shaping import priority_case, unpivot
 from ledgerloom.session import settled
@@ -141,18 +141,58 @@ def burndown_forecast(rates: DataFrame, as_of: date, horizon: int = 365) -> Data
 
 
 def cumulative_flow(
-    changes: DataFrame, group: str, entity: str, at: str, status: str, tie: Sequence[str], start: str, end: str, every: str
+    changes: DataFrame,
+    group: str,
+    entity: str,
+    at: str,
+    status: str,
+    tie: Sequence[str],
+    start: str,
+    end: str,
+    every: str,
+    by_day: bool = False,
+    calendars: DataFrame | None = None,
 ) -> DataFrame:
     """Entities per group and status at each point of a calendar, by the last status at or before it.
 
-    Every status that a group ever shows has a row at every point, with zero where no entity has it.
+    Every status that a group shows at a point has a row at every point, with zero where no entity has it. ``by_day``
+    compares days in place of instants. ``calendars`` (group, points: sorted array) replaces the common calendar. Work
+    follows the changes: an entity's last change before each point adds one to its status and takes one from the former.
+    Changes without group, entity or time are left out.
     """
-    calendar = F.sequence(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz"), F.expr(f"interval {every}"))
-    points = changes.select(group, entity).distinct().withColumn("point", F.explode(calendar))
-    state = asof_join(points, changes, [group, entity], "point", at, [status], tie=tie)
-    counted = state.groupBy(group, "point", status).agg(F.count(F.lit(1)).alias("n"))
-    frame = counted.select(group, status).distinct().withColumn("point", F.explode(calendar))
-    return frame.join(counted, [group, "point", status], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    known = F.col(group).isNotNull() & F.col(entity).isNotNull() & F.col(at).isNotNull()
+    rows = changes.filter(known)
+    if calendars is None:
+        calendar = F.sequence(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz"), F.expr(f"interval {every}"))
+        rows = rows.withColumn("_points", calendar)
+    else:
+        rows = rows.join(calendars.select(group, F.col("points").alias("_points")), group)
+    day = F.to_date if by_day else (lambda c: c)
+    # number of points before the change: its place in the calendar
+    slot = F.size(F.filter("_points", lambda p: day(p) < day(F.col(at))))
+    rows = rows.withColumn("_slot", slot).filter(F.col("_slot") < F.size("_points"))
+    last = rows.groupBy(group, entity, "_slot").agg(
+        F.max_by(status, F.struct(at, *tie)).alias("_new"), F.first("_points").alias("_points")
+    )
+    # one row per entity and slot: bounded by the calendar
+    former = F.lag("_new").over(Window.partitionBy(group, entity).orderBy("_slot"))
+    had = F.lag(F.lit(True)).over(Window.partitionBy(group, entity).orderBy("_slot"))
+    last = last.withColumns({"_old": former, "_had": had})
+    plus = F.struct(F.col("_new").alias("s"), F.lit(1).alias("d"))
+    minus = F.when(F.col("_had"), F.struct(F.col("_old").alias("s"), F.lit(-1).alias("d")))
+    moves = last.select(group, "_slot", "_points", F.explode(F.array_compact(F.array(plus, minus))).alias("m"))
+    steps = moves.groupBy(group, F.col("m.s").alias(status), "_slot").agg(
+        F.sum("m.d").alias("_d"), F.first("_points").alias("_points")
+    )
+    shown = steps.groupBy(group, status).agg(F.first("_points").alias("_points"))
+    shown = shown.select(group, status, F.posexplode("_points").alias("_slot", "point"))
+    steps = steps.select(
+        F.col(group).alias("_g"), F.col(status).alias("_s"), F.col("_slot").alias("_k"), "_d"
+    )
+    on = (F.col(group) == F.col("_g")) & F.col(status).eqNullSafe(F.col("_s")) & (F.col("_slot") == F.col("_k"))
+    upto = Window.partitionBy(group, status).orderBy("_slot").rowsBetween(Window.unboundedPreceding, 0)
+    flow = shown.join(steps, on, "left").withColumn("n", F.sum(F.coalesce("_d", F.lit(0))).over(upto))
+    return flow.select(group, "point", status, "n")
 
 
 def with_creation_events(issues: DataFrame, changes: DataFrame, tie: str) -> DataFrame:
@@ -236,8 +276,10 @@ def statement_lines(parents: DataFrame, children: DataFrame, key: str, cycle: st
     lines = parents.select(key, cycle, F.lit(0).cast("long").alias("record_seq"), "text").unionByName(
         numbered.join(parents.select(key, cycle), key).select(key, cycle, "record_seq", "text")
     )
-    trailer = lines.groupBy(cycle).agg(
-        F.count(F.lit(1)).alias("_all"), F.count_if(F.col("record_seq") == 0).alias("_parents")
+    # the trailer needs counts only, so the numbering runs once
+    n_children = settled(children.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n")), "children")
+    trailer = parents.join(n_children, F.col(key) == F.col("_k"), "left").groupBy(cycle).agg(
+        (F.count(F.lit(1)) + F.coalesce(F.sum("_n"), F.lit(0))).alias("_all"), F.count(F.lit(1)).alias("_parents")
     )
     text = F.format_string("T%011d%011d", "_all", "_parents")
     return lines.unionByName(
@@ -252,16 +294,18 @@ def end_of_day(
 
     ``status``: key, at, no, status. ``balances``: key, at, no, balance.
     """
-    def newest(df: DataFrame, until: Column, value: str, name: str) -> DataFrame:
-        seen = df.filter(F.to_date("at") <= until)
-        last = seen.groupBy(key).agg(F.max_by(value, F.struct("at", "no")).alias(name))
-        return settled(last, "end-of-day")
+    def newest(df: DataFrame, values: dict[str, tuple[str, Column]]) -> DataFrame:
+        order = F.struct("at", "no")
+        seen = df.filter(F.to_date("at") <= F.lit(as_of))
+        last = [
+            F.max_by(value, F.when(F.to_date("at") <= until, order)).alias(name) for name, (value, until) in values.items()
+        ]
+        return settled(seen.groupBy(key).agg(*last), "end-of-day")
 
     day = F.lit(as_of)
+    ends = {"closing": ("balance", day), "opening": ("balance", F.date_sub(day, 1))}
     return (
-        newest(status, day, "status", "status").join(accounts, key)
-        .join(newest(balances, day, "balance", "closing"), key, "left")
-        .join(newest(balances, F.date_sub(day, 1), "balance", "opening"), key, "left")
+        newest(status, {"status": ("status", day)}).join(accounts, key).join(newest(balances, ends), key, "left")
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import amount_sum, business_day, cents, mask_alnum, sha256_hex, stable_bucket
 from ledgerloom.operators.aggregates import capped_grade
 from ledgerloom.operators.changes import merge
-from ledgerloom.operators.shaping import case_map, latest_load, rank_to_wide
+from ledgerloom.operators.shaping import case_map, latest_load, latest_to_wide
 from ledgerloom.plans import domain as D
 from ledgerloom.plans.load import FILE_LOAD, TABLE_LOAD, Segment, load_segment_file, run_chain
 from ledgerloom.plans.registry import AS_OF, Tables, query
@@ -101,18 +101,17 @@ _MATRIX = ", ".join(f"max(CASE WHEN r = {i} THEN {v} END) AS {v}_t{i}" for v in
 @query(
     "app_feature_matrix",
     f"""
-    WITH w AS (SELECT user_id, date_diff('day', date_trunc('week', ts), (SELECT max(date_trunc('week', ts)) FROM events)) // 7 AS r, count(*) AS n,
-      CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS spent, max(value) AS top FROM events GROUP BY 1, 2)
+    WITH g AS (SELECT user_id, date_trunc('week', ts) AS wk, count(*) AS n,
+      CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS spent, max(value) AS top FROM events GROUP BY 1, 2),
+    w AS (SELECT *, dense_rank() OVER (PARTITION BY user_id ORDER BY wk DESC) - 1 AS r FROM g)
     SELECT user_id, {_MATRIX} FROM w GROUP BY user_id""",
 )
 def _(t: Tables):
     week = F.trunc("ts", "week")
-    newest = t.events.agg(F.max(week).alias("newest"))
     weekly = t.events.groupBy("user_id", week.alias("wk")).agg(
         F.count(F.lit(1)).alias("n"), amount_sum("value").alias("spent"), F.max("value").alias("top")
     )
-    ranked = weekly.crossJoin(F.broadcast(newest)).withColumn("r", (F.datediff("newest", "wk") / 7).cast("int"))
-    return rank_to_wide(ranked, ["user_id"], "r", ["n", "spent", "top"], range(5))
+    return latest_to_wide(weekly, ["user_id"], "wk", ["n", "spent", "top"], 5)
 
 
 # attribute -> ascending (upper bound, points) (fixed values of the example)
@@ -195,7 +194,7 @@ _FREQUENCIES = {"AUTOMOBILE": "once", "BUILDING": "weekly", "FURNITURE": "bi-wee
 @query(
     "app_next_occurrence",
     f"""
-    WITH f AS (SELECT c_custkey, c_mktsegment, CAST(max(o_orderdate) AS DATE) AS d FROM customer JOIN orders ON o_custkey = c_custkey AND o_orderpriority = '1-URGENT' GROUP BY 1, 2)
+    WITH f AS (SELECT c_custkey, c_mktsegment, CAST(max(o_orderdate) AS DATE) AS d FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY 1, 2)
     SELECT c_custkey, d AS first_on, CASE c_mktsegment WHEN 'AUTOMOBILE' THEN CASE WHEN d >= DATE '{AS_OF}' THEN d END
       WHEN 'BUILDING' THEN CASE WHEN d >= DATE '{AS_OF}' THEN d ELSE d + CAST(ceil((DATE '{AS_OF}' - d) / 7.0) * 7 AS INT) END
       WHEN 'FURNITURE' THEN CASE WHEN d >= DATE '{AS_OF}' THEN d ELSE d + CAST(ceil((DATE '{AS_OF}' - d) / 14.0) * 14 AS INT) END
@@ -203,7 +202,7 @@ _FREQUENCIES = {"AUTOMOBILE": "once", "BUILDING": "weekly", "FURNITURE": "bi-wee
         ELSE DATE '1998-07-15' + CAST(day(d) - 15 AS INT) END END AS next_date FROM f""",
 )
 def _(t: Tables):
-    first = t.orders.filter("o_orderpriority = '1-URGENT'").groupBy("o_custkey").agg(F.to_date(F.max("o_orderdate")).alias("first_on"))
+    first = t.orders.groupBy("o_custkey").agg(F.to_date(F.max("o_orderdate")).alias("first_on"))
     plans = t.customer.join(first, F.col("o_custkey") == F.col("c_custkey")).select(
         "c_custkey", "first_on", case_map("c_mktsegment", _FREQUENCIES).alias("frequency")
     )

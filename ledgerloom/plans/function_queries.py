@@ -228,7 +228,7 @@ def _(t: Tables):
 @query(
     "fn_hash",
     """
-    SELECT doc_id, sha256(text) AS f_sha256_hex, hex(CAST(CAST(doc_id AS VARCHAR) AS BLOB)) AS f_to_hex, CAST(doc_id AS VARCHAR) AS f_from_hex,
+    SELECT doc_id, sha256(text) AS f_sha256_hex, lower(hex(CAST(CAST(doc_id AS VARCHAR) AS BLOB))) AS f_to_hex, CAST(doc_id AS VARCHAR) AS f_from_hex,
       base64(CAST(CAST(doc_id AS VARCHAR) AS BLOB)) AS f_to_base64, base64(from_hex(md5(lang || source))) AS f_md5,
       CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 15)) AS BIGINT) % 10000 AS f_bucket FROM documents""",
 )
@@ -237,7 +237,7 @@ def _(t: Tables):
     return t.documents.select(
         "doc_id",
         F.sha2("text", 256).alias("f_sha256_hex"),
-        F.hex(raw).alias("f_to_hex"),
+        F.lower(F.hex(raw)).alias("f_to_hex"),
         F.decode(F.unhex(F.hex(raw)), "UTF-8").alias("f_from_hex"),
         F.base64(raw).alias("f_to_base64"),
         fn.key_hash(["lang", "source"]).alias("f_md5"),

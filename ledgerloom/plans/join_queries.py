@@ -27,45 +27,41 @@ def _(t: Tables):
 @query(
     "join_left",
     """
-    SELECT c_custkey, n_name, r_name, o_orderkey FROM customer
+    SELECT c_custkey, n_name, r_name, s_name FROM customer
     LEFT JOIN nation ON n_nationkey = c_nationkey AND n_nationkey < 20
     LEFT JOIN region ON r_regionkey = n_regionkey
-    LEFT JOIN orders ON o_custkey = c_custkey AND o_totalprice > 400000""",
+    LEFT JOIN supplier ON s_suppkey = c_custkey""",
 )
 def _(t: Tables):
-    big = t.orders.filter("o_totalprice > 400000")
     return (
         t.customer.join(t.nation.filter("n_nationkey < 20"), F.col("n_nationkey") == F.col("c_nationkey"), "left")
         .join(t.region, F.col("r_regionkey") == F.col("n_regionkey"), "left")
-        .join(big, F.col("o_custkey") == F.col("c_custkey"), "left")
-        .select("c_custkey", "n_name", "r_name", "o_orderkey")
+        .join(t.supplier, F.col("s_suppkey") == F.col("c_custkey"), "left")
+        .select("c_custkey", "n_name", "r_name", "s_name")
     )
 
 
 @query(
     "join_right",
     """
-    SELECT o_orderkey, o_totalprice, c_custkey FROM (SELECT * FROM orders WHERE o_totalprice > 450000)
-    RIGHT JOIN customer ON o_custkey = c_custkey""",
+    SELECT s_suppkey, s_name, c_custkey FROM supplier RIGHT JOIN customer ON s_suppkey = c_custkey""",
 )
 def _(t: Tables):
-    big = t.orders.filter("o_totalprice > 450000")
-    return big.join(t.customer, F.col("o_custkey") == F.col("c_custkey"), "right").select(
-        "o_orderkey", "o_totalprice", "c_custkey"
+    return t.supplier.join(t.customer, F.col("s_suppkey") == F.col("c_custkey"), "right").select(
+        "s_suppkey", "s_name", "c_custkey"
     )
 
 
 @query(
     "join_full_outer",
     """
-    WITH a AS (SELECT o_custkey AS k, count(*) AS n FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 250000 GROUP BY 1),
-         b AS (SELECT o_custkey AS k, count(*) AS n FROM orders WHERE o_orderstatus = 'O' AND o_totalprice > 250000 GROUP BY 1)
-    SELECT coalesce(a.k, b.k) AS o_custkey, coalesce(a.n, 0) + coalesce(b.n, 0) AS n_orders FROM a FULL JOIN b ON a.k = b.k""",
+    WITH a AS (SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY 1),
+         b AS (SELECT user_id AS k, count(*) AS n FROM events GROUP BY 1)
+    SELECT coalesce(a.k, b.k) AS party, coalesce(a.n, 0) + coalesce(b.n, 0) AS n FROM a FULL JOIN b ON a.k = b.k""",
 )
 def _(t: Tables):
-    big = t.orders.filter("o_totalprice > 250000")
-    counted = lambda s: big.filter(F.col("o_orderstatus") == s).groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders"))
-    return J.full_add(counted("F"), counted("O"), ["o_custkey"], ["n_orders"])
+    counted = lambda df, k: df.groupBy(F.col(k).alias("party")).agg(F.count(F.lit(1)).alias("n"))
+    return J.full_add(counted(t.orders, "o_custkey"), counted(t.events, "user_id"), ["party"], ["n"])
 
 
 @query(

@@ -47,7 +47,8 @@ def _dedup(df: DataFrame, config: Mapping, lookups: Mapping[str, DataFrame]) ->
     order: list[Column] = [
         F.expr(e[:-5]).desc() if e.lower().endswith(" desc") else F.expr(e) for e in config.get("dedup_order", [])
     ]
-    return latest_per_key(df, keys, order or [F.xxhash64(*[c for c in df.columns if c not in keys])])
+    rest = [c for c in df.columns if c not in keys]
+    return latest_per_key(df, keys, order or [F.xxhash64(*rest) if rest else F.lit(0)])
 
 
 def _sync(df: DataFrame, config: Mapping, lookups: Mapping[str, DataFrame]) -> DataFrame:

@@ -6,11 +6,9 @@ from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
-_schemas: dict[str, StructType] = {}
 
 #: Reference date of every date-relative query; the callers of the operators pass their own.
 AS_OF = date(1998, 6, 15)
@@ -27,10 +25,7 @@ class Tables:
         return f"{self.folder}/{name}.parquet"
 
     def __getattr__(self, name: str) -> DataFrame:
-        path = self.path(name)
-        if path not in _schemas:
-            _schemas[path] = self.spark.read.parquet(path).schema
-        return self.spark.read.schema(_schemas[path]).parquet(path)
+        return self.spark.read.parquet(self.path(name))
 
 
 def query(name: str, sql: str | None = None) -> Callable:

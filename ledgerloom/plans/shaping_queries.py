@@ -375,7 +375,7 @@ _WIDE = ", ".join(
     f"""
     WITH m AS (SELECT o_custkey, date_trunc('month', o_orderdate) AS mth, count(*) AS n_orders,
                       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS spend FROM orders GROUP BY 1, 2),
-         k AS (SELECT *, dense_rank() OVER (ORDER BY mth DESC) AS r FROM m)
+         k AS (SELECT *, dense_rank() OVER (PARTITION BY o_custkey ORDER BY mth DESC) AS r FROM m)
     SELECT o_custkey, {_WIDE} FROM k GROUP BY o_custkey""",
 )
 def _(t: Tables):
@@ -386,13 +386,7 @@ def _(t: Tables):
             amount_sum("o_totalprice").alias("spend"),
         )
     )
-    newest = t.orders.agg(F.max(F.trunc("o_orderdate", "MM")).alias("newest"))
-    # calendar months back from the newest one: a row-local rank, so no global window is needed
-    months_back = (
-        (F.year("newest") - F.year("mth")) * 12 + F.month("newest") - F.month("mth")
-    ).cast("int")
-    ranked = monthly.crossJoin(F.broadcast(newest)).withColumn("rank", months_back + 1)
-    return S.rank_to_wide(ranked, ["o_custkey"], "rank", ["n_orders", "spend"], range(1, 14))
+    return S.latest_to_wide(monthly, ["o_custkey"], "mth", ["n_orders", "spend"], 13)
 
 
 @query(

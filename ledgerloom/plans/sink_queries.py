@@ -145,15 +145,16 @@ def _(t: Tables):
 @query(
     "sink_jdbc_upsert",
     """
-    WITH s AS (SELECT o_custkey AS k, count(*) AS points, max(o_orderdate) AS seen FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 200000 GROUP BY 1),
-         n AS (SELECT o_custkey AS k, count(*) AS points, max(o_orderdate) AS seen FROM orders WHERE o_orderstatus = 'O' AND o_totalprice > 200000 GROUP BY 1)
+    WITH s AS (SELECT o_custkey AS k, count(*) AS points, max(o_orderdate) AS seen FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01' GROUP BY 1),
+         n AS (SELECT o_custkey AS k, count(*) AS points, max(o_orderdate) AS seen FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01' GROUP BY 1)
     SELECT coalesce(s.k, n.k) AS customer_id, coalesce(s.points, 0) + coalesce(n.points, 0) AS points, coalesce(n.seen, s.seen) AS seen FROM s FULL JOIN n ON s.k = n.k""",
 )
 def _(t: Tables):
-    rows = lambda status: t.orders.filter((F.col("o_orderstatus") == status) & (F.col("o_totalprice") > 200000)).groupBy(
+    split = F.lit("1998-01-01").cast("timestamp_ntz")
+    rows = lambda part: t.orders.filter(part).groupBy(
         F.col("o_custkey").alias("customer_id")
     ).agg(F.count(F.lit(1)).alias("points"), F.max("o_orderdate").alias("seen"))
-    return sinks.upsert(rows("F"), rows("O"), ["customer_id"], update=["points", "seen"], append=["points"])
+    return sinks.upsert(rows(F.col("o_orderdate") < split), rows(F.col("o_orderdate") >= split), ["customer_id"], update=["points", "seen"], append=["points"])
 
 
 @query(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.functions import cents, fits_bytes
+from ledgerloom.functions import fits_bytes, minor_units
 from ledgerloom.operators.changes import merge
 from ledgerloom.sources.tables import _fs
 
@@ -49,7 +49,7 @@ def control_file(
     records, cents), batch header (batch), batch trailer (batch, records, cents). Totals come from one
     aggregation per batch; no batch is gathered anywhere.
     """
-    total = F.sum(cents(amount))
+    total = F.sum(minor_units(records, amount)).cast("long")
     per_batch = records.groupBy(batch).agg(F.count(F.lit(1)).alias("_n"), total.alias("_c"))
     whole = per_batch.agg(F.count(F.lit(1)).alias("_b"), F.coalesce(F.sum("_n"), F.lit(0)).alias("_n"), F.coalesce(F.sum("_c"), F.lit(0)).alias("_c"))
     rows = lambda df, section, key, part, text: df.select(
