@@ -90,15 +90,20 @@ def source_targets(sizes: DataFrame, schedules: Sequence[Schedule] = SCHEDULES,
     return per.select("source", "source_size", "n_docs", "schedule", target.alias("target"))
 
 
-def plan_mix(docs: DataFrame, schedules: Sequence[Schedule] = SCHEDULES, cap: int = CAP) -> DataFrame:
-    """Each input row as struct ``doc``, with size, source_size, target, taken and ``positions``.
+def plan_mix(
+    docs: DataFrame,
+    schedules: Sequence[Schedule] = SCHEDULES,
+    cap: int = CAP,
+    carry: Sequence[str] | None = None,
+) -> DataFrame:
+    """Each input row as struct ``doc`` (of the columns ``carry``, by default all), with size, source_size, target, taken and ``positions``.
 
     ``positions`` holds the training times of the row's copies, none if the mix leaves it out. The
     words before a row are its bucket's words before it, plus those of earlier buckets: a source is cut by hash into
     as many buckets as the square root of its rows, so no task holds a whole source.
     """
     rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+        F.struct(*[F.col(f"`{c}`") for c in (docs.columns if carry is None else carry)]).alias("doc"),
         F.col("doc_id").alias("_id"),
         F.col("source"),
         word_count(F.col("text")).alias("size"),
@@ -188,8 +193,7 @@ def training_order(docs: DataFrame, schedules: Sequence[Schedule] = SCHEDULES, c
 )
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    sized = docs.select("doc_id", "source", "text")
-    plan = plan_mix(sized)
+    plan = plan_mix(docs, carry=["doc_id"])
     first = F.try_element_at("positions", F.lit(1)).alias("position")
     rows = plan.select(F.col("doc.doc_id").alias("doc_id"), "size", "source_size", "target", "taken", first)
     return rows.orderBy(F.col("position").asc_nulls_last(), "doc_id").drop("position")
