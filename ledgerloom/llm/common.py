@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.session import shared_dir
@@ -53,6 +53,23 @@ def crc_mod(key: str, m: int) -> Column:
     return F.crc32(F.col(key).cast("string")) % m
 
 
+def drawn(rows: DataFrame, label: str, limit: int) -> DataFrame:
+    """At most ``limit`` rows of each value of ``label``, those of least hash of the doc_id.
+
+    A count per label first gives a hash bound that leaves about twice as many rows, so only those are ranked.
+    """
+    kept = rows.columns
+    # one number per label: the labels of a classifier fit on the driver, as its weights do
+    sizes = {r[0]: r[1] for r in rows.groupBy(label).count().collect() if r[0] is not None}
+    if not sizes:
+        return rows.filter(F.lit(False))
+    size = F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair])
+    share = F.shiftrightunsigned(F.xxhash64("doc_id"), 1).cast("double") / float(1 << 63)
+    rows = rows.withColumn("_share", share).filter(F.col("_share") * F.element_at(size, F.col(label)) <= 2 * limit + 50)
+    rank = F.row_number().over(Window.partitionBy(label).orderBy("_share", *kept))
+    return rows.withColumn("_rank", rank).filter(F.col("_rank") <= limit).select(*kept)
+
+
 def words(text: Column) -> Column:
     """The words of a text as an array; a null text has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP, -1), "")

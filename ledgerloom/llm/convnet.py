@@ -85,23 +85,27 @@ def gradients(net: Net, x: np.ndarray, wanted: np.ndarray) -> tuple[float, list[
 
 def train(
     x: np.ndarray, wanted: np.ndarray, widths: tuple[int, ...] = (2, 4, 6), filters: int = 16, embed: int = 8,
-    epochs: int = 6, batch: int = 64, rate: float = 0.01, seed: int = 1,
+    epochs: int = 6, steps: int = 0, batch: int = 64, rate: float = 0.01, seed: int = 1,
 ) -> Net:
-    """Fit a network to windows ``x`` (n, length) of bytes and class shares ``wanted`` (n, classes)."""
+    """Fit a network to windows ``x`` (n, length) of bytes and class shares ``wanted`` (n, classes).
+
+    At least ``epochs`` passes, and ``steps`` mini-batches where the sample is small.
+    """
+    epochs = max(epochs, -(-steps * batch // len(x)))
     net = fresh(wanted.shape[1], widths, filters, embed, seed)
     rng = np.random.default_rng(seed)
     weights = net.parameters()
     first = [np.zeros_like(p) for p in weights]
     second = [np.zeros_like(p) for p in weights]
     step = 0
-    steps = epochs * -(-len(x) // batch)
+    planned = epochs * -(-len(x) // batch)
     for _ in range(epochs):
         order = rng.permutation(len(x))
         for a in range(0, len(x), batch):
             step += 1
             pick = order[a : a + batch]
             _, slopes = gradients(net, x[pick], wanted[pick])
-            now = rate * (1 - step / (steps + 1))
+            now = rate * (1 - step / (planned + 1))
             for p, g, m, v in zip(weights, slopes, first, second, strict=True):
                 m += 0.1 * (g - m)
                 v += 0.01 * (g * g - v)

@@ -15,13 +15,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ledgerloom.llm import convnet
 from ledgerloom.llm.bytesops import packed
-from ledgerloom.llm.common import arrow_sized, crc_mod, query, table
+from ledgerloom.llm.common import arrow_sized, crc_mod, drawn, query, table
 
 LENGTH = 256
 #: Texts of each language that training reads at most, and bytes of each.
@@ -30,17 +30,15 @@ PER_LANG, PIECE = 1000, 512
 FOLDS, HELD_OUT = 5, 0
 WIDTHS, FILTERS = (2, 4, 6), 12
 #: The pipeline keeps a document if its language has at least this share.
-LEAST_SHARE = 0.35
+LEAST_SHARE = 0.3
 
 
 def sampled(rows: DataFrame, label: str, limit: int, size: int) -> DataFrame:
     """At most ``limit`` rows of each ``label`` with one run of ``size`` bytes of each text: (label, piece)."""
+    few = drawn(rows.select("doc_id", label, "text"), label, limit)
     raw = F.col("text").cast("binary")
-    by_hash = F.xxhash64("doc_id")
     start = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(F.length(raw) - size, F.lit(0)) + 1).cast("int") + 1
-    rows = rows.select(F.col(label).alias("label"), by_hash.alias("h"), F.substring(raw, start, F.lit(size)).alias("piece"))
-    rank = F.row_number().over(Window.partitionBy("label").orderBy("h", "piece"))
-    return rows.withColumn("rank", rank).filter(F.col("rank") <= limit).select("label", "piece")
+    return few.select(F.col(label).alias("label"), F.substring(raw, start, F.lit(size)).alias("piece"))
 
 
 def learn(docs: DataFrame, per_lang: int = PER_LANG) -> tuple[convnet.Net | None, list[str]]:
@@ -54,7 +52,7 @@ def learn(docs: DataFrame, per_lang: int = PER_LANG) -> tuple[convnet.Net | None
         return None, []
     place = {lang: k for k, lang in enumerate(langs)}
     x, y = convnet.pieces([bytes(r.piece) for r in rows], [place[r.label] for r in rows], len(langs), LENGTH)
-    return convnet.train(x, y, WIDTHS, FILTERS, epochs=8), langs
+    return convnet.train(x, y, WIDTHS, FILTERS, epochs=8, steps=1000), langs
 
 
 def with_language(docs: DataFrame, net: convnet.Net | None, langs: list[str]) -> DataFrame:

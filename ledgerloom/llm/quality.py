@@ -16,12 +16,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import convnet
 from ledgerloom.llm.bytesops import packed
-from ledgerloom.llm.common import arrow_sized, crc_mod, query, table
+from ledgerloom.llm.common import arrow_sized, crc_mod, drawn, query, table
 
 LENGTH, STEP = 256, 224
 #: Labelled documents of each label that training reads at most, and bytes of each.
@@ -33,9 +33,7 @@ WIDTHS, FILTERS = (2, 4, 6), 12
 def sample_ids(labels: DataFrame, label: str, limit: int) -> DataFrame:
     """At most ``limit`` rows (doc_id, label) of each value 0 and 1 of ``label``, by a hash of the doc_id."""
     rows = labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
-    rows = rows.select("doc_id", F.col(label).cast("int").alias("label")).distinct()
-    rank = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    return rows.withColumn("rank", rank).filter(F.col("rank") <= limit).drop("rank")
+    return drawn(rows.select("doc_id", F.col(label).cast("int").alias("label")).distinct(), "label", limit)
 
 
 def learn(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> convnet.Net | None:
@@ -51,7 +49,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> con
     if len({r.label for r in rows}) < 2:
         return None
     x, y = convnet.pieces([bytes(r.piece) for r in rows], [r.label for r in rows], 2, LENGTH)
-    return convnet.train(x, y, WIDTHS, FILTERS, epochs=5)
+    return convnet.train(x, y, WIDTHS, FILTERS, epochs=5, steps=1000)
 
 
 def with_score(docs: DataFrame, net: convnet.Net | None) -> DataFrame:

@@ -19,11 +19,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.bytesops import PUNCTUATION, mix, packed, word_hashes, word_spans
-from ledgerloom.llm.common import arrow_sized, crc_mod, query, table
+from ledgerloom.llm.common import arrow_sized, crc_mod, drawn, query, table
 from ledgerloom.session import materialize
 
 FOLDS, HELD_OUT = 5, 0
@@ -344,12 +344,6 @@ def _score_rows(wanted: np.ndarray, weights: np.ndarray, bias: float):
     return run
 
 
-def _pick(rows: DataFrame, limit: int) -> DataFrame:
-    """At most ``limit`` (doc_id, label) of each label, by a hash of the doc_id."""
-    rank = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    return rows.withColumn("_rank", rank).filter(F.col("_rank") <= limit).select("doc_id", "label")
-
-
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, score) of every row of ``docs``."""
     arrow_sized(docs.sparkSession)
@@ -359,14 +353,14 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     marked = labels.filter(F.col("toxic").isin(0, 1) & open_)
     marked = marked.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("label"))
 
-    def drawn(rows: DataFrame, limit: int, label: str) -> tuple[DataFrame, dict[int, int]]:
+    def sampled(rows: DataFrame, limit: int, label: str) -> tuple[DataFrame, dict[int, int]]:
         # at most 2 * limit rows: safe to broadcast
-        ids = F.broadcast(_pick(rows, limit))
+        ids = F.broadcast(drawn(rows.select("doc_id", "label"), "label", limit))
         found = materialize(texts.join(ids, "doc_id").dropDuplicates(["doc_id", "label", "text"]), label)
         return found, {r.label: r["count"] for r in found.groupBy("label").count().collect()}
 
     none = texts.select("doc_id", F.lit(0.0).alias("score"))
-    sample, n = drawn(marked, PER_LABEL, "labelled")
+    sample, n = sampled(marked, PER_LABEL, "labelled")
     if len(n) < 2:
         return none
     candidates = top_features(sample, n[1], n[0], CANDIDATES, True)
@@ -390,7 +384,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     judged = known.select("doc_id", "votes", "label").filter(F.col("doc_id").isNotNull() & open_)
     judged = judged.mapInArrow(posterior, "doc_id long, label int").distinct()
-    sample, n = drawn(judged, PER_POSTERIOR, "judged")
+    sample, n = sampled(judged, PER_POSTERIOR, "judged")
     if len(n) < 2:
         return none
     wanted = top_features(sample, n[1], n[0], FEATURES, False)
