@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import json
 import os
+import statistics
 import sys
 import time
 from pathlib import Path
@@ -13,7 +14,10 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from ledgerloom.plans import load_all  # noqa: E402
 from ledgerloom.plans.registry import QUERIES  # noqa: E402
-from ledgerloom.session import build_session  # noqa: E402
+from ledgerloom.session import build_session, drop_scratch  # noqa: E402
+
+#: Runs of each query; their median counts.
+RUNS = 3
 
 HEADLINE = [
     "agg_group_sum_count",
@@ -58,9 +62,13 @@ def main() -> None:
         QUERIES["agg_global"](spark, folder).write.format("noop").mode("overwrite").save()
         seconds = {}
         for name in names:
-            start = time.perf_counter()
-            QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
-            seconds[name] = round(time.perf_counter() - start, 3)
+            runs = []
+            for _ in range(RUNS):
+                start = time.perf_counter()
+                QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+                runs.append(time.perf_counter() - start)
+            seconds[name] = round(statistics.median(runs), 3)
+            drop_scratch(spark)
     print(
         json.dumps(
             {

@@ -94,14 +94,19 @@ def split_valid(df: DataFrame, rules: Sequence[tuple[Column, str]], name: str =
 
 
 def trailer_counts(body: DataFrame, trailer: DataFrame, segment: str, expected: str) -> DataFrame:
-    """Body rows per segment against the trailer's count: Match, Mismatch, or Skipped without a count."""
+    """Body rows per segment against the trailer's count.
+
+    Match, Mismatch, Skipped for a count of zero, and Unreadable where the trailer has no number for a segment.
+    """
     counted = body.groupBy(segment).agg(F.count(F.lit(1)).alias("n_rows"))
-    joined = trailer.select(segment, F.col(expected).cast("long").alias("n_expected")).join(counted, segment, "full")
+    given = F.col(expected).cast("string").try_cast("long")
+    joined = trailer.select(segment, given.alias("n_expected")).join(counted, segment, "full")
     return joined.select(
         segment,
-        F.coalesce("n_expected", F.lit(0)).alias("n_expected"),
+        "n_expected",
         F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
-        F.when(F.coalesce("n_expected", F.lit(0)) <= 0, "Skipped")
+        F.when(F.col("n_expected").isNull() | (F.col("n_expected") < 0), "Unreadable")
+        .when(F.col("n_expected") == 0, "Skipped")
         .when(F.col("n_expected") == F.coalesce("n_rows", F.lit(0)), "Match")
         .otherwise("Mismatch")
         .alias("status"),

@@ -14,7 +14,8 @@ from ledgerloom.operators.joins import lookup_join
 from ledgerloom.operators.ordered import latest_per_key
 from ledgerloom.operators.quality import trailer_counts
 from ledgerloom.operators.shaping import add_drop_columns, filter_all, local_times, sync_schema
-from ledgerloom.sources.fixed_width import Field, read_segments
+from ledgerloom.session import materialize
+from ledgerloom.sources.fixed_width import Field, UnknownSegments, read_segments
 from ledgerloom.sources.tables import append_only, full_refresh, path_exists, replace_partitions, schema_preserving
 
 #: The two orders in which a load applies its steps.
@@ -78,7 +79,8 @@ class LoadRefused(ValueError):
 class Segment:
     """One segment of an inbound file: its layout, load config, target table and write mode.
 
-    ``count_column`` names the trailer field that holds the number of records. ``mode`` is ``append``,
+    ``count_column`` names the trailer field that holds the number of records; ``redefines`` marks a segment that
+    describes other records anew, whose count is not checked. ``mode`` is ``append``,
     ``refresh``, ``schema`` (refresh that keeps columns and types) or ``partitions`` (replace the ones that occur).
     """
 
@@ -88,6 +90,7 @@ class Segment:
     count_column: str | None = None
     mode: str = "append"
     partition_by: Sequence[str] = ()
+    redefines: bool = False
 
 
 def _write(df: DataFrame, segment: Segment) -> None:
@@ -114,39 +117,55 @@ def load_segment_file(
     run_id: str,
     loaded_at: datetime,
     lookups: Mapping[str, DataFrame] | None = None,
+    ignore: Sequence[str] = (),
 ) -> DataFrame:
     """Load one file of several segments; returns the control rows of this run.
 
-    The trailer must be new (by ``trailer_keys``) and its counts must equal the segments' rows, else
-    ``LoadRefused`` is raised before anything is written. Then every segment passes its steps in the
-    file order and is written, the trailer is kept, and one control row per segment is appended.
+    The file must have exactly one trailer, new by ``trailer_keys``, with a readable count equal to the rows of each
+    counted segment, and no record of an unknown segment (but those in ``ignore``); else ``LoadRefused`` is raised before
+    anything is written. Every segment passes its steps in the file order and is completed beside its target first; then
+    the targets are written, each marked in the control table, and the trailer is kept last. A run that is repeated
+    after a failure goes on with the segments that are not yet marked.
     """
     layouts = {s: x.layout for s, x in segments.items()} | {trailer_id: trailer.layout}
-    parts = read_segments(spark, path, layouts)
+    try:
+        parts = read_segments(spark, path, layouts, ignore=ignore)
+    except UnknownSegments as e:
+        raise LoadRefused(str(e)) from e
     found = parts[trailer_id]
+    trailers = found.limit(2).count()
+    if trailers != 1:
+        raise LoadRefused(f"{path} has {'no trailer' if not trailers else 'several trailers'}")
     if path_exists(spark, trailer.target):
         seen = spark.read.parquet(trailer.target)
         if not found.join(seen, list(trailer_keys), "left_semi").isEmpty():
             raise LoadRefused("this file was loaded before")
-    counted = [s for s, x in segments.items() if x.count_column]
-    expected = found.select(
-        F.explode(F.array(*[F.struct(F.lit(s).alias("segment"), F.col(segments[s].count_column).alias("n")) for s in counted])).alias("x")
-    ).select("x.segment", "x.n")
+    counted = [s for s, x in segments.items() if x.count_column and not x.redefines]
     body = reduce(DataFrame.unionByName, [parts[s].select(F.lit(s).alias("segment")) for s in segments])
-    checked = trailer_counts(body.filter(F.col("segment").isin(*counted)), expected, "segment", "n")
-    # one short row per segment
-    wrong = [tuple(r) for r in checked.filter("status = 'Mismatch'").take(len(counted))]
-    if wrong:
-        raise LoadRefused(f"counts differ from the trailer (segment, expected, found, status): {wrong}")
-    for s, x in segments.items():
-        _write(run_chain(parts[s], x.config, lookups or {}, FILE_LOAD), x)
+    if counted:
+        expected = found.select(
+            F.explode(F.array(*[F.struct(F.lit(s).alias("segment"), F.col(segments[s].count_column).alias("n")) for s in counted])).alias("x")
+        ).select("x.segment", "x.n")
+        checked = trailer_counts(body.filter(F.col("segment").isin(*counted)), expected, "segment", "n")
+        # one short row per segment
+        wrong = [tuple(r) for r in checked.filter("status in ('Mismatch', 'Unreadable')").take(len(counted))]
+        if wrong:
+            raise LoadRefused(f"counts differ from the trailer (segment, expected, found, status): {wrong}")
+    done = set()
+    if path_exists(spark, control):
+        marks = spark.read.parquet(control).filter((F.col("run_id") == run_id) & (F.col("status") == "C"))
+        done = {r.segment for r in marks.select("segment").distinct().limit(len(segments)).collect()}
+    open_ = [s for s in segments if s not in done]
+    ready = {s: materialize(run_chain(parts[s], segments[s].config, lookups or {}, FILE_LOAD), "load") for s in open_}
+    for s in open_:
+        _write(ready[s], segments[s])
+        rows = parts[s].agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(s).alias("segment"),
+            "n_rows",
+            F.lit(run_id).alias("run_id"),
+            F.lit(loaded_at).cast("timestamp_ntz").alias("rec_load_timestamp"),
+            F.lit("C").alias("status"),
+        )
+        append_only(rows, control)
     append_only(found, trailer.target)
-    rows = body.groupBy("segment").agg(F.count(F.lit(1)).alias("n_rows")).withColumns(
-        {
-            "run_id": F.lit(run_id),
-            "rec_load_timestamp": F.lit(loaded_at).cast("timestamp_ntz"),
-            "status": F.lit("C"),
-        }
-    )
-    append_only(rows, control)
     return spark.read.parquet(control).filter(F.col("run_id") == run_id)

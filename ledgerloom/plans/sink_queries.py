@@ -53,23 +53,31 @@ def _(t: Tables):
 @query(
     "sink_fixed_width",
     """
-    SELECT c_custkey, lpad(CAST(c_custkey AS VARCHAR), 10, '0') || rpad(left(c_name, 14), 14, ' ') ||
+    WITH r AS (SELECT row_number() OVER (ORDER BY c_custkey) AS n, lpad(CAST(c_custkey AS VARCHAR), 10, '0') || rpad(left(c_name, 14), 14, ' ') ||
            CASE WHEN c_acctbal < 0 THEN '-' || lpad(CAST(CAST(abs(c_acctbal) AS DECIMAL(18,2)) AS VARCHAR), 11, '0')
-                ELSE lpad(CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR), 12, '0') END || rpad(c_mktsegment, 12, '.') AS line FROM customer""",
+                ELSE lpad(CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR), 12, '0') END || rpad(c_mktsegment, 12, '.') AS value FROM customer)
+    SELECT 1 AS line_no, rpad('OPEN', 8, ' ') AS value UNION ALL SELECT n + 1, value FROM r
+    UNION ALL SELECT (SELECT count(*) FROM r) + 2, 'CLOSE' || lpad(CAST(count(*) AS VARCHAR), 9, '0') FROM r""",
 )
 def _(t: Tables):
+    """A delimited file becomes a fixed-width one with header and footer, in the order of its lines."""
+    source, target = scratch_path(t.spark, "delimited"), scratch_path(t.spark, "fixed-width")
     layout = fixed_width.parse_layout(
         ["c_custkey:1:10:0:L:string", "c_name:11:14: :R:string", "balance:25:12:0:L:decimal", "c_mktsegment:37:12:.:R:string"]
     )
-    rows = t.customer.withColumn("balance", F.col("c_acctbal").cast("decimal(18,2)"))
-    return fixed_width.format_records(rows, layout).select("c_custkey", "line")
+    rows = t.customer.select("c_custkey", "c_name", F.col("c_acctbal").cast("decimal(18,2)").alias("balance"), "c_mktsegment")
+    rows.orderBy("c_custkey").write.csv(source)
+    footer = ["CLOSE", {"value": "{record_count}", "length": 9, "pad_value": "0", "pad_type": "left"}]
+    fixed_width.convert_delimited(t.spark, source, layout, target, has_header=False, header={"value": "OPEN", "length": 8}, footer=footer)
+    return sinks.read_ordered_lines(t.spark, target)
 
 
 @query(
     "sink_header_trailer",
     """
-    SELECT 'HDR19980615' AS value UNION ALL SELECT 'D' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') || lpad(CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR), 12, '0') FROM orders
-    UNION ALL SELECT 'TRL' || lpad(CAST(count(*) AS VARCHAR), 9, '0') || lpad(CAST(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) * 100 AS BIGINT) AS VARCHAR), 15, '0') FROM orders""",
+    SELECT 1 AS line_no, 'HDR19980615' AS value
+    UNION ALL SELECT 1 + row_number() OVER (ORDER BY o_orderdate, o_orderkey), 'D' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') || lpad(CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR), 12, '0') FROM orders
+    UNION ALL SELECT count(*) + 2, 'TRL' || lpad(CAST(count(*) AS VARCHAR), 9, '0') || lpad(CAST(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) * 100 AS BIGINT) AS VARCHAR), 15, '0') FROM orders""",
 )
 def _(t: Tables):
     path = scratch_path(t.spark, "header-trailer")
@@ -80,7 +88,7 @@ def _(t: Tables):
     order = ["o_orderdate", "o_orderkey"]
     lines = sinks.with_header_trailer(body, "text", order, F.lit("HDR19980615"), trailer, totals)
     sinks.write_ordered_lines(lines, path, ["part", *order])
-    return t.spark.read.text(path)
+    return sinks.read_ordered_lines(t.spark, path)
 
 
 @query(
@@ -88,10 +96,11 @@ def _(t: Tables):
     """
     WITH r AS (SELECT *, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders),
     b AS (SELECT o_orderpriority AS p, count(*) AS n, CAST(sum(cents) AS BIGINT) AS c FROM r GROUP BY 1)
-    SELECT 'TH0001' AS value UNION ALL SELECT 'BH' || p FROM b
-    UNION ALL SELECT 'R' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') || lpad(CAST(cents AS VARCHAR), 12, '0') FROM r
-    UNION ALL SELECT 'BT' || p || lpad(CAST(n AS VARCHAR), 9, '0') || lpad(CAST(c AS VARCHAR), 15, '0') FROM b
-    UNION ALL SELECT 'FT' || lpad(CAST(count(*) AS VARCHAR), 5, '0') || lpad(CAST(CAST(sum(n) AS BIGINT) AS VARCHAR), 9, '0') || lpad(CAST(CAST(sum(c) AS BIGINT) AS VARCHAR), 15, '0') FROM b""",
+    , x AS (SELECT 0 AS s, NULL AS p, 0 AS q, NULL AS k, 'TH0001' AS value UNION ALL SELECT 1, p, 0, NULL, 'BH' || p FROM b
+    UNION ALL SELECT 1, o_orderpriority, 1, o_orderkey, 'R' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') || lpad(CAST(cents AS VARCHAR), 12, '0') FROM r
+    UNION ALL SELECT 1, p, 2, NULL, 'BT' || p || lpad(CAST(n AS VARCHAR), 9, '0') || lpad(CAST(c AS VARCHAR), 15, '0') FROM b
+    UNION ALL SELECT 2, NULL, 0, NULL, 'FT' || lpad(CAST(count(*) AS VARCHAR), 5, '0') || lpad(CAST(CAST(sum(n) AS BIGINT) AS VARCHAR), 9, '0') || lpad(CAST(CAST(sum(c) AS BIGINT) AS VARCHAR), 15, '0') FROM b)
+    SELECT row_number() OVER (ORDER BY s, p, q, k) AS line_no, value FROM x""",
 )
 def _(t: Tables):
     path = scratch_path(t.spark, "control-file")
@@ -101,7 +110,7 @@ def _(t: Tables):
         file_header="TH0001", file_trailer="FT%05d%09d%015d", batch_header="BH%s", batch_trailer="BT%s%09d%015d",
     )
     sinks.write_ordered_lines(lines, path, ["section", "batch", "part", "o_orderkey"])
-    return t.spark.read.text(path)
+    return sinks.read_ordered_lines(t.spark, path)
 
 
 @query(

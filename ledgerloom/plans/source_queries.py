@@ -83,7 +83,7 @@ def _(t: Tables):
     whole.write.text(path)
     body = fixed_width.parse_layout(["k:2:12:0:L:long", "amount:14:14:0:L:decimal"])
     layouts = {"O": body, "L": body, "T": fixed_width.parse_layout(["segment:2:1: :R:string", "n:3:12:0:L:long"])}
-    seg = fixed_width.read_segments(t.spark, path, layouts)
+    seg = fixed_width.read_segments(t.spark, path, layouts, ignore=["H"])
     rows = seg["O"].withColumn("segment", F.lit("O")).unionByName(seg["L"].withColumn("segment", F.lit("L")))
     return rows.join(seg["T"], "segment").select(
         "segment", "k", F.col("amount").cast("double").alias("amount"), F.col("n").alias("trailer_count")
@@ -135,20 +135,21 @@ def _(t: Tables):
     return a.unionByName(b)
 
 
-_STRIDES = pulls.stride_predicates("o_orderkey", 0, 15000, 8)
-
-
 @query(
     "src_jdbc_partitioned",
-    "SELECT CAST(chunk AS BIGINT) AS chunk, predicate, n_rows FROM ("
-    + " UNION ALL ".join(
-        f"SELECT {i} AS chunk, '{p}' AS predicate, count(*) FILTER ({p}) AS n_rows FROM orders" for i, p in enumerate(_STRIDES)
-    )
-    + ")",
+    """
+    WITH b AS (SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM orders),
+    c AS (SELECT i AS chunk, CASE WHEN i > 0 THEN lo + (hi - lo) * i // 8 END AS a, CASE WHEN i < 7 THEN lo + (hi - lo) * (i + 1) // 8 END AS z
+          FROM b, range(0, 8) t(i))
+    SELECT chunk, CASE WHEN a IS NULL THEN 'o_orderkey < ' || z || ' OR o_orderkey IS NULL'
+        WHEN z IS NULL THEN 'o_orderkey >= ' || a ELSE 'o_orderkey >= ' || a || ' AND o_orderkey < ' || z END AS predicate,
+      count(*) FILTER (CASE WHEN a IS NULL THEN o_orderkey IS NULL OR o_orderkey < z ELSE o_orderkey >= a AND (z IS NULL OR o_orderkey < z) END) AS n_rows
+    FROM c CROSS JOIN orders GROUP BY 1, a, z""",
 )
 def _(t: Tables):
     # what each connection of the pull would fetch; together the predicates cover every row once
-    return pulls.count_by_predicate(t.orders, _STRIDES)
+    low, high = t.orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    return pulls.count_by_predicate(t.orders, pulls.stride_predicates("o_orderkey", low, high, 8))
 
 
 @query(

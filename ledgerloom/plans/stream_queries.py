@@ -41,7 +41,8 @@ def _(t: Tables):
         "user_id", "event_id", "ts", "value", case_map("event_type", CHANGE_TYPES).alias("optype")
     )
     I.run_available(changes, checkpoint, I.keep_latest(table, ["user_id"], ["ts", "event_id"]))
-    return t.spark.read.parquet(table).filter("optype <> 'D'").select("user_id", "event_id", "value", "optype")
+    state = I.read_state(t.spark, table, ["user_id"], ["ts", "event_id"])
+    return state.filter("optype <> 'D'").select("user_id", "event_id", "value", "optype")
 
 
 @query("st_dedup_events", "SELECT event_id, user_id, event_type FROM events")
@@ -64,7 +65,8 @@ def _(t: Tables):
     total = amount_sum("value")
     counts = I.windowed_counts(event_stream(t), "ts", "1 hour", "2 days", ["event_type"], total)
     I.run_available(counts, checkpoint, I.replace_by_key(table, ["bucket", "event_type"]), mode="update")
-    return t.spark.read.parquet(table).drop("key_bucket").withColumn("bucket", F.col("bucket").cast("timestamp_ntz"))
+    state = I.read_state(t.spark, table, ["bucket", "event_type"])
+    return state.withColumn("bucket", F.col("bucket").cast("timestamp_ntz"))
 
 
 @query(

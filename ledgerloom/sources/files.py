@@ -22,6 +22,15 @@ def parquet_glob(spark: SparkSession, pattern: str, view: str | None = None) ->
     return df
 
 
+def _checked(spark: SparkSession, rows: DataFrame, names: Sequence[str], max_bad_records: int, what: object, label: str) -> DataFrame:
+    """The good rows of (columns, _bad), written once; more than ``max_bad_records`` bad ones are an error."""
+    flagged = materialize(rows, label)
+    n_bad = flagged.filter("_bad").limit(max_bad_records + 1).count()
+    if n_bad > max_bad_records:
+        raise ValueError(f"more than {max_bad_records} bad records in {what}")
+    return flagged.filter("not _bad").select(*names)
+
+
 def read_csv(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -30,16 +39,18 @@ def read_csv(
     header: bool = True,
     max_bad_records: int = 0,
     ignore_unknown_values: bool = False,
+    null_value: str | None = None,
 ) -> DataFrame:
-    """CSV scan; without a schema the types are inferred.
+    """CSV scan; without a schema the types are inferred first, and the records then checked against them.
 
-    With a schema the text is parsed once into a written table, because which records count as bad
-    depends on the columns that are parsed. More than ``max_bad_records`` bad records are an error, fewer
-    are dropped. ``ignore_unknown_values`` accepts records whose only fault is to have too many fields.
+    The text is parsed once into a written table, because which records count as bad depends on the columns that
+    are parsed. More than ``max_bad_records`` bad records are an error, fewer are dropped.
+    ``ignore_unknown_values`` accepts records whose only fault is to have too many fields.
     """
-    reader = spark.read.option("sep", sep).option("header", header)
+    options = {"sep": sep} | ({} if null_value is None else {"nullValue": null_value})
+    reader = spark.read.options(**options).option("header", header)
     if schema is None:
-        return reader.option("inferSchema", True).csv(path)
+        schema = reader.option("inferSchema", True).csv(path).schema
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     wide = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
     rows = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _CORRUPT).option(
@@ -47,22 +58,31 @@ def read_csv(
     ).schema(wide).csv(path)
     bad = F.col(_CORRUPT).isNotNull()
     if ignore_unknown_values:
-        fields = F.split(F.col(_CORRUPT), "\\Q" + sep + "\\E", -1)
+        # the record again, as texts and with quotes read as in the scan; further fields are left out
+        ddl = ", ".join(f"_f{i} STRING" for i in range(len(schema)))
+        rows = rows.withColumn("_again", F.from_csv(F.col(_CORRUPT), ddl, options))
+        raw = [F.nullif(F.col(f"_again._f{i}"), F.lit("")) for i in range(len(schema))]
         unreadable = F.lit(False)
-        for i, f in enumerate(schema.fields):
-            raw = F.nullif(F.get(fields, F.lit(i)), F.lit(""))
-            unreadable = unreadable | (raw.isNotNull() & raw.try_cast(f.dataType).isNull())
-        bad = bad & ((F.size(fields) < len(schema.fields)) | unreadable)
-    flagged = materialize(rows.withColumn("_bad", bad), "csv")
-    n_bad = flagged.filter("_bad").limit(max_bad_records + 1).count()
-    if n_bad > max_bad_records:
-        raise ValueError(f"more than {max_bad_records} bad records in {path}")
-    return flagged.filter("not _bad").select(*schema.names)
-
-
-def read_json(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Newline-delimited JSON with a fixed schema (no inference pass)."""
-    return spark.read.schema(schema).json(path)
+        for x, f in zip(raw, schema.fields, strict=True):
+            unreadable = unreadable | (x.isNotNull() & x.try_cast(f.dataType).isNull())
+        unquoted = F.regexp_replace(F.col(_CORRUPT), r'"(?:[^"\\]|\\.)*"', "q")
+        fields = F.size(F.split(unquoted, "\\Q" + sep + "\\E", -1))
+        accepted = F.coalesce(bad & (fields > len(schema)) & ~unreadable, F.lit(False))
+        rows = rows.select(
+            *[F.when(accepted, x.try_cast(f.dataType)).otherwise(F.col(f.name)).alias(f.name) for x, f in zip(raw, schema.fields, strict=True)],
+            (bad & ~accepted).alias("_bad"),
+        )
+    else:
+        rows = rows.withColumn("_bad", bad)
+    return _checked(spark, rows, schema.names, max_bad_records, path, "csv")
+
+
+def read_json(spark: SparkSession, path: str, schema: T.StructType | str, max_bad_records: int = 0) -> DataFrame:
+    """Newline-delimited JSON with a fixed schema (no inference pass); malformed lines count as bad records."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    wide = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+    rows = spark.read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _CORRUPT).schema(wide).json(path)
+    return _checked(spark, rows.withColumn("_bad", F.col(_CORRUPT).isNotNull()), schema.names, max_bad_records, path, "json")
 
 
 def newest_file(spark: SparkSession, folder: str, pattern: str) -> str:
@@ -108,7 +128,6 @@ def read_positional(
     )
 
 
-def read_shards(spark: SparkSession, pattern: str, sep: str = ",", schema: str | None = None) -> DataFrame:
+def read_shards(spark: SparkSession, pattern: str, sep: str = ",", schema: str | None = None, max_bad_records: int = 0) -> DataFrame:
     """Many delimited shards that all repeat the header line, as one table; blank means NULL."""
-    reader = spark.read.option("header", True).option("sep", sep).option("nullValue", "")
-    return (reader.schema(schema) if schema else reader).csv(pattern)
+    return read_csv(spark, pattern, schema, sep, max_bad_records=max_bad_records, null_value="")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import fixed_text
-from ledgerloom.session import is_small, scratch_path
+from ledgerloom.session import materialize, scratch_path
 
 
 @dataclass(frozen=True)
@@ -55,20 +55,33 @@ def read_fixed_width(spark: SparkSession, path: str, layout: Sequence[Field]) ->
     return parse_records(spark.read.text(path), layout)
 
 
+class UnknownSegments(ValueError):
+    """The file holds records whose segment has no layout."""
+
+
 def read_segments(
-    spark: SparkSession, path: str, layouts: Mapping[str, Sequence[Field]], id_start: int = 1, id_length: int = 1
+    spark: SparkSession,
+    path: str,
+    layouts: Mapping[str, Sequence[Field]],
+    id_start: int = 1,
+    id_length: int = 1,
+    ignore: Sequence[str] = (),
 ) -> dict[str, DataFrame]:
     """Split a file of mixed records by segment id; one parsed DataFrame per layout.
 
-    A large file is scanned once and its lines are written by segment, so that each segment later reads
-    only its own lines.
+    The file is scanned once and its lines are written by segment, so that each segment later reads only its own
+    lines. Records of other segments raise ``UnknownSegments`` unless listed in ``ignore``; blank lines are skipped.
     """
     lines = spark.read.text(path).withColumn("segment", F.substring("value", id_start, id_length))
-    lines = lines.filter(F.col("segment").isin(*layouts))
-    if not is_small(lines):
-        by_segment = scratch_path(spark, "segments")
-        lines.write.partitionBy("segment").parquet(by_segment)
-        lines = spark.read.schema("value string, segment string").parquet(by_segment)
+    lines = lines.filter((F.trim("value") != "") & ~F.col("segment").isin(*ignore))
+    known = F.col("segment").isin(*layouts)
+    lines = lines.withColumn("segment", F.when(known, F.col("segment")).otherwise(F.lit("__unknown__")))
+    by_segment = scratch_path(spark, "segments")
+    lines.write.partitionBy("segment").parquet(by_segment)
+    lines = spark.read.schema("value string, segment string").parquet(by_segment)
+    unknown = [r.value for r in lines.filter("segment = '__unknown__'").limit(3).collect()]
+    if unknown:
+        raise UnknownSegments(f"{path} has records of no known segment, such as {unknown}")
     return {s: parse_records(lines.filter(F.col("segment") == s), layout) for s, layout in layouts.items()}
 
 
@@ -109,6 +122,39 @@ def template_line(template: str | Mapping | Sequence, record_count: Column) -> C
     return F.concat(*[template_line(t, record_count) for t in template])
 
 
+def convert_delimited(
+    spark: SparkSession,
+    source: str,
+    layout: Sequence[Field],
+    target: str,
+    sep: str = ",",
+    has_header: bool = True,
+    keep_header: bool = False,
+    header: str | Mapping | Sequence | None = None,
+    footer: str | Mapping | Sequence | None = None,
+) -> None:
+    """A delimited file to a fixed-width file in the order of its lines, as ordered shards.
+
+    The first line is the input's header if ``has_header``: skipped, or with ``keep_header`` written like a record.
+    ``header`` and ``footer`` are templates (see ``template_line``) that may count the records.
+    """
+    place = F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"))
+    lines = spark.read.text(source).select("value", place.alias("file"), F.monotonically_increasing_id().alias("n"))
+    lines = materialize(lines.filter("value <> ''"), "delimited")
+    names = ", ".join(f"`{f.name}` STRING" for f in sorted(layout, key=lambda f: f.start))
+    rows = lines.withColumn("r", F.from_csv("value", names, {"sep": sep})).select("file", "n", "r.*")
+    first = lines.agg(F.min(F.struct("file", "n")).alias("first"))
+    if has_header and not keep_header:
+        rows = rows.crossJoin(F.broadcast(first)).filter(F.struct("file", "n") != F.col("first")).drop("first")
+    body = format_records(rows, layout).select(F.lit(1).alias("part"), "file", "n", "line")
+    count = rows.agg(F.count(F.lit(1)).alias("record_count"))
+    for part, template in ((0, header), (2, footer)):
+        if template is not None:
+            edge = count.select(F.lit(part).alias("part"), template_line(template, F.col("record_count")).alias("line"))
+            body = body.unionByName(edge, allowMissingColumns=True)
+    body.orderBy("part", "file", "n").select("line").write.mode("overwrite").text(target)
+
+
 def _code_page(charset: str) -> tuple[str, str]:
     """Characters of the charset and, position by position, the Latin-1 characters of their byte values."""
     source, target = [], []
@@ -121,14 +167,29 @@ def _code_page(charset: str) -> tuple[str, str]:
 
 
 def to_ebcdic(line: Column | str, length: int, charset: str = "cp037") -> Column:
-    """Line padded with blanks to ``length`` and encoded in a single-byte EBCDIC code page.
+    """Line padded with blanks to ``length`` and encoded in a single-byte EBCDIC code page; a longer line is an error.
 
     The code page is a permutation of Latin-1, so a character translation followed by the Latin-1
     encoding stays inside the JVM.
     """
     text = F.col(line) if isinstance(line, str) else line
     source, target = _code_page(charset)
-    return F.encode(F.translate(F.rpad(text, length, " "), source, target), "ISO-8859-1")
+    too_long = F.raise_error(F.format_string(f"record of %d characters does not fit into {length}", F.length(text)))
+    fitted = F.when(F.length(text) > length, too_long.cast("string")).otherwise(F.rpad(text, length, " "))
+    return F.encode(F.translate(fitted, source, target), "ISO-8859-1")
+
+
+def write_ebcdic(df: DataFrame, path: str, order: Sequence[str], line: str, length: int, charset: str = "cp037") -> None:
+    """Records of ``length`` bytes in ``order``, each followed by the code page's line feed.
+
+    Written as shards by range, every task one stretch; their bytes in number order are the deliverable. A record is a
+    string of byte values, which the delimited writer puts out byte by byte.
+    """
+    feed = "\n".encode(charset).decode("ISO-8859-1")
+    text = F.decode(to_ebcdic(line, length, charset), "ISO-8859-1").alias("value")
+    plain = {"sep": "\u0001", "quote": "", "escapeQuotes": "false", "emptyValue": ""}
+    kept = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    df.orderBy(*order).select(text).write.mode("overwrite").options(**plain, **kept, lineSep=feed, encoding="ISO-8859-1").csv(path)
 
 
 def from_ebcdic(data: Column | str, charset: str = "cp037") -> Column:

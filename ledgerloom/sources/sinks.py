@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 
 from ledgerloom.functions import fits_bytes, minor_units
 from ledgerloom.operators.changes import merge
+from ledgerloom.operators.ordered import positions
 from ledgerloom.sources.tables import _fs
 
 
@@ -77,6 +79,22 @@ def write_ordered_lines(df: DataFrame, path: str, order: Sequence[str], line: st
     ordered.write.mode("overwrite").option("lineSep", "\r\n" if windows else "\n").text(path)
 
 
+def shard_number(path: str) -> int:
+    """Number of a shard: ``part-100000…`` comes after ``part-99999…``, which the order of names gets wrong."""
+    return int(re.match(r"part-(\d+)", path.rsplit("/", 1)[-1])[1])
+
+
+def read_ordered_lines(spark: SparkSession, path: str, windows: bool = False) -> DataFrame:
+    """Lines of ordered shards with their number in the whole file (from 1): (line_no, value)."""
+    lines = spark.read.option("lineSep", "\r\n" if windows else "\n").text(path)
+    shard = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("long")
+    # a shard may be read by several tasks: their stretches are ordered by where they start
+    lines = lines.select(
+        "value", shard.alias("shard"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id")
+    )
+    return positions(lines, [], [F.col("shard"), F.col("block"), F.col("id")], "line_no").select("line_no", "value")
+
+
 def compose(spark: SparkSession, shards: str, target: str) -> None:
     """Join the shards of ``write_ordered_lines`` into one file.
 
@@ -85,9 +103,8 @@ def compose(spark: SparkSession, shards: str, target: str) -> None:
     """
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     fs, folder = _fs(spark, shards)
-    parts = sorted(
-        s.getPath().toString() for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-")
-    )
+    names = [s.getPath().toString() for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-")]
+    parts = sorted(names, key=shard_number)
     target_path = jvm.org.apache.hadoop.fs.Path(target)
     if fs.getScheme() in ("hdfs", "abfs", "abfss"):
         fs.create(target_path, True).close()

@@ -49,7 +49,16 @@ def swap_in(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
 
 
 def append_only(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Create the table from the query's shape when absent, then add the rows."""
+    """Create the table from the query's shape when absent, then add the rows.
+
+    An existing table must have the same columns; they are put in its order and cast to its types.
+    """
+    spark = df.sparkSession
+    if path_exists(spark, path):
+        stored = spark.read.parquet(path).schema
+        if {f.name for f in stored} != set(df.columns):
+            raise ValueError(f"columns {df.columns} do not fit the table {path} with {stored.names}")
+        df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in stored.fields])
     balanced(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ledgerloom.operators.changes import merge
 from ledgerloom.operators.ordered import latest_per_key
-from ledgerloom.session import scratch_path
 from ledgerloom.sources.sinks import publish
-from ledgerloom.sources.tables import path_exists, remove_path, replace_partitions
+from ledgerloom.sources.tables import _fs, remove_path
 
 
 def file_stream(
@@ -35,41 +34,52 @@ def run_available(stream: DataFrame, checkpoint: str, sink: str | Callable[[Data
     query.awaitTermination()
 
 
-def _rewrite_buckets(
-    batch: DataFrame, path: str, keys: Sequence[str], buckets: int, combine: Callable[[DataFrame, DataFrame], DataFrame]
-) -> None:
-    """Combine ``batch`` with the stored rows of the key buckets it touches; other buckets stay as they are."""
+#: Parts of one level that are merged into one part of the next.
+FANOUT = 16
+
+
+def _part_names(spark: SparkSession, folder: str) -> list[str]:
+    fs, p = _fs(spark, folder)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def _add_batch(batch: DataFrame, number: int, path: str, keys: Sequence[str], by: Sequence[Column], fanout: int) -> None:
+    """Keep a batch's newest rows as a part of their own; stored parts stay as they are until a level is full.
+
+    A full level is merged into one part of the next, so a row is rewritten once per level and the cost of a batch follows its
+    size. A part that occurs twice after a failure changes nothing: readers take the newest row of a key.
+    """
     spark = batch.sparkSession
-    fresh = batch.withColumn("key_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-    if path_exists(spark, path):
-        # at most ``buckets`` numbers reach the driver
-        touched = [r[0] for r in fresh.select("key_bucket").distinct().collect()]
-        stored = spark.read.schema(fresh.schema).parquet(path).filter(F.col("key_bucket").isin(touched))
-        fresh = combine(stored, fresh)
-    # complete before the stored files give way, and not kept: a stream never ends
-    staged = scratch_path(spark, "batch")
-    fresh.write.parquet(staged)
-    replace_partitions(spark.read.schema(fresh.schema).parquet(staged), path, ["key_bucket"])
-    remove_path(spark, staged)
+    rows = latest_per_key(batch.withColumn("_batch", F.lit(number).cast("long")), keys, by)
+    rows.write.mode("overwrite").parquet(f"{path}/level=0/part={number}")
+    level = 0
+    while len(parts := _part_names(spark, f"{path}/level={level}")) >= fanout:
+        folders = [f"{path}/level={level}/{p}" for p in parts]
+        merged = latest_per_key(spark.read.schema(rows.schema).parquet(*folders), keys, by)
+        merged.write.parquet(f"{path}/level={level + 1}/part={uuid.uuid4().hex}")
+        for f in folders:
+            remove_path(spark, f)
+        level += 1
+
+
+def read_state(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """The newest row of each key in a state table, by ``order`` and then by batch."""
+    rows = spark.read.parquet(path).drop("level", "part")
+    return latest_per_key(rows, keys, [*[F.col(c).desc() for c in order], F.desc("_batch")]).drop("_batch")
 
 
 def keep_latest(
-    path: str, keys: Sequence[str], order: Sequence[str], buckets: int = 64
+    path: str, keys: Sequence[str], order: Sequence[str], fanout: int = FANOUT
 ) -> Callable[[DataFrame, int], None]:
-    """Batch function that keeps the newest change per key in the table at ``path``.
+    """Batch function that keeps the newest change per key in the state table at ``path`` (see ``read_state``).
 
     Deletes stay in the table as rows, so that an older change that arrives late cannot revive a key.
-    Applying a batch twice gives the same table.
+    Applying a batch twice gives the same state.
     """
 
-    def apply(batch: DataFrame, _: int) -> None:
-        if batch.isEmpty():
-            return
-        by = [F.col(c).desc() for c in order]
-        newest = latest_per_key(batch, keys, by)
-        _rewrite_buckets(
-            newest, path, keys, buckets, lambda stored, new: latest_per_key(stored.unionByName(new), keys, by)
-        )
+    def apply(batch: DataFrame, number: int) -> None:
+        if not batch.isEmpty():
+            _add_batch(batch, number, path, keys, [*[F.col(c).desc() for c in order], F.desc("_batch")], fanout)
 
     return apply
 
@@ -88,16 +98,12 @@ def windowed_counts(stream: DataFrame, time: str, width: str, delay: str, by: Se
     )
 
 
-def replace_by_key(path: str, keys: Sequence[str], buckets: int = 64) -> Callable[[DataFrame, int], None]:
-    """Batch function for update mode: newest values per key replace the stored ones."""
+def replace_by_key(path: str, keys: Sequence[str], fanout: int = FANOUT) -> Callable[[DataFrame, int], None]:
+    """Batch function for update mode: the newest batch's values of a key count (see ``read_state``)."""
 
-    def apply(batch: DataFrame, _: int) -> None:
-        if batch.isEmpty():
-            return
-        rules = {c: (lambda t, s, c=c: s(c)) for c in batch.columns if c not in keys}
-        _rewrite_buckets(
-            batch, path, keys, buckets, lambda stored, new: merge(stored, new, keys, update=rules, insert=True)
-        )
+    def apply(batch: DataFrame, number: int) -> None:
+        if not batch.isEmpty():
+            _add_batch(batch, number, path, keys, [F.desc("_batch")], fanout)
 
     return apply
 

@@ -84,3 +84,25 @@ def test_roll_splits_every_row_once(spark):
 def test_insert_absent(spark):
     out = C.insert_absent(frame(spark, [(1, 1)]), frame(spark, [(1, 9), (2, 2)]), lambda df: F.col("k"))
     assert pairs(out) == [(1, 1), (2, 2)]
+
+
+def test_unmatched_duplicates_are_all_inserted(spark):
+    out = C.merge(frame(spark, [(1, 1)]), frame(spark, [(1, 5), (2, 2), (2, 3)]), ["k"], update=SET, insert=True)
+    assert pairs(out) == [(1, 5), (2, 2), (2, 3)]
+
+
+def test_merge_never_plans_a_full_outer_join(spark):
+    out = C.merge(frame(spark, [(1, 1)]), frame(spark, [(1, 5)]), ["k"], update=SET, insert=True)
+    assert "FullOuter" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def flags(spark, snapshot):
+    stored = frame(spark, [(1, "open"), (2, "open"), (None, "open"), (3, None), (4, "shut")], "k int, s string")
+    out = C.flag_missing(stored, frame(spark, [(k,) for k in snapshot], "x int"), "k", "x", "s", "shut", "open", ["shut"])
+    return {(r.k, r.s) for r in out.collect()}
+
+
+def test_flag_missing_has_the_rules_of_not_in(spark):
+    assert flags(spark, [1, 4]) == {(1, "open"), (2, "shut"), (None, "open"), (3, "shut"), (4, "open")}
+    assert flags(spark, [1, None]) == {(1, "open"), (2, "open"), (None, "open"), (3, None), (4, "shut")}
+    assert flags(spark, []) == {(k, "shut") for k in (1, 2, None, 3, 4)}

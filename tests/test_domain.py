@@ -111,3 +111,47 @@ def test_segment_load(spark, tmp_path):
     assert rows("a") == [(1, 2), (2, 4), (3, 6)]
     assert rows("b") == [(9,)]
     assert [r[0] for r in rows("trailers")] == ["day1", "day2"]
+
+
+@pytest.mark.parametrize(
+    "text, why",
+    [
+        ("A001\nA002\n", "no trailer"),
+        ("A001\nTday1001\nTday1001\n", "several trailers"),
+        ("A001\nTday1xyz\n", "Unreadable"),
+        ("A001\nX999\nTday1001\n", "no known segment"),
+    ],
+)
+def test_files_that_are_refused(spark, tmp_path, text, why):
+    with pytest.raises(LoadRefused, match=why):
+        load(spark, tmp_path, text, "r1")
+    assert not (tmp_path / "a").exists() and not (tmp_path / "control").exists()
+
+
+def test_a_rerun_after_a_failure_appends_nothing_twice(spark, tmp_path, monkeypatch):
+    from ledgerloom.plans import load as L
+
+    write, fail = L._write, [True]
+
+    def broken(df, segment):
+        if segment.target.endswith("/b") and fail[0]:
+            raise OSError("lost")
+        write(df, segment)
+
+    monkeypatch.setattr(L, "_write", broken)
+    text = "A001\nA002\nB007\nTday1002\n"
+    with pytest.raises(OSError):
+        load(spark, tmp_path, text, "r1")
+    fail[0] = False
+    control = load(spark, tmp_path, text, "r1")
+    assert sorted((r["segment"], r["n_rows"]) for r in control.collect()) == [("A", 2), ("B", 1)]
+    assert spark.read.parquet(str(tmp_path / "a")).count() == 2
+
+
+def test_redefining_segments_are_not_counted(spark, tmp_path):
+    (tmp_path / "r.txt").write_text("A001\nR001\nR001\nTday1001\n")
+    body = parse_layout(["k:2:3:0:L:int"])
+    segments = {"A": Segment(body, str(tmp_path / "a"), count_column="n"), "R": Segment(body, str(tmp_path / "r"), count_column="n", redefines=True)}
+    trailer = Segment(parse_layout(["day:2:4: :R", "n:6:3:0:L:int"]), str(tmp_path / "t"))
+    load_segment_file(spark, str(tmp_path / "r.txt"), segments, "T", trailer, ["day"], str(tmp_path / "c"), "r1", datetime(2024, 1, 1))
+    assert spark.read.parquet(str(tmp_path / "r")).count() == 2

@@ -211,6 +211,60 @@ def test_trailer_without_a_count_is_skipped(spark):
     assert got == {"A": "Match", "B": "Mismatch", "C": "Skipped"}
 
 
+def test_an_unreadable_count_is_told_apart(spark):
+    body = spark.createDataFrame([("A",), ("B",)], "segment string")
+    trailer = spark.createDataFrame([("A", "x1"), ("C", "0")], "segment string, n string")
+    got = {r["segment"]: r["status"] for r in Q.trailer_counts(body, trailer, "segment", "n").collect()}
+    assert got == {"A": "Unreadable", "B": "Unreadable", "C": "Skipped"}
+
+
+def test_csv_quoted_record_with_an_extra_field(spark, tmp_path):
+    path = write(tmp_path / "q.csv", 'name,n\n"x,y",2,extra\n"a,b"\n')
+    rows = files.read_csv(spark, path, "name string, n int", max_bad_records=1, ignore_unknown_values=True)
+    assert [tuple(r) for r in rows.collect()] == [("x,y", 2)]
+
+
+def test_csv_without_a_schema_counts_bad_records(spark, tmp_path):
+    path = write(tmp_path / "n.csv", "a,b\n1,2\n1,2,3,4\n5\n")
+    with pytest.raises(ValueError, match="bad records"):
+        files.read_csv(spark, path)
+    assert [tuple(r) for r in files.read_csv(spark, path, max_bad_records=2).collect()] == [(1, 2)]
+
+
+def test_json_and_shards_count_bad_records(spark, tmp_path):
+    path = write(tmp_path / "j.json", '{"a": 1}\n{"a": \n')
+    with pytest.raises(ValueError, match="bad records"):
+        files.read_json(spark, path, "a int")
+    assert [r.a for r in files.read_json(spark, path, "a int", max_bad_records=1).collect()] == [1]
+    write(tmp_path / "s1.csv", "a,b\n1,x\n")
+    write(tmp_path / "s2.csv", "a,b\nno,y\n")
+    with pytest.raises(ValueError, match="bad records"):
+        files.read_shards(spark, str(tmp_path / "s*.csv"), schema="a int, b string")
+
+
+def test_append_refuses_another_layout(spark, tmp_path):
+    path = str(tmp_path / "t")
+    W.append_only(spark.createDataFrame([(1, "a")], "k int, v string"), path)
+    W.append_only(spark.createDataFrame([("b", 2)], "v string, k long"), path)
+    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(1, "a"), (2, "b")]
+    with pytest.raises(ValueError, match="do not fit"):
+        W.append_only(spark.createDataFrame([(3, "c")], "k int, w string"), path)
+
+
+def test_shards_are_ordered_by_number():
+    names = ["x/part-99999-a.txt", "x/part-100000-a.txt", "x/part-00002-a.txt"]
+    assert sorted(names, key=sinks.shard_number) == [names[2], names[0], names[1]]
+
+
+def test_totals_are_not_rounded_row_by_row(spark):
+    summary = spark.createDataFrame([(10, 0.04)], "n int, total double")
+    body = spark.createDataFrame([(0.004,)] * 10, "amount double")
+    assert Q.totals_match(body, summary, "amount", "n", "total").first()["validation_status"] == "Match"
+    big = spark.sql("SELECT CAST('90071992547409.93' AS DECIMAL(20,2)) AS amount")
+    one = spark.sql("SELECT 1 AS n, CAST('90071992547409.93' AS DECIMAL(20,2)) AS total")
+    assert Q.totals_match(big, one, "amount", "n", "total").first()["total_status"] == "Match"
+
+
 def test_mod10_with_length(spark):
     df = spark.createDataFrame([("046454286",), ("79927398713",)], "s string")
     assert [r[0] for r in df.select(Q.mod10("s", 9)).collect()] == ["Valid", "Invalid"]

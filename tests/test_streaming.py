@@ -19,7 +19,7 @@ def deliver(spark, folder, rows):
 def test_latest_state_over_several_batches(spark, tmp_path):
     inbox, table, cp = tmp_path / "in", str(tmp_path / "t"), str(tmp_path / "cp")
     deliver(spark, inbox, [(1, 5, 10, "I"), (2, 1, 20, "I"), (3, 1, 30, "I")])
-    run = lambda: I.run_available(I.file_stream(spark, str(inbox), SCHEMA), cp, I.keep_latest(table, ["k"], ["ts", "v"], buckets=4))
+    run = lambda: I.run_available(I.file_stream(spark, str(inbox), SCHEMA), cp, I.keep_latest(table, ["k"], ["ts", "v"], fanout=2))
     run()
     # an older change arrives late, one key is deleted, one is new
     deliver(spark, inbox, [(1, 2, 99, "U"), (2, 8, 0, "D"), (4, 1, 40, "I")])
@@ -27,7 +27,7 @@ def test_latest_state_over_several_batches(spark, tmp_path):
     # a change older than the delete must not revive the key
     deliver(spark, inbox, [(2, 7, 77, "U")])
     run()
-    state = spark.read.parquet(table)
+    state = I.read_state(spark, table, ["k"], ["ts", "v"])
     assert state.count() == 4
     assert sorted((r["k"], r["v"]) for r in state.filter("optype <> 'D'").collect()) == [(1, 10), (3, 30), (4, 40)]
 
@@ -35,10 +35,25 @@ def test_latest_state_over_several_batches(spark, tmp_path):
 def test_a_repeated_batch_changes_nothing(spark, tmp_path):
     table = str(tmp_path / "t")
     batch = spark.createDataFrame([(1, START, 1, "I"), (1, START + timedelta(1), 2, "U")], SCHEMA)
-    apply = I.keep_latest(table, ["k"], ["ts"], buckets=2)
-    apply(batch, 0)
-    apply(batch, 0)
-    assert [(r["k"], r["v"]) for r in spark.read.parquet(table).collect()] == [(1, 2)]
+    apply = I.keep_latest(table, ["k"], ["ts"], fanout=2)
+    for number in (0, 0, 1, 1, 0):
+        apply(batch, number)
+        assert [(r["k"], r["v"]) for r in I.read_state(spark, table, ["k"], ["ts"]).collect()] == [(1, 2)]
+
+
+def test_a_small_batch_leaves_stored_files_alone(spark, tmp_path):
+    table = tmp_path / "t"
+    apply = I.keep_latest(str(table), ["k"], ["ts"])
+    many = [(k, START, k, "I") for k in range(2000)]
+    for number in range(4):
+        apply(spark.createDataFrame(many[number * 500 : number * 500 + 500], SCHEMA), number)
+    files = lambda: {p: p.stat().st_mtime_ns for p in table.rglob("*.parquet")}
+    before = files()
+    apply(spark.createDataFrame([(7, START + timedelta(1), -7, "U")], SCHEMA), 4)
+    after = files()
+    assert before.items() <= after.items() and len(after) == len(before) + 1
+    state = {r.k: r.v for r in I.read_state(spark, str(table), ["k"], ["ts"]).collect()}
+    assert len(state) == 2000 and state[7] == -7
 
 
 def test_counts_are_replaced_as_windows_grow(spark, tmp_path):
@@ -46,8 +61,8 @@ def test_counts_are_replaced_as_windows_grow(spark, tmp_path):
     for rows in ([(1, 0, 1, "I"), (2, 10, 2, "I")], [(3, 20, 4, "I"), (4, 70, 8, "I")]):
         deliver(spark, inbox, rows)
         counts = I.windowed_counts(I.file_stream(spark, str(inbox), SCHEMA), "ts", "1 hour", "1 day", total=F.sum("v"))
-        I.run_available(counts, cp, I.replace_by_key(table, ["bucket"], buckets=2), mode="update")
-    got = sorted((r["bucket"].hour, r["n"], r["total"]) for r in spark.read.parquet(table).collect())
+        I.run_available(counts, cp, I.replace_by_key(table, ["bucket"], fanout=2), mode="update")
+    got = sorted((r["bucket"].hour, r["n"], r["total"]) for r in I.read_state(spark, table, ["bucket"]).collect())
     assert got == [(0, 3, 7), (1, 1, 8)]
 
 
