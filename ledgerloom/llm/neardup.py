@@ -7,11 +7,12 @@ point hits a random register if it lies below the shingle's weight; a register k
 followed only until it is later than all registers of its document, so heavy bags cost few points per shingle, and two
 registers agree with the probability of the weighted Jaccard similarity.
 
-Bands of registers give candidates. Documents with the same words are one node from the start. A bucket is
-not paired off: its hubs (the nodes that meet most others) are compared with its members; members whose link is known through others drop
-out; what remains gets new hubs, until every node of the bucket was a hub or all are one class. So no candidate pair
-between two classes stays unverified. Verification counts the overlap of the whole bags. Classes are connected
-components of the links, found by star contraction.
+Bands of registers give candidates. Documents with the same words are one node from the start. A bucket is not paired
+off: its hub (the node that meets most others) is compared with its members, which gives first classes. The members of a
+bucket outside the class of its hub then join the hub's class in a family, where tasks compare them with all of the family by
+counting shared shingles in posting lists; a family beyond ``ELEMENTS`` shingles is cut into blocks that meet pairwise. So every
+candidate pair of two classes is verified, rows grow with the documents, and links inside a class are not listed. Verification counts the
+overlap of the whole bags. Classes are connected components of the links, found by star contraction.
 
 Nulls and empty texts: a row without words is in no group; its class is its own doc_id. A null doc_id is kept and never names a class
 that has another doc_id. Equal rows share a class. An empty table gives an empty result. Other columns are not read.
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.bytesops import mix, owners, packed, text_keys, windows, word_hashes, word_spans
@@ -32,9 +33,11 @@ from ledgerloom.session import materialize
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 24, 4
-#: Hubs per bucket and round after the first.
-HUBS = 16
+BANDS, ROWS = 32, 5
+#: Shingles of a family that one task compares with as many.
+ELEMENTS = 500_000
+#: Shared places counted at a time.
+_AT_ONCE = 2_000_000
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _UNIT = 1.0 / (1 << 53)
@@ -206,8 +209,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
     met = materialize(met, "buckets")
     degree = met.groupBy(F.col("node").alias("_n")).agg(F.sum("n").alias("degree"))
     open_ = materialize(
-        met.join(degree, _same("node", "_n")).select("node", "total", "bucket", "degree", F.col("node").alias("root")),
-        "candidates",
+        met.join(degree, _same("node", "_n")).select("node", "total", "bucket", "degree"), "candidates"
     )
     # the whole bags of the nodes that met another one
     owners_ = degree.join(nodes.select("node", "least"), _same("_n", "node")).select("least").distinct()
@@ -215,25 +217,22 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
     sets = found.mapInArrow(_bag_rows, "k1 long, k2 long, bag array<long>").select(node.alias("node"), "bag")
     sets = sets.join(degree.select("_n"), _same("node", "_n"), "left_semi").dropDuplicates(["node"])
     sets = materialize(sets, "bags")
-    links, roots, turn = None, None, 0
-    while not open_.isEmpty():
-        order = Window.partitionBy("bucket").orderBy(F.col("degree").desc(), "node")
-        hubs = open_.filter("not hub") if "hub" in open_.columns else open_
-        hubs = hubs.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= (HUBS if turn else 1))
+    roots = None
+    if not sets.isEmpty():
+        hubs = open_.groupBy(F.col("bucket").alias("h_bucket")).agg(
+            F.max(F.struct("degree", "node", "total")).alias("hub")
+        )
         hubs = materialize(
-            hubs.select(F.col("bucket").alias("h_bucket"), F.col("node").alias("h_node"), F.col("root").alias("h_root"), F.col("total").alias("h_total")),
-            "hubs",
+            hubs.select("h_bucket", F.col("hub.node").alias("h_node"), F.col("hub.total").alias("h_total")), "hubs"
         )
         pairs = open_.join(hubs, _same("bucket", "h_bucket")).filter(
-            (F.col("root") != F.col("h_root"))
+            (F.col("node") != F.col("h_node"))
             & (F.least("total", "h_total") >= similarity * F.greatest("total", "h_total"))
         )
         pairs = pairs.select(F.least("node", "h_node").alias("a"), F.greatest("node", "h_node").alias("b")).distinct()
-        new = materialize(_linked(pairs, sets, similarity), "links")
-        links = new if links is None else links.unionByName(new)
-        roots = components(links)
-        open_ = _still_open(open_, hubs, roots)
-        turn += 1
+        links = materialize(_linked(pairs, sets, similarity), "links")
+        more = materialize(_family_links(open_, hubs, components(links), sets, similarity), "links")
+        roots = components(links.unionByName(more))
     rows_ = signed.select("doc_id", "text_hash", "total", node.alias("_node"))
     if roots is not None:
         rows_ = rows_.join(roots, _same("_node", "node"), "left")
@@ -254,22 +253,133 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
     )
 
 
-def _still_open(open_: DataFrame, hubs: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members of buckets that hold several classes and a node that has not been a hub."""
+def _family_links(
+    open_: DataFrame, hubs: DataFrame, roots: DataFrame, sets: DataFrame, similarity: float, elements: int = ELEMENTS
+) -> DataFrame:
+    """Links between classes: of the nodes that met a hub's class in a bucket, and that class."""
     names = roots.select(F.col("node").alias("_n"), F.col("root").alias("_r"))
-    served = hubs.select(F.col("h_bucket").alias("_b"), F.col("h_node").alias("_h"))
-    rows = open_.join(names, _same("node", "_n"), "left").join(
-        served, _same("bucket", "_b") & _same("node", "_h"), "left"
+    of = hubs.join(names, _same("h_node", "_n"), "left").select("h_bucket", F.coalesce("_r", "h_node").alias("family"))
+    named = open_.join(names, _same("node", "_n"), "left")
+    named = named.select("node", "total", "bucket", F.coalesce("_r", "node").alias("root"))
+    guests = named.join(of, _same("bucket", "h_bucket")).filter("root != family")
+    guests = materialize(guests.select("family", "node", "root", "total", F.lit(True).alias("probe")).distinct(), "guests")
+    invited = guests.select(F.col("family").alias("_f")).distinct()
+    own = named.select("node", "root", "total").distinct().join(invited, _same("root", "_f"), "left_semi")
+    rows = guests.unionByName(own.select(F.col("root").alias("family"), "node", "root", "total", F.lit(False).alias("probe")))
+    size = rows.groupBy(F.col("family").alias("_f")).agg(F.ceil(F.sum("total") / elements).cast("int").alias("blocks"))
+    rows = rows.join(size, _same("family", "_f"))
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    with_all = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda x: F.struct(F.least(block, x).alias("i"), F.greatest(block, x).alias("j")),
     )
-    was = F.col("hub") if "hub" in open_.columns else F.lit(False)
-    rows = rows.select(
-        "node", "total", "bucket", "degree", F.coalesce("_r", "node").alias("root"), (was | F.col("_h").isNotNull()).alias("hub")
+    rows = rows.withColumn("part", F.explode(with_all)).join(
+        sets.select(F.col("node").alias("_s"), "bag"), _same("node", "_s")
     )
-    left = rows.groupBy(F.col("bucket").alias("_b")).agg(
-        F.min("root").alias("_least"), F.max("root").alias("_most"), F.bool_and("hub").alias("_done")
+    flat = rows.select(
+        F.col("family.k1").alias("f1"), F.col("family.k2").alias("f2"), "part.i", "part.j",
+        F.col("node.k1").alias("n1"), F.col("node.k2").alias("n2"),
+        F.col("root.k1").alias("r1"), F.col("root.k2").alias("r2"), "probe", "bag",
+    )
+    key = ["f1", "f2", "i", "j"]
+    found = flat.repartition(*key).sortWithinPartitions(*key).mapInArrow(
+        _family_rows(similarity), "a1 long, a2 long, b1 long, b2 long"
     )
-    left = left.filter("_least != _most and not _done").select("_b")
-    return materialize(rows.join(left, _same("bucket", "_b"), "left_semi"), "candidates")
+    pair = lambda x: F.struct(F.col(f"{x}1").alias("k1"), F.col(f"{x}2").alias("k2")).alias(x)
+    return found.select(pair("a"), pair("b"))
+
+
+def _family_rows(similarity: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        count = 0
+        for batch in batches:
+            if not len(batch):
+                continue
+            keys = np.stack([batch.column(c).to_numpy() for c in ("f1", "f2", "i", "j")])
+            size = int(batch.column("bag").offsets[-1].as_py() - batch.column("bag").offsets[0].as_py())
+            if held and count + size >= ELEMENTS:
+                before = np.array([held[-1].column(c)[-1].as_py() for c in ("f1", "f2", "i", "j")])
+                change = np.concatenate([[(before != keys[:, 0]).any()], (keys[:, 1:] != keys[:, :-1]).any(axis=0)])
+                if change.any():
+                    cut = int(np.flatnonzero(change)[-1])
+                    yield _compared(pa.Table.from_batches([*held, batch.slice(0, cut)]), similarity)
+                    batch, held, count = batch.slice(cut), [], 0
+            held.append(batch)
+            count += size
+        if held:
+            yield _compared(pa.Table.from_batches(held), similarity)
+
+    return run
+
+
+def _compared(rows: pa.Table, similarity: float) -> pa.RecordBatch:
+    """Links of whole families: of the probes with every node of their family, as a forest."""
+    rows = rows.combine_chunks()
+    n = rows.num_rows
+    bags_ = rows.column("bag").combine_chunks()
+    bags_ = bags_.chunk(0) if isinstance(bags_, pa.ChunkedArray) else bags_
+    sizes = np.diff(bags_.offsets.to_numpy()).astype(np.int64)
+    column = lambda c: rows.column(c).to_numpy()
+    family = np.zeros(n, np.int64)
+    for c in ("f1", "f2", "i", "j"):
+        family[1:] |= column(c)[1:] != column(c)[:-1]
+    family = np.cumsum(family)
+    owner = np.repeat(np.arange(n), sizes)
+    values = bags_.flatten().to_numpy().view(np.uint64)
+    _, element = np.unique(mix(values + family[owner].astype(np.uint64) * _GOLDEN), return_inverse=True)
+    posting = np.argsort(element, kind="stable")
+    first = np.concatenate([[0], np.cumsum(np.bincount(element))])
+    length = np.diff(first)
+    probe = np.flatnonzero(rows.column("probe").to_numpy())
+    begin = np.concatenate([[0], np.cumsum(sizes)])
+    work = np.add.reduceat(np.concatenate([length[element], [0]]), np.minimum(begin[:-1], len(element))) * (sizes > 0)
+    label = np.arange(n)
+    root = mix(column("r1").view(np.uint64) + mix(column("r2").view(np.uint64)))
+    a = 0
+    while a < len(probe):
+        b = a + 1
+        total = work[probe[a]]
+        while b < len(probe) and total + work[probe[b]] <= _AT_ONCE:
+            total += work[probe[b]]
+            b += 1
+        some = probe[a:b]
+        entry = np.concatenate([np.arange(begin[u], begin[u + 1]) for u in some])
+        of = np.repeat(np.arange(len(some)), sizes[some])
+        e = element[entry]
+        times = length[e]
+        inside = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        other = owner[posting[np.repeat(first[e], times) + inside]]
+        pair, shared = _counted(np.repeat(of, times) * n + other, len(some) * n)
+        u, v = some[pair // n], pair % n
+        good = (root[u] != root[v]) & (shared >= similarity * (sizes[u] + sizes[v] - shared))
+        u, v = u[good], v[good]
+        while len(u):
+            low = np.minimum(label[u], label[v])
+            if (label[u] == low).all() and (label[v] == low).all():
+                break
+            np.minimum.at(label, label[u], low)
+            np.minimum.at(label, label[v], low)
+            np.minimum.at(label, u, low)
+            np.minimum.at(label, v, low)
+            label = label[label]
+        a = b
+    while (label[label] != label).any():
+        label = label[label]
+    moved = np.flatnonzero(label != np.arange(n))
+    n1, n2 = column("n1"), column("n2")
+    return pa.RecordBatch.from_arrays(
+        [pa.array(n1[moved]), pa.array(n2[moved]), pa.array(n1[label[moved]]), pa.array(n2[label[moved]])],
+        names=["a1", "a2", "b1", "b2"],
+    )
+
+
+def _counted(keys: np.ndarray, bound: int) -> tuple[np.ndarray, np.ndarray]:
+    if bound > 8 * _AT_ONCE:
+        return np.unique(keys, return_counts=True)
+    counts = np.bincount(keys, minlength=bound)
+    found = np.flatnonzero(counts)
+    return found, counts[found]
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
