@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.operators.joins import full_join
 from ledgerloom.session import is_small, materialize
 
 # statements that an expression may not contain (fixed values)
@@ -83,8 +84,7 @@ def _joined(
             F.lit(True).alias(f"{p}_here"),
         )
 
-    on = reduce(lambda a, b: a & b, [F.col(f"sk_{k}") == F.col(f"tk_{k}") for k in keys])
-    return side(source, "s").join(side(target, "t"), on, "full")
+    return full_join(side(source, "s"), side(target, "t"), [(f"sk_{k}", f"tk_{k}") for k in keys])
 
 
 def row_diff(
@@ -172,13 +172,12 @@ def snapshot_delta(previous: DataFrame, current: DataFrame, keys: Sequence[str])
     rest = [c for c in current.columns if c not in keys]
     p = previous.select(*[F.col(k).alias(f"_p_{k}") for k in keys], F.struct(*rest).alias("_old"))
     c = current.select(*[F.col(k).alias(f"_c_{k}") for k in keys], F.struct(*rest).alias("_new"))
-    on = reduce(lambda a, b: a & b, [F.col(f"_p_{k}") == F.col(f"_c_{k}") for k in keys])
     label = (
         F.when(F.col("_old").isNull(), "insert")
         .when(F.col("_new").isNull(), "delete")
         .when(~F.col("_old").eqNullSafe(F.col("_new")), "update")
     )
-    joined = p.join(c, on, "full").withColumn("change", label).filter("change is not null")
+    joined = full_join(p, c, [(f"_p_{k}", f"_c_{k}") for k in keys]).withColumn("change", label).filter("change is not null")
     newest = F.coalesce("_new", "_old")
     return joined.select(
         *[F.coalesce(f"_c_{k}", f"_p_{k}").alias(k) for k in keys], "change", *[newest[r].alias(r) for r in rest]
@@ -204,7 +203,7 @@ def reconcile(
         .when(F.col("our_request") != F.col("their_request"), F.lit("REQUEST_MISMATCH"))
         .otherwise(F.lit("N/A"))
     )
-    return a.join(b, F.col("_ak") == F.col("_bk"), "full").select(
+    return full_join(a, b, [("_ak", "_bk")]).select(
         F.coalesce("_ak", "_bk").alias(key), "our_amount", "their_amount", exception.alias("exception_type")
     )
 

@@ -13,17 +13,34 @@ from ledgerloom.operators.ordered import fill_forward, over_neighbours
 from ledgerloom.session import materialize, may_broadcast, settled
 
 
+def spread_nulls(df: DataFrame, keys: Sequence[str], spare: int = 1024) -> Column:
+    """A further join column: 0, or for a row with a NULL key a number from its other columns.
+
+    Such rows match nothing under ``=``; with it they do not all meet in one task of a full outer join.
+    """
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (MapType, StructType, ArrayType))]
+    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    return F.when(missing, F.pmod(F.xxhash64(*plain), F.lit(spare)) + 1).otherwise(F.lit(0).cast("long"))
+
+
+def full_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """Full outer join on equal keys; the two sides have no column name in common."""
+    on = reduce(lambda a, b: a & b, [F.col(x) == F.col(y) for x, y in pairs])
+    a = left.withColumn("_l_spread", spread_nulls(left, [x for x, _ in pairs]))
+    b = right.withColumn("_r_spread", spread_nulls(right, [y for _, y in pairs]))
+    return a.join(b, on & (F.col("_l_spread") == F.col("_r_spread")), "full").drop("_l_spread", "_r_spread")
+
+
 def full_add(
     left: DataFrame, right: DataFrame, keys: Sequence[str], measures: Sequence[str]
 ) -> DataFrame:
     """Full outer join on unique keys; measures missing on one side count as zero."""
-    joined = left.alias("l").join(
-        right.alias("r"), reduce(lambda a, b: a & b, [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]), "full"
-    )
+    side = lambda df, p: df.select(*[F.col(c).alias(f"{p}{c}") for c in (*keys, *measures)])
+    joined = full_join(side(left, "l__"), side(right, "r__"), [(f"l__{k}", f"r__{k}") for k in keys])
     return joined.select(
-        *[F.coalesce(f"l.{k}", f"r.{k}").alias(k) for k in keys],
+        *[F.coalesce(f"l__{k}", f"r__{k}").alias(k) for k in keys],
         *[
-            (F.coalesce(f"l.{m}", F.lit(0)) + F.coalesce(f"r.{m}", F.lit(0))).alias(m)
+            (F.coalesce(f"l__{m}", F.lit(0)) + F.coalesce(f"r__{m}", F.lit(0))).alias(m)
             for m in measures
         ],
     )
@@ -48,8 +65,7 @@ def band_join(
     edges = cuts.first()["c"] or []
     spread = ref.withColumn("_cell", F.explode(F.sequence(_cell(F.col("_lo"), edges), _cell(F.col("_hi"), edges))))
     # a NULL never matches: such rows get spare negative cells, so that they do not all meet in one task
-    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (MapType, StructType, ArrayType))]
-    spare = F.lit(-1) - F.pmod(F.xxhash64(*plain), F.lit(1024))
+    spare = -spread_nulls(df, [value])
     probe = df.withColumn("_probe", F.coalesce(_cell(F.col(value), edges), spare))
     joined = probe.join(spread, (F.col("_probe") == F.col("_cell")) & in_band, "left")
     return joined.drop("_probe", "_cell", "_lo", "_hi")

@@ -175,7 +175,7 @@ def _(t: Tables):
     "agg_ratio_safe",
     """
     SELECT c_nationkey, n, bad, CASE WHEN n = 0 THEN NULL ELSE round(bad / n, 6) END AS rate,
-           CAST(CASE WHEN bad / n > 0.10 THEN 99 WHEN bad <= 0 THEN 1 ELSE ceil(bad / n / 0.0053) END AS BIGINT) AS grade
+           CAST(CASE WHEN bad / n > 0.10 THEN 99 WHEN bad <= 0 THEN 1 ELSE ceil(bad / n / 0.0075) END AS BIGINT) AS grade
     FROM (SELECT c_nationkey, count(*) AS n, count(*) FILTER (c_acctbal < 0) AS bad FROM customer GROUP BY 1)""",
 )
 def _(t: Tables):
@@ -184,7 +184,7 @@ def _(t: Tables):
     )
     rate = F.try_divide(F.col("bad").cast("double"), F.col("n").cast("double"))
     return counted.select(
-        "c_nationkey", "n", "bad", F.round(rate, 6).alias("rate"), A.capped_grade(rate, 0.10, 0.0053).alias("grade")
+        "c_nationkey", "n", "bad", F.round(rate, 6).alias("rate"), A.capped_grade(rate, 0.10, 0.0075).alias("grade")
     )
 
 

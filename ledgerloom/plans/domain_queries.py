@@ -114,11 +114,11 @@ def _(t: Tables):
     return latest_to_wide(weekly, ["user_id"], "wk", ["n", "spent", "top"], 5)
 
 
-# attribute -> ascending (upper bound, points) (fixed values of the example)
+# attribute -> ascending (upper bound, points); invented for the example
 _BINS = {
-    "mean_order": [(200000.0, 71), (260000.0, 84), (None, 97)],
-    "n_orders": [(6.0, 101), (12.0, 87), (None, 70)],
-    "urgent_share": [(0.15, 103), (None, 74)],
+    "mean_order": [(210000.0, 12), (270000.0, 25), (None, 40)],
+    "n_orders": [(7.0, 33), (13.0, 21), (None, 9)],
+    "urgent_share": [(0.2, 50), (None, 15)],
 }
 
 
@@ -127,8 +127,8 @@ _BINS = {
     """
     WITH f AS (SELECT o_custkey, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total, count(*) FILTER (o_orderpriority = '1-URGENT') AS u FROM orders GROUP BY 1)
     SELECT o_custkey, CAST(CASE WHEN total < 500000 OR total > 5000000 THEN 1 ELSE
-      (CASE WHEN total / n <= 200000 THEN 71 WHEN total / n <= 260000 THEN 84 ELSE 97 END) + (CASE WHEN n <= 6 THEN 101 WHEN n <= 12 THEN 87 ELSE 70 END)
-      + (CASE WHEN u / n <= 0.15 THEN 103 ELSE 74 END) END AS BIGINT) AS score FROM f""",
+      (CASE WHEN total / n <= 210000 THEN 12 WHEN total / n <= 270000 THEN 25 ELSE 40 END) + (CASE WHEN n <= 7 THEN 33 WHEN n <= 13 THEN 21 ELSE 9 END)
+      + (CASE WHEN u / n <= 0.2 THEN 50 ELSE 15 END) END AS BIGINT) AS score FROM f""",
 )
 def _(t: Tables):
     features = t.orders.groupBy("o_custkey").agg(
@@ -145,7 +145,7 @@ def _(t: Tables):
     WITH f AS (SELECT c_nationkey, c_mktsegment, c_custkey, CASE WHEN c_acctbal > 9500 THEN 2 WHEN c_acctbal < 0 THEN 1 ELSE 0 END AS flag FROM customer),
     a AS (SELECT c_nationkey, c_mktsegment, count(DISTINCT c_custkey) AS total_accounts, CAST(sum(flag) AS BIGINT) AS total_bad FROM f WHERE flag <> 2 GROUP BY 1, 2)
     SELECT c_nationkey, c_mktsegment, total_accounts, total_bad, round(total_bad / total_accounts, 6) AS bad_rate,
-      CAST(CASE WHEN total_bad / total_accounts > 0.08 THEN 99 WHEN total_bad <= 0 THEN 1 ELSE ceil(total_bad / total_accounts / 0.0053) END AS BIGINT) AS area_rank FROM a""",
+      CAST(CASE WHEN total_bad / total_accounts > 0.125 THEN 99 WHEN total_bad <= 0 THEN 1 ELSE ceil(total_bad / total_accounts / 0.0075) END AS BIGINT) AS area_rank FROM a""",
 )
 def _(t: Tables):
     flag = F.when(F.col("c_acctbal") > 9500, 2).when(F.col("c_acctbal") < 0, 1).otherwise(0)
@@ -154,7 +154,7 @@ def _(t: Tables):
         .agg(F.count_distinct("c_custkey").alias("total_accounts"), F.sum("flag").alias("total_bad"))
     )
     rate = F.try_divide(F.col("total_bad").cast("double"), F.col("total_accounts").cast("double"))
-    return areas.withColumns({"bad_rate": F.round(rate, 6), "area_rank": capped_grade(rate, 0.08, 0.0053)})
+    return areas.withColumns({"bad_rate": F.round(rate, 6), "area_rank": capped_grade(rate, 0.125, 0.0075)})
 
 
 @query(
@@ -299,7 +299,7 @@ def _(t: Tables):
     WITH a AS (SELECT c_custkey, CAST(min(o_orderdate) AS DATE) AS opened, CASE WHEN c_acctbal < 0 THEN DATE '{AS_OF}' END AS closed, c_acctbal < -100 AS zero_balance
       FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey, c_acctbal),
     e AS (SELECT c_custkey, opened, CASE WHEN coalesce(closed = DATE '{AS_OF}' AND zero_balance, false) THEN 'closure' ELSE 'anniversary' END AS event,
-      CASE WHEN opened >= DATE '1996-01-01' THEN '0.35' ELSE '0.48' END AS threshold FROM a
+      CASE WHEN opened >= DATE '1996-01-01' THEN '0.40' ELSE '0.60' END AS threshold FROM a
       WHERE coalesce(closed = DATE '{AS_OF}' AND zero_balance, false) OR (closed IS NULL AND month(opened) = 6 AND day(opened) = 15)),
     x AS (SELECT o_custkey, sum(CASE WHEN l_returnflag = 'A' THEN CAST(l_extendedprice AS DECIMAL(18,2)) ELSE 0 END) AS fees,
       sum(CASE WHEN l_returnflag = 'N' THEN CAST(l_extendedprice AS DECIMAL(18,2)) ELSE 0 END) AS purchases FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1)
@@ -311,7 +311,7 @@ def _(t: Tables):
     accounts = t.customer.join(opened, F.col("o_custkey") == F.col("c_custkey")).select(
         "c_custkey", "opened", F.when(F.col("c_acctbal") < 0, F.lit(AS_OF)).alias("closed"), (F.col("c_acctbal") < -100).alias("zero_balance")
     )
-    due = settled(D.evaluation_events(accounts, AS_OF, date(1996, 1, 1), "0.48", "0.35"), "due")
+    due = settled(D.evaluation_events(accounts, AS_OF, date(1996, 1, 1), "0.60", "0.40"), "due")
     # only the orders of due accounts meet their lines; amounts are summed per order before that
     classes = case_map("l_returnflag", {"A": "fee", "N": "purchase"})
     amount = lambda k: F.sum(F.when(F.col("class") == k, cents("l_extendedprice")).otherwise(0))
