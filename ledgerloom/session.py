@@ -7,6 +7,8 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -86,15 +88,31 @@ def _app_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below this application's part of the shared folder."""
-    return f"{_app_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below this application's (or the current job's) part of the shared folder."""
+    job = spark.conf.get("spark.ledgerloom.job", "")
+    return f"{_app_dir(spark)}/{job + '/' if job else ''}{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def job_scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove what a job wrote to the shared folder when it ends; store its results elsewhere inside the block."""
+    before, job = spark.conf.get("spark.ledgerloom.job", ""), f"job-{uuid.uuid4().hex}"
+    spark.conf.set("spark.ledgerloom.job", job)
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.ledgerloom.job", before)
+        _delete(spark, f"{_app_dir(spark)}/{job}")
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def drop_scratch(spark: SparkSession) -> None:
     """Delete what this application wrote to the shared folder; call it when all results are stored."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(_app_dir(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, _app_dir(spark))
 
 
 def materialize(df: DataFrame, label: str = "step") -> DataFrame:

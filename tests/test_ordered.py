@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import pandas as pd
 import pytest
@@ -204,3 +205,26 @@ def test_not_in(spark, listed, want):
     left = spark.createDataFrame([(1,), (2,), (None,)], "x int")
     right = spark.createDataFrame([(v,) for v in listed], "y int")
     assert {r["x"] for r in J.not_in(left, right, "x", "y").collect()} == want
+
+
+def test_a_job_removes_its_scratch(spark):
+    with S.job_scratch(spark):
+        stored = S.materialize(spark.range(5), "step")
+        folder = stored.inputFiles()[0].removeprefix("file://").rsplit("/", 2)[0]
+        assert stored.count() == 5 and Path(folder).exists()
+    assert not Path(folder).exists()
+    assert "job-" not in S.scratch_path(spark, "x")
+
+
+def test_a_local_checkpoint_folder_is_refused_on_a_cluster(spark, monkeypatch):
+    class Cluster:
+        conf = spark.conf
+        sparkContext = type("C", (), {"master": "spark://host:7077", "getConf": spark.sparkContext.getConf, "_jsc": spark.sparkContext._jsc})
+
+    monkeypatch.setattr(Cluster, "conf", {"spark.checkpoint.dir": "file:/tmp/x"})
+    with pytest.raises(ValueError, match="one machine"):
+        S.shared_dir(Cluster)
+    monkeypatch.setattr(Cluster, "conf", {"spark.checkpoint.dir": "file:/mnt/x", "spark.ledgerloom.sharedMount": "true"})
+    assert S.shared_dir(Cluster) == "file:/mnt/x"
+    monkeypatch.setattr(Cluster, "conf", {"spark.checkpoint.dir": "hdfs://n/x/"})
+    assert S.shared_dir(Cluster) == "hdfs://n/x"
