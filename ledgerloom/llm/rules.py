@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import query, table, words
+from ledgerloom.session import materialize
 
 #: A line of more documents of one host than this is boilerplate.
 MAX_DOCS = 100
@@ -66,13 +67,15 @@ def with_rules(docs: DataFrame, host: str = "source", max_docs: int = MAX_DOCS,
     # lines that differ only in case, digits or spaces are one line here, but not in n_dup_lines
     lines = F.array_remove(normalised(text), "")
     forms = rows.select("_host", "_key", lines.alias("_lines"))
-    hashes = F.transform(F.array_distinct("_lines"), lambda x: F.xxhash64(x))
-    held = forms.select("_host", F.explode(hashes).alias("_h"), "_key")
+    spaces = F.length("_line") - F.length(F.replace("_line", F.lit(" "), F.lit("")))
+    placed = forms.select("_host", "_key", F.posexplode("_lines").alias("_at", "_line"))
+    # written once, as hashes: the counts and the lines to remove both read it
+    placed = materialize(
+        placed.select("_host", "_key", "_at", F.xxhash64("_line").alias("_h"), (spaces + 1).alias("_w")), "lines"
+    )
+    held = placed.select("_host", "_h", "_key")
     counted = held.distinct().groupBy("_host", "_h").agg(F.count(F.lit(1)).alias("_docs"))
     common = counted.filter(F.col("_docs") > max_docs).select(F.col("_host").alias("_c_host"), F.col("_h").alias("_c_h"))
-    placed = forms.select("_host", "_key", F.posexplode("_lines").alias("_at", "_line"))
-    spaces = F.length("_line") - F.length(F.replace("_line", F.lit(" "), F.lit("")))
-    placed = placed.select("_host", "_key", "_at", F.xxhash64("_line").alias("_h"), (spaces + 1).alias("_w"))
     met = placed["_host"].eqNullSafe(common["_c_host"]) & (placed["_h"] == common["_c_h"])
     gone = (
         placed.join(common, met)
