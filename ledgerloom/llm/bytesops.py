@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes handled at a time where a step needs eight bytes or more for each.
-SLICE = 2 << 20
+SLICE = 1 << 20
 
 _rng = np.random.default_rng(20240229)
 _CODES = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)

@@ -13,7 +13,7 @@ from ledgerloom.session import shared_dir
 WORD = "[^\\x20\\x09-\\x0D]+"
 GAP = "[\\x20\\x09-\\x0D]+"
 #: Largest Arrow batch handed to a Python worker, in bytes; a longer text comes alone.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}

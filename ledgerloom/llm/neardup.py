@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.bytesops import mix, owners, packed, text_keys, windows, word_hashes, word_spans
+from ledgerloom.llm.bytesops import mix, packed, text_keys, windows, word_hashes, word_spans
 from ledgerloom.llm.common import arrow_sized, query, table
 from ledgerloom.session import materialize
 
