@@ -354,18 +354,13 @@ def _compared(rows: pa.Table, similarity: float) -> pa.RecordBatch:
         u, v = some[pair // n], pair % n
         good = (root[u] != root[v]) & (shared >= similarity * (sizes[u] + sizes[v] - shared))
         u, v = u[good], v[good]
-        while len(u):
-            low = np.minimum(label[u], label[v])
-            if (label[u] == low).all() and (label[v] == low).all():
-                break
-            np.minimum.at(label, label[u], low)
-            np.minimum.at(label, label[v], low)
-            np.minimum.at(label, u, low)
-            np.minimum.at(label, v, low)
-            label = label[label]
+        # only roots are hooked, and trees are flat in between, so links of earlier chunks stay in the labels
+        while (open_ := label[u] != label[v]).any():
+            u, v = u[open_], v[open_]
+            np.minimum.at(label, np.maximum(label[u], label[v]), np.minimum(label[u], label[v]))
+            while (label[label] != label).any():
+                label = label[label]
         a = b
-    while (label[label] != label).any():
-        label = label[label]
     moved = np.flatnonzero(label != np.arange(n))
     n1, n2 = column("n1"), column("n2")
     return pa.RecordBatch.from_arrays(

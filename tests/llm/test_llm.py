@@ -428,6 +428,48 @@ def test_classes_are_those_of_all_pairs(spark, monkeypatch, elements):
     assert got == brute_classes(rows)
 
 
+def family_table(n, links, probe):
+    """One family of which two nodes share an element if they are linked."""
+    bags = [[k for k, link in enumerate(links) if u in link] + [10**6 + u] for u in range(n)]
+    same = np.zeros(n, np.int64)
+    return pa.table(
+        {
+            **{c: same for c in ("f1", "f2", "i", "j", "n2", "r2")},
+            "n1": np.arange(n),
+            "r1": np.arange(n),
+            "probe": probe,
+            "bag": pa.array(bags, pa.list_(pa.int64())),
+        }
+    )
+
+
+def joined(n, links):
+    up = list(range(n))
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in links:
+        up[max(find(a), find(b))] = min(find(a), find(b))
+    return [find(x) for x in range(n)]
+
+
+@pytest.mark.parametrize("at_once", [neardup._AT_ONCE, 25, 12, 1])
+def test_families_of_many_chunks_keep_all_links(monkeypatch, at_once):
+    monkeypatch.setattr(neardup, "_AT_ONCE", at_once)
+    rng = random.Random(12)
+    graphs = [(7, [(0, 4), (1, 3), (2, 5), (2, 6), (3, 5), (4, 6)], [True] * 5 + [False, True])]
+    for _ in range(200):
+        n = rng.randrange(6, 30)
+        graphs.append((n, [tuple(rng.sample(range(n), 2)) for _ in range(n)], [rng.random() < 0.6 for _ in range(n)]))
+    for n, links, probe in graphs:
+        out = neardup._compared(family_table(n, links, probe), 0.01)
+        got = joined(n, zip(out.column("a1").to_pylist(), out.column("b1").to_pylist(), strict=True))
+        assert got == joined(n, [(a, b) for a, b in links if probe[a] or probe[b]])
+
+
 def test_signatures_estimate_weighted_similarity():
     a = {k: 1 + k % 5 for k in range(40)}
     b = {k: 1 + (k * 3) % 7 for k in range(12, 52)}
