@@ -337,6 +337,12 @@ def test_the_model_is_a_distribution():
     assert np.allclose(p.sum(axis=1), 1, atol=1e-5)
 
 
+def test_heavy_powers_are_cut_into_32nds():
+    Row = collections.namedtuple("Row", "power cell n types twice")
+    classes = lm.class_table([Row(9, k, 1000, 2, 0) for k in range(lm.CELLS)], 0)
+    assert classes.tokens[2:].tolist() == [2000] * 32
+
+
 def test_segment_sums():
     rng = np.random.default_rng(2)
     ids = np.sort(np.minimum(rng.zipf(1.3, 3000), 200))
