@@ -7,7 +7,7 @@ chunks' bytes, gives the document's probability of label 1.
 
 Nulls: a null or empty text scores 0; rows with a null doc_id are scored but not learned from, null labels are ignored.
 Without labels of both kinds every text scores 0.5, but null and empty ones 0. Equal texts get equal scores. Repeated label rows count once
-each. An empty table gives an empty result. Columns of the documents other than doc_id and text are not read.
+each, and so do equal pieces of one doc_id in training. An empty table gives an empty result. Columns of the documents other than doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm import convnet
 from ledgerloom.llm.bytesops import packed
 from ledgerloom.llm.common import arrow_sized, crc_mod, drawn, query, table
+from ledgerloom.session import materialize
 
 LENGTH, STEP = 256, 224
 #: Labelled documents of each label that training reads at most, and bytes of each.
@@ -37,15 +38,17 @@ def sample_ids(labels: DataFrame, label: str, limit: int) -> DataFrame:
 
 
 def learn(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> convnet.Net | None:
-    """The network; at most ``2 * per_label * PIECE`` bytes reach the driver (more only if a doc_id recurs)."""
+    """The network; at most ``2 * per_label * PIECE`` bytes reach the driver, or twice as many if doc_ids recur."""
     usable = labels.filter(crc_mod("doc_id", FOLDS) != HELD_OUT)
     # at most 2 * per_label rows: safe to broadcast
     ids = F.broadcast(sample_ids(usable, "quality", per_label))
     raw = F.col("text").cast("binary")
     start = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(F.length(raw) - PIECE, F.lit(0)) + 1).cast("int") + 1
     met = docs.select("doc_id", "text").filter(F.length("text") > 0).join(ids, "doc_id")
-    met = met.select("label", F.substring(raw, start, F.lit(PIECE)).alias("piece")).orderBy("label", "piece")
-    rows = met.limit(4 * per_label).collect()
+    met = met.select("doc_id", "label", F.substring(raw, start, F.lit(PIECE)).alias("piece")).distinct()
+    # texts of one doc_id are drawn one by one, so neither a recurring doc_id nor a label crowds out others
+    met = materialize(met.select(F.xxhash64("doc_id", "piece").alias("doc_id"), "label", "piece"), "pieces")
+    rows = drawn(met, "label", 2 * per_label).orderBy("label", "piece").collect()
     if len({r.label for r in rows}) < 2:
         return None
     x, y = convnet.pieces([bytes(r.piece) for r in rows], [r.label for r in rows], 2, LENGTH)

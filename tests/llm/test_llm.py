@@ -261,6 +261,22 @@ def test_scores_of_odd_rows(spark, odd, nothing, score):
     assert score(odd, labels.filter("false")).count() == len(ODD)
 
 
+@pytest.mark.parametrize("times", ["equal", "four", "hot"])
+def test_recurring_ids_leave_both_labels(spark, monkeypatch, times):
+    monkeypatch.setattr(convnet, "pieces", lambda pieces, labels, *_: (pieces, labels))
+    monkeypatch.setattr(convnet, "train", lambda x, y, *_, **__: collections.Counter(y))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id long, quality int")
+    rows = [(i, f"text {i}") for i in range(120)]
+    if times == "hot":
+        ids = quality.sample_ids(labels.filter(F.crc32(F.col("doc_id").cast("string")) % 3 != 1), "quality", 20)
+        one = ids.filter("label = 0").first().doc_id
+        rows += [(one, f"more {k}") for k in range(500)]
+    else:
+        rows += [(i, f"text {i}" if times == "equal" else f"text {i} {k}") for i in range(0, 120, 2) for k in range(4)]
+    got = quality.learn(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), labels, 20)
+    assert got[1] == 20 and got[0] == (20 if times == "equal" else 40)
+
+
 # --- 4 chat
 
 
