@@ -1,4 +1,17 @@
 """All registered queries of this folder."""
 
-from ledgerloom.llm import chat, decontamination, langid, lm, mixing, neardup, quality, rules, suffixes, toxicity  # noqa: F401
+from ledgerloom.llm import (  # noqa: F401
+    chat,
+    collocations,
+    decontamination,
+    langid,
+    lm,
+    mixing,
+    neardup,
+    packing,
+    quality,
+    rules,
+    suffixes,
+    toxicity,
+)
 from ledgerloom.llm.common import QUERIES, SQL  # noqa: F401
