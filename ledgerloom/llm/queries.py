@@ -13,5 +13,6 @@ from ledgerloom.llm import (  # noqa: F401
     rules,
     suffixes,
     toxicity,
+    tries,
 )
 from ledgerloom.llm.common import QUERIES, SQL  # noqa: F401
