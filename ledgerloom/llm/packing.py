@@ -8,8 +8,8 @@ first; a mutation dissolves some bins. After each epoch an island's best packing
 packing needs no more bins than its tokens do stops early. The least filled bins of ``FAN`` groups then form a group of the next level, and so on up
 to a single group, so the waste does not grow with the number of groups.
 
-Tokens: no token crosses white space, nor goes from an ASCII letter to one of ``.,;:!?``; so each distinct part between such places
-is tokenised once per task, and the ids are those of the whole text.
+Tokens: the tokenizer's words never cross white space, nor go from an ASCII letter to a digit or a mark; so each distinct part between such places
+is tokenised once per task, and the ids are those of the whole text. A tokenizer with other words encodes whole texts.
 
 Nulls: a null text is empty, which is the closing id alone; a null doc_id is kept. Repeated rows are documents of their own;
 ties (equal lengths) are told apart by the row's number. Very long texts become many pieces. An empty table gives an empty result. Other columns are not read.
@@ -17,16 +17,18 @@ ties (equal lengths) are told apart by the row's number. Very long texts become
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.bytesops import _GAP, owners, packed
+from ledgerloom.llm.bytesops import _GAP, _LOWER, owners, packed
 from ledgerloom.llm.common import arrow_sized, query, table
 from ledgerloom.session import materialize
 
@@ -41,34 +43,68 @@ INJECTED, DISSOLVED = 0.3, 0.03
 #: Distinct parts whose ids a task remembers.
 REMEMBERED = 400_000
 
-_LETTER = np.zeros(256, bool)
-_LETTER[65:91] = _LETTER[97:123] = True
-_MARK = np.zeros(256, bool)
-_MARK[[ord(c) for c in ".,;:!?"]] = True
+# fixed value: the words of tokenizers whose ids can be put together from parts
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Parts that are tokenised in one call, told apart by a special token.
+TOGETHER = 200
+
+
+
+def _kinds() -> tuple[np.ndarray, np.ndarray]:
+    """The kind of each byte, and for each pair of kinds (seven to a row) whether a part begins between them.
+
+    0 white space, 1 digit, 2 ASCII letter, 3 mark, 4 apostrophe, 5 the bar and whatever is not ASCII, 6 the start of a text.
+    """
+    code = np.arange(256)
+    kind = np.full(256, 5, np.uint8)
+    kind[(code > 32) & (code < 127) & (code != ord("|"))] = 3
+    kind[(code >= 48) & (code < 58)] = 1
+    kind[((code | 32) >= 97) & ((code | 32) < 123)] = 2
+    kind[ord("'")] = 4
+    kind[_GAP] = 0
+    begins = np.zeros((7, 7), bool)
+    begins[0, 1:] = begins[6, 1:] = True
+    # a digit is a word of its own; letters and marks part, but for what follows an apostrophe
+    begins[1, 1:5] = begins[2:5, 1] = True
+    begins[2, 3:5] = begins[3, 2] = True
+    return kind, begins.ravel()
+
+
+_KIND, _BEGINS = _kinds()
 
 
 # ---- tokens
 
 
 def _parts(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of the parts that are tokenised by themselves, and each text's first part."""
-    inside = ~_GAP[buf]
-    fresh = np.ones(len(buf), bool)
-    fresh[1:] = ~inside[:-1] | (_MARK[buf[1:]] & _LETTER[buf[:-1]])
-    fresh[offsets[:-1][offsets[:-1] < len(buf)]] = True
-    starts = np.flatnonzero(inside & fresh)
+    """Start and end of the parts that are tokenised by themselves, and each text's first part.
+
+    Within a word they begin at an ASCII digit and after one, between a letter and another character, and between such a
+    character and a letter (but not after an apostrophe); none of these is a place inside a special token.
+    """
+    kind = _KIND[buf]
+    before = np.empty_like(kind)
+    before[1:] = kind[:-1]
+    before[offsets[:-1][offsets[:-1] < len(buf)]] = 6
+    fresh = _BEGINS[before * np.uint8(7) + kind]
+    starts = np.flatnonzero(fresh)
+    # a part ends where the next one begins, or at white space, or with the buffer
     last = np.ones(len(buf), bool)
-    last[:-1] = fresh[1:] | ~inside[1:]
-    ends = np.flatnonzero(inside & last) + 1
-    return starts, ends, np.searchsorted(starts, offsets)
+    last[:-1] = fresh[1:] | (kind[1:] == 0)
+    last &= kind != 0
+    return starts, np.flatnonzero(last) + 1, np.searchsorted(starts, offsets)
 
 
 def _strings(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The parts as strings, with small letters, unless there is a bar: special tokens are not changed."""
     sizes = ends - starts
     edges = np.concatenate([[0], np.cumsum(sizes)])
     at = np.arange(edges[-1]) - np.repeat(edges[:-1] - starts, sizes)
-    data = pa.py_buffer(np.ascontiguousarray(buf[at]))
-    return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(edges.astype(np.int64)), data)
+    text = _LOWER[buf[at]]
+    if (bars := np.flatnonzero(text == ord("|"))).size:
+        for part in np.unique(np.searchsorted(edges, bars, "right") - 1):
+            text[edges[part] : edges[part + 1]] = buf[starts[part] : ends[part]]
+    return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(text))
 
 
 def _ragged(values: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -78,36 +114,75 @@ def _ragged(values: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndar
 
 
 class _Encoder:
+    """Ids of texts. The ids of distinct parts are kept for the next batches, up to ``REMEMBERED``."""
+
     def __init__(self, model: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.model, self.known = Tokenizer.from_str(model.decode()), {}
+        self.model = Tokenizer.from_str(model.decode())
+        steps = json.loads(model).get("pre_tokenizer") or {}
+        patterns = [s.get("pattern", {}).get("Regex") for s in steps.get("pretokenizers", [])]
+        special = [(t, x.content) for t, x in self.model.get_added_tokens_decoder().items() if x.special and not x.normalized]
+        self.by_parts = WORDS in patterns and bool(special)
+        self.mark, self.between = special[0] if special else (None, None)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = pa.array([], pa.large_string())
+        self.ids, self.edges = np.empty(0, np.uint32), np.zeros(1, np.int64)
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(c.ids, np.uint32) for c in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, new: pa.Array) -> np.ndarray:
+        """Remember the ids of new parts; returns the order in which they are kept."""
+        texts = new.to_pylist()
+        plain = [i for i, t in enumerate(texts) if "|" not in t]
+        odd = [i for i, t in enumerate(texts) if "|" in t]
+        ids, sizes = [], []
+        groups = [plain[i : i + TOGETHER] for i in range(0, len(plain), TOGETHER)]
+        for found in self._whole([self.between.join([texts[i] for i in g]) for g in groups]):
+            cuts = np.flatnonzero(found == self.mark)
+            ids.append(np.delete(found, cuts))
+            sizes.append(np.diff(np.concatenate([[-1], cuts, [len(found)]])) - 1)
+        more = self._whole([texts[i] for i in odd])
+        sizes.append(np.array([len(c) for c in more], np.int64))
+        order = np.array(plain + odd, np.int64)
+        self.known = pa.concat_arrays([self.known, new.take(pa.array(order))])
+        self.ids = np.concatenate([self.ids, *ids, *more])
+        self.edges = np.concatenate([self.edges, self.edges[-1] + np.cumsum(np.concatenate(sizes))])
+        return order
 
     def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a batch of texts, each closed, and the place of each text's first id (one more at the end)."""
+        if not self.by_parts:
+            coded = self._whole([t or "" for t in column.to_pylist()])
+            close = np.array([CLOSE], np.uint32)
+            ids = np.concatenate([x for c in coded for x in (c, close)] or [close[:0]])
+            return ids, np.cumsum([0] + [len(c) + 1 for c in coded])
         buf, offsets = packed(column)
         starts, ends, first = _parts(buf, offsets)
         coded = _strings(buf, starts, ends).dictionary_encode()
-        parts, known = coded.dictionary.to_pylist(), self.known
-        new = [p for p in parts if p not in known]
-        if new:
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = parts
-            for part, code in zip(new, self.model.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                known[part] = np.array(code.ids, np.uint32)
-        ids = [known[p] for p in parts]
-        sizes = np.array([len(i) for i in ids], np.int64)
-        values = np.concatenate(ids) if ids else np.empty(0, np.uint32)
-        index = coded.indices.to_numpy().astype(np.int64)
-        here = sizes[index]
-        flat = _ragged(values, (np.cumsum(sizes) - sizes)[index], here)
+        distinct = coded.dictionary
+        place = pc.index_in(distinct, value_set=self.known)
+        if place.null_count:
+            if len(self.known) + place.null_count > REMEMBERED:
+                self._forget()
+                place = pa.nulls(len(distinct), pa.int32())
+            new = np.flatnonzero(place.is_null().to_numpy(zero_copy_only=False))
+            place = place.fill_null(0).to_numpy().copy()
+            order = self._learn(distinct.take(pa.array(new)))
+            place[new[order]] = np.arange(len(self.known) - len(new), len(self.known))
+        else:
+            place = place.to_numpy()
+        at = place.astype(np.int64)[coded.indices.to_numpy()]
+        here = np.diff(self.edges)[at]
+        flat = _ragged(self.ids, self.edges[at], here)
         upto = np.concatenate([[0], np.cumsum(here)])[first]
         texts = len(offsets) - 1
         out = np.empty(len(flat) + texts, np.uint32)
-        owner = np.repeat(owners(first), here)
-        out[np.arange(len(flat)) + owner] = flat
+        out[np.arange(len(flat)) + np.repeat(owners(first), here)] = flat
         out[upto[1:] + np.arange(texts)] = CLOSE
         return out, upto + np.arange(texts + 1)
 
