@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from ledgerloom.session import BLOCK_ROWS, HOT_KEY_ROWS, bounded_bytes, is_small, materialize, setting, settled
+from ledgerloom.session import BLOCK_ROWS, HOT_KEY_ROWS, is_small, materialize, multiplies, setting, settled
 
 _ROW_MASK = (1 << 33) - 1
 
@@ -34,7 +34,7 @@ def split_hot(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame
     if not keys:
         return df.filter(F.lit(False)), df
     limit = setting(df.sparkSession, "hotKeyRows", HOT_KEY_ROWS)
-    if bounded_bytes(df) is None:
+    if multiplies(df):
         df = materialize(df, "split-input")  # three readers below: count, ordinary and hot rows
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
     hot_keys = materialize(counts.select(*[F.col(k).alias(f"_hot_{k}") for k in keys]), "hot-keys")

@@ -11,6 +11,8 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Inputs whose estimated size is below this many bytes may be handled by one task.
 SMALL_INPUT_BYTES = 256 * 1024 * 1024
@@ -131,38 +133,102 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
 _MULTIPLIES = re.compile(
     r"^[\s:|+-]*(?:Generate|Expand|Join (?!LeftSemi|LeftAnti|ExistenceJoin)|Map|FlatMap|CoGroup|Recursive|UnionLoop)", re.M
 )
-#: Bytes in memory per byte of compressed file, at most.
-_INFLATION = 8
+#: Bytes of a value of a fixed width, at most, and of a row besides its values.
+_FIXED_BYTES, _ROW_BYTES = 16, 16
+#: Files whose footers the driver reads; the rows of more files are counted by a job.
+_FOOTERS = 64
+_VARIABLE = (T.StringType, T.BinaryType, T.VarcharType, T.CharType)
+#: Rows of the files seen before, by path, length and time of change.
+_file_rows: dict[tuple[str, int, int], int] = {}
+
+
+def _footer_rows(spark: SparkSession, files: list[str]) -> int:
+    """Rows of Parquet files, from their footers."""
+    parquet = spark.sparkContext._jvm.org.apache.parquet.hadoop
+    conf, total = spark._jsparkSession.sessionState().newHadoopConf(), 0
+    for file in files:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file)
+        status = path.getFileSystem(conf).getFileStatus(path)
+        key = (file, status.getLen(), status.getModificationTime())
+        if key not in _file_rows:
+            reader = parquet.ParquetFileReader.open(parquet.util.HadoopInputFile.fromStatus(status, conf))
+            try:
+                _file_rows[key] = reader.getRecordCount()
+            finally:
+                reader.close()
+        total += _file_rows[key]
+    return total
+
+
+def _leaf_rows(spark: SparkSession, leaf, limit: int) -> int | None:
+    """Rows of a leaf of a plan, read from the data's own counts; None if it has none or its files exceed ``limit`` bytes."""
+    kind = leaf.getClass().getSimpleName()
+    if kind == "LocalRelation":
+        return leaf.data().size()
+    if kind == "OneRowRelation":
+        return 1
+    if kind == "Range":
+        return int(str(leaf.numElements()))
+    if kind != "LogicalRelation" or leaf.relation().getClass().getSimpleName() != "HadoopFsRelation":
+        return None
+    relation = leaf.relation()
+    if relation.fileFormat().toString() != "Parquet" or relation.sizeInBytes() > limit:
+        return None
+    files = list(relation.location().inputFiles())
+    if len(files) > _FOOTERS:
+        # a count without columns reads footers only
+        return spark.read.schema(T.StructType()).parquet(*files).count()
+    return _footer_rows(spark, files)
 
 
-def bounded_bytes(df: DataFrame) -> int | None:
-    """A bound of the size of ``df`` from its files' sizes; None if an operator in between may multiply rows.
+def bounded_bytes(df: DataFrame, limit: int, measure: bool = True) -> int | None:
+    """A proven bound of the size of ``df`` in memory; None if there is none, or if it passes ``limit``.
 
-    Reads file metadata only, starts no job.
+    Rows: the sum of those of the Parquet files read, by their footers, as long as no operator in between multiplies rows.
+    Bytes of a row: fixed by the types; for text and binary columns the lengths are summed by a job over ``df``, which only starts if
+    the rows alone are within the limit (``measure``; else such columns give None). Nested columns, and sources without counts, give None.
     """
+    spark = df.sparkSession
     plan = df._jdf.queryExecution().optimizedPlan()
     if _MULTIPLIES.search(plan.toString()):
         return None
-    leaves = plan.collectLeaves()
-    return _INFLATION * sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
-def _below(df: DataFrame, limit: int) -> bool:
-    size = bounded_bytes(df)
-    return size is not None and size <= limit
-
-
-def is_small(df: DataFrame) -> bool:
+    variable = [f.name for f in df.schema if isinstance(f.dataType, _VARIABLE)]
+    if any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)) for f in df.schema):
+        return None
+    if variable and not measure:
+        return None
+    leaves, rows = plan.collectLeaves(), 0
+    width = _ROW_BYTES + _FIXED_BYTES * len(df.columns)
+    for i in range(leaves.size()):
+        found = _leaf_rows(spark, leaves.apply(i), limit)
+        if found is None:
+            return None
+        rows += found
+        if rows * width > limit:
+            return None
+    size = rows * width
+    if variable and rows:
+        lengths = [F.coalesce(F.sum(F.octet_length(F.col(f"`{c}`")).cast("long")), F.lit(0)) for c in variable]
+        size += sum(df.agg(*[x.alias(f"_{i}") for i, x in enumerate(lengths)]).first())
+    return size if size <= limit else None
+
+
+def is_small(df: DataFrame, measure: bool = True) -> bool:
     """Whether the whole input is proven to be small enough for a single task.
 
     The operators give the same rows either way; an input of unknown size takes the split way.
     """
-    return _below(df, setting(df.sparkSession, "smallInputBytes", SMALL_INPUT_BYTES))
+    return bounded_bytes(df, setting(df.sparkSession, "smallInputBytes", SMALL_INPUT_BYTES), measure) is not None
 
 
 def may_broadcast(df: DataFrame) -> bool:
     """Whether ``df`` is proven small enough to be sent to every executor."""
-    return _below(df, setting(df.sparkSession, "broadcastBytes", BROADCAST_BYTES))
+    return bounded_bytes(df, setting(df.sparkSession, "broadcastBytes", BROADCAST_BYTES)) is not None
+
+
+def multiplies(df: DataFrame) -> bool:
+    """Whether an operator of the plan can give more rows than it reads, so that reading it again is costly."""
+    return bool(_MULTIPLIES.search(df._jdf.queryExecution().optimizedPlan().toString()))
 
 
 def settled(df: DataFrame, label: str = "lookup") -> DataFrame:
@@ -171,4 +237,15 @@ def settled(df: DataFrame, label: str = "lookup") -> DataFrame:
     Adaptive execution splits a hot key only where both join inputs come straight from a shuffle; an
     aggregate that feeds the join directly hides its side. Reading it from files restores that.
     """
-    return df if is_small(df) else materialize(df, label)
+    return df if is_small(df, measure=False) else materialize(df, label)
+
+
+#: Plan nodes that only read, choose and compute columns: reading such an input again costs a scan of the wanted columns.
+_READS = re.compile(r"^[\s:|+-]*(?:Project|Filter|SubqueryAlias|Relation|LocalRelation|Range|OneRowRelation|LogicalRelation|Union)\b")
+
+
+def computed_once(df: DataFrame, label: str = "input") -> DataFrame:
+    """``df`` for several readers: as it is if it only reads files and always gives the same rows, else written first."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    lines = [x for x in plan.toString().splitlines() if x.strip()]
+    return df if plan.deterministic() and all(map(_READS.match, lines)) else materialize(df, label)
