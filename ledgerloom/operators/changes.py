@@ -7,10 +7,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.functions import key_hash
 from ledgerloom.operators.ordered import attach_group, latest_per_key
-from ledgerloom.session import materialize, settled
+from ledgerloom.operators.shaping import align_schema, rename_nested
+from ledgerloom.session import computed_once, materialize, settled
 
 #: Gets the target and the source column accessors, returns an expression.
 Rule = Callable[[Callable[[str], Column], Callable[[str], Column]], Column]
@@ -41,9 +43,12 @@ def merge(
     rows for one key are an error if they would update a target row; unmatched, all of them are inserted.
 
     The target is joined to the source from the left, which lets Spark broadcast a small source and split a hot
-    key of the target; what is to be inserted comes from an anti join to the target's keys.
+    key of the target; what is to be inserted comes from an anti join to the target's keys. With both parts, each input is
+    computed once: one that is more than a scan of files is written first.
     """
     update = update or {}
+    if update and insert:
+        target, source = computed_once(target, "merge-target"), computed_once(source, "merge-source")
     columns = target.columns
     t = lambda c: F.col(f"t__{c}")
     s = lambda c: F.col(f"s__{c}")
@@ -201,7 +206,17 @@ def flag_missing(
     return flagged.withColumn(status, new).drop("_hit", "_n", "_nulls")
 
 
-def evolve(old: DataFrame, new: DataFrame, types: Mapping[str, str], names: Mapping[str, str] = {}) -> DataFrame:
-    """Old and new layouts in one table: rename, add missing columns as NULL, cast to ``types``."""
+def evolve(
+    old: DataFrame, new: DataFrame, types: Mapping[str, str] | T.StructType, names: Mapping[str, str] = {}
+) -> DataFrame:
+    """Old and new layouts in one table: rename, add missing columns as NULL, cast to ``types``.
+
+    ``names`` may be paths to nested fields. With a whole type as ``types`` both layouts are brought to it at every level.
+    """
+    if isinstance(types, T.StructType) or any("." in n for n in names):
+        old = rename_nested(old, names)
+        if isinstance(types, T.StructType):
+            return align_schema(old, types).unionByName(align_schema(new, types))
+        names = {}
     both = old.withColumnsRenamed(dict(names)).unionByName(new, allowMissingColumns=True)
     return both.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in both.columns])

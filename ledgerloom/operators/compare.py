@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.operators.joins import full_join
-from ledgerloom.session import is_small, materialize
+from ledgerloom.session import computed_once, is_small, materialize
 
 # statements that an expression may not contain (fixed values)
 _UNSAFE = ("DROP", "DELETE", "INSERT", "UPDATE", "CREATE", "ALTER", "TRUNCATE", "MERGE", "GRANT", "REVOKE")
@@ -71,10 +71,12 @@ def expressions_for(
     return by_type.get(a, ()) if a is not None and a == b else ()
 
 
-def _joined(
+def _sides(
     source: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str],
     by_column: Mapping[str, Sequence[str]], by_type: Mapping[str, Sequence[str]],
-) -> DataFrame:
+) -> tuple[DataFrame, DataFrame]:
+    """Both tables with keys, original and compared columns under names of their own."""
+
     def side(df: DataFrame, p: str) -> DataFrame:
         shaped = {c: F.expr(chain(c, expressions_for(c, source, target, by_column, by_type))) for c in columns}
         return df.select(
@@ -84,7 +86,67 @@ def _joined(
             F.lit(True).alias(f"{p}_here"),
         )
 
-    return full_join(side(source, "s"), side(target, "t"), [(f"sk_{k}", f"tk_{k}") for k in keys])
+    return side(source, "s"), side(target, "t")
+
+
+def digest(df: DataFrame, columns: Sequence[str]) -> Column:
+    """128 bits that are equal where the columns are equal, NULLs included; columns of plain types only."""
+    parts = [F.lit(len(columns))]
+    for c in columns:
+        is_float = isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType))
+        # 0.0 and -0.0 are equal, and a hash passes over NULLs
+        parts += [F.col(c) + F.lit(0.0) if is_float else F.col(c), F.col(c).isNull()]
+    return F.struct(F.xxhash64(*parts).alias("a"), F.xxhash64(F.lit("second"), *reversed(parts)).alias("b"))
+
+
+def differing_keys(
+    left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, str]], columns: Sequence[tuple[str, str]]
+) -> DataFrame:
+    """One row per pair of rows that differ: the keys of both sides, ``l_here``, ``r_here`` and nothing else.
+
+    What is shuffled is each side's keys and a digest of its columns. Columns whose types are not the same on both sides, or nested, are
+    compared by their values.
+    """
+    plain = lambda a, b: left.schema[a].dataType == right.schema[b].dataType and not isinstance(
+        left.schema[a].dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)
+    )
+    same = [(a, b) for a, b in columns if plain(a, b)]
+    other = [(a, b) for a, b in columns if not plain(a, b)]
+    x = left.select(
+        *[F.col(k).alias(f"l_k{i}") for i, (k, _) in enumerate(keys)],
+        digest(left, [a for a, _ in same]).alias("l_digest"),
+        *[F.col(a).alias(f"l_v{i}") for i, (a, _) in enumerate(other)],
+        F.lit(True).alias("l_here"),
+    )
+    y = right.select(
+        *[F.col(k).alias(f"r_k{i}") for i, (_, k) in enumerate(keys)],
+        digest(right, [b for _, b in same]).alias("r_digest"),
+        *[F.col(b).alias(f"r_v{i}") for i, (_, b) in enumerate(other)],
+        F.lit(True).alias("r_here"),
+    )
+    joined = full_join(x, y, [(f"l_k{i}", f"r_k{i}") for i in range(len(keys))])
+    differs = F.col("l_here").isNull() | F.col("r_here").isNull() | (F.col("l_digest") != F.col("r_digest"))
+    for i in range(len(other)):
+        differs = differs | ~F.col(f"l_v{i}").eqNullSafe(F.col(f"r_v{i}"))
+    names = [f"{p}_k{i}" for i in range(len(keys)) for p in "lr"]
+    return joined.filter(differs).select(*names, "l_here", "r_here")
+
+
+def _only_differing(
+    left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, str]], different: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """The whole rows of both sides whose keys are among the ``different`` ones."""
+
+    def kept(df: DataFrame, p: str, at: int) -> DataFrame:
+        listed = different.filter(f"{p}_here").select(*[f"{p}_k{i}" for i in range(len(keys))]).distinct()
+        met = reduce(lambda a, b: a & b, [F.col(k[at]).eqNullSafe(F.col(f"{p}_k{i}")) for i, k in enumerate(keys)])
+        return df.join(listed, met, "left_semi")
+
+    return kept(left, "l", 0), kept(right, "r", 1)
+
+
+def _both_small(source: DataFrame, target: DataFrame) -> bool:
+    return is_small(source, measure=False) and is_small(target, measure=False)
 
 
 def row_diff(
@@ -96,9 +158,26 @@ def row_diff(
     by_column: Mapping[str, Sequence[str]] | None = None,
     by_type: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
-    """Rows that differ: keys, status, and an array with the original and compared value of both sides."""
+    """Rows that differ: keys, status, and an array with the original and compared value of both sides.
+
+    Unless both tables are small, keys and digests are joined first, and whole rows are fetched for differing keys only.
+    """
+    return _row_diff(source, target, keys, columns, exclude, by_column, by_type)[0]
+
+
+def _row_diff(source, target, keys, columns=(), exclude=(), by_column=None, by_type=None) -> tuple[DataFrame, DataFrame | None]:
+    """The report and, if it was made in two phases, the pairs that differ."""
     chosen = compared_columns(source, target, keys, columns, exclude)
-    joined = _joined(source, target, keys, chosen, by_column or {}, by_type or {})
+    different = None
+    if not _both_small(source, target):
+        source, target = computed_once(source, "compare-source"), computed_once(target, "compare-target")
+    s, t = _sides(source, target, keys, chosen, by_column or {}, by_type or {})
+    pairs = [(f"sk_{k}", f"tk_{k}") for k in keys]
+    if not _both_small(source, target):
+        different = differing_keys(s, t, pairs, [(f"sc_{c}", f"tc_{c}") for c in chosen])
+        different = materialize(different, "differing")
+        s, t = _only_differing(s, t, pairs, different)
+    joined = full_join(s, t, pairs)
     differs = {c: ~F.col(f"sc_{c}").eqNullSafe(F.col(f"tc_{c}")) for c in chosen}
     in_source, in_target = F.col("s_here").isNotNull(), F.col("t_here").isNotNull()
     any_diff = reduce(lambda a, b: a | b, differs.values(), F.lit(False))
@@ -123,7 +202,7 @@ def row_diff(
         ]
     )
     details = F.when(in_source & in_target, F.filter(cells, lambda x: x.isNotNull())).otherwise(F.array(whole))
-    return (
+    report = (
         joined.withColumn("record_comparison_status", status)
         .filter(F.col("record_comparison_status").isNotNull())
         .select(
@@ -132,6 +211,7 @@ def row_diff(
             details.alias("differing_column_details"),
         )
     )
+    return report, different
 
 
 def diff_counts(report: DataFrame) -> DataFrame:
@@ -144,12 +224,20 @@ def diff_counts(report: DataFrame) -> DataFrame:
     )
 
 
+def _pair_counts(different: DataFrame) -> DataFrame:
+    """The counts of a report from the pairs that differ, without their rows."""
+    left, right = F.col("l_here").isNotNull(), F.col("r_here").isNotNull()
+    return different.agg(
+        F.count_if(left & right).alias("n_mismatch"),
+        F.count_if(~left).alias("n_missing_in_source"),
+        F.count_if(~right).alias("n_missing_in_target"),
+    )
+
+
 def compare(source: DataFrame, target: DataFrame, keys: Sequence[str], **options) -> tuple[DataFrame, DataFrame]:
-    """Report and counts from one full join: a large report is written once and counted from there."""
-    report = row_diff(source, target, keys, **options)
-    if not is_small(source) or not is_small(target):
-        report = materialize(report, "compare")
-    return report, diff_counts(report)
+    """Report and counts; of large tables the counts come from the joined digests alone."""
+    report, different = _row_diff(source, target, keys, **options)
+    return report, diff_counts(report) if different is None else _pair_counts(different)
 
 
 def schema_diff(source: DataFrame, target: DataFrame) -> list[tuple[str, str | None, str | None, str]]:
@@ -168,8 +256,16 @@ def schema_diff(source: DataFrame, target: DataFrame) -> list[tuple[str, str | N
 
 
 def snapshot_delta(previous: DataFrame, current: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Changed rows between two snapshots, labelled insert, update or delete, with the newest values."""
+    """Changed rows between two snapshots, labelled insert, update or delete, with the newest values.
+
+    Large snapshots are compared by digests first, as in ``row_diff``.
+    """
     rest = [c for c in current.columns if c not in keys]
+    if not _both_small(previous, current):
+        previous, current = computed_once(previous, "delta-previous"), computed_once(current, "delta-current")
+        pairs = [(k, k) for k in keys]
+        different = materialize(differing_keys(previous, current, pairs, [(c, c) for c in rest]), "differing")
+        previous, current = _only_differing(previous, current, pairs, different)
     p = previous.select(*[F.col(k).alias(f"_p_{k}") for k in keys], F.struct(*rest).alias("_old"))
     c = current.select(*[F.col(k).alias(f"_c_{k}") for k in keys], F.struct(*rest).alias("_new"))
     label = (

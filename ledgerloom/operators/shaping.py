@@ -24,12 +24,100 @@ def rename_columns(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(dict(names))
 
 
-def sync_schema(df: DataFrame, target: Sequence[str]) -> DataFrame:
-    """Project to the target's columns in its order; a missing column is an error."""
-    missing = [c for c in target if c not in df.columns]
+def _names_below(path: str, names: Mapping[str, str]) -> bool:
+    return any(n.startswith(path + ".") for n in names)
+
+
+def _renamed(value: Column, kind: T.DataType, path: str, names: Mapping[str, str]) -> Column:
+    """``value`` with the new names of the fields below ``path``; NULLs stay NULL at every level."""
+    if not _names_below(path, names):
+        return value
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: _renamed(x, kind.elementType, path, names))
+    if isinstance(kind, T.MapType):
+        return F.transform_values(value, lambda _, x: _renamed(x, kind.valueType, path, names))
+    fields = []
+    for f in kind.fields:
+        below = f"{path}.{f.name}"
+        fields.append(_renamed(value.getField(f.name), f.dataType, below, names).alias(names.get(below, f.name)))
+    return F.when(value.isNotNull(), F.struct(*fields))
+
+
+def _paths(kind: T.DataType, path: str) -> list[str]:
+    """Paths of all fields below; arrays and map values add no step of their own."""
+    if isinstance(kind, T.ArrayType):
+        return _paths(kind.elementType, path)
+    if isinstance(kind, T.MapType):
+        return _paths(kind.valueType, path)
+    if not isinstance(kind, T.StructType):
+        return []
+    return [p for f in kind.fields for p in (f"{path}.{f.name}", *_paths(f.dataType, f"{path}.{f.name}"))]
+
+
+def rename_nested(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
+    """Rename fields at any depth: ``{"rates.tiers.amt": "amount"}``, with the paths of the old names.
+
+    Arrays and map values are passed through by the path; nothing is exploded, and NULL arrays, elements and structs stay NULL. An unknown path, or two
+    fields of one struct with the same new name, is an error.
+    """
+    known = [p for f in df.schema.fields for p in (f.name, *_paths(f.dataType, f.name))]
+    if unknown := [p for p in names if p not in known]:
+        raise ValueError(f"no such fields: {', '.join(unknown)}")
+    new = [(p.rpartition(".")[0], names.get(p, p.rpartition(".")[2])) for p in known]
+    if len(set(new)) < len(new):
+        raise ValueError("two fields would have the same name")
+    return df.select(
+        *[_renamed(df[f"`{f.name}`"], f.dataType, f.name, names).alias(names.get(f.name, f.name)) for f in df.schema.fields]
+    )
+
+
+def aligned(value: Column, have: T.DataType, want: T.DataType) -> Column:
+    """``value`` as the type ``want``: fields by name, missing ones NULL, others cast, surplus ones left out, at every level."""
+    if have == want:
+        return value
+    if isinstance(have, T.StructType) and isinstance(want, T.StructType):
+        kinds = {f.name: f.dataType for f in have.fields}
+        fields = [
+            (aligned(value.getField(f.name), kinds[f.name], f.dataType) if f.name in kinds else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in want.fields
+        ]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
+        return F.transform(value, lambda x: aligned(x, have.elementType, want.elementType))
+    if isinstance(have, T.MapType) and isinstance(want, T.MapType):
+        entries = F.transform(
+            F.map_entries(value),
+            lambda e: F.struct(
+                aligned(e["key"], have.keyType, want.keyType).alias("key"),
+                aligned(e["value"], have.valueType, want.valueType).alias("value"),
+            ),
+        )
+        return F.map_from_entries(entries)
+    return value.cast(want)
+
+
+def align_schema(df: DataFrame, target: T.StructType | str) -> DataFrame:
+    """The columns of ``target`` in its order and types, nested fields included; what is missing is NULL."""
+    target = T.StructType.fromDDL(target) if isinstance(target, str) else target
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(
+        *[
+            (aligned(df[f"`{f.name}`"], kinds[f.name], f.dataType) if f.name in kinds else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in target.fields
+        ]
+    )
+
+
+def sync_schema(df: DataFrame, target: Sequence[str] | T.StructType) -> DataFrame:
+    """Project to the target's columns in its order; a missing column is an error.
+
+    With a type as ``target`` columns are brought to its types as well, nested fields included.
+    """
+    names = target.names if isinstance(target, T.StructType) else list(target)
+    missing = [c for c in names if c not in df.columns]
     if missing:
         raise ValueError(f"columns missing in the source: {', '.join(missing)}")
-    return df.select(*target)
+    return align_schema(df, target) if isinstance(target, T.StructType) else df.select(*names)
 
 
 def local_times(df: DataFrame, zone: str = "America/Toronto", columns: Sequence[str] | None = None) -> DataFrame:

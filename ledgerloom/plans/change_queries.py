@@ -36,11 +36,14 @@ def ledgers(t: Tables):
     FROM t FULL JOIN s ON t.customer_id = s.customer_id""",
 )
 def _(t: Tables):
-    target, source = ledgers(t)
-    return C.merge(
-        target, source, ["customer_id"],
-        update={"points": lambda t, s: s("points"), "update_dt": lambda t, s: s("update_dt")}, insert=True,
-    )
+    """Into a stored table in fifty partitions, of which only those that the source touches are written."""
+    part = (F.col("customer_id") % 50).cast("int").alias("part")
+    target, source = (df.select("*", part) for df in ledgers(t))
+    path = scratch_path(t.spark, "ledger")
+    W.full_refresh(target, path, ["part"])
+    rules = {"points": lambda t, s: s("points"), "update_dt": lambda t, s: s("update_dt")}
+    W.merge_into(t.spark, path, source, ["customer_id"], ["part"], update=rules, insert=True)
+    return W.read_table(t.spark, path).drop("part")
 
 
 @query(
@@ -110,7 +113,7 @@ def _(t: Tables):
     """
     WITH h AS (SELECT *, base64(from_hex(md5(CAST(o_custkey AS VARCHAR) || o_orderstatus))) AS cdc_hash FROM orders),
          t AS (SELECT o_orderkey, o_custkey, o_orderstatus, cdc_hash FROM h WHERE o_orderdate < TIMESTAMP '1998-01-01'),
-         s AS (SELECT o_orderkey, o_custkey, o_orderstatus, cdc_hash FROM h WHERE o_orderdate >= TIMESTAMP '2001-01-01')
+         s AS (SELECT o_orderkey, o_custkey, o_orderstatus, cdc_hash FROM h WHERE o_orderdate >= TIMESTAMP '1998-01-01')
     SELECT * FROM t WHERE cdc_hash NOT IN (SELECT cdc_hash FROM s) UNION ALL SELECT * FROM s""",
 )
 def _(t: Tables):
@@ -118,7 +121,7 @@ def _(t: Tables):
     day = lambda d: F.lit(d).cast("timestamp_ntz")
     keys = ["o_custkey", "o_orderstatus"]
     stored = rows.filter(F.col("o_orderdate") < day("1998-01-01")).drop("o_orderdate")
-    incoming = rows.filter(F.col("o_orderdate") >= day("2001-01-01")).drop("o_orderdate")
+    incoming = rows.filter(F.col("o_orderdate") >= day("1998-01-01")).drop("o_orderdate")
     return C.cdc_hash_replace(stored.withColumn("cdc_hash", key_hash(keys)), incoming, keys)
 
 
@@ -155,10 +158,12 @@ def _(t: Tables):
     WHERE NOT coalesce(k > 20, false)""",
 )
 def _(t: Tables):
-    rows = t.events.select(
-        "event_id", "user_id", F.when(F.col("event_type") != "error", F.col("value")).alias("k")
-    )
-    return C.delete_where(rows, F.col("k") > 20)
+    """From a stored table by day; days without such rows keep their files."""
+    amount = F.when(F.col("event_type") != "error", F.col("value")).alias("k")
+    path = scratch_path(t.spark, "events")
+    W.full_refresh(t.events.select("event_id", "user_id", amount, F.to_date("ts").alias("day")), path, ["day"])
+    W.delete_rows(t.spark, path, ["day"], F.col("k") > 20)
+    return W.read_table(t.spark, path).drop("day")
 
 
 @query(
@@ -256,7 +261,7 @@ def _(t: Tables):
 def _(t: Tables):
     path = scratch_path(t.spark, "int-range")
     W.full_refresh(W.int_range_bucket(t.part, "p_size", 0, 100, 10), path, partition_by=["bucket"])
-    back = t.spark.read.parquet(path)
+    back = W.read_table(t.spark, path)
     return back.groupBy(F.col("bucket").cast("long").alias("bucket")).agg(
         F.count(F.lit(1)).alias("n"), F.max("p_size").alias("largest")
     )
@@ -267,9 +272,9 @@ def _(t: Tables):
     table, backup = scratch_path(t.spark, "supplier"), scratch_path(t.spark, "backup")
     W.full_refresh(t.supplier, table)
     W.copy_table(t.spark, table, backup)
-    W.swap_in(C.delete_where(t.spark.read.parquet(table), F.col("s_acctbal") < 0), table)
+    W.swap_in(C.delete_where(W.read_table(t.spark, table), F.col("s_acctbal") < 0), table)
     W.copy_table(t.spark, backup, table)
-    return t.spark.read.parquet(table)
+    return W.read_table(t.spark, table)
 
 
 @query(
@@ -298,13 +303,23 @@ def _(t: Tables):
 def _(t: Tables):
     path = scratch_path(t.spark, "by-month")
     W.full_refresh(t.lineitem.withColumn("ship_month", F.trunc("l_shipdate", "MM")), path, partition_by=["ship_month"])
-    return t.spark.read.parquet(path).groupBy("ship_month").agg(
+    return W.read_table(t.spark, path).groupBy("ship_month").agg(
         F.count(F.lit(1)).alias("n"), F.max("l_shipdate").alias("last_day")
     )
 
 
-@query("dml_recluster", "SELECT o_orderkey, o_custkey, o_orderdate FROM orders")
+@query(
+    "dml_recluster",
+    """
+    SELECT o_orderkey, o_custkey, o_orderdate, 0 AS overlapping_files, true AS rewritten, false AS rewritten_again FROM orders""",
+)
 def _(t: Tables):
+    """The rows with what the files themselves say of their layout, and whether there was anything to do."""
     path = scratch_path(t.spark, "clustered")
-    W.full_refresh(t.orders, path, cluster_by=["o_custkey", "o_orderdate"])
-    return t.spark.read.parquet(path).select("o_orderkey", "o_custkey", "o_orderdate")
+    W.full_refresh(t.orders, path)
+    rewritten, again = (W.recluster(t.spark, path, ["o_custkey", "o_orderdate"]) for _ in range(2))
+    rows = W.read_table(t.spark, path)
+    overlaps = W.overlapping_files(rows, "o_custkey").agg(F.count(F.lit(1)).cast("int").alias("overlapping_files"))
+    return rows.select("o_orderkey", "o_custkey", "o_orderdate").crossJoin(F.broadcast(overlaps)).withColumns(
+        {"rewritten": F.lit(rewritten), "rewritten_again": F.lit(again)}
+    )

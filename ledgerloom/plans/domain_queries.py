@@ -15,7 +15,7 @@ from ledgerloom.plans.load import FILE_LOAD, TABLE_LOAD, Segment, load_segment_f
 from ledgerloom.plans.registry import AS_OF, Tables, query
 from ledgerloom.session import scratch_path, settled
 from ledgerloom.sources.fixed_width import parse_layout
-from ledgerloom.sources.tables import swap_in
+from ledgerloom.sources.tables import read_table, swap_in
 
 at = lambda d: F.lit(d).cast("timestamp_ntz")
 
@@ -51,12 +51,12 @@ def _(t: Tables):
     known = F.when(F.col("tier") == "1-URGENT", F.col("points") - 500).otherwise(F.col("points") + 500)
     swap_in(source.filter("month < date'1998-01-01'").withColumn("points", known), ledger)
     merged = merge(
-        t.spark.read.parquet(ledger), source, ["wallet_id", "month"],
+        read_table(t.spark, ledger), source, ["wallet_id", "month"],
         update={"points": lambda t, s: s("points"), "tier": lambda t, s: s("tier")},
         when=lambda t, s: s("points") > t("points"), insert=True,
     )
     swap_in(merged, ledger)
-    return t.spark.read.parquet(ledger)
+    return read_table(t.spark, ledger)
 
 
 @query(

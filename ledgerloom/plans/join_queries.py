@@ -14,41 +14,42 @@ from ledgerloom.session import settled
     "join_inner",
     """
     SELECT o_orderkey, o_custkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice
-    FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderstatus = 'F'""",
+    FROM orders JOIN lineitem ON l_orderkey = o_orderkey""",
 )
 def _(t: Tables):
-    return (
-        t.orders.filter("o_orderstatus = 'F'")
-        .join(t.lineitem, F.col("l_orderkey") == F.col("o_orderkey"))
-        .select("o_orderkey", "o_custkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    return t.orders.join(t.lineitem, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        "o_orderkey", "o_custkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"
     )
 
 
 @query(
     "join_left",
     """
-    SELECT c_custkey, n_name, r_name, s_name FROM customer
+    SELECT c_custkey, n_name, r_name, o_orderkey, o_totalprice FROM customer
     LEFT JOIN nation ON n_nationkey = c_nationkey AND n_nationkey < 20
     LEFT JOIN region ON r_regionkey = n_regionkey
-    LEFT JOIN supplier ON s_suppkey = c_custkey""",
+    LEFT JOIN orders ON o_custkey = c_custkey""",
 )
 def _(t: Tables):
     return (
         t.customer.join(t.nation.filter("n_nationkey < 20"), F.col("n_nationkey") == F.col("c_nationkey"), "left")
         .join(t.region, F.col("r_regionkey") == F.col("n_regionkey"), "left")
-        .join(t.supplier, F.col("s_suppkey") == F.col("c_custkey"), "left")
-        .select("c_custkey", "n_name", "r_name", "s_name")
+        .join(t.orders, F.col("o_custkey") == F.col("c_custkey"), "left")
+        .select("c_custkey", "n_name", "r_name", "o_orderkey", "o_totalprice")
     )
 
 
 @query(
     "join_right",
     """
-    SELECT s_suppkey, s_name, c_custkey FROM supplier RIGHT JOIN customer ON s_suppkey = c_custkey""",
+    SELECT o_orderkey, o_custkey, l_linenumber, l_shipdate FROM lineitem
+    RIGHT JOIN orders ON l_orderkey = o_orderkey AND l_shipdate > o_orderdate + INTERVAL 60 DAY""",
 )
 def _(t: Tables):
-    return t.supplier.join(t.customer, F.col("s_suppkey") == F.col("c_custkey"), "right").select(
-        "s_suppkey", "s_name", "c_custkey"
+    """All orders, with their lines that were shipped late."""
+    late = F.col("l_shipdate") > F.col("o_orderdate") + F.expr("INTERVAL 60 DAY")
+    return t.lineitem.join(t.orders, (F.col("l_orderkey") == F.col("o_orderkey")) & late, "right").select(
+        "o_orderkey", "o_custkey", "l_linenumber", "l_shipdate"
     )
 
 

@@ -16,7 +16,15 @@ from ledgerloom.operators.quality import trailer_counts
 from ledgerloom.operators.shaping import add_drop_columns, filter_all, local_times, sync_schema
 from ledgerloom.session import materialize
 from ledgerloom.sources.fixed_width import Field, UnknownSegments, read_segments
-from ledgerloom.sources.tables import append_only, full_refresh, path_exists, replace_partitions, schema_preserving
+from ledgerloom.sources.tables import (
+    RUN,
+    append_run,
+    full_refresh,
+    read_table,
+    replace_partitions,
+    schema_preserving,
+    table_exists,
+)
 
 #: The two orders in which a load applies its steps.
 TABLE_LOAD = ("join", "columns", "rows", "times")
@@ -93,9 +101,10 @@ class Segment:
     redefines: bool = False
 
 
-def _write(df: DataFrame, segment: Segment) -> None:
+def _write(df: DataFrame, segment: Segment, run_id: str) -> None:
+    """Write a segment's rows; writing them again for the same run changes nothing."""
     if segment.mode == "append":
-        append_only(df, segment.target, segment.partition_by)
+        append_run(df, segment.target, run_id, segment.partition_by)
     elif segment.mode == "refresh":
         full_refresh(df, segment.target, segment.partition_by)
     elif segment.mode == "schema":
@@ -124,8 +133,9 @@ def load_segment_file(
     The file must have exactly one trailer, new by ``trailer_keys``, with a readable count equal to the rows of each
     counted segment, and no record of an unknown segment (but those in ``ignore``); else ``LoadRefused`` is raised before
     anything is written. Every segment passes its steps in the file order and is completed beside its target first; then
-    the targets are written, each marked in the control table, and the trailer is kept last. A run that is repeated
-    after a failure goes on with the segments that are not yet marked.
+    the targets are written, each marked in the control table, and the trailer is kept last. Each of these writes is done
+    once per run, whatever step a failure interrupts (``append_run``): a run that is repeated leaves every row once.
+    Targets, control and trailers are read with ``read_table``.
     """
     layouts = {s: x.layout for s, x in segments.items()} | {trailer_id: trailer.layout}
     try:
@@ -136,8 +146,8 @@ def load_segment_file(
     trailers = found.limit(2).count()
     if trailers != 1:
         raise LoadRefused(f"{path} has {'no trailer' if not trailers else 'several trailers'}")
-    if path_exists(spark, trailer.target):
-        seen = spark.read.parquet(trailer.target)
+    if table_exists(spark, trailer.target):
+        seen = read_table(spark, trailer.target)
         if not found.join(seen, list(trailer_keys), "left_semi").isEmpty():
             raise LoadRefused("this file was loaded before")
     counted = [s for s, x in segments.items() if x.count_column and not x.redefines]
@@ -152,13 +162,13 @@ def load_segment_file(
         if wrong:
             raise LoadRefused(f"counts differ from the trailer (segment, expected, found, status): {wrong}")
     done = set()
-    if path_exists(spark, control):
-        marks = spark.read.parquet(control).filter((F.col("run_id") == run_id) & (F.col("status") == "C"))
+    if table_exists(spark, control):
+        marks = read_table(spark, control).filter((F.col("run_id") == run_id) & (F.col("status") == "C"))
         done = {r.segment for r in marks.select("segment").distinct().limit(len(segments)).collect()}
     open_ = [s for s in segments if s not in done]
     ready = {s: materialize(run_chain(parts[s], segments[s].config, lookups or {}, FILE_LOAD), "load") for s in open_}
     for s in open_:
-        _write(ready[s], segments[s])
+        _write(ready[s], segments[s], run_id)
         rows = parts[s].agg(F.count(F.lit(1)).alias("n_rows")).select(
             F.lit(s).alias("segment"),
             "n_rows",
@@ -166,6 +176,6 @@ def load_segment_file(
             F.lit(loaded_at).cast("timestamp_ntz").alias("rec_load_timestamp"),
             F.lit("C").alias("status"),
         )
-        append_only(rows, control)
-    append_only(found, trailer.target)
-    return spark.read.parquet(control).filter(F.col("run_id") == run_id)
+        append_run(rows, control, f"{run_id}.{s}")
+    append_run(found, trailer.target, run_id)
+    return read_table(spark, control).filter(F.col("run_id") == run_id).drop(RUN)

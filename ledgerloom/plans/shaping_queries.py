@@ -108,23 +108,14 @@ def _(t: Tables):
         "o_orderkey",
         F.array(F.struct(F.col("o_orderpriority").alias("rate_cd"), F.array(tier).alias("tier_list"))).alias("raw"),
     )
-    renamed = F.transform(
-        "raw",
-        lambda r: F.struct(
-            r["rate_cd"].alias("plan"),
-            F.transform(
-                r["tier_list"],
-                lambda x: F.struct(
-                    x["status_cd"].alias("state"),
-                    F.transform(
-                        x["date_list"],
-                        lambda d: F.struct(d["date_txt"].alias("on"), d["cust"].alias("customer")),
-                    ).alias("dates"),
-                ),
-            ).alias("terms"),
-        ),
+    renamed = S.rename_nested(
+        source,
+        {
+            "raw": "rates", "raw.rate_cd": "plan", "raw.tier_list": "terms", "raw.tier_list.status_cd": "state",
+            "raw.tier_list.date_list": "dates", "raw.tier_list.date_list.date_txt": "on", "raw.tier_list.date_list.cust": "customer",
+        },
     )
-    return source.select("o_orderkey", F.to_json(renamed).alias("rates"))
+    return renamed.select("o_orderkey", F.to_json("rates").alias("rates"))
 
 
 @query(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import functions as F
@@ -10,14 +11,14 @@ from ledgerloom.functions import cents
 from ledgerloom.operators.changes import delete_where
 from ledgerloom.plans.registry import Tables, query
 from ledgerloom.session import scratch_path
-from ledgerloom.sources import fixed_width, sinks, xml
+from ledgerloom.sources import fixed_width, records, sinks, xml
 from ledgerloom.sources import tables as W
 
 
-@query("sink_parquet", "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders WHERE o_orderstatus = 'F'")
+@query("sink_parquet", "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders")
 def _(t: Tables):
     path = scratch_path(t.spark, "parquet")
-    t.orders.filter("o_orderstatus = 'F'").write.mode("overwrite").parquet(path)
+    t.orders.write.mode("overwrite").parquet(path)
     return t.spark.read.parquet(path).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
 
 
@@ -116,13 +117,22 @@ def _(t: Tables):
 @query(
     "sink_ebcdic",
     """
-    SELECT o_orderkey, regexp_replace(lpad(CAST(o_orderkey AS VARCHAR), 9, '0'), '(.)', 'F\\1', 'g') || repeat('40', 7) AS encoded_hex,
-           rpad(lpad(CAST(o_orderkey AS VARCHAR), 9, '0'), 16, ' ') AS decoded FROM orders""",
+    SELECT form, o_orderkey, regexp_replace(lpad(CAST(o_orderkey AS VARCHAR), 9, '0'), '(.)', 'F\\1', 'g') || repeat('40', 7) AS encoded_hex,
+           rpad(lpad(CAST(o_orderkey AS VARCHAR), 9, '0'), 16, ' ') AS decoded FROM orders, (VALUES ('lines'), ('records')) f(form)""",
 )
 def _(t: Tables):
+    """Both forms of file, read back: records that end with the code page's line feed, and records with nothing between."""
+    lines, whole = scratch_path(t.spark, "ebcdic-lines"), scratch_path(t.spark, "ebcdic-records")
     rows = t.orders.select("o_orderkey", F.lpad(F.col("o_orderkey").cast("string"), 9, "0").alias("line"))
-    encoded = rows.withColumn("raw", fixed_width.to_ebcdic("line", 16))
-    return encoded.select("o_orderkey", F.hex("raw").alias("encoded_hex"), fixed_width.from_ebcdic("raw").alias("decoded"))
+    fixed_width.write_ebcdic(rows, lines, ["o_orderkey"], "line", 16)
+    records.write_ebcdic_records(rows, whole, ["o_orderkey"], "line", 16)
+    # with its line feed, a record has 17 bytes
+    with_feed = records.read_records(t.spark, lines, 17).select(F.lit("lines").alias("form"), F.substring("record", 1, 16).alias("raw"))
+    plain = records.read_records(t.spark, whole, 16).select(F.lit("records").alias("form"), F.col("record").alias("raw"))
+    text = fixed_width.from_ebcdic("raw")
+    return with_feed.unionByName(plain).select(
+        "form", F.trim(text).cast("long").alias("o_orderkey"), F.hex("raw").alias("encoded_hex"), text.alias("decoded")
+    )
 
 
 @query(
@@ -141,11 +151,11 @@ def _(t: Tables):
     "sink_kafka_events",
     """
     SELECT CAST(c_custkey AS VARCHAR) AS key, '{"customerId":' || CAST(c_custkey AS VARCHAR) || ',"name":"' || c_name || '","nation":' || CAST(c_nationkey AS VARCHAR) || '}' AS value
-    FROM customer WHERE c_acctbal > 5000""",
+    FROM customer""",
 )
 def _(t: Tables):
     path = scratch_path(t.spark, "events")
-    chosen = t.customer.filter("c_acctbal > 5000").select("c_custkey", "c_name", "c_nationkey")
+    chosen = t.customer.select("c_custkey", "c_name", "c_nationkey")
     messages = sinks.events(chosen, "c_custkey", {"c_custkey": "customerId", "c_name": "name", "c_nationkey": "nation"})
     sinks.publish(messages, path)
     return t.spark.read.schema("key string, value string").json(path)
@@ -179,22 +189,47 @@ def _(t: Tables):
     return fitted.withColumns({"c_custkey": F.col("c_custkey").cast("long"), "c_acctbal": F.col("c_acctbal").cast("double")})
 
 
-@query("write_append_only", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus IN ('F', 'O')")
+@query("write_append_only", "SELECT o_orderkey, o_orderstatus FROM orders")
 def _(t: Tables):
+    """One run per status; the second one is repeated, as after a failure, and adds nothing."""
     path = scratch_path(t.spark, "append")
-    for status in ("F", "O"):
-        W.append_only(t.orders.filter(F.col("o_orderstatus") == status).select("o_orderkey", "o_orderstatus"), path)
-    return t.spark.read.parquet(path)
+    for run, status in enumerate(("F", "O", "O", "P")):
+        rows = t.orders.filter(F.col("o_orderstatus") == status).select("o_orderkey", "o_orderstatus")
+        W.append_run(rows, path, f"2024-01-{min(run, 1) + (run == 3) + 1:02d}")
+    return W.read_table(t.spark, path).drop(W.RUN)
 
 
-@query("write_full_refresh", "SELECT o_orderkey, o_custkey, year(o_orderdate) AS order_year FROM orders WHERE o_totalprice > 100000")
+@query(
+    "write_full_refresh",
+    """
+    SELECT o_orderkey, o_custkey, year(o_orderdate) AS order_year, 0 AS overlapping_files FROM orders WHERE o_totalprice > 100000""",
+)
 def _(t: Tables):
     path = scratch_path(t.spark, "refresh")
     rows = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", F.year("o_orderdate").cast("long").alias("order_year"))
     W.full_refresh(rows.filter("o_totalprice <= 100000"), path, ["order_year"])
-    W.full_refresh(rows.filter("o_totalprice > 100000"), path, ["order_year"], cluster_by=["o_custkey"])
-    schema = "o_orderkey long, o_custkey long, order_year long"
-    return t.spark.read.schema(schema).parquet(path)
+    W.full_refresh(rows.filter("o_totalprice > 100000").drop("o_totalprice"), path, ["order_year"], cluster_by=["o_custkey"])
+    back = W.read_table(t.spark, path)
+    # counted from the files: whether customers are laid out in order within a year
+    overlaps = W.overlapping_files(back, "o_custkey", ["order_year"]).agg(F.count(F.lit(1)).cast("int").alias("overlapping_files"))
+    return back.withColumn("order_year", F.col("order_year").cast("long")).crossJoin(F.broadcast(overlaps))
+
+
+@query(
+    "write_bucketed",
+    """
+    SELECT o_custkey, count(*) AS n_lines, CAST(sum(CAST(round(l_quantity) AS BIGINT)) AS BIGINT) AS quantity
+    FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1""",
+)
+def _(t: Tables):
+    """Two catalog tables bucketed on the order number, joined without a shuffle."""
+    orders, lines = (f"bucketed_{uuid.uuid4().hex}" for _ in range(2))
+    W.write_bucketed(t.orders.select("o_orderkey", "o_custkey"), orders, 16, ["o_orderkey"], scratch_path(t.spark, "orders"))
+    W.write_bucketed(t.lineitem.select("l_orderkey", "l_quantity"), lines, 16, ["l_orderkey"], scratch_path(t.spark, "lines"))
+    joined = t.spark.table(orders).join(t.spark.table(lines), F.col("o_orderkey") == F.col("l_orderkey"))
+    return joined.groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum(F.round("l_quantity").cast("long")).alias("quantity")
+    )
 
 
 @query("write_schema_preserving", "SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey FROM supplier WHERE s_acctbal >= 0")
@@ -203,7 +238,7 @@ def _(t: Tables):
     W.schema_preserving(t.supplier.select("s_suppkey", "s_name", F.col("s_nationkey").cast("long").alias("s_nationkey")), path)
     shuffled = delete_where(t.supplier, F.col("s_acctbal") < 0).select("s_nationkey", "s_name", "s_suppkey")
     W.schema_preserving(shuffled, path)
-    return t.spark.read.parquet(path)
+    return W.read_table(t.spark, path)
 
 
 @query(

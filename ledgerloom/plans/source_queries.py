@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.plans.registry import Tables, query
 from ledgerloom.session import scratch_path
-from ledgerloom.sources import files, fixed_width, pulls, xml
+from ledgerloom.sources import files, fixed_width, pulls, records, sinks, xml
 
 
 @query("src_parquet_glob", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
@@ -19,10 +19,15 @@ def _(t: Tables):
 
 @query("src_csv_external", "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer")
 def _(t: Tables):
+    """Deliveries that begin with a title, a note and the names of the columns."""
     path = scratch_path(t.spark, "csv")
     rows = t.customer.select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
-    rows.write.option("header", True).option("sep", ";").csv(path)
-    return files.read_csv(t.spark, path, rows.schema, sep=";")
+    record = F.to_csv(F.struct(*rows.columns), {"sep": ";"})
+    # a file holds a thousand customers
+    files_ = rows.groupBy(F.floor(F.col("c_custkey") / 1000).alias("delivery")).agg(F.array_join(F.collect_list(record), "\n").alias("body"))
+    lines = F.concat_ws("\n", F.lit("Customers"), F.lit("balances; in dollars"), F.lit(";".join(rows.columns)), "body")
+    files_.select("delivery", lines.alias("value")).write.partitionBy("delivery").text(path)
+    return files.read_csv(t.spark, path, rows.schema, sep=";", skip_leading_rows=3)
 
 
 @query("src_csv_latest_by_pattern", "SELECT s_suppkey, s_name, 'second' AS load FROM supplier")
@@ -49,15 +54,25 @@ _LINE = fixed_width.parse_layout(
 )
 
 
-@query("src_fixed_width_copybook", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
+@query(
+    "src_fixed_width_copybook",
+    """
+    SELECT form, o_orderkey, o_orderstatus, o_totalprice FROM orders, (VALUES ('lines'), ('records')) f(form)""",
+)
 def _(t: Tables):
-    path = scratch_path(t.spark, "fixed")
+    """Text lines, and EBCDIC records of the same layout with nothing between them."""
+    path, raw = scratch_path(t.spark, "fixed"), scratch_path(t.spark, "fixed-records")
     rows = t.orders.select(
         F.lit("O").alias("id"), "o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("decimal(18,2)").alias("o_totalprice")
     )
-    fixed_width.format_records(rows, _LINE).select("line").write.text(path)
-    back = fixed_width.read_fixed_width(t.spark, path, _LINE)
-    return back.select("o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("double").alias("o_totalprice"))
+    lines = fixed_width.format_records(rows, _LINE).select("line")
+    lines.write.text(path)
+    length = _LINE[-1].start + _LINE[-1].length - 1
+    records.write_ebcdic_records(lines, raw, [], "line", length)
+    back = fixed_width.read_fixed_width(t.spark, path, _LINE).withColumn("form", F.lit("lines")).unionByName(
+        records.read_ebcdic_records(t.spark, raw, length, _LINE).withColumn("form", F.lit("records"))
+    )
+    return back.select("form", "o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("double").alias("o_totalprice"))
 
 
 @query(
@@ -214,11 +229,14 @@ def _(t: Tables):
 
 @query("src_multi_file_headers", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, nullif(l_returnflag, 'N') AS l_returnflag FROM lineitem")
 def _(t: Tables):
-    folder = scratch_path(t.spark, "shards")
+    """Many delivered files become one deliverable with one header and CRLF, which is read again."""
+    folder, whole = scratch_path(t.spark, "shards"), scratch_path(t.spark, "composed")
     rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.nullif("l_returnflag", F.lit("N")).alias("l_returnflag"))
-    rows.repartition(5).write.option("header", True).option("lineSep", "\n").csv(folder)
-    return files.read_shards(
-        t.spark, f"{folder}/part-*", schema="l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_returnflag string"
+    rows.repartition(5).write.option("header", True).option("nullValue", '""').option("quote", "").csv(folder)
+    sinks.compose_files(t.spark, f"{folder}/part-*", f"{whole}/shards", windows=True, empty_to_blank=True)
+    sinks.compose(t.spark, f"{whole}/shards", f"{whole}/lines.csv")
+    return files.read_csv(
+        t.spark, f"{whole}/lines.csv", "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_returnflag string", null_value=""
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,6 +31,37 @@ def _checked(spark: SparkSession, rows: DataFrame, names: Sequence[str], max_bad
     return flagged.filter("not _bad").select(*names)
 
 
+def placed_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """Lines with their place: ``value``, and ``at``, a struct (file, block, id) that orders them by file name and within the file.
+
+    Files stay splittable: a line's place is its file, the start of the block it was read in, and its number there. Written once, as the
+    numbers could differ in another scan.
+    """
+    at = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"),
+    )
+    return materialize(spark.read.text(path).select("value", at.alias("at")), "lines")
+
+
+def without_leading(lines: DataFrame, n: int, but: str | None = None) -> DataFrame:
+    """Lines but the first ``n`` of each file (of the file ``but`` none are left out).
+
+    Only the first lines of each file are ranked, ``n`` from each task; a file with fewer lines goes as a whole.
+    """
+    if n <= 0:
+        return lines
+    rank = F.row_number().over(Window.partitionBy("at.file").orderBy("at"))
+    first = lines.select("at").withColumn("_rank", rank).filter(F.col("_rank") <= n)
+    if but is not None:
+        first = first.filter(F.col("at.file") != but)
+    # one row per file
+    cuts = first.groupBy(F.col("at.file").alias("_file")).agg(F.max("at").alias("_cut"))
+    joined = lines.join(cuts, F.col("at.file") == F.col("_file"), "left")
+    return joined.filter(F.col("_cut").isNull() | (F.col("at") > F.col("_cut"))).select(*lines.columns)
+
+
 def read_csv(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -40,22 +71,32 @@ def read_csv(
     max_bad_records: int = 0,
     ignore_unknown_values: bool = False,
     null_value: str | None = None,
+    skip_leading_rows: int | None = None,
 ) -> DataFrame:
     """CSV scan; without a schema the types are inferred first, and the records then checked against them.
 
     The text is parsed once into a written table, because which records count as bad depends on the columns that
     are parsed. More than ``max_bad_records`` bad records are an error, fewer are dropped.
-    ``ignore_unknown_values`` accepts records whose only fault is to have too many fields.
+    ``ignore_unknown_values`` accepts records whose only fault is to have too many fields. ``skip_leading_rows`` leaves out that many lines of
+    each file, whatever they hold, in place of the one line of ``header``; it needs a schema.
     """
     options = {"sep": sep} | ({} if null_value is None else {"nullValue": null_value})
     reader = spark.read.options(**options).option("header", header)
+    if schema is None and skip_leading_rows is not None:
+        raise ValueError("skip_leading_rows needs a schema")
     if schema is None:
         schema = reader.option("inferSchema", True).csv(path).schema
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     wide = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
-    rows = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _CORRUPT).option(
-        "enforceSchema", True
-    ).schema(wide).csv(path)
+    if skip_leading_rows is None:
+        rows = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _CORRUPT).option(
+            "enforceSchema", True
+        ).schema(wide).csv(path)
+    else:
+        lines = without_leading(placed_lines(spark, path), skip_leading_rows).filter("value <> ''")
+        # the value of an absent text is read as by the scan: NULL
+        parse = {**options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, "emptyValue": ""}
+        rows = lines.select(F.from_csv("value", _ddl(wide), parse).alias("r")).select("r.*")
     bad = F.col(_CORRUPT).isNotNull()
     if ignore_unknown_values:
         # the record again, as texts and with quotes read as in the scan; further fields are left out
@@ -77,6 +118,10 @@ def read_csv(
     return _checked(spark, rows, schema.names, max_bad_records, path, "csv")
 
 
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+
+
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str, max_bad_records: int = 0) -> DataFrame:
     """Newline-delimited JSON with a fixed schema (no inference pass); malformed lines count as bad records."""
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema

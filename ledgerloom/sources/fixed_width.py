@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import fixed_text
-from ledgerloom.session import materialize, scratch_path
+from ledgerloom.session import scratch_path
+from ledgerloom.sources.files import placed_lines
 
 
 @dataclass(frozen=True)
@@ -132,27 +133,34 @@ def convert_delimited(
     keep_header: bool = False,
     header: str | Mapping | Sequence | None = None,
     footer: str | Mapping | Sequence | None = None,
+    max_bad_records: int = 0,
 ) -> None:
     """A delimited file to a fixed-width file in the order of its lines, as ordered shards.
 
     The first line is the input's header if ``has_header``: skipped, or with ``keep_header`` written like a record.
-    ``header`` and ``footer`` are templates (see ``template_line``) that may count the records.
+    ``header`` and ``footer`` are templates (see ``template_line``) that may count the records. A line whose number of fields is not that of the
+    layout is bad: more than ``max_bad_records`` of them are an error before anything is written, fewer are left out.
     """
-    place = F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"))
-    lines = spark.read.text(source).select("value", place.alias("file"), F.monotonically_increasing_id().alias("n"))
-    lines = materialize(lines.filter("value <> ''"), "delimited")
-    names = ", ".join(f"`{f.name}` STRING" for f in sorted(layout, key=lambda f: f.start))
-    rows = lines.withColumn("r", F.from_csv("value", names, {"sep": sep})).select("file", "n", "r.*")
-    first = lines.agg(F.min(F.struct("file", "n")).alias("first"))
+    lines = placed_lines(spark, source).filter("value <> ''")
+    fields = sorted(layout, key=lambda f: f.start)
+    names = ", ".join(f"`{f.name}` STRING" for f in fields) + ", `_bad` STRING"
     if has_header and not keep_header:
-        rows = rows.crossJoin(F.broadcast(first)).filter(F.struct("file", "n") != F.col("first")).drop("first")
-    body = format_records(rows, layout).select(F.lit(1).alias("part"), "file", "n", "line")
+        first = lines.agg(F.min("at").alias("_first"))
+        lines = lines.crossJoin(F.broadcast(first)).filter(F.col("at") != F.col("_first")).drop("_first")
+    parsed = F.from_csv("value", names, {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    rows = lines.select("at", parsed.alias("r")).select("at", "r.*")
+    # every column is a text, so that only the number of fields can be wrong
+    bad = rows.filter("_bad IS NOT NULL").select("_bad").limit(max_bad_records + 1).collect()
+    if len(bad) > max_bad_records:
+        raise ValueError(f"column count mismatch: expected {len(fields)} values in {bad[-1]['_bad']!r}")
+    rows = rows.filter("_bad IS NULL").drop("_bad")
+    body = format_records(rows, layout).select(F.lit(1).alias("part"), "at", "line")
     count = rows.agg(F.count(F.lit(1)).alias("record_count"))
     for part, template in ((0, header), (2, footer)):
         if template is not None:
             edge = count.select(F.lit(part).alias("part"), template_line(template, F.col("record_count")).alias("line"))
             body = body.unionByName(edge, allowMissingColumns=True)
-    body.orderBy("part", "file", "n").select("line").write.mode("overwrite").text(target)
+    body.orderBy("part", "at").select("line").write.mode("overwrite").text(target)
 
 
 def _code_page(charset: str) -> tuple[str, str]:

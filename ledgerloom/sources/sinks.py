@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from ledgerloom.functions import fits_bytes, minor_units
 from ledgerloom.operators.changes import merge
 from ledgerloom.operators.ordered import positions
+from ledgerloom.sources.files import placed_lines, without_leading
 from ledgerloom.sources.tables import _fs
 
 
@@ -123,6 +124,26 @@ def compose(spark: SparkSession, shards: str, target: str) -> None:
         out.close()
 
 
+def compose_files(
+    spark: SparkSession, pattern: str | Sequence[str], path: str, windows: bool = False, empty_to_blank: bool = False, headers: int = 1
+) -> int:
+    """Join existing text files in the order of their names into ordered shards; returns the number of lines.
+
+    The header (the first ``headers`` lines) of the first file that has lines stays, those of all others go; files without lines are
+    passed over. ``windows`` ends lines with CRLF, ``empty_to_blank`` turns ``""`` into nothing. Lines are read by file block and written by range,
+    so no task reads a whole file; ``compose`` makes one file of the shards. Every line ends with a line feed, the last ones of files too.
+    """
+    lines = placed_lines(spark, pattern)
+    head = lines.agg(F.min("at.file")).first()[0]
+    if head is None:
+        raise FileNotFoundError(f"no lines in {pattern}")
+    lines = without_leading(lines, headers, but=head)
+    if empty_to_blank:
+        lines = lines.withColumn("value", F.replace("value", F.lit('""'), F.lit("")))
+    write_ordered_lines(lines, path, ["at"], "value", windows)
+    return lines.count()
+
+
 def typed_extract(df: DataFrame, target: Mapping[str, str]) -> DataFrame:
     """Fit columns to a narrower type system.
 

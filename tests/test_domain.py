@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators import operations as P
 from ledgerloom.plans import domain as D
 from ledgerloom.plans.load import FILE_LOAD, TABLE_LOAD, LoadRefused, Segment, load_segment_file, run_chain
+from ledgerloom.sources import tables as W
 from ledgerloom.sources.fixed_width import parse_layout
 
 
@@ -107,7 +108,7 @@ def test_segment_load(spark, tmp_path):
     with pytest.raises(LoadRefused, match="counts"):
         load(spark, tmp_path, "A001\nTday2002\n", "r3")
     load(spark, tmp_path, "A003\nB009\nTday2001\n", "r4")
-    rows = lambda name: sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / name)).collect())
+    rows = lambda name: sorted(tuple(r) for r in W.read_table(spark, str(tmp_path / name)).drop(W.RUN).collect())
     assert rows("a") == [(1, 2), (2, 4), (3, 6)]
     assert rows("b") == [(9,)]
     assert [r[0] for r in rows("trailers")] == ["day1", "day2"]
@@ -128,24 +129,53 @@ def test_files_that_are_refused(spark, tmp_path, text, why):
     assert not (tmp_path / "a").exists() and not (tmp_path / "control").exists()
 
 
-def test_a_rerun_after_a_failure_appends_nothing_twice(spark, tmp_path, monkeypatch):
-    from ledgerloom.plans import load as L
+class Lost(Exception):
+    pass
 
-    write, fail = L._write, [True]
 
-    def broken(df, segment):
-        if segment.target.endswith("/b") and fail[0]:
-            raise OSError("lost")
-        write(df, segment)
+def test_a_failure_at_any_step_leaves_each_row_once(spark, tmp_path, monkeypatch):
+    """Fail before and after each write of a load in turn; the repeated run completes it."""
+    from pyspark.sql.readwriter import DataFrameWriter
 
-    monkeypatch.setattr(L, "_write", broken)
     text = "A001\nA002\nB007\nTday1002\n"
-    with pytest.raises(OSError):
-        load(spark, tmp_path, text, "r1")
-    fail[0] = False
-    control = load(spark, tmp_path, text, "r1")
-    assert sorted((r["segment"], r["n_rows"]) for r in control.collect()) == [("A", 2), ("B", 1)]
-    assert spark.read.parquet(str(tmp_path / "a")).count() == 2
+    steps, lost_at = [0], [None]
+
+    def failing(f):
+        def run(*args, **kwargs):
+            steps[0] += 1
+            if lost_at[0] == (steps[0], "before"):
+                raise Lost
+            out = f(*args, **kwargs)
+            if lost_at[0] == (steps[0], "after"):
+                raise Lost
+            return out
+
+        return run
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", failing(DataFrameWriter.parquet))
+    for name in ("_put_new", "_tidy", "remove_path"):
+        monkeypatch.setattr(W, name, failing(getattr(W, name)))
+    (tmp_path / "whole").mkdir()
+    load(spark, tmp_path / "whole", text, "r1")
+    n = steps[0]
+    assert n > 10
+    for k in range(1, n + 1):
+        for when in ("before", "after"):
+            folder = tmp_path / f"{when}{k}"
+            folder.mkdir()
+            steps[0], lost_at[0] = 0, (k, when)
+            with pytest.raises(Lost):
+                load(spark, folder, text, "r1")
+            lost_at[0] = None
+            try:
+                load(spark, folder, text, "r1")
+            except LoadRefused as e:
+                # only the very last step, after which everything is stored
+                assert "before" in str(e) and (k, when) == (n, "after")
+            stored = {x: sorted(tuple(r) for r in W.read_table(spark, str(folder / x)).drop(W.RUN).collect()) for x in ("a", "b", "trailers")}
+            assert stored == {"a": [(1, 2), (2, 4)], "b": [(7,)], "trailers": [("day1", 2)]}
+            control = W.read_table(spark, str(folder / "control"))
+            assert sorted((r.segment, r.n_rows) for r in control.collect()) == [("A", 2), ("B", 1)]
 
 
 def test_redefining_segments_are_not_counted(spark, tmp_path):
@@ -154,4 +184,4 @@ def test_redefining_segments_are_not_counted(spark, tmp_path):
     segments = {"A": Segment(body, str(tmp_path / "a"), count_column="n"), "R": Segment(body, str(tmp_path / "r"), count_column="n", redefines=True)}
     trailer = Segment(parse_layout(["day:2:4: :R", "n:6:3:0:L:int"]), str(tmp_path / "t"))
     load_segment_file(spark, str(tmp_path / "r.txt"), segments, "T", trailer, ["day"], str(tmp_path / "c"), "r1", datetime(2024, 1, 1))
-    assert spark.read.parquet(str(tmp_path / "r")).count() == 2
+    assert W.read_table(spark, str(tmp_path / "r")).count() == 2

@@ -120,3 +120,16 @@ def test_segments_of_a_large_file(spark, tmp_path, large):
     layout = W.parse_layout(["n:2:4: :L:int"])
     seg = W.read_segments(spark, str(tmp_path / "in.txt"), {"A": layout, "B": layout})
     assert sorted(r[0] for r in seg["B"].collect()) == list(range(1, 100, 2))
+
+
+def test_lines_with_a_wrong_number_of_fields_are_refused(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("name,n\noak\nelm,3,9\nash,7\n")
+    layout = W.parse_layout(["name:1:4: :R", "n:5:3:0:L:int"])
+    out = str(tmp_path / "out")
+    with pytest.raises(ValueError, match="column count mismatch: expected 2"):
+        W.convert_delimited(spark, str(tmp_path / "in.csv"), layout, out)
+    assert not (tmp_path / "out").exists()
+    with pytest.raises(ValueError, match="mismatch"):
+        W.convert_delimited(spark, str(tmp_path / "in.csv"), layout, out, max_bad_records=1)
+    W.convert_delimited(spark, str(tmp_path / "in.csv"), layout, out, max_bad_records=2, footer="{record_count}")
+    assert sorted(r.value for r in spark.read.text(out).collect()) == ["1", "ash 007"]

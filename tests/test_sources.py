@@ -4,10 +4,11 @@ import os
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.operators import quality as Q
-from ledgerloom.sources import files, pulls, sinks
+from ledgerloom.sources import files, fixed_width, pulls, records, sinks
 from ledgerloom.sources import tables as W
 
 SCHEMA = T.StructType().add("id", "integer").add("name", "string").add("amount", "double")
@@ -167,8 +168,8 @@ def test_typed_extract_refuses_unknown_types(spark):
 def test_swap_in_may_read_the_table_it_replaces(spark, tmp_path):
     path = str(tmp_path / "t")
     W.swap_in(spark.range(5), path)
-    W.swap_in(spark.read.parquet(path).filter("id > 2"), path)
-    assert sorted(r[0] for r in spark.read.parquet(path).collect()) == [3, 4]
+    W.swap_in(W.read_table(spark, path).filter("id > 2"), path)
+    assert sorted(r[0] for r in W.read_table(spark, path).collect()) == [3, 4]
     assert os.listdir(tmp_path) == ["t"]
 
 
@@ -268,3 +269,112 @@ def test_totals_are_not_rounded_row_by_row(spark):
 def test_mod10_with_length(spark):
     df = spark.createDataFrame([("046454286",), ("79927398713",)], "s string")
     assert [r[0] for r in df.select(Q.mod10("s", 9)).collect()] == ["Valid", "Invalid"]
+
+
+def leading(n, *bodies):
+    """Files whose first ``n`` lines are not records."""
+    return ["".join(f"note {i}, of {n}\n" for i in range(n)) + body for body in bodies]
+
+
+@pytest.mark.parametrize("n", [0, 1, 3])
+@pytest.mark.parametrize("split", [None, "16"])
+def test_leading_rows_of_each_file_are_skipped(spark, tmp_path, n, split):
+    bodies = ['1,"a, b",1.5\n\n2,,2\n', "", "3,c,3\n4,d,4\n5,e,5\n6,f,6"]
+    for i, text in enumerate(leading(n, *bodies)):
+        write(tmp_path / f"f{i}.csv", text)
+    # a file with fewer lines than are skipped
+    write(tmp_path / "short.csv", "only, a\n" if n > 1 else "")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        if split:
+            # blocks of a few bytes: the leading lines lie in several tasks
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        rows = files.read_csv(spark, str(tmp_path), SCHEMA, skip_leading_rows=n)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    got = sorted(tuple(r) for r in rows.collect())
+    assert got == [(1, "a, b", 1.5), (2, None, 2.0), (3, "c", 3.0), (4, "d", 4.0), (5, "e", 5.0), (6, "f", 6.0)]
+
+
+def test_leading_rows_and_bad_records(spark, tmp_path):
+    write(tmp_path / "a.csv", "t\nu\n1,a,1\nx,b,2\n3,c,3,more\n")
+    with pytest.raises(ValueError, match="more than 1 bad"):
+        files.read_csv(spark, str(tmp_path), SCHEMA, skip_leading_rows=2, max_bad_records=1)
+    rows = files.read_csv(spark, str(tmp_path), SCHEMA, skip_leading_rows=2, max_bad_records=1, ignore_unknown_values=True)
+    assert sorted(r["id"] for r in rows.collect()) == [1, 3]
+    with pytest.raises(ValueError, match="schema"):
+        files.read_csv(spark, str(tmp_path), skip_leading_rows=2)
+
+
+@pytest.mark.parametrize("split", [None, "16"])
+def test_existing_files_are_composed_in_name_order(spark, tmp_path, split):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    texts = {"a": "", "b": 'k,v\n1,""\n2,x\n', "c": "k,v\n", "d": "k,v\n3,y", "e": 'k,v\n4,"z"\n'}
+    for name, text in texts.items():
+        write(folder / f"{name}.csv", text)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        if split:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        n = sinks.compose_files(spark, f"{folder}/*.csv", str(tmp_path / "shards"), windows=True, empty_to_blank=True)
+        sinks.compose(spark, str(tmp_path / "shards"), str(tmp_path / "whole.csv"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert n == 5
+    assert (tmp_path / "whole.csv").read_bytes() == b'k,v\r\n1,\r\n2,x\r\n3,y\r\n4,"z"\r\n'
+    with pytest.raises(FileNotFoundError):
+        sinks.compose_files(spark, f"{folder}/a.csv", str(tmp_path / "none"))
+
+
+LAYOUT = fixed_width.parse_layout(["k:1:6:0:L:int", "name:7:10: :R"])
+
+
+def bytes_of(folder):
+    parts = sorted(p for p in folder.iterdir() if p.name.startswith("part-"))
+    return b"".join(p.read_bytes() for p in parts), len(parts)
+
+
+def test_records_without_separators(spark, tmp_path):
+    # every byte value occurs, those of line feeds and field separators too
+    df = spark.range(3000).select("id", F.to_binary(F.lpad(F.hex("id"), 6, "0"), F.lit("hex")).alias("raw")).repartition(7)
+    path = tmp_path / "records"
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        records.write_records(df, str(path), "raw", 3, ["id"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    data, parts = bytes_of(path)
+    assert data == b"".join(i.to_bytes(3, "big") for i in range(3000)) and parts > 1
+    (path / "part-99999.bin").write_bytes(data[:9])
+    back = records.read_records(spark, str(path), 3)
+    assert back.count() == 3003
+    records.write_records(df.limit(5), str(path), "raw", 3)
+    assert records.read_records(spark, str(path), 3).count() == 5
+
+
+def test_one_large_file_is_read_by_many_tasks(spark, tmp_path):
+    rows = spark.range(4000).select((F.col("id") % 1000000).alias("k"), F.concat(F.lit("n"), "id").alias("name"))
+    lines = fixed_width.format_records(rows, LAYOUT)
+    records.write_ebcdic_records(lines, str(tmp_path / "shards"), ["k"], "line", 16)
+    sinks.compose(spark, str(tmp_path / "shards"), str(tmp_path / "whole.bin"))
+    assert (tmp_path / "whole.bin").stat().st_size == 4000 * 16
+    assert (tmp_path / "whole.bin").read_bytes()[:16] == "000000n0        ".encode("cp037")
+    raw = records.read_records(spark, str(tmp_path / "whole.bin"), 16, split_bytes=10_001)
+    assert raw.select(F.spark_partition_id().alias("p")).distinct().count() == 7
+    back = records.read_ebcdic_records(spark, str(tmp_path / "whole.bin"), 16, LAYOUT, split_bytes=10_001)
+    assert sorted(tuple(r) for r in back.collect()) == [(i, f"n{i}") for i in range(4000)]
+
+
+def test_broken_record_files_are_refused(spark, tmp_path):
+    (tmp_path / "r.bin").write_bytes(b"x" * 33)
+    with pytest.raises(ValueError, match="33 bytes"):
+        records.read_records(spark, str(tmp_path / "r.bin"), 16)
+    path = tmp_path / "out"
+    mixed = spark.createDataFrame([(bytearray(b"abc"),), (bytearray(b"ab"),)], "raw binary").repartition(2)
+    with pytest.raises(Exception, match="does not have 3 bytes"):
+        records.write_records(mixed, str(path), "raw", 3)
+    assert not path.exists() or not [p for p in path.iterdir()]
+    empty = mixed.filter("false")
+    records.write_records(empty, str(path), "raw", 3)
+    assert records.read_records(spark, str(path), 3).count() == 0
