@@ -43,29 +43,59 @@ def _part_names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
-def _add_batch(batch: DataFrame, number: int, path: str, keys: Sequence[str], by: Sequence[Column], fanout: int) -> None:
+def _add_batch(
+    batch: DataFrame, number: int, path: str, keys: Sequence[str], by: Sequence[Column], fanout: int, writer: str
+) -> None:
     """Keep a batch's newest rows as a part of their own; stored parts stay as they are until a level is full.
 
     A full level is merged into one part of the next, so a row is rewritten once per level and the cost of a batch follows its
-    size. A part that occurs twice after a failure changes nothing: readers take the newest row of a key.
+    size. A part that occurs twice after a failure changes nothing: readers take the newest row of a key. ``writer`` names the query that
+    counts the batches: one with a new checkpoint counts from 0 again, and must not replace what another has stored. Its rows are
+    newer than those of the queries before, as ``_epoch`` says: the number of queries that had written when it began.
     """
     spark = batch.sparkSession
-    rows = latest_per_key(batch.withColumn("_batch", F.lit(number).cast("long")), keys, by)
-    rows.write.mode("overwrite").parquet(f"{path}/level=0/part={number}")
+    epoch = _epoch(spark, path, writer)
+    rows = latest_per_key(
+        batch.withColumns({"_epoch": F.lit(epoch).cast("long"), "_batch": F.lit(number).cast("long")}), keys, by
+    )
+    folder = lambda level: f"{path}/l{level}"
+    rows.write.mode("overwrite").parquet(f"{folder(0)}/{writer}-{number}")
     level = 0
-    while len(parts := _part_names(spark, f"{path}/level={level}")) >= fanout:
-        folders = [f"{path}/level={level}/{p}" for p in parts]
+    while len(parts := _part_names(spark, folder(level))) >= fanout:
+        folders = [f"{folder(level)}/{p}" for p in parts]
         merged = latest_per_key(spark.read.schema(rows.schema).parquet(*folders), keys, by)
-        merged.write.parquet(f"{path}/level={level + 1}/part={uuid.uuid4().hex}")
+        merged.write.parquet(f"{folder(level + 1)}/{uuid.uuid4().hex}")
         for f in folders:
             remove_path(spark, f)
         level += 1
 
 
+def _epoch(spark: SparkSession, path: str, writer: str) -> int:
+    """The place of a query among those that have written to the state; it is noted when the query writes first."""
+    noted = {}
+    for name in _part_names(spark, f"{path}/_writers"):
+        number, _, who = name.partition("-")
+        noted[who] = int(number)
+    if writer not in noted:
+        noted[writer] = len(noted)
+        fs, p = _fs(spark, f"{path}/_writers/{noted[writer]:06d}-{writer}")
+        fs.create(p, True).close()
+    return noted[writer]
+
+
+def _query_id(batch: DataFrame) -> str:
+    """The id of the streaming query that made the batch, which its checkpoint keeps; one name for batches of no query."""
+    found = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return (found or "batches").replace("-", "")
+
+
 def read_state(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
-    """The newest row of each key in a state table, by ``order`` and then by batch."""
-    rows = spark.read.parquet(path).drop("level", "part")
-    return latest_per_key(rows, keys, [*[F.col(c).desc() for c in order], F.desc("_batch")]).drop("_batch")
+    """The newest row of each key in a state table, by ``order``, then by query and batch."""
+    levels = [f"{path}/{n}" for n in _part_names(spark, path) if n.startswith("l")]
+    parts = [f"{level}/{n}" for level in levels for n in _part_names(spark, level)]
+    rows = spark.read.parquet(*parts)
+    newest = [*[F.col(c).desc() for c in order], F.desc("_epoch"), F.desc("_batch")]
+    return latest_per_key(rows, keys, newest).drop("_epoch", "_batch")
 
 
 def keep_latest(
@@ -79,7 +109,8 @@ def keep_latest(
 
     def apply(batch: DataFrame, number: int) -> None:
         if not batch.isEmpty():
-            _add_batch(batch, number, path, keys, [*[F.col(c).desc() for c in order], F.desc("_batch")], fanout)
+            newest = [*[F.col(c).desc() for c in order], F.desc("_epoch"), F.desc("_batch")]
+            _add_batch(batch, number, path, keys, newest, fanout, _query_id(batch))
 
     return apply
 
@@ -103,7 +134,7 @@ def replace_by_key(path: str, keys: Sequence[str], fanout: int = FANOUT) -> Call
 
     def apply(batch: DataFrame, number: int) -> None:
         if not batch.isEmpty():
-            _add_batch(batch, number, path, keys, [F.desc("_batch")], fanout)
+            _add_batch(batch, number, path, keys, [F.desc("_epoch"), F.desc("_batch")], fanout, _query_id(batch))
 
     return apply
 

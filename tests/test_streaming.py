@@ -96,3 +96,32 @@ def test_messages_of_a_batch_are_replaced_when_it_is_repeated(spark, tmp_path):
     send(messages, 0)
     send(messages, 0)
     assert spark.read.json(str(tmp_path / "topic")).count() == 1
+
+
+def test_a_new_checkpoint_replaces_no_stored_rows(spark, tmp_path):
+    table = str(tmp_path / "t")
+    for n, rows in enumerate([[(1, 5, 10, "I"), (2, 5, 20, "I")], [(2, 4, 99, "U"), (3, 1, 30, "I")]]):
+        inbox = tmp_path / f"in{n}"
+        deliver(spark, inbox, rows)
+        # another query with its own checkpoint, which counts its batches from 0 again
+        I.run_available(I.file_stream(spark, str(inbox), SCHEMA), str(tmp_path / f"cp{n}"), I.keep_latest(table, ["k"], ["ts"]))
+    state = I.read_state(spark, table, ["k"], ["ts"])
+    assert sorted((r.k, r.v) for r in state.collect()) == [(1, 10), (2, 20), (3, 30)]
+
+
+def test_a_later_query_replaces_by_key_whatever_its_batch_numbers(spark, tmp_path):
+    table = str(tmp_path / "t")
+    for n, deliveries in enumerate([[[(1, 0, 1, "I")], [(1, 0, 2, "I")], [(1, 0, 3, "I")]], [[(1, 0, 9, "I")]]]):
+        for rows in deliveries:
+            deliver(spark, tmp_path / f"in{n}", rows)
+            I.run_available(I.file_stream(spark, str(tmp_path / f"in{n}"), SCHEMA), str(tmp_path / f"cp{n}"), I.replace_by_key(table, ["k"], fanout=2))
+    assert [(r.k, r.v) for r in I.read_state(spark, table, ["k"]).collect()] == [(1, 9)]
+
+
+def test_columns_named_like_folders_are_kept(spark, tmp_path):
+    table = str(tmp_path / "t")
+    batch = spark.createDataFrame([(1, "a", 7)], "k int, part string, level int")
+    apply = I.keep_latest(table, ["k"], ["level"], fanout=2)
+    for number in range(3):
+        apply(batch, number)
+    assert [tuple(r) for r in I.read_state(spark, table, ["k"], ["level"]).collect()] == [(1, "a", 7)]
