@@ -34,7 +34,7 @@ from ledgerloom.session import materialize
 #: Conversations in a family that may share first turns, and how many turns at most, less one.
 FAMILY, SHARED = 5, 9
 #: Turns of a stretch, and rows that a container may hold before it bursts.
-BLOCK, HELD = 64, 2000
+BLOCK, HELD = 64, 200
 #: Hexadecimal digits of a turn's id.
 WIDTH = 32
 #: Conversation numbers of one piece of a digest's text.
