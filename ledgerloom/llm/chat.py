@@ -3,8 +3,8 @@
 The turns of a conversation get prefix sums of their tokens; a window's targets are the turns that start inside one span
 of equal length, so windows are aligned to turns and no window depends on how an earlier one was filled. A span is half of what the budget leaves after the
 system turn and the history; a window so passes ``BUDGET`` only if it has a single turn longer than a span, and says so
-in ``over_budget``. Every window but the first repeats the system turn, and the turns that began in the last ``HISTORY``
-tokens before it, if each is not longer than that. The loss mask covers assistant texts that are targets, never repeats: each assistant text once.
+in ``over_budget``. Every window but the first repeats the system turn, cut to ``SYSTEM_SHARE`` of the budget (a repeat is dropped when windows are read back, so
+nothing is lost), and the turns that began in the last ``HISTORY`` tokens before it, if each is not longer than that. The loss mask covers assistant texts that are targets, never repeats: each assistant text once.
 
 A turn is written ``<|turn|>role<|text|>text<|end|>`` and a newline. Inside roles and texts a backslash becomes two, ``<``
 becomes ``\\l`` and ``[`` becomes ``\\b``; so no control string (of this template, ``</s>``, ``[INST]``, ...) can stand there, and all is reversible.
@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import arrow_sized, query, table
 
 BUDGET, HISTORY = 1024, 128
+#: Share of the budget that a repeated system turn takes at most.
+SYSTEM_SHARE = 0.25
 #: Turn numbers that one run holds.
 RUN = 4096
 #: Tokens of a turn besides its text and role.
@@ -86,8 +88,16 @@ def turn_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY)
     rows = rows.withColumns(
         {"start": F.col("r_tokens") + F.col("tokens") - F.col("n"), "place": F.col("r_turns") + F.col("place")}
     )
-    first = rows.filter(F.col("role") == SYSTEM).groupBy(F.col("conv_id").alias("s_id"))
-    system = first.agg(F.min(F.struct("place", "piece", "n")).alias("system"))
+    first = rows.filter(F.col("role") == SYSTEM)
+    # as many characters as tokens are allowed, so that they are enough in any script; an escape is not cut through
+    most = int(budget * SYSTEM_SHARE)
+    shown = F.regexp_replace(F.substring("piece", F.col("head") + 1, F.least(F.col("body"), F.lit(most))), r"(?<!\\)((?:\\\\)*)\\$", "$1")
+    again = F.concat(F.substring("piece", F.lit(1), F.col("head")), shown, F.lit(END))
+    long = F.col("n") > most
+    first = first.withColumns(
+        {"piece": F.when(long, again).otherwise(F.col("piece")), "n": F.when(long, F.lit(most + 2 * FRAME).cast("long")).otherwise(F.col("n"))}
+    )
+    system = first.groupBy(F.col("conv_id").alias("s_id")).agg(F.min(F.struct("place", "piece", "n")).alias("system"))
     rows = rows.join(system, rows["conv_id"].eqNullSafe(system["s_id"]), "left")
     room = F.lit(budget) - F.coalesce(F.col("system.n"), F.lit(0)) - 2 * history
     rows = rows.withColumn("span", F.greatest(F.floor(room / 2), F.lit(FRAME)).cast("long"))

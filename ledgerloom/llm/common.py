@@ -7,8 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.session import shared_dir
-
 #: Characters that separate words: space and U+0009 to U+000D.
 WORD = "[^\\x20\\x09-\\x0D]+"
 GAP = "[\\x20\\x09-\\x0D]+"
@@ -40,14 +38,6 @@ def arrow_sized(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder: a cut lineage that survives lost executors."""
-    context = df.sparkSession.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
-
-
 def crc_mod(key: str, m: int) -> Column:
     """crc32 of the decimal text of ``key``, modulo ``m``; null for a null key."""
     return F.crc32(F.col(key).cast("string")) % m
@@ -81,6 +71,13 @@ def word_count(text: Column) -> Column:
     return F.length(F.translate(marks, " \t\n\x0b\f\r", "")).cast("long")
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as make it no column of ``docs``."""
+    while name in docs.columns:
+        name = f"_{name}"
+    return name
+
+
 def keyed(docs: DataFrame, name: str = "_key") -> DataFrame:
     """``docs`` with a hash of doc_id and text; equal rows share it."""
     named = F.coalesce(F.col("doc_id").cast("string"), F.lit("?"))

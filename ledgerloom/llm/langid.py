@@ -1,12 +1,13 @@
 """Language identification by a byte convolutional network over whole texts.
 
-The network (``convnet``) learns from windows of at most ``PER_LANG`` texts of each language, chosen by a hash of the
-doc_id. A text is cut into windows of ``LENGTH`` bytes that cover all of it; its shares are the mean of its windows'
+The network (``convnet``) learns from ``DRAWN`` windows, drawn over the whole text, of each of at most ``PER_LANG`` texts of each language, chosen by a
+hash of the doc_id. A text is cut into windows of ``LENGTH`` bytes that cover all of it; its shares are the mean of its windows'
 class shares, weighted by their bytes.
 
 Nulls: a null text, or one without a letter, is ``und`` with score 0; rows with a null lang or doc_id are predicted but
 not learned from. Without any labelled text all rows are ``und``. Equal texts get equal results; ties go to the first
 language in code-point order. An empty table gives an empty result. Columns named lang_pred or score are replaced.
+More than ``MOST_LANGS`` values of lang are refused: such a column does not hold languages.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
@@ -24,8 +25,8 @@ from ledgerloom.llm.bytesops import packed
 from ledgerloom.llm.common import arrow_sized, crc_mod, drawn, query, table
 
 LENGTH = 256
-#: Texts of each language that training reads at most, and bytes of each.
-PER_LANG, PIECE = 1000, 512
+#: Texts of each language that training reads at most, windows of each, and languages at most.
+PER_LANG, DRAWN, MOST_LANGS = 1000, 2, 500
 #: Rows whose hash leaves this remainder are held out.
 FOLDS, HELD_OUT = 5, 0
 WIDTHS, FILTERS = (2, 4, 6), 12
@@ -33,20 +34,36 @@ WIDTHS, FILTERS = (2, 4, 6), 12
 LEAST_SHARE = 0.3
 
 
-def sampled(rows: DataFrame, label: str, limit: int, size: int) -> DataFrame:
-    """At most ``limit`` rows of each ``label`` with one run of ``size`` bytes of each text: (label, piece)."""
+def drawn_windows(text: Column, key: str, length: int, windows: int) -> Column:
+    """Windows of ``length`` bytes of a text, one in each of ``windows`` equal stretches of it, at a place by a hash of ``key``.
+
+    A text of fewer bytes than so many windows gives as many as cover it.
+    """
+    raw = text.cast("binary")
+    last = F.greatest(F.length(raw) - length, F.lit(0))
+    n = F.least(F.lit(windows), F.floor(last / length) + 1).cast("int")
+
+    def window(k: Column) -> Column:
+        share = F.shiftrightunsigned(F.xxhash64(key, k), 1).cast("double") / float(1 << 63)
+        return F.substring(raw, F.floor(last * (k + share) / n).cast("int") + 1, F.lit(length))
+
+    return F.transform(F.sequence(F.lit(0), n - 1), window)
+
+
+def sampled(rows: DataFrame, label: str, limit: int, length: int, windows: int) -> DataFrame:
+    """Windows of at most ``limit`` rows of each ``label``: (label, piece)."""
     few = drawn(rows.select("doc_id", label, "text"), label, limit)
-    raw = F.col("text").cast("binary")
-    start = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(F.length(raw) - size, F.lit(0)) + 1).cast("int") + 1
-    return few.select(F.col(label).alias("label"), F.substring(raw, start, F.lit(size)).alias("piece"))
+    return few.select(F.col(label).alias("label"), F.explode(drawn_windows(F.col("text"), "doc_id", length, windows)).alias("piece"))
 
 
 def learn(docs: DataFrame, per_lang: int = PER_LANG) -> tuple[convnet.Net | None, list[str]]:
-    """The network and its languages; at most ``per_lang * PIECE`` bytes of each language reach the driver."""
+    """The network and its languages; at most ``per_lang * DRAWN * LENGTH`` bytes of each language reach the driver."""
     known = docs.filter(
         F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}") & (crc_mod("doc_id", FOLDS) != HELD_OUT)
     )
-    rows = sampled(known, "lang", per_lang, PIECE).orderBy("label", "piece").collect()
+    if known.select("lang").distinct().limit(MOST_LANGS + 1).count() > MOST_LANGS:
+        raise ValueError(f"lang has more than {MOST_LANGS} values")
+    rows = sampled(known, "lang", per_lang, LENGTH, DRAWN).orderBy("label", "piece").collect()
     langs = sorted({r.label for r in rows})
     if not langs:
         return None, []

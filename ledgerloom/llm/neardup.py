@@ -154,13 +154,16 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     )
     before = None
     while True:
+        # aggregates are written before they are joined: adaptive execution can then split the rows of a hot node
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("u", "m").alias("m"))
+        least = materialize(least, "least")
         # large star: neighbours above a node point to the least node around it
         large = both.join(least, both["u"] == least["c"]).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.filter("u != v").distinct()
+        large = materialize(large.filter("u != v").distinct(), "large")
         # small star: a node and its lower neighbours point to the least of them
         low = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), "m")
+        low = materialize(low, "low")
         small = large.join(low, large["u"] == low["c"])
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             low.select(F.col("c").alias("u"), F.col("m").alias("v"))
@@ -203,8 +206,11 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
         .groupBy(node.alias("node"))
         .agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"), F.first("total").alias("total"), F.first("bands").alias("bands"))
     )
+    nodes = materialize(nodes, "nodes")
     spread = nodes.select("node", "total", F.posexplode("bands").alias("band", "mark"))
     shared = spread.groupBy("band", "mark").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # written before the join, as in ``components``: a bucket may be hot
+    shared = materialize(shared, "shared")
     met = spread.join(shared, ["band", "mark"]).select("node", "total", F.struct("band", "mark").alias("bucket"), "n")
     met = materialize(met, "buckets")
     degree = met.groupBy(F.col("node").alias("_n")).agg(F.sum("n").alias("degree"))
@@ -239,10 +245,11 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS,
     else:
         rows_ = rows_.withColumn("root", F.lit(None).cast("struct<k1:bigint,k2:bigint>"))
     rows_ = rows_.withColumn("root", F.when(F.col("total") > 0, F.coalesce("root", "_node")))
+    rows_ = materialize(rows_.select("doc_id", "text_hash", "root"), "rooted")
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     named = rows_.filter("root is not null").groupBy(F.col("root").alias("_root"))
     named = named.agg(F.min(row).alias("_first"), F.count(F.lit(1)).alias("_size"))
-    rows_ = rows_.join(named, _same("root", "_root"), "left")
+    rows_ = rows_.join(materialize(named, "named"), _same("root", "_root"), "left")
     alone = F.col("root").isNull()
     return rows_.select(
         "doc_id",
@@ -266,20 +273,11 @@ def _family_links(
     invited = guests.select(F.col("family").alias("_f")).distinct()
     own = named.select("node", "root", "total").distinct().join(invited, _same("root", "_f"), "left_semi")
     rows = guests.unionByName(own.select(F.col("root").alias("family"), "node", "root", "total", F.lit(False).alias("probe")))
-    size = rows.groupBy(F.col("family").alias("_f")).agg(F.ceil(F.sum("total") / elements).cast("int").alias("blocks"))
-    rows = rows.join(size, _same("family", "_f"))
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    with_all = F.transform(
-        F.sequence(F.lit(0), F.col("blocks") - 1),
-        lambda x: F.struct(F.least(block, x).alias("i"), F.greatest(block, x).alias("j")),
-    )
-    rows = rows.withColumn("part", F.explode(with_all)).join(
-        sets.select(F.col("node").alias("_s"), "bag"), _same("node", "_s")
-    )
+    rows = _copies(rows, elements).join(sets.select(F.col("node").alias("_s"), "bag"), _same("node", "_s"))
     flat = rows.select(
         F.col("family.k1").alias("f1"), F.col("family.k2").alias("f2"), "part.i", "part.j",
         F.col("node.k1").alias("n1"), F.col("node.k2").alias("n2"),
-        F.col("root.k1").alias("r1"), F.col("root.k2").alias("r2"), "probe", "bag",
+        F.col("root.k1").alias("r1"), F.col("root.k2").alias("r2"), "part.probe", "part.target", "bag",
     )
     key = ["f1", "f2", "i", "j"]
     found = flat.repartition(*key).sortWithinPartitions(*key).mapInArrow(
@@ -289,6 +287,31 @@ def _family_links(
     return found.select(pair("a"), pair("b"))
 
 
+def _copies(rows: DataFrame, elements: int) -> DataFrame:
+    """Rows (family, node, root, total, probe) with a ``part`` (i, j, probe, target) for each task that needs them.
+
+    Probes are cut into blocks i, and all nodes, as what is met, into blocks j, of about ``elements`` shingles; part (i, j) holds one of each. A node
+    is met once per block of probes, of which there is mostly one, and only probes go to every block of the others.
+    """
+    blocks = lambda total: F.greatest(F.ceil(F.coalesce(total, F.lit(0)) / elements), F.lit(1)).cast("int")
+    size = rows.groupBy(F.col("family").alias("_f")).agg(
+        blocks(F.sum(F.when(F.col("probe"), F.col("total")))).alias("_pi"), blocks(F.sum("total")).alias("_pj")
+    )
+    # written before the join: a family may be hot
+    rows = rows.join(materialize(size, "sizes"), _same("family", "_f"))
+    own = [F.pmod(F.xxhash64("node", F.lit(n)), F.col(f"_p{n}")).cast("int") for n in "ij"]
+    part = lambda i, j, probe, target: F.struct(
+        i.alias("i"), j.alias("j"), probe.alias("probe"), target.alias("target")
+    )
+    met = F.transform(
+        F.sequence(F.lit(0), F.col("_pi") - 1), lambda x: part(x, own[1], F.col("probe") & (x == own[0]), F.lit(True))
+    )
+    others = F.filter(F.sequence(F.lit(0), F.col("_pj") - 1), lambda y: y != own[1])
+    probes = F.transform(others, lambda y: part(own[0], y, F.lit(True), F.lit(False)))
+    parts = F.when(F.col("probe"), F.concat(met, probes)).otherwise(met)
+    return rows.withColumn("part", F.explode(parts)).drop("_f", "_pi", "_pj")
+
+
 def _family_rows(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -314,7 +337,7 @@ def _family_rows(similarity: float):
 
 
 def _compared(rows: pa.Table, similarity: float) -> pa.RecordBatch:
-    """Links of whole families: of the probes with every node of their family, as a forest."""
+    """Links of whole families: of the probes with every target of their family, as a forest."""
     rows = rows.combine_chunks()
     n = rows.num_rows
     bags_ = rows.column("bag").combine_chunks()
@@ -328,8 +351,10 @@ def _compared(rows: pa.Table, similarity: float) -> pa.RecordBatch:
     owner = np.repeat(np.arange(n), sizes)
     values = bags_.flatten().to_numpy().view(np.uint64)
     _, element = np.unique(mix(values + family[owner].astype(np.uint64) * _GOLDEN), return_inverse=True)
-    posting = np.argsort(element, kind="stable")
-    first = np.concatenate([[0], np.cumsum(np.bincount(element))])
+    # posting lists hold targets only
+    listed = np.flatnonzero(rows.column("target").to_numpy()[owner])
+    posting = listed[np.argsort(element[listed], kind="stable")]
+    first = np.concatenate([[0], np.cumsum(np.bincount(element[listed], minlength=int(element.max(initial=-1)) + 1))])
     length = np.diff(first)
     probe = np.flatnonzero(rows.column("probe").to_numpy())
     begin = np.concatenate([[0], np.cumsum(sizes)])

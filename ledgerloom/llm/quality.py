@@ -1,7 +1,7 @@
 """Quality scores by a byte convolutional network over overlapping chunks of the whole text.
 
-The network (``convnet``) learns from at most ``PER_LABEL`` labelled documents of each label, chosen by a hash of the
-doc_id, both labels in equal number of documents where there are enough. A text is cut into chunks of ``LENGTH`` bytes, a new one every
+The network (``convnet``) learns from ``DRAWN`` chunks, drawn over the whole text, of each of at most ``PER_LABEL`` labelled documents of each label,
+chosen by a hash of the doc_id, both labels in equal number of documents where there are enough. A text is cut into chunks of ``LENGTH`` bytes, a new one every
 ``STEP`` bytes, which cover all of it; each chunk's pooled filters give its log-odds, and their mean, weighted by the
 chunks' bytes, gives the document's probability of label 1.
 
@@ -22,11 +22,12 @@ from pyspark.sql import functions as F
 from ledgerloom.llm import convnet
 from ledgerloom.llm.bytesops import packed
 from ledgerloom.llm.common import arrow_sized, crc_mod, drawn, query, table
+from ledgerloom.llm.langid import drawn_windows
 from ledgerloom.session import materialize
 
 LENGTH, STEP = 256, 224
-#: Labelled documents of each label that training reads at most, and bytes of each.
-PER_LABEL, PIECE = 2000, 1024
+#: Labelled documents of each label that training reads at most, and chunks of each.
+PER_LABEL, DRAWN = 2000, 4
 FOLDS, HELD_OUT = 3, 1
 WIDTHS, FILTERS = (2, 4, 6), 12
 
@@ -38,17 +39,17 @@ def sample_ids(labels: DataFrame, label: str, limit: int) -> DataFrame:
 
 
 def learn(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> convnet.Net | None:
-    """The network; at most ``2 * per_label * PIECE`` bytes reach the driver, or twice as many if doc_ids recur."""
+    """The network; at most ``2 * per_label * DRAWN * LENGTH`` bytes reach the driver, or twice as many if doc_ids recur."""
     usable = labels.filter(crc_mod("doc_id", FOLDS) != HELD_OUT)
     # at most 2 * per_label rows: safe to broadcast
     ids = F.broadcast(sample_ids(usable, "quality", per_label))
-    raw = F.col("text").cast("binary")
-    start = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(F.length(raw) - PIECE, F.lit(0)) + 1).cast("int") + 1
     met = docs.select("doc_id", "text").filter(F.length("text") > 0).join(ids, "doc_id")
-    met = met.select("doc_id", "label", F.substring(raw, start, F.lit(PIECE)).alias("piece")).distinct()
+    pieces = drawn_windows(F.col("text"), "doc_id", LENGTH, DRAWN)
+    met = met.select("doc_id", "label", pieces.alias("piece")).distinct()
     # texts of one doc_id are drawn one by one, so neither a recurring doc_id nor a label crowds out others
     met = materialize(met.select(F.xxhash64("doc_id", "piece").alias("doc_id"), "label", "piece"), "pieces")
-    rows = drawn(met, "label", 2 * per_label).orderBy("label", "piece").collect()
+    rows = drawn(met, "label", 2 * per_label).select("label", F.explode("piece").alias("piece"))
+    rows = rows.orderBy("label", "piece").collect()
     if len({r.label for r in rows}) < 2:
         return None
     x, y = convnet.pieces([bytes(r.piece) for r in rows], [r.label for r in rows], 2, LENGTH)

@@ -1,8 +1,8 @@
 """Quality rules with the frequency of lines across documents, in DataFrame functions only.
 
 Lines are normalised (A-Z folded, digits as 0, runs of spaces as one), hashed and counted per host: the number of
-distinct documents that hold them. Lines of more than ``MAX_DOCS`` documents of one host are removed, and a document
-that keeps less than ``MIN_LEFT`` of its words is rejected, like one that fails the base rules.
+distinct documents that hold them. Lines of more than ``MAX_SHARE`` of a host's documents (those with a line that has a word), and of more than
+``MAX_DOCS``, are removed, and a document that keeps less than ``MIN_LEFT`` of its words is rejected, like one that fails the base rules.
 
 Nulls: a null text has no words and fails the base rules; a null host is a host of its own; a null doc_id stays.
 Empty texts read like null ones. Equal rows count as one document. An empty table gives an empty result. Only
@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import query, table, words
 from ledgerloom.session import materialize
 
-#: A line of more documents of one host than this is boilerplate.
-MAX_DOCS = 100
+#: A line of more than this share of a host's documents is boilerplate, if they are more than ``MAX_DOCS``.
+MAX_SHARE, MAX_DOCS = 0.05, 10
 #: Least share of words that must be left.
 MIN_LEFT = 0.3
 MIN_WORDS = 50
@@ -56,7 +56,13 @@ def _repeated_words(rows: DataFrame) -> DataFrame:
     return rows.withColumn("n_repeat_words", F.coalesce(total, F.lit(0)).cast("long")).drop("_at")
 
 
-def with_rules(docs: DataFrame, host: str = "source", max_docs: int = MAX_DOCS, min_left: float = MIN_LEFT) -> DataFrame:
+def with_rules(
+    docs: DataFrame,
+    host: str = "source",
+    max_docs: int = MAX_DOCS,
+    min_left: float = MIN_LEFT,
+    max_share: float = MAX_SHARE,
+) -> DataFrame:
     """Per row of ``docs``: doc_id, text, base counts, base_failed, kept, n_words_left, ``bad_lines``.
 
     ``bad_lines`` holds the hashes of the lines to remove (see ``without_lines``).
@@ -75,7 +81,13 @@ def with_rules(docs: DataFrame, host: str = "source", max_docs: int = MAX_DOCS,
     )
     held = placed.select("_host", "_h", "_key")
     counted = held.distinct().groupBy("_host", "_h").agg(F.count(F.lit(1)).alias("_docs"))
-    common = counted.filter(F.col("_docs") > max_docs).select(F.col("_host").alias("_c_host"), F.col("_h").alias("_c_h"))
+    # each document has one first line
+    hosts = placed.filter("_at = 0").select("_host", "_key").distinct().groupBy(F.col("_host").alias("_n_host"))
+    hosts = hosts.agg(F.greatest(F.lit(float(max_docs)), max_share * F.count(F.lit(1))).alias("_limit"))
+    counted = counted.join(hosts, F.col("_host").eqNullSafe(F.col("_n_host")))
+    common = counted.filter(F.col("_docs") > F.col("_limit"))
+    # written first: the rows of a very common line can then be split in the join
+    common = materialize(common.select(F.col("_host").alias("_c_host"), F.col("_h").alias("_c_h")), "common")
     met = placed["_host"].eqNullSafe(common["_c_host"]) & (placed["_h"] == common["_c_h"])
     gone = (
         placed.join(common, met)
@@ -136,7 +148,9 @@ def without_lines(text: Column, bad_lines: Column) -> Column:
         regexp_replace(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789',
           'abcdefghijklmnopqrstuvwxyz000000000'), '[\\x20\\x09-\\x0D]+', ' ', 'g'), '^ | $', '', 'g') AS form FROM l),
     u AS (SELECT k, count(*) - count(DISTINCT line) AS n_dup_lines FROM s WHERE n > 0 GROUP BY k),
-    c AS (SELECT source, form FROM s WHERE n > 0 GROUP BY source, form HAVING count(DISTINCT k) > 100),
+    h AS (SELECT source, greatest(10, 0.05 * count(DISTINCT k)) AS most FROM s WHERE n > 0 GROUP BY source),
+    c AS (SELECT t.source, form FROM (SELECT source, form, count(DISTINCT k) AS n_docs FROM s WHERE n > 0 GROUP BY source, form) t
+      JOIN h ON t.source IS NOT DISTINCT FROM h.source WHERE n_docs > most),
     x AS (SELECT s.k, sum(s.n) AS gone FROM s JOIN c ON s.source IS NOT DISTINCT FROM c.source AND s.form = c.form
       GROUP BY s.k),
     b AS (SELECT d.doc_id, CAST(len(w.words) AS BIGINT) AS n_words,

@@ -11,7 +11,7 @@ than ``HOT`` different stretches is refined by a distributed count instead.
 
 Matches never cross documents, may lie in one document, and may overlap. Nulls: a null text is empty; a null doc_id is
 kept. Equal rows are repeats of each other, as any two documents of equal text are. Texts shorter than ``LENGTH`` bytes never match;
-very long ones are worked in slices. An empty table gives an empty result. Other columns are carried along as they are.
+very long ones are worked in slices. An empty table gives an empty result. Other columns are carried along as they are, whatever their names, but for ``spans``.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.bytesops import _BASE, _CODES, SLICE, mix, packed
-from ledgerloom.llm.common import arrow_sized, discard, keyed, query, table
+from ledgerloom.llm.common import arrow_sized, discard, keyed, query, table, unused
 from ledgerloom.session import materialize
 
 #: Length of the strings that may occur once only, and of the grams that anchor them; both in bytes.
@@ -321,7 +321,7 @@ def _string_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """One row per document with repeated strings: doc_id, key (see ``keyed``), spans (not merged)."""
     arrow_sized(docs.sparkSession)
-    texts = keyed(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_key").alias("key"), "text")
+    texts = keyed(docs.select("doc_id", "text")).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_key").alias("key"), "text")
     chosen = materialize(texts.mapInArrow(_anchor_rows, _ANCHOR), "anchors")
     order = ["gram", "around", "key", "start"]
     sorted_ = chosen.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -422,8 +422,9 @@ def _cleaned_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def with_spans(docs: DataFrame) -> DataFrame:
     """Every row of ``docs`` with its repeated ``spans`` (empty if none)."""
-    rows, spans = keyed(docs), repeated_spans(docs).withColumnRenamed("doc_id", "_s_id").withColumnRenamed("key", "_s_key")
-    met = rows["doc_id"].eqNullSafe(spans["_s_id"]) & (rows["_key"] == spans["_s_key"])
+    name = unused(docs, "_key")
+    rows, spans = keyed(docs, name), repeated_spans(docs).withColumnRenamed("doc_id", "_s_id").withColumnRenamed("key", "_s_key")
+    met = rows["doc_id"].eqNullSafe(spans["_s_id"]) & (rows[name] == spans["_s_key"])
     kind = "array<struct<lo:bigint,hi:bigint>>"
     none = F.array().cast(kind)
     return rows.join(spans.withColumnRenamed("spans", "_spans"), met, "left").select(

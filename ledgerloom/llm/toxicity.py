@@ -87,10 +87,11 @@ def _patterns(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     upper, lower = (buf >= 65) & (buf <= 90), (buf >= 97) & (buf <= 122)
     letters = count(upper | lower)
     out[:, 0] = (letters > 20) & (count(upper) * 2 > letters)
-    marks = buf == 33
-    out[:, 1] = count(marks & np.roll(marks, 1) & np.roll(marks, 2)) > 0
-    symbol = (buf == 42) | (buf == 64) | (buf == 36)
-    out[:, 2] = count(symbol & np.roll(upper | lower, 1) & np.roll(upper | lower, -1)) > 0
+    # three bytes in a row, all of one text
+    one = text[2:] == text[:-2]
+    marks, symbol, letter = buf == 33, (buf == 42) | (buf == 64) | (buf == 36), upper | lower
+    out[text[2:][one & marks[2:] & marks[1:-1] & marks[:-2]], 1] = True
+    out[text[2:][one & letter[2:] & symbol[1:-1] & letter[:-2]], 2] = True
     return out
 
 

@@ -80,11 +80,11 @@ def test_query_equals_its_sql(spark, duck, name):
     assert spark_table(QUERIES[name](spark, SMALL)) == want
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_and_the_pipeline_are_registered():
     import __spark_entry__ as entry_point
 
     names = entry_point.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(names)
 
 
@@ -221,6 +221,26 @@ def test_languages_are_told_apart(docs):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_windows_are_drawn_over_whole_texts(spark):
+    # what tells the languages apart stands behind the first 5000 bytes
+    rows = [(i, "x" * 5000 + (" eins zwei drei" if i % 2 else " uno dos tres") * 300, "de" if i % 2 else "es") for i in range(300)]
+    few = langid.sampled(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "lang", 100, 256, 4)
+    pieces = [(r.label, bytes(r.piece).decode()) for r in few.collect()]
+    assert len(pieces) == 800 and {len(p) for _, p in pieces} == {256}
+    for label, word in (("de", "zwei"), ("es", "dos")):
+        assert 0.3 < sum(word in p for x, p in pieces if x == label) / 400 < 0.7
+    assert all(("dos" in p) <= (x == "es") for x, p in pieces)
+    short = spark.createDataFrame([(1, "short", "de"), (2, "", "de"), (3, "m" * 600, "de")], "doc_id long, text string, lang string")
+    assert sorted(len(r.piece) for r in langid.sampled(short, "lang", 100, 256, 4).collect()) == [0, 5, 256, 256]
+
+
+def test_a_column_of_very_many_languages_is_refused(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MOST_LANGS", 3)
+    rows = spark.createDataFrame([(i, "text", f"l{i}") for i in range(9)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="more than 3"):
+        langid.learn(rows)
+
+
 def test_language_of_odd_rows(odd, nothing):
     got = collections.defaultdict(set)
     for r in langid.identify(odd).collect():
@@ -397,6 +417,14 @@ def test_common_lines_are_removed(spark):
     assert all(got[i].kept and got[i].left == f"{prose(i)}\nend {name(i, 1)}" for i in range(12))
     assert not got[99].kept and got[99].left == "word " * 9
     assert all(r.bad_lines is None for r in rules.with_rules(df, max_docs=50).collect())
+    # 13 documents: a line of all of them passes a share of 0.9, but not one of 1
+    assert sum(r.bad_lines is not None for r in rules.with_rules(df, max_docs=5, max_share=0.9).collect()) == 13
+    assert all(r.bad_lines is None for r in rules.with_rules(df, max_docs=5, max_share=1.0).collect())
+
+
+def test_lines_are_removed_from_the_given_documents(spark):
+    rows = rules.with_rules(table(spark, MEDIUM, "documents")).filter("bad_lines IS NOT NULL")
+    assert rows.count() > 10
 
 
 # --- 7 near-duplicates
@@ -450,6 +478,27 @@ def test_classes_are_those_of_all_pairs(spark, monkeypatch, elements):
     assert got == brute_classes(rows)
 
 
+def test_only_probes_go_to_every_block(spark):
+    key = "struct<k1:bigint,k2:bigint>"
+    family = (0, 0)
+    rows = [(family, (i, i), family, 300, False) for i in range(2000)] + [(family, (9999 + i, 0), (9999 + i, 0), 300, True) for i in range(3)]
+    df = spark.createDataFrame(rows, f"family {key}, node {key}, root {key}, total long, probe boolean").repartition(3)
+    parts = neardup._copies(df, 10_000).select("node", "part.*").collect()
+    # 2003 nodes of 300 shingles make 61 blocks: each is met once, and three probes go to all of them
+    assert sum(p.target for p in parts) == 2003 and sum(p.probe for p in parts) == 3 * 61
+    assert len(parts) == 2003 + 3 * 60
+    # with small blocks of probes each probe still meets each node once
+    parts = neardup._copies(df, 300).select("node", "part.*").collect()
+    probes, targets = collections.defaultdict(list), collections.defaultdict(list)
+    for p in parts:
+        if p.probe:
+            probes[p.i, p.j].append(p.node)
+        if p.target:
+            targets[p.i, p.j].append(p.node)
+    meetings = collections.Counter((a, b) for k in probes for a in probes[k] for b in targets[k])
+    assert len(meetings) == 3 * 2003 and set(meetings.values()) == {1}
+
+
 def family_table(n, links, probe):
     """One family of which two nodes share an element if they are linked."""
     bags = [[k for k, link in enumerate(links) if u in link] + [10**6 + u] for u in range(n)]
@@ -460,6 +509,7 @@ def family_table(n, links, probe):
             "n1": np.arange(n),
             "r1": np.arange(n),
             "probe": probe,
+            "target": [True] * n,
             "bag": pa.array(bags, pa.list_(pa.int64())),
         }
     )
@@ -588,6 +638,22 @@ def test_removal_of_odd_rows(odd, nothing):
 # --- 9 toxicity
 
 
+def brute_patterns(text):
+    raw = (text or "").encode()
+    letters = [chr(b) for b in raw if chr(b).isalpha() and b < 128]
+    shouts = len(letters) > 20 and 2 * sum(c.isupper() for c in letters) > len(letters)
+    return [shouts, b"!!!" in raw, bool(re.search(rb"(?<=[A-Za-z])[*@$](?=[A-Za-z])", raw))]
+
+
+def test_pattern_votes_stay_within_texts(texts):
+    odd_ones = ["wow!!", "!ok", "*def", "abc*", "def", "a*b", "", None, "!", "!!!", "!!", "!a!!", "x$", "$", "y", "f**k", "ÄB*é", "S*T", "SHOUTING IS NOT ALLOWED HERE"]
+    rng = random.Random(2)
+    given = odd_ones + [*texts.values()][:80] + ["".join(rng.choice("aB!*@$ é") for _ in range(rng.randrange(6))) for _ in range(400)]
+    for size in (1, 7, len(given)):
+        got = [v for k in range(0, len(given), size) for v in toxicity._patterns(*B.packed(pa.array(given[k : k + size], pa.string()))).tolist()]
+        assert got == [brute_patterns(t) for t in given]
+
+
 def test_toxicity_on_held_out_rows(spark):
     docs, labels = table(spark, MEDIUM, "documents"), table(spark, MEDIUM, "labels")
     rows = toxicity.score_toxicity(docs, labels).collect()
@@ -639,8 +705,39 @@ def test_tiles_are_greedy():
         item = [rng.choice("abcd") for _ in range(30)]
         doc = [rng.choice("abcd") for _ in range(40)] + item[12:25] + item[:9]
         pairs = [(i, j) for i in range(len(item) - 2) for j in range(len(doc) - 2) if item[i : i + 3] == doc[j : j + 3]]
-        i, j = np.array(pairs).T
-        assert sum(n for *_, n in decontamination.tiles(i, j, 3)) == brute_tiles(item, doc, 3)
+        code = lambda x, k: hash(tuple(x[k : k + 3]))
+        sides = [(np.arange(len(x) - 2), np.array([code(x, k) for k in range(len(x) - 2)])) for x in (item, doc)]
+        for at_once in (1, 7, 1 << 20):
+            i, j, n = decontamination.diagonal_runs(*sides[0], *sides[1], 3, at_once)
+            assert sum(n) - 2 * len(n) == len(pairs)
+            assert sum(x for *_, x in decontamination.tiles(i, j, n, 3, len(item))) == brute_tiles(item, doc, 3)
+
+
+def test_a_repetitive_text_against_a_repetitive_item(spark):
+    # 200 by 400,000 equal words: 80 million equal places
+    docs = spark.createDataFrame([(1, "again " * 400_000), (2, "now and then " * 200_000), (3, "other words")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "again " * 200), (8, "now and then " * 60)], "item_id long, text string")
+    got = {r.doc_id: (r.item_id, r.coverage, r.n_items) for r in decontamination.with_matches(docs, items).collect()}
+    assert got == {1: (7, 1.0, 1), 2: (8, 1.0, 1), 3: (None, 0.0, 0)}
+
+
+def test_short_items_match_as_a_whole(spark):
+    items = spark.createDataFrame([(1, "Name four seas!"), (2, "why"), (3, "..."), (4, "one two three four five")], "item_id long, text string")
+    rows = [(1, "please name four seas now"), (2, "name four lakes"), (3, "But WHY not"), (4, "whyever"), (5, "one two three four"), (6, "one two three four five")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.item_id for r in decontamination.with_matches(docs, items).collect() if r.contaminated}
+    assert got == {1: 1, 3: 2, 6: 4}
+
+
+def test_columns_named_like_the_keys_are_kept(spark):
+    rows = [(1, "one two three four five six", "mine", 5), (2, "clean", "yours", 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _key string, key int")
+    items = spark.createDataFrame([(1, "one two three four five six")], "item_id long, text string")
+    assert [tuple(r) for r in decontamination.without_tests(docs, items).collect()] == [rows[1]]
+    got = {r.doc_id: (r._key, r.key, r.contaminated) for r in decontamination.with_matches(docs, items).collect()}
+    assert got == {1: ("mine", 5, True), 2: ("yours", 6, False)}
+    for out in (suffixes.with_spans(docs), suffixes.remove_repeats(docs)):
+        assert sorted(r._key for r in out.collect()) == ["mine", "yours"]
 
 
 def test_leaks_are_found_in_any_order(spark):
