@@ -1,6 +1,13 @@
 """From raw documents to a training order: the stages, each reading what the one before it kept.
 
-Each stage takes (spark, docs, sf_dir) and returns a frame; all but the last return the columns of ``documents``.
+Each stage takes (spark, docs, sf_dir) and returns a frame; all but the last return the columns of ``documents``. A row is
+a document; only doc_id, text, source and lang are read, and n_chars is set anew where a text changes.
+
+Nulls: a null or empty text, or one without a letter, goes in the first stage; a null lang is not learned from, a null source is a source of
+its own, a null doc_id stays (and stands behind others where one of a class is kept). Very long texts are worked in slices and windows; no stage
+has a limit of length. Ties: of equal or near-equal documents the least doc_id stays, of equal rows one. Repeated rows so go in the second stage; the
+mix then repeats rows on purpose, one per copy. Empty tables pass all stages and give an empty result; without benchmark items nothing is leaked.
+Columns of other names are carried along; ``position`` is set by the last stage, replacing one of that name.
 """
 
 from __future__ import annotations

@@ -46,6 +46,7 @@ ODD = [
     (6, "one", "fr", "b", 3, 3, "s", "s", 6),
     (7, "12345 !!! ###", "fr", "b", 3, 3, "s", "s", 6),
 ]
+MEDIUM = SMALL.replace("sf0.001", "sf0.01")
 SPLIT = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -263,7 +264,6 @@ def area(pairs):
     return sum((a > b) + 0.5 * (a == b) for a in ones for b in zeros) / (len(ones) * len(zeros))
 
 
-MEDIUM = SMALL.replace("sf0.001", "sf0.01")
 
 
 def test_quality_on_held_out_rows(spark):
@@ -356,16 +356,13 @@ def test_base_score_and_counts(spark, texts):
 
 
 def test_the_model_is_a_distribution():
-    Row = collections.namedtuple("Row", "power cell n types twice")
-    found = [Row(0, 1, 4, 4, 0), Row(1, 2, 6, 3, 3), Row(3, 2, 9, 1, 0), Row(3, 9, 8, 1, 0), Row(5, 40, 33, 1, 0)]
-    classes = lm.class_table(found, 7)
-    counts = {0: [1] * 4, 1: [2] * 3, 3: [9, 8], 5: [33]}
-    kinds = [int(classes.cell[p, c]) for p, c in ((1, 2), (3, 2), (3, 9), (5, 40))]
-    inside = collections.Counter()
-    inside[lm.RARE] = classes.unseen + 4 * (1 - classes.unseen) / classes.once
-    inside[lm.END_CLASS] = 1.0
-    for kind, cs in zip(kinds, (counts[1], [9], [8], [33]), strict=True):
-        inside[kind] += sum(c / classes.tokens[kind] for c in cs)
+    Row = collections.namedtuple("Row", "kind n types once twice")
+    found = [Row(lm.RARE, 4, 4, 4, 0), Row(lm.END_CLASS, 7, 1, 0, 0), Row(lm.LOOSE, 6, 3, 0, 3), Row(3, 17, 2, 0, 0), Row(5, 33, 1, 0, 0)]
+    classes = lm.class_table(found, np.eye(lm.DIMS, dtype=np.float32)[:3])
+    assert (classes.total, classes.types, classes.once, classes.count) == (67, 11, 4, 6)
+    counts = {lm.LOOSE: [2, 2, 2], 3: [9, 8], 5: [33]}
+    inside = {lm.RARE: classes.unseen + 4 * (1 - classes.unseen) / classes.once, lm.END_CLASS: 1.0}
+    inside |= {kind: sum(c / classes.tokens[kind] for c in cs) for kind, cs in counts.items()}
     assert all(v == pytest.approx(1) for v in inside.values())
     assert {k for k, n in enumerate(classes.tokens) if n} <= set(inside)
     rng = np.random.default_rng(1)
@@ -373,10 +370,94 @@ def test_the_model_is_a_distribution():
     assert np.allclose(p.sum(axis=1), 1, atol=1e-5)
 
 
-def test_heavy_powers_are_cut_into_32nds():
-    Row = collections.namedtuple("Row", "power cell n types twice")
-    classes = lm.class_table([Row(9, k, 1000, 2, 0) for k in range(lm.CELLS)], 0)
-    assert classes.tokens[2:].tolist() == [2000] * 32
+def python_score(tokens, known, classes, weights, bias):
+    """log10 probability of one text, step by step; tokens are hashes, ``known`` gives count and direction."""
+    kinds, inside = [], 0.0
+    for t in tokens:
+        n, signs = known[t]
+        if t == int(lm._END):
+            kind, share = lm.END_CLASS, 1.0
+        elif n < 2:
+            kind = lm.RARE
+            share = (1 - classes.unseen) / classes.once if n else classes.unseen
+        else:
+            kind = lm.LOOSE
+            if signs is not None:
+                x = np.frombuffer((signs % (1 << 64)).to_bytes(8, "little"), np.int8).astype(float)
+                kind = lm.FIRST_CLUSTER + int(np.argmax([np.dot(c, x) for c in classes.centroids]))
+            share = n / classes.tokens[kind]
+        kinds.append(kind)
+        inside += math.log10(share)
+    marks = [int(B.mix(np.array([t], np.uint64))[0]) & 0xFFFF for t in tokens]
+    total = inside
+    for i, kind in enumerate(kinds):
+        word = lambda k: marks[i - k] + 1 if i >= k else 0  # noqa: B023, E731
+        of = lambda k: kinds[i - k] + 1 if i >= k else 0  # noqa: B023, E731
+        features = (word(1), word(2), of(1) * 256 + of(2), (of(1) * 256 + of(2)) * 256 + of(3))
+        z = bias.astype(float).copy()
+        for j, x in enumerate(features):
+            x = (x + j + 1) * int(lm._SEEDS[j]) % 2**32
+            x = (x ^ (x >> 15)) * 0x2C1B3C6D % 2**32
+            z += weights[(x ^ (x >> 13)) % lm.ROWS + (lm.ROWS if j > 1 else 0)]
+        total += (z[kind] - z.max() - math.log(np.exp(z - z.max()).sum())) / math.log(10)
+    return total
+
+
+def test_scores_against_a_plain_computation(spark, monkeypatch):
+    docs = table(spark, SMALL, "documents").select("doc_id", "text")
+    encoded, looked, classes = lm.prepared(docs)
+    weights, bias = lm.fit(encoded, classes)
+    assert np.abs(weights).max() > 0.1 and classes.count > lm.FIRST_CLUSTER + 10
+    # the query's own run, from the same weights
+    monkeypatch.setattr(lm, "prepared", lambda _: (encoded, looked, classes))
+    monkeypatch.setattr(lm, "fit", lambda *_: (weights, bias))
+    got = {r.doc_id: r.score for r in lm.score_texts(docs).collect()}
+    known = {r.token % 2**64: (r.n, r.signs) for r in looked.collect()}
+    for doc_id, text in [*((r.doc_id, r.text) for r in docs.limit(25).collect())]:
+        raw = (text or "").encode()
+        tokens, _ = lm._tokens(pa.RecordBatch.from_pydict({"text": pa.array([text], pa.string())}))
+        assert len(tokens) == len(SPLIT.findall(raw.decode())) + 1
+        want = python_score([int(t) for t in tokens], known, classes, weights, bias)
+        assert got[doc_id] == pytest.approx(want, rel=1e-4)
+
+
+def test_directions_are_those_of_the_neighbours(spark):
+    rows = [(i, t) for i, t in enumerate(["a b a b", "b a", "c", None, "a a b"]) if i is not None]
+    docs = spark.createDataFrame([*rows, (None, "a b b")], "doc_id long, text string").withColumn("train", F.col("doc_id").isNotNull())
+    blocked = docs.select("doc_id", "train", F.lit(0).alias("part"), "text", F.lit(0).cast("long").alias("block")).coalesce(1)
+    schema = "block long, token long, n long, " + ", ".join(f"{c} long" for c in lm._SIGNS)
+    got = {r.token % 2**64: r for r in blocked.select("block", "train", "text").mapInArrow(lm._token_rows, schema).collect()}
+    code = {w: int(lm._tokens(pa.RecordBatch.from_pydict({"text": pa.array([w])}))[0][0]) for w in "abc"}
+    sign = lambda w, d: 1 if int(B.mix(np.array([code[w]], np.uint64))[0]) >> (40 + d) & 1 else -1
+    # neighbours of a in texts that are learned from: b b b b | b | a, a b
+    for d in range(lm.DIMS):
+        assert got[code["a"]][lm._SIGNS[d]] == 4 * sign("b", d) - sign("b", d) + sign("b", d) + 2 * sign("a", d) + sign("b", d)
+    assert got[code["a"]].n == 5 and got[code["b"]].n == 4 and got[code["c"]].n == 1 and got[code["c"]].s0 is None
+
+
+def test_centroids_part_two_languages():
+    rng = np.random.default_rng(5)
+    truth = rng.random(600) < 0.5
+    x = np.clip(np.where(truth[:, None], 60, -60) * np.array([1, 1, 1, 1, -1, -1, -1, 1]) + rng.normal(0, 25, (600, 8)), -127, 127).astype(np.int8)
+    centroids = lm.fit_centroids(x.view("<i8").ravel(), rng.integers(2, 999, 600), 2)
+    nearest = (lm.directions(x.view("<i8").ravel()) @ centroids.T).argmax(axis=1)
+    assert max((nearest == truth).mean(), (nearest != truth).mean()) > 0.99
+    assert len(lm.fit_centroids(x[:3].view("<i8").ravel(), np.ones(3), 40)) == 3
+
+
+def per_token(rows):
+    held = [r for r in rows if zlib.crc32(str(r.doc_id).encode()) % 10 == 0]
+    train = [r for r in rows if zlib.crc32(str(r.doc_id).encode()) % 10]
+    mean = lambda part, c: sum(r[c] for r in part) / sum(r.n_tokens for r in part)
+    return mean(held, "base_score"), mean(held, "score"), mean(train, "base_score"), mean(train, "score")
+
+
+def test_contexts_are_learned(spark):
+    docs = table(spark, MEDIUM, "documents").select("doc_id", "text").repartition(2, "doc_id")
+    base, untrained, *_ = per_token(lm.score_texts(docs, 0).collect())
+    _, trained, seen_base, seen = per_token(lm.score_texts(docs).collect())
+    assert untrained > base + 0.3 and trained > untrained + 0.08
+    assert seen > seen_base + 0.05
 
 
 def test_segment_sums():
@@ -798,6 +879,66 @@ def test_pipeline_stages(spark):
     assert [r.position for r in got] == sorted(r.position for r in got)
 
 
+def planted():
+    """Documents with copies, near copies, long repeats, benchmark items, and rows without a language."""
+    rng = random.Random(21)
+    word = lambda lang: lang + "".join(rng.choice("aeiou" if i % 2 else "bdklmnrst") for i in range(6))
+    prose = lambda lang, n: " ".join(word(lang) for _ in range(n))
+    rows, passage = [], {x: prose(x, 40) for x in "xy"}
+    for i in range(120):
+        lang = "xy"[i % 2]
+        text = prose(lang, 60)
+        if i % 10 == 3:
+            text += " " + passage[lang] + " " + prose(lang, 15)
+        rows.append([i, text, lang, f"s{i % 3}", 0])
+    for i in range(12):
+        rows.append([200 + i, rows[i * 5][1], rows[i * 5][2], "s1", 0])  # exact copies
+        w = rows[i * 7][1].split()
+        w[17] = "edited"
+        rows.append([300 + i, " ".join(w), rows[i * 7][2], "s2", 0])  # near copies
+    items = [(k, prose("xy"[k % 2], 24)) for k in range(6)]
+    for i, (_, text) in enumerate(items):
+        lang = "xy"[i % 2]
+        rows.append([400 + i, f"{prose(lang, 30)} {text} {prose(lang, 30)}", lang, "s0", 0])
+    rows += [[500, None, "x", "s0", 0], [501, "12 34 !!", "x", "s0", 0], [502, "", None, None, 0]]
+    return [(a, b, c, d, len(b or "")) for a, b, c, d, _ in rows], items
+
+
+def test_run_against_brute_force(spark, duck, tmp_path):
+    import corpus_pipeline as P
+
+    rows, items = planted()
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    # languages: all texts with a letter are recognised here
+    left = [r for r in rows if r[1] and re.search("[a-z]", r[1])]
+    assert len(left) == len(rows) - 3
+    ones = {k for k, c in brute_classes([(r[0], r[1]) for r in left]) if k == c}
+    left = [r for r in left if r[0] in ones]
+    assert not ones & set(range(200, 400))
+    cleaned, raw = [], [r[1].encode() for r in left]
+    seen = collections.Counter(b[i : i + 200] for b in raw for i in range(len(b) - 199))
+    for r, b in zip(left, raw, strict=True):
+        gone = {i + k for i in range(len(b) - 199) if seen[b[i : i + 200]] > 1 for k in range(200)}
+        cleaned.append((r[0], bytes(x for i, x in enumerate(b) if i not in gone).decode(), *r[2:4]))
+    assert sum(a[1] != b[1] for a, b in zip(left, cleaned, strict=True)) > 8
+    split = lambda t: re.findall("[0-9a-z]+", t)
+    leaks = {r[0] for r in cleaned if any(2 * brute_tiles(split(t), split(r[1]), 5) >= len(split(t)) for _, t in items)}
+    assert leaks == set(range(400, 406))
+    final = [(*r, len(r[1])) for r in cleaned if r[0] not in leaks]
+    # the mix by the SQL of its own query
+    con = duck.cursor()
+    con.execute("CREATE TEMP TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR, n_chars BIGINT)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?, ?, ?)", final)
+    names = [c[0] for c in con.execute(SQL["op1_mixing"]).description]
+    taken = {x["doc_id"]: x["taken"] // x["size"] for x in (dict(zip(names, r, strict=True)) for r in con.fetchall())}
+    want = sorted(r for r in final for _ in range(taken[r[0]]))
+    got = [tuple(r) for r in P.run(spark, str(tmp_path)).collect()]
+    assert sorted(r[:-1] for r in got) == want and len(want) > 100
+    assert [r[-1] for r in got] == sorted(r[-1] for r in got)
+
+
 def test_pipeline_of_odd_rows(spark, odd, nothing):
     import corpus_pipeline as P
 
