@@ -63,15 +63,15 @@ def band_join(
     cuts = ref.agg(F.array_sort(F.array_distinct(F.percentile_approx(F.col("_lo").cast("double"), marks, 10_000))).alias("c"))
     # at most ``cells`` numbers
     edges = cuts.first()["c"] or []
-    spread = ref.withColumn("_cell", F.explode(F.sequence(_cell(F.col("_lo"), edges), _cell(F.col("_hi"), edges))))
+    spread = ref.withColumn("_cell", F.explode(F.sequence(cell_of(F.col("_lo"), edges), cell_of(F.col("_hi"), edges))))
     # a NULL never matches: such rows get spare negative cells, so that they do not all meet in one task
     spare = -spread_nulls(df, [value])
-    probe = df.withColumn("_probe", F.coalesce(_cell(F.col(value), edges), spare))
+    probe = df.withColumn("_probe", F.coalesce(cell_of(F.col(value), edges), spare))
     joined = probe.join(spread, (F.col("_probe") == F.col("_cell")) & in_band, "left")
     return joined.drop("_probe", "_cell", "_lo", "_hi")
 
 
-def _cell(x: Column, edges: Sequence[float], block: int = 32) -> Column:
+def cell_of(x: Column, edges: Sequence[float], block: int = 32) -> Column:
     """Number of sorted ``edges`` at or below ``x``, found block by block; NULL for NULL."""
     if not edges:
         return F.when(x.isNotNull(), F.lit(0)).cast("long")
@@ -232,20 +232,20 @@ def merge_chain(
 ) -> DataFrame:
     """All (survivor, victim, carried values, depth) reached by following merges up to ``depth`` steps.
 
-    Each step advances one written frontier. What a deeper search would add is in ``open_chains``.
+    Paths of up to m steps are joined with those of exactly m: paths of up to 2m steps, so the rounds grow with the logarithm of the depth.
+    Each round's paths are written once. What a deeper search would add is in ``open_chains``.
     """
     base = edges.select(F.col(survivor).alias("survivor"), F.col(victim).alias("victim"), *carry)
-    step = edges.select(F.col(victim).alias("_from"), F.col(survivor).alias("_to"))
-    frontier = materialize(base.withColumn("depth", F.lit(1)), "chain")
-    found = frontier
-    for d in range(2, depth + 1):
-        nxt = frontier.join(step, F.col("survivor") == F.col("_from")).select(
-            F.col("_to").alias("survivor"), "victim", *carry, F.lit(d).alias("depth")
-        )
-        frontier = materialize(nxt, "chain")
-        if frontier.isEmpty():
+    found = materialize(base.withColumn("depth", F.lit(1)), "chain")
+    steps = 1
+    while steps < depth:
+        longest = found.filter(F.col("depth") == steps).select(F.col("victim").alias("_from"), F.col("survivor").alias("_to"))
+        if longest.isEmpty():
             break
-        found = found.unionByName(frontier)
+        further = found.filter(F.col("depth") <= depth - steps).join(longest, F.col("survivor") == F.col("_from"))
+        further = further.select(F.col("_to").alias("survivor"), "victim", *carry, (F.col("depth") + steps).alias("depth"))
+        found = found.unionByName(materialize(further, "chain"))
+        steps *= 2
     return found
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from datetime import date
 
@@ -9,10 +10,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import next_monthly, next_occurrence
-from ledgerloom.operators.joins import full_add, merge_chain, not_in
+from ledgerloom.operators.joins import asof_join, cell_of, full_add, merge_chain, not_in
 from ledgerloom.operators.ordered import latest_per_key, over_neighbours, positions
 from ledgerloom.operators.shaping import priority_case, unpivot
-from ledgerloom.session import settled
+from ledgerloom.session import materialize, settled
 
 
 def points_by_period(
@@ -158,34 +159,48 @@ def cumulative_flow(
     Every status that a group shows at a point has a row at every point, with zero where no entity has it. ``by_day``
     compares days in place of instants. ``calendars`` (group, points: sorted array) replaces the common calendar. Work
     follows the changes: an entity's last change before each point adds one to its status and takes one from the former.
-    Changes without group, entity or time are left out.
+    A change's place in the common calendar is found block by block among its points, which are part of the expression; in a calendar of its
+    group by an as-of join. No row carries a calendar. Changes without group, entity or time are left out.
     """
+    spark = changes.sparkSession
     known = F.col(group).isNotNull() & F.col(entity).isNotNull() & F.col(at).isNotNull()
     rows = changes.filter(known)
+    # whole numbers that order instants, or days
+    number = (
+        (lambda c: F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("long"))
+        if by_day
+        else (lambda c: F.unix_micros(F.col(c).cast("timestamp")))
+    )
     if calendars is None:
-        calendar = F.sequence(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz"), F.expr(f"interval {every}"))
-        rows = rows.withColumn("_points", calendar)
+        series = F.sequence(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz"), F.expr(f"interval {every}"))
+        calendar = spark.range(1).select(F.posexplode(series).alias("_slot", "point"))
+        # a calendar is a list of report dates: it is part of the request
+        edges = [r.n for r in calendar.orderBy("_slot").select(number("point").alias("n")).collect()]
+        before = cell_of(number(at) - 1, edges, max(32, math.isqrt(len(edges))))
+        rows = rows.withColumn("_slot", before).filter(F.col("_slot") < len(edges))
     else:
-        rows = rows.join(calendars.select(group, F.col("points").alias("_points")), group)
-    day = F.to_date if by_day else (lambda c: c)
-    # number of points before the change: its place in the calendar
-    slot = F.size(F.filter("_points", lambda p: day(p) < day(F.col(at))))
-    rows = rows.withColumn("_slot", slot).filter(F.col("_slot") < F.size("_points"))
-    last = rows.groupBy(group, entity, "_slot").agg(
-        F.max_by(status, F.struct(at, *tie)).alias("_new"), F.first("_points").alias("_points")
-    )
+        calendar = calendars.select(group, F.posexplode("points").alias("_slot", "point"))
+        points = calendar.select(group, (number("point") + 1).alias("_n"), (F.col("_slot") + 1).cast("long").alias("_after"))
+        rows = rows.withColumn("_at", number(at)).join(calendars.select(F.col(group).alias("_c")), F.col(group) == F.col("_c"), "left_semi")
+        rows = asof_join(rows, points, [group], "_at", "_n", ["_after"], ["_after"], keep_unmatched=True)
+        rows = rows.withColumn("_slot", F.coalesce("_after", F.lit(0).cast("long")))
+    last = rows.groupBy(group, entity, "_slot").agg(F.max_by(status, F.struct(at, *tie)).alias("_new"))
     # one row per entity and slot: bounded by the calendar
     former = F.lag("_new").over(Window.partitionBy(group, entity).orderBy("_slot"))
     had = F.lag(F.lit(True)).over(Window.partitionBy(group, entity).orderBy("_slot"))
     last = last.withColumns({"_old": former, "_had": had})
     plus = F.struct(F.col("_new").alias("s"), F.lit(1).alias("d"))
     minus = F.when(F.col("_had"), F.struct(F.col("_old").alias("s"), F.lit(-1).alias("d")))
-    moves = last.select(group, "_slot", "_points", F.explode(F.array_compact(F.array(plus, minus))).alias("m"))
-    steps = moves.groupBy(group, F.col("m.s").alias(status), "_slot").agg(
-        F.sum("m.d").alias("_d"), F.first("_points").alias("_points")
-    )
-    shown = steps.groupBy(group, status).agg(F.first("_points").alias("_points"))
-    shown = shown.select(group, status, F.posexplode("_points").alias("_slot", "point"))
+    moves = last.select(group, "_slot", F.explode(F.array_compact(F.array(plus, minus))).alias("m"))
+    steps = moves.groupBy(group, F.col("m.s").alias(status), "_slot").agg(F.sum("m.d").alias("_d"))
+    steps = materialize(steps, "flow-steps")
+    # the calendar meets the data here, once per group and status
+    if calendars is None:
+        shown = steps.select(group, status).distinct().crossJoin(F.broadcast(calendar))
+    else:
+        here = calendar.select(F.col(group).alias("_c"), F.col("_slot").alias("_p"))
+        inside = steps.join(here, (F.col(group) == F.col("_c")) & (F.col("_slot") == F.col("_p")), "left_semi")
+        shown = inside.select(group, status).distinct().join(calendar, group)
     steps = steps.select(
         F.col(group).alias("_g"), F.col(status).alias("_s"), F.col("_slot").alias("_k"), "_d"
     )

@@ -117,15 +117,15 @@ def drop_scratch(spark: SparkSession) -> None:
     _delete(spark, _app_dir(spark))
 
 
-def materialize(df: DataFrame, label: str = "step") -> DataFrame:
+def materialize(df: DataFrame, label: str = "step", compression: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage, survives lost executors, and fixes values that a recomputation could change
-    (range boundaries, row order).
+    (range boundaries, row order). ``compression`` names a codec other than the session's, such as zstd for long texts.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

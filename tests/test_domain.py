@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -185,3 +185,50 @@ def test_redefining_segments_are_not_counted(spark, tmp_path):
     trailer = Segment(parse_layout(["day:2:4: :R", "n:6:3:0:L:int"]), str(tmp_path / "t"))
     load_segment_file(spark, str(tmp_path / "r.txt"), segments, "T", trailer, ["day"], str(tmp_path / "c"), "r1", datetime(2024, 1, 1))
     assert W.read_table(spark, str(tmp_path / "r")).count() == 2
+
+
+def brute_flow(rows, points, by_day=False):
+    key = (lambda t: t.date()) if by_day else (lambda t: t)
+    counts, shown = {}, set()
+    for g in {r[0] for r in rows if None not in r[:3]}:
+        for p in points.get(g, []):
+            last = {}
+            for _, e, t, s, n in (r for r in rows if r[0] == g and r[1] is not None and r[2] is not None):
+                if key(t) <= key(p):
+                    last[e] = max(last.get(e, (datetime.min, -1, None)), (t, n, s))
+            for _, _, s in last.values():
+                counts[g, p, s] = counts.get((g, p, s), 0) + 1
+                shown.add((g, s))
+    return {(g, p, s): counts.get((g, p, s), 0) for g, s in shown for p in points[g]}
+
+
+@pytest.mark.parametrize("by_day", [False, True])
+@pytest.mark.parametrize("own", [False, True])
+@pytest.mark.parametrize("every", ["1 day", "1 month"])
+def test_cumulative_flow_against_brute_force(spark, request, by_day, own, every):
+    import random
+
+    rng = random.Random(7)
+    start = datetime(2024, 1, 1)
+    rows = [
+        (rng.choice(["a", "b", "c", None]), rng.choice([1, 2, 3, 4, None]), start + timedelta(hours=rng.randrange(-50, 2500)), rng.choice("xyz"), n)
+        for n in range(120)
+    ] + [("a", 1, None, "x", 999), ("late", 1, start + timedelta(days=900), "x", 1000)]
+    df = spark.createDataFrame(rows, "g string, e int, t timestamp_ntz, s string, n int").repartition(3)
+    common = [start + timedelta(days=k) for k in range(91)] if every == "1 day" else [datetime(2024, m, 1) for m in (1, 2, 3, 4)]
+    if own:
+        points = {"a": common, "b": common[1:3], "late": common}
+        calendars = spark.createDataFrame([(g, p) for g, p in points.items()], "g string, points array<timestamp_ntz>")
+    else:
+        points, calendars = {g: common for g in ("a", "b", "c", "late")}, None
+    if own:
+        request.getfixturevalue("large")
+    flow = D.cumulative_flow(df, "g", "e", "t", "s", ["n"], str(common[0]), str(common[-1]), every, by_day, calendars)
+    assert {(r.g, r.point, r.s): r.n for r in flow.collect()} == brute_flow(rows, points, by_day)
+
+
+def test_no_row_of_the_flow_carries_a_calendar(spark):
+    df = spark.createDataFrame([("a", 1, datetime(2024, 1, 1), "x", 1)], "g string, e int, t timestamp_ntz, s string, n int")
+    flow = D.cumulative_flow(df, "g", "e", "t", "s", ["n"], "2024-01-01", "2024-12-31", "1 hour")
+    assert "first(_points" not in flow._jdf.queryExecution().optimizedPlan().toString()
+    assert flow.count() == 365 * 24 + 1

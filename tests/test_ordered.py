@@ -228,3 +228,14 @@ def test_a_local_checkpoint_folder_is_refused_on_a_cluster(spark, monkeypatch):
     assert S.shared_dir(Cluster) == "file:/mnt/x"
     monkeypatch.setattr(Cluster, "conf", {"spark.checkpoint.dir": "hdfs://n/x/"})
     assert S.shared_dir(Cluster) == "hdfs://n/x"
+
+
+def test_a_chain_takes_few_rounds(spark, monkeypatch):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(70)] + [(5, 100), (5, 100)], "s long, v long")
+    written = []
+    write = J.materialize
+    monkeypatch.setattr(J, "materialize", lambda df, label: written.append(label) or write(df, label))
+    chain = J.merge_chain(edges, "s", "v", depth=64)
+    want = {(i, j, j - i): 1 for i in range(71) for j in range(i + 1, min(70, i + 64) + 1)} | {(i, 100, 6 - i): 2 for i in range(6)}
+    assert {(r.survivor, r.victim, r.depth): r["count"] for r in chain.groupBy("survivor", "victim", "depth").count().collect()} == want
+    assert len(written) == 7

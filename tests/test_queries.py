@@ -44,6 +44,26 @@ def test_query_on_large_input(spark, duck, large, name):
     assert spark_table(QUERIES[name](spark, SMALL)) == expected(duck, name)
 
 
+@pytest.mark.parametrize("missing", ["ledgerloom.llm", "ledgerloom.llm.queries", "corpus_pipeline", "numpy"])
+def test_table_queries_do_without_the_optional_parts(monkeypatch, missing):
+    """With a part or one of its packages absent, the other queries stay."""
+    load = entry_point.import_module
+
+    def found(name):
+        if name == missing or missing == "ledgerloom.llm" or (missing == "numpy" and name == "ledgerloom.llm.queries"):
+            raise ModuleNotFoundError(f"No module named {missing!r}", name=missing)
+        return load(name)
+
+    monkeypatch.setattr(entry_point, "import_module", found)
+    if missing == "numpy":
+        with pytest.warns(UserWarning, match="left out"):
+            names = set(entry_point.queries())
+    names = set(entry_point.queries())
+    assert set(QUERIES) <= names and set(SQL) <= set(entry_point.oracle_sql())
+    if missing == "corpus_pipeline":
+        assert "pipeline" not in names
+
+
 def test_entry(spark):
     df = entry_point.entry(spark)
     assert df.columns == ["wallet_id", "tier", "month", "points"]
