@@ -866,7 +866,7 @@ def test_pipeline_stages(spark):
     assert [name for name, _ in P.STAGES] == ["language_id", "minhash_neardup", "suffix_dedup", "decontamination", "mixing"]
     given = {r.doc_id: r.text for r in docs.collect()}
     first = P.known_language(spark, docs, SMALL)
-    assert first.columns == docs.columns and {r.doc_id for r in first.collect()} == set(given)
+    assert first.columns == docs.columns and len({r.doc_id for r in first.collect()} & set(given)) > 0.97 * len(given)
     rows = sorted(given.items())
     kept = {r.doc_id for r in P.one_of_each(spark, docs, SMALL).collect()}
     assert kept == {c for _, c in brute_classes(rows)}
@@ -904,6 +904,22 @@ def planted():
     return [(a, b, c, d, len(b or "")) for a, b, c, d, _ in rows], items
 
 
+def test_the_language_stage_keeps_prose_and_rejects_junk(spark):
+    import corpus_pipeline as P
+
+    docs = table(spark, MEDIUM, "documents")
+    rng = random.Random(3)
+    pick = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    junk = [(10**6 + i, pick("0123456789abcdef", 900)) for i in range(150)]
+    junk += [(2 * 10**6 + i, " ".join(pick("бвгдежзиклмнопрст", 6) for _ in range(120))) for i in range(150)]
+    more = spark.createDataFrame([(i, t, None, "junk", len(t)) for i, t in junk], docs.schema)
+    both = docs.unionByName(more)
+    kept = {r.doc_id for r in P.known_language(spark, both, MEDIUM).select("doc_id").collect()}
+    given = {r.doc_id for r in docs.select("doc_id").collect()}
+    assert len(kept & given) > 0.98 * len(given)
+    assert len(kept - given) < 0.6 * len(junk)
+
+
 def test_run_against_brute_force(spark, duck, tmp_path):
     import corpus_pipeline as P
 
