@@ -8,8 +8,8 @@ inverting the cumulated demand at a copy's first word gives the training time of
 are range-sorted by that time.
 
 Nulls: a null source is a source of its own and comes last; a null text has 0 words; a null doc_id
-is hashed as an empty text. Empty texts take no words. Repeated rows are mixed row by row. Ties in the hashed
-order are broken by doc_id and size, so they can fall only between equal rows. An empty table gives
+is hashed as an empty text. Empty texts take no words. Repeated rows are mixed row by row. The hashed order is by doc_id and text;
+ties are broken by doc_id and size, so they can fall only between equal rows. An empty table gives
 an empty result. Columns of the input named like a result are replaced.
 """
 
@@ -107,7 +107,8 @@ def plan_mix(
         F.col("doc_id").alias("_id"),
         F.col("source"),
         word_count(F.col("text")).alias("size"),
-        F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("_hash"),
+        # the text is part of it: rows without a doc_id, or with the same one, are spread like others
+        F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.coalesce("text", F.lit(""))))).alias("_hash"),
     )
     per = source_targets(rows.select("source", "size"), schedules, cap).withColumnRenamed("source", "_source")
     share = F.conv(F.substring("_hash", 1, 8), 16, 10).cast("double") / float(1 << 32)
@@ -166,7 +167,7 @@ def training_order(docs: DataFrame, schedules: Sequence[Schedule] = SCHEDULES, c
     "op1_mixing",
     """
     WITH d AS (
-      SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+      SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS h,
         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size
       FROM documents),
     s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),

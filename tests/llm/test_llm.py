@@ -165,6 +165,16 @@ def test_training_times_follow_the_schedules(spark, docs):
     assert [r.position for r in out] == sorted(r.position for r in out)
 
 
+def test_rows_without_ids_are_spread(spark):
+    rows = spark.range(4000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"), F.lit("a").alias("source"))
+    plan = mixing.plan_mix(rows)
+    assert plan.agg(F.sum("taken")).first()[0] == 8000
+    hashed = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert hashed.count("md5") > 1
+    times = [r.positions[0] for r in plan.select("positions").collect()]
+    assert len(set(times)) == 4000
+
+
 def test_mixing_odd_rows(odd, nothing):
     rows = mixing.plan_mix(odd).collect()
     assert sorted(r.size for r in rows) == sorted(len(words(r[1])) for r in ODD)
