@@ -72,7 +72,7 @@ def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bo
     codes = _CODES[_LOWER] if lower else _CODES
     lengths = ends - starts
     total = np.concatenate([[0], np.cumsum(lengths)])
-    powers = np.ones(1, np.uint64)
+    powers = np.full(1, _BASE, np.uint64)
     i = 0
     while i < len(starts):
         j = max(i + 1, int(np.searchsorted(total, total[i] + SLICE, "right")) - 1)

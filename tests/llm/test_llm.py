@@ -100,6 +100,11 @@ def test_words_of_a_batch():
     assert got == [words(t) for t in given]
 
 
+def test_short_words_hash_alike_in_any_company():
+    alone, among = (B.word_hashes(*(x := np.frombuffer(t, np.uint8), *B.word_spans(x, np.array([0, len(x)]))[:2])) for t in (b"a b", b"a longer b"))
+    assert alone.tolist() == [among[0], among[2]]
+
+
 def test_equal_words_have_equal_hashes(monkeypatch):
     monkeypatch.setattr(B, "SLICE", 7)
     rng = random.Random(1)
@@ -276,6 +281,47 @@ def area(pairs):
 
 
 
+def plain_shares(net, raw, length):
+    """Class shares of one window, byte by byte."""
+    x = raw[:length] + bytes(max(0, length - len(raw)))
+    seen, features = [net.embed[b] for b in x], []
+    for f, bias in zip(net.filters, net.biases, strict=True):
+        w = f.shape[0]
+        active = [sum(seen[i + k] @ f[k] for k in range(w)) for i in range(length - w + 1)]
+        features += np.maximum(np.max(active, axis=0) + bias, 0).tolist()
+    z = np.array(features) @ net.dense + net.bias
+    return np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+
+
+def plain_windows(raw, length, step):
+    starts = [0] if raw else []
+    while starts and starts[-1] + length < len(raw):
+        starts.append(starts[-1] + step)
+    return [raw[a : a + length] for a in starts]
+
+
+SAMPLES = ["Das ist ein kurzer Text.", "é", "one two three " * 40, "x" * 256, "y" * 257, "ab " * 180, "Ende, fin, end! " * 45]
+
+
+def test_languages_against_a_plain_computation(spark):
+    net = convnet.fresh(3, (2, 4, 6), 5, 8, 7)
+    docs = spark.createDataFrame(list(enumerate(SAMPLES)), "doc_id long, text string")
+    for r in langid.with_language(docs, net, ["a", "b", "c"]).collect():
+        parts = plain_windows(r.text.encode(), langid.LENGTH, langid.LENGTH)
+        shares = sum(len(w) * plain_shares(net, w, langid.LENGTH) for w in parts) / sum(map(len, parts))
+        assert r.lang_pred == "abc"[int(shares.argmax())] and r.score == pytest.approx(shares.max(), abs=1e-4)
+
+
+def test_quality_against_a_plain_computation(spark):
+    net = convnet.fresh(2, (2, 4, 6), 5, 8, 9)
+    docs = spark.createDataFrame(list(enumerate(SAMPLES)), "doc_id long, text string")
+    for r in quality.with_score(docs, net).collect():
+        parts = plain_windows(SAMPLES[r.doc_id].encode(), quality.LENGTH, quality.STEP)
+        good = [min(max(plain_shares(net, w, quality.LENGTH)[1], 1e-4), 1 - 1e-4) for w in parts]
+        odds = sum(len(w) * math.log(g / (1 - g)) for w, g in zip(parts, good, strict=True)) / sum(map(len, parts))
+        assert r.score == pytest.approx(1 / (1 + math.exp(-odds)), abs=1e-4)
+
+
 def test_quality_on_held_out_rows(spark):
     docs, labels = table(spark, MEDIUM, "documents"), table(spark, MEDIUM, "labels")
     rows = quality.score_quality(docs, labels).collect()
@@ -745,6 +791,55 @@ def test_pattern_votes_stay_within_texts(texts):
         assert got == [brute_patterns(t) for t in given]
 
 
+def plain_features(text):
+    """Feature hashes of a text: its words and their beginnings."""
+    low = re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode())
+    one = lambda raw: int(B.word_hashes(np.frombuffer(raw, np.uint8), np.zeros(1, np.int64), np.array([len(raw)]))[0])
+    out = set()
+    for w in re.findall(rb"[0-9a-z\x80-\xff]+", low):
+        out.add(one(w))
+        for n in toxicity.STEMS:
+            if len(w) > n:
+                out.add(int(B.mix(np.array([(one(w[:n]) + n) % 2**64], np.uint64))[0]))
+    return out
+
+
+def test_toxicity_against_a_plain_computation(spark, texts, monkeypatch):
+    seen = {}
+    for name in ("_mask_rows", "_score_rows", "fit_label_model"):
+        make = getattr(toxicity, name)
+
+        def kept(*args, make=make, name=name):
+            seen[name] = (args, make(*args))
+            return seen[name][1]
+
+        monkeypatch.setattr(toxicity, name, kept)
+    docs, labels = table(spark, SMALL, "documents").select("doc_id", "text"), table(spark, SMALL, "labels")
+    scores = {r.doc_id: r.score for r in toxicity.score_toxicity(docs, labels).collect()}
+    votes = {r.doc_id: r.votes for r in docs.mapInArrow(seen["_mask_rows"][1], "doc_id long, votes long").collect()}
+    mined = [int(h) for h in seen["_mask_rows"][0][0]]
+    lexicon = {int(h) for h in toxicity._hash_of(toxicity.LEXICON)}
+    wanted, weights, bias = seen["_score_rows"][0]
+    weight = dict(zip((int(h) for h in wanted), weights.tolist(), strict=True))
+    model, voters = seen["fit_label_model"][1], 4 + len(mined)
+    assert len(weight) > 3
+    for doc_id, text in texts.items():
+        features = plain_features(text)
+        fired = [bool(features & lexicon), *brute_patterns(text), *(h in features for h in mined)]
+        assert votes[doc_id] == sum(1 << k for k, x in enumerate(fired) if x)
+        odds = bias + sum(weight.get(h, 0.0) for h in features)
+        assert scores[doc_id] == pytest.approx(1 / (1 + math.exp(-odds)), rel=1e-6)
+        joint = {}
+        for y, prior in ((1, model.prior), (0, 1 - model.prior)):
+            joint[y] = math.log(prior)
+            for j in range(voters):
+                up = fired[model.parent[j]] if model.parent[j] >= 0 else False
+                p = model.rate[y, int(up), j]
+                joint[y] += math.log(p if fired[j] else 1 - p)
+        got = model.posterior(toxicity._bits(np.array([votes[doc_id]]), voters))[0]
+        assert got == pytest.approx(1 / (1 + math.exp(joint[0] - joint[1])), rel=1e-6)
+
+
 def test_toxicity_on_held_out_rows(spark):
     docs, labels = table(spark, MEDIUM, "documents"), table(spark, MEDIUM, "labels")
     rows = toxicity.score_toxicity(docs, labels).collect()
