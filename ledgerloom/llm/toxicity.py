@@ -365,6 +365,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     if len(n) < 2:
         return none
     candidates = top_features(sample, n[1], n[0], CANDIDATES, True)
+    # words of the lexicon have their voter
+    candidates = candidates[~np.isin(candidates, _hash_of(LEXICON))]
     mined = np.empty(0, np.uint64)
     if len(candidates):
         x, y = matrix(sample, candidates)
