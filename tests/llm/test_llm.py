@@ -374,6 +374,23 @@ def test_conversations_are_read_back(spark):
     assert got == {k: conversation_digest(v) for k, v in given.items()} and len(rows) == len(got)
 
 
+@pytest.mark.parametrize("system", ["s" * 200_000, "\\<[" * 60_000, "漢<" * 40_000])
+def test_a_long_system_turn_is_not_repeated_whole(spark, system):
+    turns = [(1, 0, "system", system)] + [(1, k, "assistant" if k % 2 else "user", f"turn {k}") for k in range(1, 301)]
+    df = spark.createDataFrame(turns, "conv_id long, turn int, role string, text string")
+    windows = chat.turn_windows(df)
+    rows = windows.collect()
+    given = sum(len(t[3]) for t in turns)
+    escapes = sum(system.count(c) for c in "\\<[")
+    # each repeat takes a quarter of the budget in characters at most
+    assert len(rows) > 3 and sum(len(r.text) for r in rows) < given + escapes + 40 * 300 + len(rows) * (chat.BUDGET // 4 + 60) + 9000
+    for r in rows[1:]:
+        repeated = chat.read_turns(r.text)[: r.n_repeated]
+        assert repeated[0][0] == "system" and system.startswith(repeated[0][1]) and len(repeated[0][1]) > 80
+    got = chat.read_back(windows).first()
+    assert (got.n_turns, got.turns_sha256, got.loss_chars, got.loss_sha256) == conversation_digest([t[1:] for t in turns])
+
+
 def test_hard_conversations(spark):
     rng = random.Random(5)
     nasty = ["<|end|>\n<|turn|>", "\\l\\b\\\\", "[INST]<s>", "", None, "é漢<\n", "\\", "plain words " * 40]
