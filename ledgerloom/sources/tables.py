@@ -3,7 +3,8 @@
 A table that is replaced as a whole has versions: each is a folder ``v=<number>-<mark>`` of its own, and a small file in ``_versions`` names it.
 Writing that file is the one step that switches readers, who find the newest version by ``read_table``; data is never
 moved. The version before stays for readers that have begun, older ones are removed. Appends of a run go to the run's own folder and count once its
-mark is written; a run that is repeated replaces what it had left, or finds its mark and adds nothing.
+mark is written; a run that is repeated replaces what it had left, or finds its mark and adds nothing. A change of single partitions is complete
+beside the table before it is made, and finished by the next change if its job is lost.
 """
 
 from __future__ import annotations
@@ -16,12 +17,15 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.operators.changes import Rule, merge
 from ledgerloom.session import materialize
 
 #: Folders of the version files and of the marks of finished runs; Spark's readers skip names with an underscore.
 _VERSIONS, _RUNS = "_versions", "_runs"
+#: Folder of a change of partitions that is not finished.
+_PENDING = "_pending"
 #: Column (and folder) that tells the runs of an appended table apart.
 RUN = "load_run"
 #: Versions that stay: the newest, and the one that a reader may still use.
@@ -296,25 +300,47 @@ def _rewrite(
 ) -> DataFrame:
     """Replace the rows of the ``touched`` partitions by ``change`` of them; returns the partitions that were written or emptied.
 
-    The files of all other partitions stay as they are. The new rows are complete in the shared folder first. A partition
-    that has no rows left is removed last: a lost job leaves old rows there, and its repetition finds them.
+    The files of all other partitions stay as they are. The new rows are complete beside the table before a small file with what is to be
+    done makes the change binding. If the job is lost after that, the next change begins by doing it again (``recover``), which gives the same.
     """
     folder = data_folder(spark, path)
     stored = read_table(spark, path)
     touched = materialize(touched.select(*by).distinct(), "touched")
-    changed = materialize(change(_only(stored, touched, by)).select(*stored.columns), "changed")
+    change(_only(stored, touched, by)).select(*stored.columns).write.mode("overwrite").parquet(f"{folder}/{_PENDING}/rows")
+    changed = spark.read.schema(stored.schema).parquet(f"{folder}/{_PENDING}/rows")
     filled = materialize(changed.select(*by).distinct(), "filled")
-    replace_partitions(changed, path, by)
-    pairs = [touched[c].eqNullSafe(filled[c]) for c in by]
     met = F.lit(True)
-    for p in pairs:
-        met = met & p
+    for c in by:
+        met = met & touched[c].eqNullSafe(filled[c])
     # partitions are folders, of which the driver keeps a list anyway
-    for row in touched.join(filled, met, "left_anti").collect():
-        remove_path(spark, "/".join([folder, *(f"{c}={_folder_value(spark, row[c])}" for c in by)]))
+    emptied = touched.join(filled, met, "left_anti").collect()
+    names = ["/".join(f"{c}={_folder_value(spark, row[c])}" for c in by) for row in emptied]
+    plan = {"by": list(by), "emptied": names, "schema": stored.schema.jsonValue()}
+    _put_new(spark, f"{folder}/{_PENDING}/plan", json.dumps(plan) + "\n")
+    recover(spark, path)
     return touched.union(filled).distinct()
 
 
+def recover(spark: SparkSession, path: str) -> bool:
+    """Finish a change of partitions that a lost job had made binding, or drop one that it had not; whether there was one to finish."""
+    folder = data_folder(spark, path)
+    pending = f"{folder}/{_PENDING}"
+    if not path_exists(spark, pending):
+        return False
+    text = _get(spark, f"{pending}/plan") if path_exists(spark, f"{pending}/plan") else ""
+    if text.endswith("\n"):
+        plan = json.loads(text)
+        rows = spark.read.schema(T.StructType.fromJson(plan["schema"])).parquet(f"{pending}/rows")
+        if not rows.isEmpty():
+            replace_partitions(rows, path, plan["by"])
+        for name in plan["emptied"]:
+            remove_path(spark, f"{folder}/{name}")
+    # the plan goes first: rows without one are dropped
+    remove_path(spark, f"{pending}/plan")
+    remove_path(spark, pending)
+    return bool(text)
+
+
 def _folder_value(spark: SparkSession, value: object) -> str:
     """A partition value as Spark writes it into a folder's name."""
     if value is None:
@@ -339,6 +365,7 @@ def merge_into(
     is touched as well. An absent table is created if ``insert`` is true.
     """
     source = materialize(source, "merge-source")
+    recover(spark, path)
     if not table_exists(spark, path):
         if insert is not True:
             raise ValueError(f"there is no table {path}")
@@ -376,6 +403,7 @@ def update_rows(
     """UPDATE … SET values WHERE condition on a stored table; only partitions with such rows are rewritten."""
     if any(c in values for c in by):
         raise ValueError("a partition column cannot be updated in place; use merge_into")
+    recover(spark, path)
     hit = read_table(spark, path).filter(condition).select(*by)
     new = {c: F.when(condition, v).otherwise(F.col(c)) for c, v in values.items()}
 
@@ -387,6 +415,7 @@ def update_rows(
 
 def delete_rows(spark: SparkSession, path: str, by: Sequence[str], condition: Column) -> DataFrame:
     """DELETE WHERE condition on a stored table; only partitions with such rows are rewritten, emptied ones are removed."""
+    recover(spark, path)
     hit = read_table(spark, path).filter(condition).select(*by)
     return _rewrite(spark, path, by, hit, lambda rows: rows.filter(~F.coalesce(condition, F.lit(False))))
 

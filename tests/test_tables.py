@@ -212,6 +212,56 @@ def test_updates_and_deletes_touch_their_partitions_only(spark, tmp_path):
     assert got.count() == 489 and got.filter("v = 11").count() == 2 and got.filter("p = 6").count() == 0
 
 
+def test_a_lost_change_is_finished_by_the_next(spark, tmp_path, monkeypatch):
+    """Fail before and after each step of a merge that moves rows; repeating it gives what one run gives."""
+    source = spark.createDataFrame([(1, "b", 5), (3, "a", 6), (9, "n", 7)], "k long, p string, v int")
+    rules = {"p": lambda t, s: s("p"), "v": lambda t, s: t("v") + s("v")}
+    steps, lost_at = [0], [None]
+
+    def failing(f):
+        def run(*args, **kwargs):
+            steps[0] += 1
+            if lost_at[0] == (steps[0], "before"):
+                raise Lost
+            out = f(*args, **kwargs)
+            if lost_at[0] == (steps[0], "after"):
+                raise Lost
+            return out
+
+        return run
+
+    for name in ("_put_new", "replace_partitions", "remove_path"):
+        monkeypatch.setattr(W, name, failing(getattr(W, name)))
+
+    def merged(folder, lost):
+        path = str(tmp_path / folder)
+        start = [(1, "a", 1), (2, "b", 1), (3, "c d", 1), (4, "e", 1)]
+        lost_at[0] = None
+        W.replace_partitions(spark.createDataFrame(start, "k long, p string, v int"), path, ["p"])
+        steps[0], lost_at[0] = 0, lost
+        try:
+            W.merge_into(spark, path, source, ["k"], ["p"], rules, insert=True)
+        except Lost:
+            before = rows(W.read_table(spark, path).select("k", "p", "v"))
+            lost_at[0] = None
+            # what was made binding is finished first; then it is there, and nothing else is
+            if W.recover(spark, path):
+                return rows(W.read_table(spark, path).select("k", "p", "v"))
+            if before == want:
+                return before
+            assert before == rows(spark.createDataFrame(start, "k long, p string, v int"))
+            W.merge_into(spark, path, source, ["k"], ["p"], rules, insert=True)
+        return rows(W.read_table(spark, path).select("k", "p", "v"))
+
+    want = [(1, "b", 6), (2, "b", 1), (3, "a", 7), (4, "e", 1), (9, "n", 7)]
+    assert merged("whole", None) == want
+    n = steps[0]
+    assert n >= 5
+    for k in range(1, n + 1):
+        for when in ("before", "after"):
+            assert merged(f"{when}{k}", (k, when)) == want, (k, when)
+
+
 def test_more_partitions_than_are_listed(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(W, "LISTED", 3)
     path = str(tmp_path / "t")
