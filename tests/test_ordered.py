@@ -230,6 +230,40 @@ def test_a_local_checkpoint_folder_is_refused_on_a_cluster(spark, monkeypatch):
     assert S.shared_dir(Cluster) == "hdfs://n/x"
 
 
+class _Cluster:
+    """The test session as if it ran on a cluster with the given settings."""
+
+    def __init__(self, spark, conf):
+        context = spark.sparkContext
+        self.conf, self.range, self.read = conf, spark.range, spark.read
+        self.sparkContext = type("C", (), {
+            "master": "spark://host:7077", "getConf": lambda: {}, "_jsc": context._jsc, "_jvm": context._jvm,
+            "applicationId": context.applicationId, "defaultParallelism": context.defaultParallelism,
+        })
+
+
+def test_a_file_checkpoint_folder_that_executors_share_is_taken_on_a_cluster(spark, tmp_path):
+    shared = f"file:{tmp_path}/kept"
+    assert S.shared_dir(_Cluster(spark, {"spark.checkpoint.dir": shared + "/"})) == shared
+    assert not list(Path(tmp_path).rglob("*.parquet"))
+
+
+def test_a_cluster_without_checkpoint_folder_uses_the_warehouse(spark, tmp_path):
+    shared = f"file:{tmp_path}/warehouse"
+    assert S.shared_dir(_Cluster(spark, {"spark.sql.warehouse.dir": shared})) == shared
+
+
+def test_folders_in_which_the_driver_misses_rows_of_executors_are_refused(spark, tmp_path):
+    """The rows of some tasks stay on the disk of their executor."""
+    lost = _Cluster(spark, {"spark.checkpoint.dir": f"file:{tmp_path}/own"})
+    lost.range = lambda a, n, step, parts: spark.range(a, n - 1, step, parts)
+    with pytest.raises(ValueError, match="one machine"):
+        S.shared_dir(lost)
+    lost.conf = {"spark.sql.warehouse.dir": f"file:{tmp_path}/own2"}
+    with pytest.raises(ValueError, match="one machine"):
+        S.shared_dir(lost)
+
+
 def test_a_chain_takes_few_rounds(spark, monkeypatch):
     edges = spark.createDataFrame([(i, i + 1) for i in range(70)] + [(5, 100), (5, 100)], "s long, v long")
     written = []
