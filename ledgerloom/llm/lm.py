@@ -3,7 +3,7 @@
 A text is its words (A-Z folded) and one end. The probability of a token is that of its class after the tokens before
 it, times its share within the class. Classes: the end; rare tokens (seen once in training, or never); and distributional ones: the words next to a
 token, as sums of random signs in ``DIMS`` dimensions over all training documents, give it a direction, and the nearest of ``CLUSTERS`` centroids is its class
-(fitted on the ``FITTED`` most frequent types; every type is assigned). Tokens that never occur twice in one block have no direction and share a class. Class scores are
+(fitted on all types: those whose directions share a cell of a grid with ``LEVELS`` steps a dimension move together, with the sum of their weighted directions). Tokens that never occur twice in one block have no direction and share a class. Class scores are
 sums of hashed features of the history: the last token, the one before it (a skip), and the classes of the last two and of the last three. Within
 a class the unigram feature gives counts their share; in the rare class unseen tokens take what seen-once tokens take in general (Good-Turing).
 
@@ -40,8 +40,11 @@ BLOCK = 24 << 20
 #: Weight rows of hashed words and as many of hashed classes; the table has the size FEATURES.
 ROWS = 8192
 FEATURES = 2 * ROWS
-#: Dimensions of a token's direction, distributional classes, and types on which their centroids are fitted.
-DIMS, CLUSTERS, FITTED = 8, 40, 20_000
+#: Dimensions of a token's direction, distributional classes, and steps of each dimension in the grid of directions.
+DIMS, CLUSTERS, LEVELS = 8, 40, 4
+#: Where the steps of the grid part, and units of a sum of weighted directions, which are whole numbers.
+_STEPS = np.array([-1, 0, 1], np.float32) / np.float32(math.sqrt(DIMS))
+_UNITS = 1 << 16
 ROUNDS = 3
 #: Tokens of a training step and its AdaGrad rate, and tokens that are scored at a time.
 STEP, RATE = 1024, 0.5
@@ -92,6 +95,16 @@ def fit_centroids(signs: np.ndarray, counts: np.ndarray, clusters: int = CLUSTER
     """Spherical k-means of directions, weighted by the root of the counts; fewer types than clusters are their own centroids."""
     x = directions(signs)
     weight = np.sqrt(counts.astype(np.float64))
+    return _fitted(x, weight, weight[:, None] * x, clusters, turns)
+
+
+def fit_centroids_of_cells(sums: np.ndarray, weight: np.ndarray, clusters: int = CLUSTERS, turns: int = 20) -> np.ndarray:
+    """The same of cells of directions: ``sums`` of their weighted directions and of their weights."""
+    x = (sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+    return _fitted(x, weight, sums, clusters, turns)
+
+
+def _fitted(x: np.ndarray, weight: np.ndarray, weighted: np.ndarray, clusters: int, turns: int) -> np.ndarray:
     if len(x) <= clusters:
         return x
     rng = np.random.default_rng(3)
@@ -106,7 +119,7 @@ def fit_centroids(signs: np.ndarray, counts: np.ndarray, clusters: int = CLUSTER
     centroids = x[chosen]
     for _ in range(turns):
         nearest = (x @ centroids.T).argmax(axis=1)
-        sums = np.stack([np.bincount(nearest, weight * x[:, d], len(centroids)) for d in range(DIMS)], axis=1)
+        sums = np.stack([np.bincount(nearest, weighted[:, d], len(centroids)) for d in range(DIMS)], axis=1)
         size = np.linalg.norm(sums, axis=1, keepdims=True)
         centroids = np.where(size > 0, sums / np.maximum(size, 1e-9), centroids).astype(np.float32)
     return centroids
@@ -204,6 +217,18 @@ def packed_direction() -> Column:
     return F.when(most > 0, out)
 
 
+def _cell_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(cell, sum of weights, sums of weighted directions) of a batch of types, in whole units, so that any order gives the same sums."""
+    for batch in batches:
+        x = directions(batch.column("signs").to_numpy())
+        weight = np.sqrt(batch.column("n").to_numpy().astype(np.float64))
+        cell = sum(np.digitize(x[:, d], _STEPS).astype(np.int64) * LEVELS**d for d in range(DIMS))
+        found, at = np.unique(cell, return_inverse=True)
+        values = np.rint(np.column_stack([weight, weight[:, None] * x]) * _UNITS)
+        sums = [pa.array(np.bincount(at, v, len(found)).astype(np.int64)) for v in values.T]
+        yield pa.RecordBatch.from_arrays([pa.array(found), *sums], names=["cell", "weight", *_SIGNS])
+
+
 def _class_rows(centroids: np.ndarray):
     """(class, tokens, types, types seen once, twice) of a batch of types."""
 
@@ -352,12 +377,12 @@ def _segment_sums(x: np.ndarray, start: np.ndarray, rounds: int = 32) -> tuple[n
     sizes = np.diff(np.concatenate([start, [len(x)]]))
     order = np.argsort(-sizes, kind="stable")
     first, length = start[order], sizes[order]
-    total = x[first]
+    total = x.take(first, axis=0)
     for k in range(1, rounds):
         n = int(np.searchsorted(-length, -k, "left"))
         if not n:
             break
-        total[:n] += x[first[:n] + k]
+        total[:n] += x.take(first[:n] + k, axis=0)
     for i in range(int(np.searchsorted(-length, -rounds, "left"))):
         total[i] += x[first[i] + rounds : first[i] + length[i]].sum(axis=0)
     return order, total
@@ -384,11 +409,16 @@ def _trainer(weights: np.ndarray, bias: np.ndarray, chunks: int):
                 ids = flat[order]
                 start = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
                 ids = ids[start]
-                place, g = _segment_sums(slope.take(order // 4, axis=0), start)
-                ids = ids[place]
-                past = past_w[ids] + g * g
+                place, g = _segment_sums(slope.take(order >> 2, axis=0), start)
+                ids = ids[place].astype(np.intp)
+                past = past_w.take(ids, axis=0)
+                past += g * g
                 past_w[ids] = past
-                w[ids] -= RATE * g / np.sqrt(past)
+                g *= RATE
+                g /= np.sqrt(past, out=past)
+                now = w.take(ids, axis=0)
+                now -= g
+                w[ids] = now
                 g = slope.sum(axis=0)
                 past_b += g * g
                 b -= RATE * g / np.sqrt(past_b)
@@ -476,10 +506,13 @@ def prepared(docs: DataFrame) -> tuple[DataFrame, DataFrame, Classes]:
     )
     looked = materialize(numbered, "token-counts", "zstd")
     types = looked.filter("is_first and n > 0").select("token", "n", "signs")
-    # a bounded number of types fits the centroids; all types are assigned
-    common = types.filter("signs IS NOT NULL AND n > 1").orderBy(F.desc("n"), "token").limit(FITTED).toArrow()
-    signs = common.column("signs").to_numpy()
-    centroids = fit_centroids(signs, common.column("n").to_numpy()) if len(signs) else np.empty((0, DIMS), np.float32)
+    # all types fit the centroids; one row per cell of the grid, LEVELS ** DIMS at most whatever the corpus
+    sums = ["weight", *_SIGNS]
+    cells = types.filter("signs IS NOT NULL AND n > 1").select("n", "signs")
+    cells = cells.mapInArrow(_cell_rows, "cell long, " + ", ".join(f"{c} long" for c in sums))
+    cells = cells.groupBy("cell").agg(*[F.sum(c).alias(c) for c in sums]).toArrow().sort_by("cell")
+    weight, *weighted = (cells.column(c).to_numpy() / _UNITS for c in sums)
+    centroids = fit_centroids_of_cells(np.column_stack(weighted), weight) if len(cells) else np.empty((0, DIMS), np.float32)
     found = types.mapInArrow(_class_rows(centroids), "kind long, n long, types long, once long, twice long")
     found = found.groupBy("kind").agg(*[F.sum(c).alias(c) for c in ("n", "types", "once", "twice")])
     classes = class_table(found.collect(), centroids)

@@ -518,6 +518,22 @@ def test_centroids_part_two_languages():
     assert len(lm.fit_centroids(x[:3].view("<i8").ravel(), np.ones(3), 40)) == 3
 
 
+def test_all_types_fit_the_centroids(spark, monkeypatch):
+    """However many types there are, each has its part in the cells of directions, by its weight."""
+    seen, fit = [], lm.fit_centroids_of_cells
+    monkeypatch.setattr(lm, "fit_centroids_of_cells", lambda sums, weight: seen.append((sums, weight)) or fit(sums, weight))
+    text = lambda r: " ".join(f"w{i} w{i}" for i in range(r * 400, r * 400 + 400))
+    docs = spark.createDataFrame([(r, text(r)) for r in range(80)], "doc_id long, text string")
+    _, looked, classes = lm.prepared(docs)
+    types = looked.filter("is_first and n > 1 and signs is not null").select("n", "signs").toPandas()
+    (sums, weight), = seen
+    assert len(types) > 20_000 and len(weight) <= lm.LEVELS**lm.DIMS
+    assert weight.sum() == pytest.approx(np.sqrt(types.n).sum(), rel=1e-4)
+    x = lm.directions(types.signs.to_numpy(np.int64))
+    assert sums.sum(axis=0) == pytest.approx((np.sqrt(types.n.to_numpy())[:, None] * x).sum(axis=0), abs=1)
+    assert len(classes.centroids) == lm.CLUSTERS
+
+
 def per_token(rows):
     held = [r for r in rows if zlib.crc32(str(r.doc_id).encode()) % 10 == 0]
     train = [r for r in rows if zlib.crc32(str(r.doc_id).encode()) % 10]
