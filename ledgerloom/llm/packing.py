@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.bytesops import _GAP, _LOWER, owners, packed
+from ledgerloom.llm.bytesops import _GAP, _LOWER, packed
 from ledgerloom.llm.common import arrow_sized, query, table
 from ledgerloom.session import materialize
 
@@ -137,19 +137,19 @@ class _Encoder:
 
     def _learn(self, new: pa.Array) -> np.ndarray:
         """Remember the ids of new parts; returns the order in which they are kept."""
+        bars = pc.match_substring(new, "|").to_numpy(zero_copy_only=False)
+        order = np.argsort(bars, kind="stable")
+        new = new.take(pa.array(order))
         texts = new.to_pylist()
-        plain = [i for i, t in enumerate(texts) if "|" not in t]
-        odd = [i for i, t in enumerate(texts) if "|" in t]
+        plain = len(texts) - int(bars.sum())
         ids, sizes = [], []
-        groups = [plain[i : i + TOGETHER] for i in range(0, len(plain), TOGETHER)]
-        for found in self._whole([self.between.join([texts[i] for i in g]) for g in groups]):
-            cuts = np.flatnonzero(found == self.mark)
-            ids.append(np.delete(found, cuts))
-            sizes.append(np.diff(np.concatenate([[-1], cuts, [len(found)]])) - 1)
-        more = self._whole([texts[i] for i in odd])
+        for found in self._whole([self.between.join(texts[i : min(i + TOGETHER, plain)]) for i in range(0, plain, TOGETHER)]):
+            marks = found == self.mark
+            ids.append(found[~marks])
+            sizes.append(np.diff(np.concatenate([[-1], np.flatnonzero(marks), [len(found)]])) - 1)
+        more = self._whole(texts[plain:])
         sizes.append(np.array([len(c) for c in more], np.int64))
-        order = np.array(plain + odd, np.int64)
-        self.known = pa.concat_arrays([self.known, new.take(pa.array(order))])
+        self.known = pa.concat_arrays([self.known, new])
         self.ids = np.concatenate([self.ids, *ids, *more])
         self.edges = np.concatenate([self.edges, self.edges[-1] + np.cumsum(np.concatenate(sizes))])
         return order
@@ -182,8 +182,10 @@ class _Encoder:
         upto = np.concatenate([[0], np.cumsum(here)])[first]
         texts = len(offsets) - 1
         out = np.empty(len(flat) + texts, np.uint32)
-        out[np.arange(len(flat)) + np.repeat(owners(first), here)] = flat
-        out[upto[1:] + np.arange(texts)] = CLOSE
+        closes = np.zeros(len(out), bool)
+        closes[upto[1:] + np.arange(texts)] = True
+        out[closes] = CLOSE
+        out[~closes] = flat
         return out, upto + np.arange(texts + 1)
 
 
