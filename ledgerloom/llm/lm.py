@@ -261,6 +261,30 @@ def class_table(found: list, centroids: np.ndarray) -> Classes:
     return Classes(centroids, tokens, int(tokens.sum()), sum(r.types for r in found), once, unseen)
 
 
+def _finder(known: np.ndarray):
+    """Gives the places of tokens in sorted ``known`` hashes, which have them all; of equal ones the first.
+
+    The first bits of a hash tell where to begin, with two beginnings a hash at least; the tokens that lie further on are looked up again.
+    """
+    bits = max((2 * len(known)).bit_length(), 1)
+    shift = np.uint64(64 - bits)
+    counts = np.bincount((known >> shift).astype(np.intp), minlength=1 << bits)
+    begin = np.cumsum(counts, dtype=np.int32) - counts.astype(np.int32)
+
+    def places(tokens: np.ndarray, steps: int = 8) -> np.ndarray:
+        at = begin.take((tokens >> shift).astype(np.intp))
+        left = np.flatnonzero(known.take(at, mode="clip") != tokens)
+        for _ in range(steps):
+            if not len(left):
+                return at
+            at[left] += 1
+            left = left[known.take(at[left], mode="clip") != tokens[left]]
+        at[left] = np.searchsorted(known, tokens[left])
+        return at
+
+    return places
+
+
 def _encoder(classes: Classes):
     """Per document: counts, base score, share within classes, and its tokens as class and mark bytes."""
     scale = math.log10(classes.total + 0.1 * (classes.types + 1))
@@ -273,29 +297,35 @@ def _encoder(classes: Classes):
         kinds = class_of(classes.centroids, known, counts, signs.fill_null(0).to_numpy(), valid)
         order = np.argsort(known)
         known, counts, kinds = known[order], counts[order], kinds[order]
+        places, base, inside = _finder(known), np.log10(counts + 0.1) - scale, inside_class(counts, kinds)
         sizes = pc.fill_null(pc.binary_length(left.column("text")), 0).to_numpy().astype(np.int64)
         # a few texts at a time, so that the tokens of a whole block are never held as 64-bit words
         turn = np.cumsum(sizes) // SLICE
         edges = [0, *(np.flatnonzero(np.diff(turn)) + 1).tolist(), len(turn)]
         parts = [left.slice(a, b - a) for a, b in zip(edges, edges[1:], strict=False) if b > a]
-        return pa.concat_tables([encoded(part, known, counts, kinds) for part in parts or [left]])
+        return pa.concat_tables([encoded(part, places, counts > 0, kinds, base, inside) for part in parts or [left]])
 
-    def encoded(left: pa.Table, known: np.ndarray, counts: np.ndarray, classed: np.ndarray) -> pa.Table:
-        tokens, first = _tokens(left)
+    def inside_class(counts: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+        """The logarithm of a type's share within its class."""
         seen_once = math.log10((1 - classes.unseen) / classes.once) if classes.once else 0.0
+        share = np.log10(np.maximum(counts, 1) / np.maximum(classes.tokens[kinds], 1))
+        share[kinds == END_CLASS] = 0.0
+        rare = kinds == RARE
+        share[rare] = np.where(counts[rare] > 0, seen_once, math.log10(classes.unseen))
+        return share
+
+    def encoded(
+        left: pa.Table, places, known: np.ndarray, kind: np.ndarray, type_base: np.ndarray, type_inside: np.ndarray
+    ) -> pa.Table:
+        tokens, first = _tokens(left)
         n = len(tokens)
         kinds, seen, base, inside = np.empty(n, np.uint8), np.empty(n, bool), np.empty(n), np.empty(n)
         marks = np.empty(n, np.uint16)
         for a in range(0, n, SLICE):
             part = slice(a, a + SLICE)
-            place = np.searchsorted(known, tokens[part])
-            count, kind = counts[place], classed[place]
-            end = kind == END_CLASS
-            share = np.log10(np.maximum(count, 1) / np.maximum(classes.tokens[kind], 1))
-            share[end] = 0.0
-            rare = kind == RARE
-            share[rare] = np.where(count[rare] > 0, seen_once, math.log10(classes.unseen))
-            kinds[part], seen[part], base[part], inside[part] = kind, count > 0, np.log10(count + 0.1) - scale, share
+            place = places(tokens[part])
+            kinds[part], seen[part] = kind.take(place), known.take(place)
+            base[part], inside[part] = type_base.take(place), type_inside.take(place)
             marks[part] = mix(tokens[part]) & np.uint64(0xFFFF)
         add = lambda x: np.add.reduceat(x, first[:-1])
         sizes = np.diff(first)
@@ -360,8 +390,9 @@ def _scores(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarr
     """Class probabilities for rows of features."""
     at = rows.T.astype(np.intp)
     z = weights.take(at[0], axis=0)
+    more = np.empty_like(z)
     for row in at[1:]:
-        z += weights.take(row, axis=0)
+        z += weights.take(row, axis=0, out=more, mode="clip")
     z += bias
     z -= z.max(axis=1, keepdims=True)
     np.exp(z, out=z)
@@ -369,22 +400,28 @@ def _scores(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarr
     return z
 
 
-def _segment_sums(x: np.ndarray, start: np.ndarray, rounds: int = 32) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of consecutive rows from each ``start``, longest segments first: (segment, sum).
+def _segment_sums(
+    x: np.ndarray, start: np.ndarray, rounds: int = 32, at: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of consecutive rows (or of the rows ``at``) from each ``start``, longest segments first: (segment, sum).
 
     The k-th rows of all segments are added at once; only the few long segments are finished one by one.
     """
-    sizes = np.diff(np.concatenate([start, [len(x)]]))
-    order = np.argsort(-sizes, kind="stable")
+    at = np.arange(len(x)) if at is None else at
+    sizes = np.diff(start, append=len(at))
+    shorter = sizes.max(initial=0) - sizes
+    # a radix sort if the numbers have 16 bits
+    order = np.argsort(shorter.astype(np.uint16) if shorter.max(initial=0) < 1 << 16 else shorter, kind="stable")
     first, length = start[order], sizes[order]
-    total = x.take(first, axis=0)
+    total = x.take(at.take(first), axis=0)
+    longer = np.searchsorted(-length, -np.arange(rounds + 1), "left").tolist()
     for k in range(1, rounds):
-        n = int(np.searchsorted(-length, -k, "left"))
+        n = longer[k]
         if not n:
             break
-        total[:n] += x.take(first[:n] + k, axis=0)
-    for i in range(int(np.searchsorted(-length, -rounds, "left"))):
-        total[i] += x[first[i] + rounds : first[i] + length[i]].sum(axis=0)
+        total[:n] += x.take(at.take(first[:n] + k), axis=0)
+    for i in range(longer[rounds]):
+        total[i] += x.take(at[first[i] + rounds : first[i] + length[i]], axis=0).sum(axis=0)
     return order, total
 
 
@@ -394,6 +431,7 @@ def _trainer(weights: np.ndarray, bias: np.ndarray, chunks: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, b = weights.copy(), bias.copy()
         past_w, past_b = np.full(w.shape, 1e-4, np.float32), np.full(b.shape, 1e-4, np.float32)
+        held = np.empty((2, 4 * STEP, w.shape[1]), np.float32)  # space that all steps share
         seen = 0
         for batch in batches:
             if not len(batch):
@@ -409,14 +447,14 @@ def _trainer(weights: np.ndarray, bias: np.ndarray, chunks: int):
                 ids = flat[order]
                 start = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
                 ids = ids[start]
-                place, g = _segment_sums(slope.take(order >> 2, axis=0), start)
+                place, g = _segment_sums(slope, start, at=order >> 2)
                 ids = ids[place].astype(np.intp)
-                past = past_w.take(ids, axis=0)
-                past += g * g
+                past = past_w.take(ids, axis=0, out=held[0][: len(ids)], mode="clip")
+                past += np.multiply(g, g, out=held[1][: len(ids)])
                 past_w[ids] = past
                 g *= RATE
                 g /= np.sqrt(past, out=past)
-                now = w.take(ids, axis=0)
+                now = w.take(ids, axis=0, out=past, mode="clip")
                 now -= g
                 w[ids] = now
                 g = slope.sum(axis=0)

@@ -557,6 +557,24 @@ def test_segment_sums():
     assert np.allclose(np.add.reduceat(x, start)[order], sums)
 
 
+def test_segment_sums_of_chosen_rows():
+    rng = np.random.default_rng(3)
+    x, at, start = rng.normal(size=(50, 4)), rng.integers(0, 50, 400), np.array([0, 1, 2, 7, 120, 399])
+    order, sums = lm._segment_sums(x, start, at=at)
+    assert np.allclose(np.add.reduceat(x[at], start)[order], sums)
+
+
+@pytest.mark.parametrize("low", [0, 60])
+def test_tokens_are_found_by_their_first_bits(low):
+    """Also where hashes have their first bits in common, or come twice."""
+    rng = np.random.default_rng(4)
+    known = np.sort(rng.integers(0, 1 << 63, 3000, np.uint64) >> np.uint64(low // 2))
+    known = np.sort(np.concatenate([known, known[:10], known[-10:], [np.uint64(0), np.uint64(2**64 - 1)]]))
+    tokens = rng.choice(known, 20_000)
+    assert (lm._finder(known)(tokens) == np.searchsorted(known, tokens)).all()
+    assert (lm._finder(known[:1])(known[:1]) == [0]).all() and not len(lm._finder(known[:0])(known[:0]))
+
+
 def test_lm_odd_rows(odd, nothing):
     rows = lm.score_texts(odd).collect()
     assert sorted(r.n_tokens for r in rows) == sorted(len(words(r[1])) + 1 for r in ODD)
