@@ -8,6 +8,7 @@ from conftest import SMALL, spark_table, table_of
 import __spark_entry__ as entry_point
 from ledgerloom.plans import load_all
 from ledgerloom.plans.registry import QUERIES, SQL
+from ledgerloom.session import job_scratch
 
 load_all()
 
@@ -44,6 +45,20 @@ def test_query_on_large_input(spark, duck, large, name):
     assert spark_table(QUERIES[name](spark, SMALL)) == expected(duck, name)
 
 
+#: Queries that write steps to the folder which driver and executors share.
+SHARED = [
+    "app_cri_evaluation",
+]
+
+
+@pytest.mark.parametrize("name", SHARED)
+def test_query_in_a_cluster_whose_shared_folder_is_a_file_path(spark, duck, large, monkeypatch, name):
+    """Such a folder, which can be a mount, is tried and then used."""
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    with job_scratch(spark):
+        assert spark_table(QUERIES[name](spark, SMALL)) == expected(duck, name)
+
+
 @pytest.mark.parametrize("missing", ["ledgerloom.llm", "ledgerloom.llm.queries", "corpus_pipeline", "numpy"])
 def test_table_queries_do_without_the_optional_parts(monkeypatch, missing):
     """With a part or one of its packages absent, the other queries stay."""
