@@ -55,6 +55,7 @@ SHARED = [
     "app_statement_sequence",
     "cmp_column_expressions",
     "cmp_compare_columns",
+    "cmp_counts",
 ]
 
 
