@@ -56,6 +56,7 @@ SHARED = [
     "cmp_column_expressions",
     "cmp_compare_columns",
     "cmp_counts",
+    "cmp_row_diff",
 ]
 
 
