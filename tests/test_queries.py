@@ -58,6 +58,7 @@ SHARED = [
     "cmp_counts",
     "cmp_row_diff",
     "cmp_snapshot_delta",
+    "dml_backup_copy",
 ]
 
 
