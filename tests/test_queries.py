@@ -63,6 +63,7 @@ SHARED = [
     "dml_current_history_roll",
     "dml_merge_additive",
     "dml_partition_int_range",
+    "dml_merge_upsert",
 ]
 
 
