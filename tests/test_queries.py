@@ -66,6 +66,7 @@ SHARED = [
     "dml_merge_upsert",
     "dml_merge_conditional",
     "dml_rebuild_partitioned",
+    "dml_recluster",
 ]
 
 
